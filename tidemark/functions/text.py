@@ -21,4 +21,4 @@ def joined_key(*parts: Column, separator: str = ":") -> Column:
 
 def words(text: Column) -> Column:
     """All words of a text, in order, as an array."""
-    return F.filter(F.split(text, WORD_GAP), lambda word: word != "")
+    return F.array_remove(F.split(text, WORD_GAP), "")

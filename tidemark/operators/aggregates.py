@@ -38,13 +38,14 @@ def key_count(df: DataFrame, key: str, name: str = "key_count") -> DataFrame:
 def pivot_sum(
     df: DataFrame, row: str, column: str, value: str | Column, values: Sequence
 ) -> DataFrame:
-    """Sum of ``value`` per ``row``, one output column per entry of ``values``.
+    """Sum of ``value`` per ``row``, one output column per entry of ``values``; null if none.
 
     The values must be named: finding them would take a job of its own, and their number is the
-    width of the result.
+    width of the result. All columns come from one shuffle by ``row``.
     """
     summed = F.col(value) if isinstance(value, str) else value
-    return df.groupBy(row).pivot(column, list(values)).agg(F.sum(summed))
+    sums = [F.sum(F.when(F.col(column) == v, summed)).alias(str(v)) for v in values]
+    return df.groupBy(row).agg(*sums)
 
 
 def word_counts(df: DataFrame, text: str, *groups: str, name: str = "n") -> DataFrame:
@@ -54,7 +55,12 @@ def word_counts(df: DataFrame, text: str, *groups: str, name: str = "n") -> Data
 
 
 def words_in_every_group(counts: DataFrame, group: str) -> DataFrame:
-    """Words that every group uses, from the ``group, word`` rows of :func:`word_counts`."""
-    groups = counts.agg(F.count_distinct(group)).scalar()
-    spread = counts.groupBy("word").agg(F.count(group).alias("groups"))
+    """``word, groups, n``: the words that every group with any word uses, and how often.
+
+    ``counts`` holds the ``group, word, n`` rows of :func:`word_counts`. Both uses of it here need
+    all three columns, so Spark splits the texts and shuffles the counts only once.
+    """
+    sizes = counts.groupBy(group).agg(F.sum("n").alias("n")).where(F.col("n") > 0)
+    groups = sizes.agg(F.count(F.lit(1))).scalar()
+    spread = counts.groupBy("word").agg(F.count(group).alias("groups"), F.sum("n").alias("n"))
     return spread.where(F.col("groups") == groups)

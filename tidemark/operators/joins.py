@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A side of at most this many rows is broadcast. Rows here are a key and a few short columns,
-# so this stays in the tens of megabytes.
+# A side of at most this many rows, and this many bytes of text in them, is broadcast.
 BROADCAST_ROWS = 200_000
+BROADCAST_TEXT_BYTES = 32 * 1024 * 1024
 # Keys that may be spread over several tasks, and how many tasks each.
 HOT_KEYS = 1_000
 SALTS = 64
@@ -20,16 +20,28 @@ def lookup(
     how: str = "inner",
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join ``facts`` with ``other`` on ``key``: broadcast if counted small, else salted.
+    """Join ``facts`` with ``other`` on ``key``: broadcast if measured small, else salted.
 
     ``other`` should be a plain scan or similarly cheap, because it is counted first. ``how`` is
     inner, left, left_semi or left_anti.
     """
-    if other.count() <= broadcast_rows:
+    if is_small(other, broadcast_rows):
         return facts.join(F.broadcast(other), key, how)
     return salted_join(facts, other, key, how)
 
 
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, text_bytes: int = BROADCAST_TEXT_BYTES) -> bool:
+    """Whether ``df`` has few rows and little text; other variable-length columns count as large."""
+    kinds = dict(df.dtypes)
+    if any("<" in kind or kind == "binary" for kind in kinds.values()) or df.count() > rows:
+        return False
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in kinds.items() if kind == "string"]
+    if not texts:
+        return True
+    total = df.agg(F.sum(sum(texts, F.lit(0))).alias("bytes")).first()["bytes"]
+    return (total or 0) <= text_bytes
+
+
 def salted_join(
     facts: DataFrame,
     other: DataFrame,
@@ -71,14 +83,21 @@ def _hashable(df: DataFrame) -> list[Column]:
 
 
 def without(facts: DataFrame, members: DataFrame, key: str) -> DataFrame:
-    """Rows of ``facts`` whose key is not among ``members``.
-
-    Group ``facts`` by the key first where that is possible: then no key is frequent. Spark picks
-    the strategy from the sizes it sees at run time.
-    """
+    """Rows of ``facts`` whose key is not among ``members``."""
     return facts.join(members.select(key), key, "left_anti")
 
 
 def within(facts: DataFrame, members: DataFrame, key: str) -> DataFrame:
-    """Rows of ``facts`` whose key is among ``members``; see :func:`without`."""
+    """Rows of ``facts`` whose key is among ``members``."""
     return facts.join(members.select(key), key, "left_semi")
+
+
+def flag_members(groups: DataFrame, members: DataFrame, key: str, name: str = "is_member") -> DataFrame:
+    """``groups`` with a boolean for whether the key is among the distinct keys ``members``.
+
+    Filter by it where ``groups`` is an aggregate: Spark moves a semi or anti join below the
+    aggregate, where it would shuffle every row of a frequent key instead of one count.
+    """
+    marked = members.select(key, F.lit(True).alias(name))
+    flag = F.coalesce(F.col(name), F.lit(False))
+    return groups.join(marked, key, "left").withColumn(name, flag)

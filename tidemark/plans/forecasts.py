@@ -9,6 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.regression import LinearRegression
+from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,19 +79,30 @@ class SearchedModel:
         return weight_rows(self.best, self.training, feature_names(self.pipeline.transform(self.training)))
 
 
+def _searched(
+    df: DataFrame, key: str, label: str, stages: list, search: TrainValidationSplit, train_tenths: int
+) -> SearchedModel:
+    """Fit ``stages`` and then ``search`` on the training part of ``df``.
+
+    The search keeps its input in memory, so it gets the label and the vector only.
+    """
+    training, holdout = hash_split(df, key, train_tenths)
+    features = Pipeline(stages=stages).fit(training)
+    vectors = features.transform(training).select(label, "features")
+    return SearchedModel(PipelineModel([*features.stages, search.fit(vectors)]), training, holdout)
+
+
 def searched_regression(
     df: DataFrame, key: str, label: str, numeric: Sequence[str], categorical: Sequence[str] = (),
     grid: Mapping[str, Sequence[float]] = HOUSE_GRID, train_tenths: int = 8,
 ) -> SearchedModel:
     """Linear regression searched by R² on the training part; every stage is fitted on it only."""
-    training, holdout = hash_split(df, key, train_tenths)
     regression = LinearRegression(labelCol=label)
     evaluator = RegressionEvaluator(labelCol=label, metricName="r2")
     search = validation_search(
         regression, parameter_grid(regression, grid), evaluator, train_tenths / 10
     )
-    stages = [*feature_stages(numeric, categorical), search]
-    return SearchedModel(Pipeline(stages=stages).fit(training), training, holdout)
+    return _searched(df, key, label, feature_stages(numeric, categorical), search, train_tenths)
 
 
 def regression_report(model: SearchedModel, label: str) -> DataFrame:
@@ -125,13 +137,11 @@ def searched_churn(
     grid: Mapping[str, Sequence[float]] = VIEWS_GRID, train_tenths: int = 9,
 ) -> SearchedModel:
     """Logistic regression on ``label`` searched by area under the ROC curve."""
-    training, holdout = hash_split(df, key, train_tenths)
     logistic = LogisticRegression()
     search = validation_search(
         logistic, parameter_grid(logistic, grid), BinaryClassificationEvaluator(), train_tenths / 10
     )
-    stages = [*feature_stages(numeric, categorical), search]
-    return SearchedModel(Pipeline(stages=stages).fit(training), training, holdout)
+    return _searched(df, key, "label", feature_stages(numeric, categorical), search, train_tenths)
 
 
 def churn_report(model: SearchedModel) -> tuple[DataFrame, DataFrame]:

@@ -9,7 +9,7 @@ from tidemark.functions.rules import country_group, register_rules
 from tidemark.functions.text import field
 from tidemark.operators.aggregates import count_by, pivot_sum, sum_by
 from tidemark.operators.audit import audit_constraints
-from tidemark.operators.joins import lookup, within
+from tidemark.operators.joins import lookup, within, without
 from tidemark.operators.ordering import top, top_per_group as ranked_per_group
 from tidemark.plans.conversions import labelled_trials
 from tidemark.plans.exam_flags import pass_flags as flagged
@@ -200,6 +200,13 @@ def history_of_users(spark: SparkSession, folder: str) -> DataFrame:
     return within(orders, urgent, "o_custkey")
 
 
+def users_without_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of the customers who never placed an urgent one."""
+    orders = read_table(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
+    urgent = orders.where(F.col("o_orderpriority") == "1-URGENT").select("o_custkey").distinct()
+    return without(orders, urgent, "o_custkey")
+
+
 def distinct_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "lineitem").select("l_partkey", "l_suppkey").distinct()
 
@@ -257,6 +264,7 @@ QUERIES = {
     "trial_labels": trial_labels,
     "lookup_left": lookup_left,
     "history_of_users": history_of_users,
+    "users_without_history": users_without_history,
     "distinct_pairs": distinct_pairs,
     "distinct_values": distinct_values,
     "group_counts": group_counts,
@@ -353,6 +361,9 @@ SQL = {
     "history_of_users": """
         SELECT o_custkey, o_orderkey, o_orderpriority FROM orders
         WHERE o_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
+    "users_without_history": """
+        SELECT o_custkey, o_orderkey, o_orderpriority FROM orders
+        WHERE o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
     "distinct_pairs": "SELECT DISTINCT l_partkey, l_suppkey FROM lineitem",
     "distinct_values": "SELECT DISTINCT o_orderpriority FROM orders",
     "group_counts": """

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import words
 from tidemark.operators.aggregates import word_counts, words_in_every_group
-from tidemark.operators.joins import within, without
+from tidemark.operators.joins import flag_members
 from tidemark.plans.keywords import course_keywords as keywords
 from tidemark.sources.files import read_table
 
@@ -23,14 +23,17 @@ def common_words(spark: SparkSession, folder: str) -> DataFrame:
     return words_in_every_group(counts, "source")
 
 
-def anti_words(spark: SparkSession, folder: str) -> DataFrame:
+def flagged_words(spark: SparkSession, folder: str) -> DataFrame:
     counts = word_counts(read_table(spark, folder, "documents"), "text")
-    return without(counts, benchmark_words(spark, folder), "word")
+    return flag_members(counts, benchmark_words(spark, folder), "word")
+
+
+def anti_words(spark: SparkSession, folder: str) -> DataFrame:
+    return flagged_words(spark, folder).where("NOT is_member").drop("is_member")
 
 
 def semi_words(spark: SparkSession, folder: str) -> DataFrame:
-    counts = word_counts(read_table(spark, folder, "documents"), "text")
-    return within(counts, benchmark_words(spark, folder), "word")
+    return flagged_words(spark, folder).where("is_member").drop("is_member")
 
 
 def course_keywords(spark: SparkSession, folder: str) -> DataFrame:
@@ -50,11 +53,11 @@ TOKENS = """
     used AS (SELECT source, word FROM tokens WHERE word <> ''),
     known AS (SELECT DISTINCT unnest(regexp_split_to_array(text, '[ \\t\\r\\n]+')) AS word
               FROM benchmark),
-    common AS (SELECT word, count(DISTINCT source) AS groups FROM used GROUP BY word
+    common AS (SELECT word, count(DISTINCT source) AS groups, count(*) AS n FROM used GROUP BY word
                HAVING groups = (SELECT count(DISTINCT source) FROM used))"""
 
 SQL = {
-    "common_words": f"WITH {TOKENS} SELECT word, groups FROM common",
+    "common_words": f"WITH {TOKENS} SELECT word, groups, n FROM common",
     "anti_words": f"""
         WITH {TOKENS} SELECT word, count(*) AS n FROM used
         WHERE word NOT IN (SELECT word FROM known) GROUP BY word""",

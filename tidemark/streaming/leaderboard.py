@@ -1,8 +1,9 @@
 """Ranking of keys over the last hour, renewed after every batch of a stream.
 
-The stream holds only one-minute sums as state. They are stored as updates below
-``minutes/hour=<hour>/batch_id=<id>``; a ranking lists and reads just the hours its window
-touches, however long the stream has run. Rankings go to ``boards/batch_id=<id>``.
+The stream holds only one-minute sums as state. Those of the last hour are stored as updates below
+``minutes/hour=<hour>/batch_id=<id>`` (the window only moves forward, so no later ranking needs
+older ones); a ranking lists and reads just the hours its window touches, however long the stream
+has run. Rankings go to ``boards/batch_id=<id>``.
 """
 
 from __future__ import annotations
@@ -32,14 +33,19 @@ def minute_sums(events: DataFrame, time: str, key: str, value: Column, name: str
 def ranking(
     minutes: DataFrame, key: str, name: str, end: datetime, size_minutes: int = 60, rows: int = 50
 ) -> DataFrame:
-    """Top keys of ``minutes`` in the window that ends at ``end``: ``key, name, window_end``."""
-    last = F.lit(end).cast("timestamp_ntz")
-    start = F.lit(end - timedelta(minutes=size_minutes)).cast("timestamp_ntz")
-    recent = minutes.where((F.col("window_start") >= start) & (F.col("window_end") <= last))
+    """Top keys of ``minutes`` in the window up to their newest ``end``: ``key, name, window_end``."""
+    recent = _since(minutes, end, size_minutes)
     sums = recent.groupBy(key).agg(F.sum(name).alias(name))
+    last = F.lit(end).cast("timestamp_ntz")
     return top(sums, rows, F.desc(name), key).withColumn("window_end", last)
 
 
+def _since(minutes: DataFrame, end: datetime, size_minutes: int) -> DataFrame:
+    """The minutes of the window that ends at ``end``, which none of ``minutes`` is after."""
+    start = F.lit(end - timedelta(minutes=size_minutes)).cast("timestamp_ntz")
+    return minutes.where(F.col("window_start") >= start)
+
+
 def _hours(end: datetime, size_minutes: int) -> list[str]:
     """The ``hour`` partitions that a window ending at ``end`` touches."""
     first = (end - timedelta(minutes=size_minutes)).replace(minute=0, second=0, microsecond=0)
@@ -76,12 +82,12 @@ def write_leaderboard(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         stored = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        board = spark.read.parquet(f"{boards}/batch_id={batch_id - 1}")
         with reused(stored) as changed:
-            _store_minutes(changed, key, store, files_per_hour)
-            before = spark.read.parquet(f"{boards}/batch_id={batch_id - 1}")
-            ends = before.select("window_end").union(changed.select("window_end"))
+            ends = board.select("window_end").union(changed.select("window_end"))
             end = ends.agg(F.max("window_end")).first()[0]
-        board = before
+            if end is not None:
+                _store_minutes(_since(changed, end, size_minutes), key, store, files_per_hour)
         if end is not None:
             hours = ",".join(_hours(end, size_minutes))
             reader = spark.read.schema(stored.schema).option("basePath", store)
