@@ -39,6 +39,7 @@ def rows(spark):
 
 
 def plan_of(df) -> str:
-    """Physical plan of ``df`` as text, after it ran."""
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan that ``df`` ran with."""
+    df.toArrow()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.split("== Initial Plan ==")[0]
