@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
-from tidemark.operators.joins import flag_members, is_small, lookup, salted_join, within, without
+from tidemark.operators.joins import flag_members, is_small, lookup, salted_join
 
 
 @pytest.fixture
@@ -68,8 +68,8 @@ def test_is_small_looks_at_rows_and_text(spark):
 
 def test_membership(spark, facts, rows):
     members = spark.createDataFrame([(7,), (7,), (999,)], "k bigint")
-    assert within(facts, members, "k").count() == facts.where("k = 7").count()
-    assert without(facts, members, "k").count() == facts.where("k IS NULL OR k <> 7").count()
+    assert lookup(facts, members, "k", "left_semi").count() == facts.where("k = 7").count()
+    assert lookup(facts, members, "k", "left_anti").count() == facts.where("k IS NULL OR k <> 7").count()
     counts = facts.groupBy("k").count()
     flagged = flag_members(counts, members.distinct(), "k")
     assert rows(flagged.where("is_member").select("k")) == [(7,)]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import metrics
 from tidemark.operators.caching import reused
 from tidemark.operators.features import (
+    check_categories,
     feature_stages,
     hash_split,
     index_to_string,
@@ -258,3 +259,10 @@ def test_reused_frames_are_released(spark):
         assert kept.is_cached
         raise ValueError
     assert not df.is_cached
+
+
+def test_too_many_categories_raise(colours):
+    check_categories(colours, ["colour"], most=5)
+    check_categories(colours, [])
+    with pytest.raises(ValueError, match="colour"):
+        check_categories(colours, ["colour"], most=3)

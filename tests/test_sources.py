@@ -106,3 +106,8 @@ def test_shared_folder_is_below_the_configured_one(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_folder(spark, "x"), shared_folder(spark, "x")
     assert first.startswith(f"{root}/x-") and first != second
+
+
+def test_inferred_types(spark, write):
+    path = write("t.csv", "a,b,c\n1,x,0.5\n2,y,1\n")
+    assert read_csv(spark, path, None).dtypes == [("a", "int"), ("b", "string"), ("c", "double")]

@@ -13,11 +13,11 @@ from tidemark.plans.live_views import (
     viewing_seconds,
     viewing_seconds_sql,
 )
-from tidemark.plans.log_reports import live_level_counts
+from tidemark.plans.log_reports import live_level_counts, start_level_counts
 from tidemark.session import shared_folder
 from tidemark.sources.sinks import console_writer, start_append
 from tidemark.sources.streams import parquet_stream
-from tidemark.streaming.leaderboard import minute_sums, ranking, read_leaderboard, write_leaderboard
+from tidemark.streaming.leaderboard import ranking, read_leaderboard, step_sums, write_leaderboard
 from tidemark.streaming.updates import latest_per_key, read_latest, start_updates
 from tidemark.streaming.windows import flat_window, sliding_sum, tumbling_sum, with_event_time
 
@@ -176,7 +176,7 @@ def test_leaderboard_after_every_batch(spark, files, rows, tmp_path):
 def test_leaderboard_batch_can_be_repeated(spark, rows, tmp_path):
     """A batch that runs again after a failure changes nothing, and an empty one keeps the ranking."""
     base = f"{tmp_path}/out"
-    parts = [minute_sums(spark.createDataFrame(f, SCHEMA), "ts", "course", F.lit(5), "n") for f in FILES]
+    parts = [step_sums(spark.createDataFrame(f, SCHEMA), "ts", "1 minute", "course", F.lit(5), "n") for f in FILES]
     empty = parts[0].select("course", "n", "window_end").limit(0)
     empty.write.parquet(f"{base}/boards/batch_id=-1")
     handle = write_leaderboard(spark, base, "course", "n")
@@ -189,17 +189,28 @@ def test_leaderboard_batch_can_be_repeated(spark, rows, tmp_path):
     assert rows(spark.read.parquet(f"{base}/boards/batch_id=2")) == once
 
 
+def test_live_level_counts(spark, files, rows, tmp_path):
+    """Counts of the last two minutes up to the newest line, after every batch."""
+    path = files(heartbeats((0, "WARN"), (1, "WARN"), (100, "INFO")), heartbeats((121, "WARN"), (60, "INFO")))
+    query = start_level_counts(stream(spark, path), f"{tmp_path}/out", f"{tmp_path}/checkpoint", "course", "ts")
+    query.awaitTermination()
+    first = spark.read.parquet(f"{tmp_path}/out/boards/batch_id=0").select("course", "total")
+    assert rows(first) == [("INFO", 1), ("WARN", 2)]
+    last = read_leaderboard(spark, f"{tmp_path}/out").select("course", "total")
+    assert rows(last) == [("INFO", 2), ("WARN", 1)]
+
+
 def test_leaderboard_of_nothing_is_empty(spark, tmp_path):
     base = f"{tmp_path}/out"
-    nothing = minute_sums(spark.createDataFrame([], SCHEMA), "ts", "course", F.lit(5), "n")
+    nothing = step_sums(spark.createDataFrame([], SCHEMA), "ts", "1 minute", "course", F.lit(5), "n")
     nothing.select("course", "n", "window_end").write.parquet(f"{base}/boards/batch_id=-1")
     write_leaderboard(spark, base, "course", "n")(nothing, 0)
     assert spark.read.parquet(f"{base}/boards/batch_id=0").count() == 0
 
 
 def test_ranking_breaks_ties_by_key(spark):
-    minutes = minute_sums(spark.createDataFrame(FILES[0], SCHEMA), "ts", "course", F.lit(5), "n")
-    board = ranking(minutes, "course", "n", START + timedelta(minutes=11), rows=3)
+    steps = step_sums(spark.createDataFrame(FILES[0], SCHEMA), "ts", "1 minute", "course", F.lit(5), "n")
+    board = ranking(steps, "course", "n", START + timedelta(minutes=11), timedelta(hours=1), rows=3)
     assert [(r.course, r.n) for r in board.collect()] == [("a", 10), ("b", 5), ("c", 5)]
 
 

@@ -16,11 +16,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Categories are held on the driver and in every model; vectors are as wide as their number.
+MOST_CATEGORIES = 100_000
+
+
 def string_indexer(columns: Sequence[str], suffix: str = "_index", unseen: str = "keep") -> StringIndexer:
     """Estimator of category indexes by falling frequency, ties in alphabetical order.
 
-    One job counts the categories of all columns. Categories are held on the driver: use it on
-    columns whose values are few by nature, as one-hot vectors need anyway.
+    One job counts the categories of all columns and brings them to the driver, so call
+    :func:`check_categories` first unless the values are few by nature.
     """
     return StringIndexer(
         inputCols=list(columns),
@@ -30,6 +34,19 @@ def string_indexer(columns: Sequence[str], suffix: str = "_index", unseen: str =
     )
 
 
+def check_categories(df: DataFrame, columns: Sequence[str], most: int = MOST_CATEGORIES) -> None:
+    """Raise if a column has clearly more than ``most`` categories, before they reach the driver.
+
+    The numbers are estimates within two percent, for all columns in one pass.
+    """
+    if not columns:
+        return
+    counts = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in columns]).first()
+    many = {c: counts[c] for c in columns if counts[c] > most}
+    if many:
+        raise ValueError(f"more than {most} categories: {many}")
+
+
 def index_to_string(model: StringIndexerModel, column: str, output: str) -> Transformer:
     """Transformer from an index column of ``model`` back to its categories."""
     position = model.getOutputCols().index(column)

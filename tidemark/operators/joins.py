@@ -22,8 +22,8 @@ def lookup(
 ) -> DataFrame:
     """Join ``facts`` with ``other`` on ``key``: broadcast if measured small, else salted.
 
-    ``other`` should be a plain scan or similarly cheap, because it is counted first. ``how`` is
-    inner, left, left_semi or left_anti.
+    ``how`` is inner, left, left_semi (keep the rows whose key is in ``other``) or left_anti (keep
+    those whose key is not). ``other`` is counted first, so it should be cheap to read.
     """
     if is_small(other, broadcast_rows):
         return facts.join(F.broadcast(other), key, how)
@@ -82,16 +82,6 @@ def _hashable(df: DataFrame) -> list[Column]:
     return [F.col(name) for name, kind in df.dtypes if "map<" not in kind]
 
 
-def without(facts: DataFrame, members: DataFrame, key: str) -> DataFrame:
-    """Rows of ``facts`` whose key is not among ``members``."""
-    return facts.join(members.select(key), key, "left_anti")
-
-
-def within(facts: DataFrame, members: DataFrame, key: str) -> DataFrame:
-    """Rows of ``facts`` whose key is among ``members``."""
-    return facts.join(members.select(key), key, "left_semi")
-
-
 def flag_members(groups: DataFrame, members: DataFrame, key: str, name: str = "is_member") -> DataFrame:
     """``groups`` with a boolean for whether the key is among the distinct keys ``members``.
 

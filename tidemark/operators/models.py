@@ -105,14 +105,22 @@ def int_ids(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("int") for c in columns})
 
 
-def als(user: str, item: str, rating: str, seed: int = SEED) -> ALS:
-    """Explicit-rating ALS; users and items unknown to the model are dropped when scoring."""
+def als(user: str, item: str, rating: str, seed: int = SEED, blocks: int = 10) -> ALS:
+    """Explicit-rating ALS; users and items unknown to the model are dropped when scoring.
+
+    ``blocks`` is the number of tasks that users, and items, are divided among.
+    """
     return ALS(
         userCol=user, itemCol=item, ratingCol=rating, maxIter=10, regParam=0.1, seed=seed,
-        coldStartStrategy="drop",
+        coldStartStrategy="drop", numUserBlocks=blocks, numItemBlocks=blocks,
     )
 
 
+def als_blocks(df: DataFrame, least: int = 10, most: int = 1000) -> int:
+    """One block per core, but no more than keeps the exchange between all blocks reasonable."""
+    return max(least, min(most, df.sparkSession.sparkContext.defaultParallelism))
+
+
 def recommendation_rows(recommended: DataFrame, user: str, item: str) -> DataFrame:
     """``user, rank, item, rating`` from the array column of a recommendation."""
     flat = recommended.select(user, F.posexplode("recommendations").alias("_pos", "_rec"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 
-from tidemark.operators.features import feature_stages
+from tidemark.operators.features import check_categories, feature_stages
 from tidemark.operators.models import kmeans_sweep
 
 
@@ -15,5 +15,6 @@ def cluster_report(
     df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), ks: Sequence[int] = range(2, 8)
 ) -> DataFrame:
     """``k, sse, silhouette, smallest, largest`` over the features of mixed columns."""
+    check_categories(df, categorical)
     stages = feature_stages(numeric, categorical, unseen="error")
     return kmeans_sweep(Pipeline(stages=stages).fit(df).transform(df), ks)

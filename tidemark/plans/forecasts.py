@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.rules import inactive_label, zero_if_null
-from tidemark.operators.features import feature_stages, hash_split
+from tidemark.operators.features import check_categories, feature_stages, hash_split
 from tidemark.operators.metrics import binary_rates, confusion_counts, regression_metrics
 from tidemark.operators.models import (
     feature_names,
@@ -35,6 +35,7 @@ def linear_fit(
     unseen: str = "error",
 ) -> PipelineModel:
     """Pipeline of feature stages and a linear regression without regularisation."""
+    check_categories(df, categorical)
     regression = LinearRegression(labelCol=label)
     return Pipeline(stages=[*feature_stages(numeric, categorical, unseen), regression]).fit(df)
 
@@ -80,14 +81,16 @@ class SearchedModel:
 
 
 def _searched(
-    df: DataFrame, key: str, label: str, stages: list, search: TrainValidationSplit, train_tenths: int
+    df: DataFrame, key: str, label: str, numeric: Sequence[str], categorical: Sequence[str],
+    search: TrainValidationSplit, train_tenths: int,
 ) -> SearchedModel:
-    """Fit ``stages`` and then ``search`` on the training part of ``df``.
+    """Fit the feature stages and then ``search`` on the training part of ``df``.
 
     The search keeps its input in memory, so it gets the label and the vector only.
     """
     training, holdout = hash_split(df, key, train_tenths)
-    features = Pipeline(stages=stages).fit(training)
+    check_categories(training, categorical)
+    features = Pipeline(stages=feature_stages(numeric, categorical)).fit(training)
     vectors = features.transform(training).select(label, "features")
     return SearchedModel(PipelineModel([*features.stages, search.fit(vectors)]), training, holdout)
 
@@ -102,7 +105,7 @@ def searched_regression(
     search = validation_search(
         regression, parameter_grid(regression, grid), evaluator, train_tenths / 10
     )
-    return _searched(df, key, label, feature_stages(numeric, categorical), search, train_tenths)
+    return _searched(df, key, label, numeric, categorical, search, train_tenths)
 
 
 def regression_report(model: SearchedModel, label: str) -> DataFrame:
@@ -141,7 +144,7 @@ def searched_churn(
     search = validation_search(
         logistic, parameter_grid(logistic, grid), BinaryClassificationEvaluator(), train_tenths / 10
     )
-    return _searched(df, key, "label", feature_stages(numeric, categorical), search, train_tenths)
+    return _searched(df, key, "label", numeric, categorical, search, train_tenths)
 
 
 def churn_report(model: SearchedModel) -> tuple[DataFrame, DataFrame]:

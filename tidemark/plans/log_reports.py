@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.text import joined_key
 from tidemark.functions.times import month_name
 from tidemark.operators.aggregates import count_by, key_count, key_profile
 from tidemark.operators.ordering import top
+from tidemark.streaming.leaderboard import start_leaderboard
 from tidemark.streaming.windows import sliding_sum
 
 REPORT_ROWS = 100
@@ -60,3 +64,14 @@ def live_level_counts(
 ) -> DataFrame:
     """Lines per level in sliding windows; ``logs`` may be a stream with a watermark."""
     return sliding_sum(logs, time, size, slide, [level], F.lit(1), "total")
+
+
+def start_level_counts(
+    logs: DataFrame, path: str, checkpoint: str, level: str = "level", time: str = "timestamp",
+    rows: int = REPORT_ROWS, interval: str | None = None,
+) -> StreamingQuery:
+    """Start counting the lines per level in the last two minutes after every batch."""
+    return start_leaderboard(
+        logs, path, checkpoint, time=time, key=level, value=F.lit(1), name="total",
+        size=timedelta(minutes=2), slide="2 seconds", rows=rows, interval=interval,
+    )

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.caching import reused
-from tidemark.operators.models import als, int_ids, recommend
+from tidemark.operators.models import als, als_blocks, int_ids, recommend
 
 PERCENT = 100
 
@@ -20,7 +20,7 @@ def percent_ratings(shares: DataFrame, user: str, item: str, share: str) -> Data
 
 def fit_recommender(ratings: DataFrame, user: str, item: str, rating: str) -> ALSModel:
     with reused(ratings) as kept:
-        return als(user, item, rating).fit(kept)
+        return als(user, item, rating, blocks=als_blocks(ratings)).fit(kept)
 
 
 def new_recommendations(model: ALSModel, users: DataFrame, history: DataFrame, k: int = 5) -> DataFrame:

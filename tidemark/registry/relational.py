@@ -9,7 +9,7 @@ from tidemark.functions.rules import country_group, register_rules
 from tidemark.functions.text import field
 from tidemark.operators.aggregates import count_by, pivot_sum, sum_by
 from tidemark.operators.audit import audit_constraints
-from tidemark.operators.joins import lookup, within, without
+from tidemark.operators.joins import lookup
 from tidemark.operators.ordering import top, top_per_group as ranked_per_group
 from tidemark.plans.conversions import labelled_trials
 from tidemark.plans.exam_flags import pass_flags as flagged
@@ -197,14 +197,14 @@ def history_of_users(spark: SparkSession, folder: str) -> DataFrame:
     """Orders of the customers who ever placed an urgent one."""
     orders = read_table(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
     urgent = orders.where(F.col("o_orderpriority") == "1-URGENT").select("o_custkey").distinct()
-    return within(orders, urgent, "o_custkey")
+    return lookup(orders, urgent, "o_custkey", "left_semi")
 
 
 def users_without_history(spark: SparkSession, folder: str) -> DataFrame:
     """Orders of the customers who never placed an urgent one."""
     orders = read_table(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
     urgent = orders.where(F.col("o_orderpriority") == "1-URGENT").select("o_custkey").distinct()
-    return without(orders, urgent, "o_custkey")
+    return lookup(orders, urgent, "o_custkey", "left_anti")
 
 
 def distinct_pairs(spark: SparkSession, folder: str) -> DataFrame:

@@ -12,7 +12,7 @@ from tidemark.plans.live_views import (
     viewing_seconds,
     viewing_seconds_sql,
 )
-from tidemark.plans.log_reports import live_level_counts
+from tidemark.plans.log_reports import live_level_counts, start_level_counts
 from tidemark.session import shared_folder
 from tidemark.sources.files import read_table
 from tidemark.sources.schemas import EVENTS
@@ -77,6 +77,14 @@ def stream_leaderboard(spark: SparkSession, folder: str) -> DataFrame:
     return read_leaderboard(spark, f"{base}/out")
 
 
+def stream_level_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Events per type in the last two minutes of the stream."""
+    base = shared_folder(spark, "levels")
+    events = events_stream(spark, folder)
+    finish(start_level_counts(events, f"{base}/out", f"{base}/checkpoint", "event_type", "ts"))
+    return read_leaderboard(spark, f"{base}/out")
+
+
 QUERIES = {
     "tumbling_2m": tumbling_2m,
     "sliding_2m_2s": sliding_2m_2s,
@@ -84,6 +92,7 @@ QUERIES = {
     "stream_tumbling_sql": stream_tumbling_sql,
     "stream_last_hour": stream_last_hour,
     "stream_leaderboard": stream_leaderboard,
+    "stream_level_counts": stream_level_counts,
 }
 
 
@@ -120,4 +129,10 @@ SQL = {
         SELECT user_id, sum(5)::BIGINT AS seconds_watched, window_end
         FROM events, last WHERE ts >= window_end - INTERVAL '1 hour'
         GROUP BY ALL ORDER BY seconds_watched DESC, user_id LIMIT 50""",
+    "stream_level_counts": """
+        WITH last AS (SELECT time_bucket(INTERVAL '2 seconds', max(ts)) + INTERVAL '2 seconds'
+                             AS window_end FROM events)
+        SELECT event_type, count(*) AS total, window_end
+        FROM events, last WHERE ts >= window_end - INTERVAL '2 minutes'
+        GROUP BY ALL ORDER BY total DESC, event_type LIMIT 100""",
 }

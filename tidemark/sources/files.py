@@ -11,17 +11,20 @@ from pyspark.sql.types import StructField, StructType, StringType
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
-    schema: str | StructType,
+    schema: str | StructType | None,
     header: bool = True,
     strict: bool = True,
 ) -> DataFrame:
     """Delimited files as typed columns; ``path`` may be a glob or a list.
 
     The schema follows the file's column order and is checked against its header. A value that
-    does not fit its type raises, or becomes null if not ``strict``. Quoted commas are kept.
+    does not fit its type raises, or becomes null if not ``strict``. Quoted commas are kept. Without
+    a schema Spark infers the types, which reads the files once more.
     """
-    reader = spark.read.schema(schema).option("header", header).option("enforceSchema", not header)
-    return reader.option("mode", "FAILFAST" if strict else "PERMISSIVE").csv(path)
+    reader = spark.read.option("header", header).option("mode", "FAILFAST" if strict else "PERMISSIVE")
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    return reader.schema(schema).option("enforceSchema", not header).csv(path)
 
 
 def read_csv_strings(spark: SparkSession, path: str | list[str], columns: Iterable[str]) -> DataFrame:

@@ -1,9 +1,9 @@
-"""Ranking of keys over the last hour, renewed after every batch of a stream.
+"""Ranking of keys over the last hour (or other time), renewed after every batch of a stream.
 
-The stream holds only one-minute sums as state. Those of the last hour are stored as updates below
-``minutes/hour=<hour>/batch_id=<id>`` (the window only moves forward, so no later ranking needs
-older ones); a ranking lists and reads just the hours its window touches, however long the stream
-has run. Rankings go to ``boards/batch_id=<id>``.
+The stream holds only sums per slide as state, a slide being a minute, say. Those of the last hour
+are stored as updates below ``steps/hour=<hour>/batch_id=<id>`` (the window only moves forward, so
+no later ranking needs older ones); a ranking lists and reads just the hours its window touches,
+however long the stream has run. Rankings go to ``boards/batch_id=<id>``.
 """
 
 from __future__ import annotations
@@ -21,39 +21,39 @@ from tidemark.sources.sinks import start_batches
 from tidemark.streaming.updates import latest_per_key
 from tidemark.streaming.windows import flat_window, tumbling_sum
 
-BUCKET = "1 minute"
+LAST_HOUR = timedelta(hours=1)
 
-
-def minute_sums(events: DataFrame, time: str, key: str, value: Column, name: str) -> DataFrame:
-    """``window_start, window_end, key, name, hour``: one row per minute and key."""
-    sums = flat_window(tumbling_sum(events, time, BUCKET, [key], value, name))
+def step_sums(
+    events: DataFrame, time: str, slide: str, key: str, value: Column, name: str
+) -> DataFrame:
+    """``window_start, window_end, key, name, hour``: one row per slide and key."""
+    sums = flat_window(tumbling_sum(events, time, slide, [key], value, name))
     return sums.withColumn("hour", F.date_format("window_start", "yyyyMMddHH"))
 
 
 def ranking(
-    minutes: DataFrame, key: str, name: str, end: datetime, size_minutes: int = 60, rows: int = 50
+    steps: DataFrame, key: str, name: str, end: datetime, size: timedelta, rows: int = 50
 ) -> DataFrame:
-    """Top keys of ``minutes`` in the window up to their newest ``end``: ``key, name, window_end``."""
-    recent = _since(minutes, end, size_minutes)
+    """Top keys of ``steps`` in the window up to their newest ``end``: ``key, name, window_end``."""
+    recent = _since(steps, end, size)
     sums = recent.groupBy(key).agg(F.sum(name).alias(name))
     last = F.lit(end).cast("timestamp_ntz")
     return top(sums, rows, F.desc(name), key).withColumn("window_end", last)
 
 
-def _since(minutes: DataFrame, end: datetime, size_minutes: int) -> DataFrame:
-    """The minutes of the window that ends at ``end``, which none of ``minutes`` is after."""
-    start = F.lit(end - timedelta(minutes=size_minutes)).cast("timestamp_ntz")
-    return minutes.where(F.col("window_start") >= start)
+def _since(steps: DataFrame, end: datetime, size: timedelta) -> DataFrame:
+    """The steps of the window that ends at ``end``, which none of ``steps`` is after."""
+    return steps.where(F.col("window_start") >= F.lit(end - size).cast("timestamp_ntz"))
 
 
-def _hours(end: datetime, size_minutes: int) -> list[str]:
+def _hours(end: datetime, size: timedelta) -> list[str]:
     """The ``hour`` partitions that a window ending at ``end`` touches."""
-    first = (end - timedelta(minutes=size_minutes)).replace(minute=0, second=0, microsecond=0)
+    first = (end - size).replace(minute=0, second=0, microsecond=0)
     count = int((end - first).total_seconds() // 3600) + 1
     return [(first + timedelta(hours=i)).strftime("%Y%m%d%H") for i in range(count)]
 
 
-def _store_minutes(changed: DataFrame, key: str, store: str, files_per_hour: int) -> None:
+def _store_steps(changed: DataFrame, key: str, store: str, files_per_hour: int) -> None:
     """Write the batch's own partitions, each hour in a few files."""
     spread = F.pmod(F.hash(key), F.lit(files_per_hour))
     (
@@ -70,15 +70,15 @@ def write_leaderboard(
     path: str,
     key: str,
     name: str,
-    size_minutes: int = 60,
+    size: timedelta = LAST_HOUR,
     rows: int = 50,
     files_per_hour: int = 2,
 ) -> Callable[[DataFrame, int], None]:
-    """Batch handler that stores minute sums and then the ranking they give.
+    """Batch handler that stores the sums per slide and then the ranking they give.
 
     Repeating a batch overwrites what it wrote before, and only that.
     """
-    store, boards = f"{path}/minutes", f"{path}/boards"
+    store, boards = f"{path}/steps", f"{path}/boards"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         stored = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
@@ -87,14 +87,14 @@ def write_leaderboard(
             ends = board.select("window_end").union(changed.select("window_end"))
             end = ends.agg(F.max("window_end")).first()[0]
             if end is not None:
-                _store_minutes(_since(changed, end, size_minutes), key, store, files_per_hour)
+                _store_steps(_since(changed, end, size), key, store, files_per_hour)
         if end is not None:
-            hours = ",".join(_hours(end, size_minutes))
+            hours = ",".join(_hours(end, size))
             reader = spark.read.schema(stored.schema).option("basePath", store)
             recent = reader.parquet(f"{store}/hour={{{hours}}}")
             known = recent.where(F.col("batch_id") <= batch_id).drop("hour")
-            minutes = latest_per_key(known, ["window_start", "window_end", key])
-            board = ranking(minutes, key, name, end, size_minutes, rows)
+            steps = latest_per_key(known, ["window_start", "window_end", key])
+            board = ranking(steps, key, name, end, size, rows)
         board.write.mode("overwrite").parquet(f"{boards}/batch_id={batch_id}")
 
     return handle
@@ -109,17 +109,18 @@ def start_leaderboard(
     key: str,
     value: Column,
     name: str,
-    size_minutes: int = 60,
+    size: timedelta = LAST_HOUR,
+    slide: str = "1 minute",
     rows: int = 50,
     interval: str | None = None,
 ) -> StreamingQuery:
     """Start a query that renews the ranking under ``path/boards`` after every batch."""
     spark = events.sparkSession
-    minutes = minute_sums(events, time, key, value, name)
-    empty = spark.createDataFrame([], minutes.select(key, name, "window_end").schema)
+    steps = step_sums(events, time, slide, key, value, name)
+    empty = spark.createDataFrame([], steps.select(key, name, "window_end").schema)
     empty.write.mode("overwrite").parquet(f"{path}/boards/batch_id=-1")
-    handle = write_leaderboard(spark, path, key, name, size_minutes, rows)
-    return start_batches(minutes, handle, checkpoint, "update", interval)
+    handle = write_leaderboard(spark, path, key, name, size, rows)
+    return start_batches(steps, handle, checkpoint, "update", interval)
 
 
 def read_leaderboard(spark: SparkSession, path: str) -> DataFrame:
