@@ -84,6 +84,14 @@ def hash_bucket(key: Column, buckets: int = 10) -> Column:
     return F.conv(digest, 16, 10).cast("bigint") % buckets
 
 
+def with_row_key(df: DataFrame, name: str = "row_key") -> DataFrame:
+    """``df`` with a hash of the whole row to split by, where rows have no key of their own.
+
+    Copies of a row then fall into the same part.
+    """
+    return df.withColumn(name, F.xxhash64(*df.columns))
+
+
 def hash_split(df: DataFrame, key: str, tenths: int = 8) -> tuple[DataFrame, DataFrame]:
     """Two parts of ``df`` by key, about ``tenths`` tenths and the rest.
 

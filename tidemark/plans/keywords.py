@@ -17,4 +17,4 @@ def course_keywords(texts: DataFrame, course: str, text: str = "text") -> DataFr
     """
     counts = word_counts(texts.where(texts[course].isNotNull()), text, course)
     flagged = flag_members(counts, words_in_every_group(counts, course), "word")
-    return flagged.where(~F.col("is_member")).drop("is_member")
+    return flagged.where(~F.col("is_member")).select(course, "word", "n")

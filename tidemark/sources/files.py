@@ -27,8 +27,12 @@ def read_csv(
     return reader.schema(schema).option("enforceSchema", not header).csv(path)
 
 
-def read_csv_strings(spark: SparkSession, path: str | list[str], columns: Iterable[str]) -> DataFrame:
-    """Delimited files with a header, every column a string."""
+def read_csv_strings(
+    spark: SparkSession, path: str | list[str], columns: Iterable[str] | None = None
+) -> DataFrame:
+    """Delimited files with a header, every column a string; the header names them if you do not."""
+    if columns is None:
+        return spark.read.option("header", True).csv(path)
     schema = StructType([StructField(name, StringType()) for name in columns])
     return read_csv(spark, path, schema)
 
