@@ -17,7 +17,7 @@ HEADLINES = [
     "composite_key_audit", "common_words", "anti_words", "course_keywords", "string_index",
     "one_hot", "hash_split", "tumbling_2m", "sliding_2m_2s", "sliding_60m_1m",
     "stream_tumbling_sql", "stream_last_hour", "stream_leaderboard", "linreg_coefs", "reg_metrics",
-    "class_metrics", "cluster_sse", "cluster_silhouette", "pipeline_model", "logreg", "forest",
+    "class_metrics", "cluster_sse", "cluster_silhouette", "price_report", "logreg", "forest",
     "kmeans_sweep", "als_topk",
 ]
 
@@ -42,6 +42,7 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        spark.catalog.clearCache()
     print(
         json.dumps(
             {

@@ -173,7 +173,10 @@ def test_repetitions_regression(competition):
 
 def test_cluster_sweep(competition):
     report = cluster_report(competition, ["Age", "Height", "Weight", "NoOfReps"], ["Gender"]).collect()
-    assert [r.k for r in report] == [2, 3, 4, 5, 6, 7]
-    for line in report:
-        assert line.sse > 0 and -1 <= line.silhouette <= 1
-        assert 0 < line.smallest <= line.largest <= 20
+    for k in range(2, 8):
+        lines = [r for r in report if r.k == k]
+        assert [r.cluster for r in lines] == list(range(k))
+        assert sum(r.size for r in lines) == 20
+        assert len({(r.sse, r.silhouette) for r in lines}) == 1
+        assert lines[0].sse > 0 and -1 <= lines[0].silhouette <= 1
+    assert len(report) == 27

@@ -12,7 +12,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from tidemark.operators import metrics
-from tidemark.operators.caching import reused
+from tidemark.operators.caching import reused, spread
 from tidemark.operators.features import (
     check_categories,
     feature_stages,
@@ -253,6 +253,18 @@ def test_als_settings():
     assert (model.getMaxIter(), model.getRegParam(), model.getColdStartStrategy()) == (10, 0.1, "drop")
 
 
+def test_spread_frames_use_all_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    with spread(spark.range(100).coalesce(1), rows_per_task=10) as even:
+        assert even.rdd.getNumPartitions() == cores and even.count() == 100
+    assert not even.is_cached
+    with spread(spark.range(100).coalesce(1)) as kept:
+        assert kept.rdd.getNumPartitions() == 1
+    many = spark.range(0, 100, 1, cores + 3)
+    with spread(many) as kept:
+        assert kept.rdd.getNumPartitions() == cores + 3
+
+
 def test_reused_frames_are_released(spark):
     df = spark.range(10)
     with pytest.raises(ValueError), reused(df) as kept:

@@ -82,9 +82,16 @@ def test_parquet_stream_takes_few_files_at_a_time(spark, tmp_path):
 
 
 def test_log_lines_to_levels(spark):
-    lines = spark.createDataFrame([("WARN,Mon Jan 1",), ("INFO",)], "value string")
-    levels = log_levels(lines, time=F.lit("2024-01-01 00:00:00").cast("timestamp"))
-    assert [r.level for r in levels.collect()] == ["WARN", "INFO"]
+    data = [("WARN,Tue Mar 05 16:24:07 GMT 2019",), ("DEBUG,Tue Mar 05 16:24:07 CET 2019",), ("INFO,soon",), ("FATAL",)]
+    lines = spark.createDataFrame(data, "value string")
+    arrived = lines.withColumn("timestamp", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    levels = log_levels(arrived).select("level", F.col("timestamp").cast("string"))
+    assert [tuple(r) for r in levels.collect()] == [
+        ("WARN", "2019-03-05 16:24:07"),
+        ("DEBUG", "2019-03-05 15:24:07"),
+        ("INFO", "2024-01-01 00:00:00"),
+        ("FATAL", "2024-01-01 00:00:00"),
+    ]
 
 
 def test_socket_lines_have_text_and_time(spark):

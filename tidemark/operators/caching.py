@@ -8,6 +8,9 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame
 from pyspark.storagelevel import StorageLevel
 
+# Rows that keep a task of an iterative fit busy for longer than it takes to start it.
+ROWS_PER_TASK = 50_000
+
 
 @contextmanager
 def reused(df: DataFrame) -> Iterator[DataFrame]:
@@ -17,3 +20,21 @@ def reused(df: DataFrame) -> Iterator[DataFrame]:
         yield kept
     finally:
         kept.unpersist()
+
+
+@contextmanager
+def spread(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Iterator[DataFrame]:
+    """Keep ``df`` like :func:`reused`, in enough partitions to use the cores on it.
+
+    A table in fewer partitions than cores is small, so one shuffle of it costs little beside the
+    many passes of a fit; but tasks of a few rows would cost more than they gain. A table in more
+    partitions than that is left as it is.
+    """
+    with reused(df) as kept:
+        cores = kept.sparkSession.sparkContext.defaultParallelism
+        tasks = min(cores, -(-kept.count() // rows_per_task))
+        if kept.rdd.getNumPartitions() >= tasks:
+            yield kept
+        else:
+            with reused(kept.repartition(tasks)) as even:
+                yield even

@@ -12,7 +12,7 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.caching import reused
+from tidemark.operators.caching import spread
 from tidemark.operators.metrics import silhouette
 
 SEED = 42
@@ -87,16 +87,16 @@ def kmeans(k: int, features: str = "features", seed: int = SEED) -> KMeans:
 def kmeans_sweep(
     df: DataFrame, ks: Sequence[int] = range(2, 8), features: str = "features", seed: int = SEED
 ) -> DataFrame:
-    """``k, sse, silhouette, smallest, largest`` for every number of clusters."""
+    """``k, sse, silhouette, cluster, size``: a row per cluster for every number of clusters."""
     rows = []
-    with reused(df.select(features)) as vectors:
+    with spread(df.select(features)) as vectors:
         for k in ks:
             model = kmeans(k, features, seed).fit(vectors)
-            sizes = model.summary.clusterSizes
+            cost = float(model.summary.trainingCost)
             score = silhouette(model.transform(vectors), features=features)
-            rows.append((k, float(model.summary.trainingCost), score, min(sizes), max(sizes)))
+            rows += [(k, cost, score, c, n) for c, n in enumerate(model.summary.clusterSizes)]
     return df.sparkSession.createDataFrame(
-        rows, "k int, sse double, silhouette double, smallest bigint, largest bigint"
+        rows, "k int, sse double, silhouette double, cluster int, size bigint"
     )
 
 

@@ -14,7 +14,7 @@ from tidemark.operators.models import kmeans_sweep
 def cluster_report(
     df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), ks: Sequence[int] = range(2, 8)
 ) -> DataFrame:
-    """``k, sse, silhouette, smallest, largest`` over the features of mixed columns."""
+    """``k, sse, silhouette, cluster, size`` over the features of mixed columns."""
     check_categories(df, categorical)
     stages = feature_stages(numeric, categorical, unseen="error")
     return kmeans_sweep(Pipeline(stages=stages).fit(df).transform(df), ks)

@@ -16,6 +16,7 @@ from tidemark.functions.rules import (
     converted_label,
     country_group,
 )
+from tidemark.operators.caching import spread
 from tidemark.operators.features import assembler, index_to_string, string_indexer
 from tidemark.operators.models import SEED
 
@@ -51,9 +52,11 @@ def country_indexes(model: PipelineModel, trials: DataFrame) -> DataFrame:
 
 def fit_conversion(training: DataFrame, kind: str = "tree", seed: int = SEED) -> PipelineModel:
     """Pipeline of country index, assembler and a ``tree``, ``tree_regression`` or ``forest``."""
-    estimator = ESTIMATORS[kind](maxDepth=TREE_DEPTH, seed=seed)
-    stages = [string_indexer(["country"]), assembler(["country_index", *USAGE]), estimator]
-    return Pipeline(stages=stages).fit(training)
+    stages = [string_indexer(["country"]), assembler(["country_index", *USAGE])]
+    features = Pipeline(stages=stages).fit(training)
+    with spread(features.transform(training).select("label", "features")) as vectors:
+        model = ESTIMATORS[kind](maxDepth=TREE_DEPTH, seed=seed).fit(vectors)
+    return PipelineModel([*features.stages, model])
 
 
 def rules_text(model: PipelineModel) -> str:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.rules import inactive_label, zero_if_null
+from tidemark.operators.caching import spread
 from tidemark.operators.features import check_categories, feature_stages, hash_split
 from tidemark.operators.metrics import binary_rates, confusion_counts, regression_metrics
 from tidemark.operators.models import (
@@ -91,8 +92,9 @@ def _searched(
     training, holdout = hash_split(df, key, train_tenths)
     check_categories(training, categorical)
     features = Pipeline(stages=feature_stages(numeric, categorical)).fit(training)
-    vectors = features.transform(training).select(label, "features")
-    return SearchedModel(PipelineModel([*features.stages, search.fit(vectors)]), training, holdout)
+    with spread(features.transform(training).select(label, "features")) as vectors:
+        searched = search.fit(vectors)
+    return SearchedModel(PipelineModel([*features.stages, searched]), training, holdout)
 
 
 def searched_regression(

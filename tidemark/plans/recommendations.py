@@ -6,7 +6,7 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.caching import reused
+from tidemark.operators.caching import spread
 from tidemark.operators.models import als, als_blocks, int_ids, recommend
 
 PERCENT = 100
@@ -19,7 +19,7 @@ def percent_ratings(shares: DataFrame, user: str, item: str, share: str) -> Data
 
 
 def fit_recommender(ratings: DataFrame, user: str, item: str, rating: str) -> ALSModel:
-    with reused(ratings) as kept:
+    with spread(ratings) as kept:
         return als(user, item, rating, blocks=als_blocks(ratings)).fit(kept)
 
 

@@ -85,7 +85,7 @@ def grid_search(spark: SparkSession, folder: str) -> DataFrame:
     return searched_prices(spark, folder).candidates()
 
 
-def pipeline_model(spark: SparkSession, folder: str) -> DataFrame:
+def price_report(spark: SparkSession, folder: str) -> DataFrame:
     return forecasts.regression_report(searched_prices(spark, folder), "label")
 
 
@@ -270,7 +270,7 @@ QUERIES = {
     "cluster_centers": cluster_centers,
     "cluster_silhouette": cluster_silhouette,
     "grid_search": grid_search,
-    "pipeline_model": pipeline_model,
+    "price_report": price_report,
     "views_forecast": views_forecast,
     "logreg": logreg,
     "logreg_confusion": logreg_confusion,

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StructType
 
 from tidemark.functions.text import field
+from tidemark.functions.times import parse_server_time
 
 
 def parquet_stream(
@@ -67,7 +68,11 @@ def kafka_values(
     return records.select(F.col("value").cast("string").alias(name), "timestamp")
 
 
-def log_levels(lines: DataFrame, line: str = "value", time: str | Column = "timestamp") -> DataFrame:
-    """Level and event time of comma-separated log lines: ``level, timestamp``."""
-    event_time = F.col(time) if isinstance(time, str) else time
+def log_levels(lines: DataFrame, line: str = "value", arrival: str = "timestamp") -> DataFrame:
+    """Level and event time of lines ``LEVEL,date text``: ``level, timestamp``.
+
+    A line whose date cannot be read counts at its arrival.
+    """
+    written = parse_server_time(field(F.col(line), 1))
+    event_time = F.coalesce(written, F.col(arrival))
     return lines.select(field(F.col(line), 0).alias("level"), event_time.alias("timestamp"))
