@@ -105,7 +105,7 @@ def test_kafka_needs_its_connector(spark):
     """Without the connector on the class path Spark says which source is missing."""
     with pytest.raises(Exception, match="(?i)kafka"):
         kafka_values(
-            spark, "localhost:9092", ["viewrecords"], group_id="readers", max_offsets_per_batch=1000
+            spark, "localhost:9092", ["views"], group_id="readers", max_offsets_per_batch=1000
         )
 
 

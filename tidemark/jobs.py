@@ -231,7 +231,7 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument("--port", type=int, default=8989)
         else:
             job.add_argument("--servers", default="localhost:9092")
-            job.add_argument("--topic", default="viewrecords")
+            job.add_argument("--topic", default="views")
             job.add_argument("--group", help="Kafka group id")
         job.add_argument("--output", help="folder of the results")
         job.add_argument("--checkpoint", help="folder of the progress; give the same to go on")

@@ -24,11 +24,11 @@ def viewing_seconds_sql(
     spark: SparkSession, heartbeats: DataFrame, course: str, time: str, size: str = "2 minutes"
 ) -> DataFrame:
     """:func:`viewing_seconds` as SQL over a temporary view, which may be a stream."""
-    heartbeats.createOrReplaceTempView("viewing_figures")
+    heartbeats.createOrReplaceTempView("heartbeats")
     return spark.sql(f"""
         SELECT window, CAST({course} AS STRING) AS course_name,
                sum({HEARTBEAT_SECONDS}) AS seconds_watched
-        FROM viewing_figures
+        FROM heartbeats
         GROUP BY window({time}, '{size}'), course_name""")
 
 

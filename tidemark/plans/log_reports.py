@@ -34,11 +34,11 @@ def month_report(
 
 def month_report_sql(spark: SparkSession, logs: DataFrame, rows: int = REPORT_ROWS) -> DataFrame:
     """:func:`month_report` as SQL over a temporary view of ``level, datetime``."""
-    logs.createOrReplaceTempView("logging_table")
+    logs.createOrReplaceTempView("log_lines")
     report = spark.sql(f"""
         SELECT level, date_format(datetime, 'MMMM') AS month, count(1) AS total,
                month(datetime) AS month_num
-        FROM logging_table
+        FROM log_lines
         GROUP BY level, month, month_num
         ORDER BY month_num, level
         LIMIT {rows}""")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -29,9 +32,19 @@ def events_batch(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "events").select("ts", "event_type", "user_id")
 
 
-def events_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The events as a stream under a watermark. Their times are UTC, so the session must be."""
+@contextmanager
+def in_utc(spark: SparkSession) -> Iterator[None]:
+    """Run streams in UTC: a watermark needs times with a zone, and those of the events have none."""
+    before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def events_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The events as a stream under a watermark."""
     stream = table_stream(spark, folder, "events", EVENTS).select("ts", "event_type", "user_id")
     return with_event_time(stream, "ts", DELAY)
 
@@ -56,32 +69,36 @@ def sliding_60m_1m(spark: SparkSession, folder: str) -> DataFrame:
 def stream_tumbling_sql(spark: SparkSession, folder: str) -> DataFrame:
     """SQL over a streaming view, in update mode, merged to the last value per window."""
     base = shared_folder(spark, "tumbling")
-    windows = viewing_seconds_sql(spark, events_stream(spark, folder), "event_type", "ts")
-    finish(start_updates(flat_window(windows), f"{base}/updates", f"{base}/checkpoint"))
+    with in_utc(spark):
+        windows = viewing_seconds_sql(spark, events_stream(spark, folder), "event_type", "ts")
+        finish(start_updates(flat_window(windows), f"{base}/updates", f"{base}/checkpoint"))
     return read_latest(spark, f"{base}/updates", ["window_start", "window_end", "course_name"])
 
 
 def stream_last_hour(spark: SparkSession, folder: str) -> DataFrame:
     """Sliding hours whose end the watermark has passed, appended once each."""
     base = shared_folder(spark, "last-hour")
-    hours = viewing_last_hour(events_stream(spark, folder), "event_type", "ts")
-    finish(start_append(flat_window(hours), f"{base}/hours", f"{base}/checkpoint"))
+    with in_utc(spark):
+        hours = viewing_last_hour(events_stream(spark, folder), "event_type", "ts")
+        finish(start_append(flat_window(hours), f"{base}/hours", f"{base}/checkpoint"))
     return spark.read.parquet(f"{base}/hours")
 
 
 def stream_leaderboard(spark: SparkSession, folder: str) -> DataFrame:
     """The fifty users with most viewing time in the last hour of the stream."""
     base = shared_folder(spark, "leaderboard")
-    events = events_stream(spark, folder)
-    finish(start_course_leaderboard(events, f"{base}/out", f"{base}/checkpoint", "user_id", "ts"))
+    with in_utc(spark):
+        events = events_stream(spark, folder)
+        finish(start_course_leaderboard(events, f"{base}/out", f"{base}/checkpoint", "user_id", "ts"))
     return read_leaderboard(spark, f"{base}/out")
 
 
 def stream_level_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Events per type in the last two minutes of the stream."""
     base = shared_folder(spark, "levels")
-    events = events_stream(spark, folder)
-    finish(start_level_counts(events, f"{base}/out", f"{base}/checkpoint", "event_type", "ts"))
+    with in_utc(spark):
+        events = events_stream(spark, folder)
+        finish(start_level_counts(events, f"{base}/out", f"{base}/checkpoint", "event_type", "ts"))
     return read_leaderboard(spark, f"{base}/out")
 
 
