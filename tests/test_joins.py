@@ -32,6 +32,7 @@ def test_salted_join_equals_plain_join(facts, dimension, rows, how):
     wanted = rows(facts.join(dimension, "k", how))
     assert rows(salted_join(facts, dimension, "k", how, hot_keys=2, salts=8)) == wanted
     assert rows(salted_join(facts, dimension, "k", how)) == wanted
+    assert rows(salted_join(facts, dimension, "k", how, hot_from=dimension)) == wanted
     assert rows(lookup(facts, dimension, "k", how)) == wanted
     assert rows(lookup(facts, dimension, "k", how, broadcast_rows=0)) == wanted
 

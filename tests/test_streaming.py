@@ -155,7 +155,11 @@ def test_leaderboard_after_every_batch(spark, files, rows, tmp_path):
     path = files(*FILES)
     base = f"{tmp_path}/out"
     events = stream(spark, path, "2 hours")
-    query = start_course_leaderboard(events, base, f"{tmp_path}/checkpoint", "course", "ts", rows=2)
+    reported = []
+    query = start_course_leaderboard(
+        events, base, f"{tmp_path}/checkpoint", "course", "ts", rows=2,
+        report=lambda board: reported.append([tuple(r)[:2] for r in board.collect()]),
+    )
     query.awaitTermination()
     assert batches(query) == 3
 
@@ -168,7 +172,7 @@ def test_leaderboard_after_every_batch(spark, files, rows, tmp_path):
     for batch, end in enumerate(ends):
         board = spark.read.parquet(f"{base}/boards/batch_id={batch}")
         found = [(r.course, r.seconds_watched) for r in board.orderBy(F.desc("seconds_watched"), "course").collect()]
-        assert found == expected(batch + 1, end)
+        assert found == expected(batch + 1, end) == reported[batch]
         assert {r.window_end for r in board.collect()} == {end}
     assert rows(read_leaderboard(spark, base)) == rows(spark.read.parquet(f"{base}/boards/batch_id=2"))
 

@@ -83,7 +83,8 @@ def live_levels(spark: SparkSession, args: argparse.Namespace) -> None:
     """Lines per level in the last two minutes, from a socket."""
     lines = log_levels(socket_lines(spark, args.host, args.port))
     logs = with_event_time(lines, "timestamp", STREAM_DELAY)
-    start_level_counts(logs, args.output, args.checkpoint, interval="2 seconds").awaitTermination()
+    query = start_level_counts(logs, args.output, args.checkpoint, report=show, interval="2 seconds")
+    query.awaitTermination()
 
 
 def live_leaderboard(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -91,7 +92,7 @@ def live_leaderboard(spark: SparkSession, args: argparse.Namespace) -> None:
     views = kafka_values(spark, args.servers, [args.topic], "course_name", group_id=args.group)
     views = with_event_time(views, "timestamp", STREAM_DELAY)
     query = start_course_leaderboard(
-        views, args.output, args.checkpoint, "course_name", "timestamp", interval="1 second"
+        views, args.output, args.checkpoint, "course_name", "timestamp", report=show, interval="1 second"
     )
     query.awaitTermination()
 

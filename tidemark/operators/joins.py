@@ -19,6 +19,7 @@ def lookup(
     key: str,
     how: str = "inner",
     broadcast_rows: int = BROADCAST_ROWS,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``facts`` with ``other`` on ``key``: broadcast if measured small, else salted.
 
@@ -27,7 +28,7 @@ def lookup(
     """
     if is_small(other, broadcast_rows):
         return facts.join(F.broadcast(other), key, how)
-    return salted_join(facts, other, key, how)
+    return salted_join(facts, other, key, how, hot_from=hot_from)
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, text_bytes: int = BROADCAST_TEXT_BYTES) -> bool:
@@ -49,16 +50,19 @@ def salted_join(
     how: str = "inner",
     hot_keys: int = HOT_KEYS,
     salts: int = SALTS,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffle join that spreads the rows of the most frequent keys over ``salts`` tasks.
 
-    The most frequent keys of ``facts`` are found first; at most ``hot_keys`` of them come to the
-    driver. Their rows get a salt from the row's hash and its partition, which spreads copies of
+    The most frequent keys of ``facts`` are found first, or those of ``hot_from`` if it has them and
+    is cheaper to read; at most ``hot_keys`` come to the driver. Any choice of keys gives the same
+    result. Their rows get a salt from the row's hash and its partition, which spreads copies of
     one row too and is the same when a lost task is run again; their rows in ``other`` are
     repeated once per salt. All other keys keep salt 0.
     """
+    counted = facts if hot_from is None else hot_from
     frequent = (
-        facts.where(F.col(key).isNotNull())
+        counted.where(F.col(key).isNotNull())
         .groupBy(key)
         .count()
         .orderBy(F.desc("count"), key)

@@ -28,7 +28,9 @@ def chapters_seen(
     """
     distinct_views = views.select(user, chapter).distinct()
     bridge = chapters.select(chapter, course)
-    located = lookup(distinct_views, bridge, chapter, broadcast_rows=broadcast_rows)
+    located = lookup(
+        distinct_views, bridge, chapter, broadcast_rows=broadcast_rows, hot_from=views.select(chapter)
+    )
     return count_by(located, user, course, name="seen")
 
 

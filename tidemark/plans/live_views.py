@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -42,10 +44,10 @@ def viewing_last_hour(heartbeats: DataFrame, course: str, time: str) -> DataFram
 
 def start_course_leaderboard(
     heartbeats: DataFrame, path: str, checkpoint: str, course: str, time: str,
-    rows: int = 50, interval: str | None = None,
+    rows: int = 50, report: Callable[[DataFrame], None] | None = None, interval: str | None = None,
 ) -> StreamingQuery:
     """Start ranking courses by viewing time in the last hour, under ``path``."""
     return start_leaderboard(
         heartbeats, path, checkpoint, time=time, key=course, value=F.lit(HEARTBEAT_SECONDS),
-        name="seconds_watched", rows=rows, interval=interval,
+        name="seconds_watched", rows=rows, report=report, interval=interval,
     )

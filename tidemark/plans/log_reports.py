@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,10 +69,11 @@ def live_level_counts(
 
 def start_level_counts(
     logs: DataFrame, path: str, checkpoint: str, level: str = "level", time: str = "timestamp",
-    rows: int = REPORT_ROWS, interval: str | None = None,
+    rows: int = REPORT_ROWS, report: Callable[[DataFrame], None] | None = None,
+    interval: str | None = None,
 ) -> StreamingQuery:
     """Start counting the lines per level in the last two minutes after every batch."""
     return start_leaderboard(
         logs, path, checkpoint, time=time, key=level, value=F.lit(1), name="total",
-        size=timedelta(minutes=2), slide="2 seconds", rows=rows, interval=interval,
+        size=timedelta(minutes=2), slide="2 seconds", rows=rows, report=report, interval=interval,
     )

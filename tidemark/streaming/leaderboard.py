@@ -72,11 +72,13 @@ def write_leaderboard(
     name: str,
     size: timedelta = LAST_HOUR,
     rows: int = 50,
+    report: Callable[[DataFrame], None] | None = None,
     files_per_hour: int = 2,
 ) -> Callable[[DataFrame, int], None]:
     """Batch handler that stores the sums per slide and then the ranking they give.
 
-    Repeating a batch overwrites what it wrote before, and only that.
+    Repeating a batch overwrites what it wrote before, and only that. ``report`` is called with
+    each stored ranking.
     """
     store, boards = f"{path}/steps", f"{path}/boards"
 
@@ -96,6 +98,8 @@ def write_leaderboard(
             steps = latest_per_key(known, ["window_start", "window_end", key])
             board = ranking(steps, key, name, end, size, rows)
         board.write.mode("overwrite").parquet(f"{boards}/batch_id={batch_id}")
+        if report is not None:
+            report(spark.read.parquet(f"{boards}/batch_id={batch_id}").orderBy(F.desc(name), key))
 
     return handle
 
@@ -112,6 +116,7 @@ def start_leaderboard(
     size: timedelta = LAST_HOUR,
     slide: str = "1 minute",
     rows: int = 50,
+    report: Callable[[DataFrame], None] | None = None,
     interval: str | None = None,
 ) -> StreamingQuery:
     """Start a query that renews the ranking under ``path/boards`` after every batch."""
@@ -119,7 +124,7 @@ def start_leaderboard(
     steps = step_sums(events, time, slide, key, value, name)
     empty = spark.createDataFrame([], steps.select(key, name, "window_end").schema)
     empty.write.mode("overwrite").parquet(f"{path}/boards/batch_id=-1")
-    handle = write_leaderboard(spark, path, key, name, size, rows)
+    handle = write_leaderboard(spark, path, key, name, size, rows, report)
     return start_batches(steps, handle, checkpoint, "update", interval)
 
 
