@@ -9,15 +9,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """``rows, r2, rmse`` of the predictions."""
+def regression_metrics(
+    df: DataFrame, label: str = "label", prediction: str = "prediction", *by: str
+) -> DataFrame:
+    """``rows, r2, rmse`` of the predictions, for all rows or for each value of ``by``."""
     y, error = F.col(label), F.col(label) - F.col(prediction)
     known = df.where(y.isNotNull() & F.col(prediction).isNotNull())
-    return known.agg(
+    return known.groupBy(*by).agg(
         F.count(F.lit(1)).alias("rows"),
         F.avg(error * error).alias("mse"),
         F.var_pop(y).alias("variance"),
     ).select(
+        *by,
         "rows",
         (1 - F.try_divide("mse", "variance")).alias("r2"),
         F.sqrt("mse").alias("rmse"),

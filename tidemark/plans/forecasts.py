@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rules import inactive_label, zero_if_null
 from tidemark.operators.caching import spread
-from tidemark.operators.features import check_categories, feature_stages, hash_split
+from tidemark.operators.features import check_categories, feature_stages, in_first_part
 from tidemark.operators.metrics import binary_rates, confusion_counts, regression_metrics
 from tidemark.operators.models import (
     feature_names,
@@ -60,11 +60,21 @@ def screen_features(
 
 @dataclass
 class SearchedModel:
-    """A fitted pipeline whose last stage is a search, with the data it was judged on."""
+    """A fitted pipeline whose last stage is a search, with the data it was fitted and judged on.
+
+    ``data`` has a column ``part`` with the values ``training`` and ``holdout``.
+    """
 
     pipeline: PipelineModel
-    training: DataFrame
-    holdout: DataFrame
+    data: DataFrame
+
+    @property
+    def training(self) -> DataFrame:
+        return self.data.where("part = 'training'")
+
+    @property
+    def holdout(self) -> DataFrame:
+        return self.data.where("part = 'holdout'")
 
     @property
     def search(self):
@@ -87,14 +97,17 @@ def _searched(
 ) -> SearchedModel:
     """Fit the feature stages and then ``search`` on the training part of ``df``.
 
-    The search keeps its input in memory, so it gets the label and the vector only.
+    The source is read once: the columns of the model are kept for all passes. The search keeps its
+    own two parts, so it gets the label and the vector only.
     """
-    training, holdout = hash_split(df, key, train_tenths)
-    check_categories(training, categorical)
-    features = Pipeline(stages=feature_stages(numeric, categorical)).fit(training)
-    with spread(features.transform(training).select(label, "features")) as vectors:
-        searched = search.fit(vectors)
-    return SearchedModel(PipelineModel([*features.stages, searched]), training, holdout)
+    part = F.when(in_first_part(key, train_tenths), "training").otherwise("holdout")
+    data = df.withColumn("part", part)
+    training = data.where("part = 'training'").select(label, *numeric, *categorical)
+    with spread(training) as rows:
+        check_categories(rows, categorical)
+        features = Pipeline(stages=feature_stages(numeric, categorical)).fit(rows)
+        searched = search.fit(features.transform(rows).select(label, "features"))
+    return SearchedModel(PipelineModel([*features.stages, searched]), data)
 
 
 def searched_regression(
@@ -111,13 +124,8 @@ def searched_regression(
 
 
 def regression_report(model: SearchedModel, label: str) -> DataFrame:
-    """``part, rows, r2, rmse`` on the training and the held-out rows."""
-    parts = {"training": model.training, "holdout": model.holdout}
-    reports = [
-        regression_metrics(model.pipeline.transform(part), label).withColumn("part", F.lit(name))
-        for name, part in parts.items()
-    ]
-    return reports[0].unionByName(reports[1])
+    """``part, rows, r2, rmse`` on the training and the held-out rows, in one pass."""
+    return regression_metrics(model.pipeline.transform(model.data), label, "prediction", "part")
 
 
 def clean_chapter_views(views: DataFrame) -> DataFrame:
