@@ -173,7 +173,7 @@ def forest_importance(spark: SparkSession, folder: str) -> DataFrame:
 
 def vectors(spark: SparkSession, folder: str) -> DataFrame:
     embeddings = read_table(spark, folder, "embeddings")
-    doubles = F.transform("embedding", lambda x: x.cast("double"))
+    doubles = F.col("embedding").cast("array<double>")
     return embeddings.select("label", array_to_vector(doubles).alias("features"))
 
 

@@ -26,7 +26,8 @@ def parquet_stream(
 
 def table_stream(spark: SparkSession, folder: str, name: str, schema: str | StructType) -> DataFrame:
     """Parquet table ``name`` below ``folder`` as a stream, whether it is a file or a folder."""
-    return parquet_stream(spark, f"{folder.rstrip('/')}/{name}*.parquet", schema)
+    # A pattern, though of one name only: a stream refuses the plain path of a file.
+    return parquet_stream(spark, f"{folder.rstrip('/')}/{name}.parque[t]", schema)
 
 
 def socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
