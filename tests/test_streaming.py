@@ -14,7 +14,7 @@ from tidemark.plans.live_views import (
     viewing_seconds_sql,
 )
 from tidemark.plans.log_reports import live_level_counts, start_level_counts
-from tidemark.session import shared_folder
+from tidemark.session import CLUSTER_CONF, shared_folder
 from tidemark.sources.sinks import console_writer, start_append
 from tidemark.sources.streams import parquet_stream
 from tidemark.streaming.leaderboard import ranking, read_leaderboard, step_sums, write_leaderboard
@@ -146,6 +146,22 @@ def test_query_goes_on_from_its_checkpoint(spark, files, rows, tmp_path):
     assert rows(found) == rows(wanted)
 
 
+def test_state_on_disk_gives_the_same_windows(spark, files, rows, tmp_path):
+    """The state store that clusters use, for a chain of two aggregates."""
+    path = files(*FILES)
+    for key, value in CLUSTER_CONF.items():
+        spark.conf.set(key, value)
+    try:
+        hours = flat_window(viewing_last_hour(stream(spark, path, "2 hours"), "course", "ts"))
+        start_append(hours, f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
+    finally:
+        for key in CLUSTER_CONF:
+            spark.conf.unset(key)
+    everything = flat_window(viewing_last_hour(spark.read.parquet(path), "course", "ts"))
+    closed = everything.where(F.col("window_end") <= F.lit(datetime(2024, 1, 1, 0, 1, 40)))
+    assert rows(spark.read.schema(hours.schema).parquet(f"{tmp_path}/out")) == rows(closed)
+
+
 def test_latest_per_key(spark, rows):
     updates = spark.createDataFrame([("a", 1, 0), ("a", 3, 10), ("a", 2, 9), ("b", 7, 0)], "k string, v int, batch_id int")
     assert rows(latest_per_key(updates, ["k"])) == [("a", 3), ("b", 7)]

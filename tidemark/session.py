@@ -16,6 +16,14 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+# RocksDB keeps the state of streams on disk, not on the heap, and checkpoints only what changed. On
+# one machine with little state it only costs time.
+CLUSTER_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def build_session(
@@ -23,16 +31,17 @@ def build_session(
     master: str | None = None,
     conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Session with the package defaults; ``conf`` overrides them.
+    """Session with the package defaults, and those for a cluster unless ``master`` is local.
 
-    ``master`` is left to spark-submit unless given. On a cluster set
+    ``conf`` overrides them. ``master`` is left to spark-submit unless given. On a cluster set
     ``spark.sql.shuffle.partitions`` to a high start value (AQE coalesces it) and
     ``spark.checkpoint.dir`` to a shared folder.
     """
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
-    for key, value in {**SESSION_CONF, **(conf or {})}.items():
+    local = master is not None and master.startswith("local")
+    for key, value in {**SESSION_CONF, **({} if local else CLUSTER_CONF), **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
