@@ -91,3 +91,11 @@ def test_fields_and_keys(spark):
 def test_words_of_any_text(spark, texts):
     wanted = [[w for w in t.replace("\t", " ").replace("\r", " ").replace("\n", " ").split(" ") if w] for t in texts]
     assert values(spark, "t string", [(t,) for t in texts], words(F.col("t"))) == wanted
+
+
+def test_rules_by_name_in_the_dataframe_api(spark):
+    register_rules(spark)
+    called = F.call_function("has_passed", F.col("g"), F.col("s"))
+    assert values(spark, "g string, s string", EXAMS, called) == PASSED
+    grouped = F.call_function("country_group", F.col("c"))
+    assert values(spark, "c string", [("FR",), ("XX",)], grouped) == ["EUROPE", "OTHER"]

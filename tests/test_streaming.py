@@ -18,7 +18,7 @@ from tidemark.session import CLUSTER_CONF, shared_folder
 from tidemark.sources.sinks import console_writer, start_append
 from tidemark.sources.streams import parquet_stream
 from tidemark.streaming.leaderboard import ranking, read_leaderboard, step_sums, write_leaderboard
-from tidemark.streaming.updates import latest_per_key, read_latest, start_updates
+from tidemark.streaming.updates import latest_per_key, read_latest, rewrite_latest, start_updates
 from tidemark.streaming.windows import flat_window, sliding_sum, tumbling_sum, with_event_time
 
 START = datetime(2024, 1, 1)
@@ -71,6 +71,23 @@ def test_updates_of_many_batches_merge_to_the_batch_result(spark, files, rows, t
     assert spark.read.parquet(f"{tmp_path}/out").count() > wanted.count()
 
 
+def test_stream_goes_on_in_a_rewritten_table(spark, files, rows, tmp_path):
+    path = files(*FILES[:2])
+    keys = ["window_start", "window_end", "course"]
+
+    def run(folder):
+        seconds = flat_window(viewing_seconds(stream(spark, path, "2 hours"), "course", "ts"))
+        start_updates(seconds, folder, f"{tmp_path}/checkpoint").awaitTermination()
+
+    run(f"{tmp_path}/old")
+    rewrite_latest(spark, f"{tmp_path}/old", f"{tmp_path}/new", keys)
+    assert rows(read_latest(spark, f"{tmp_path}/new", keys)) == rows(read_latest(spark, f"{tmp_path}/old", keys))
+    spark.createDataFrame(FILES[2], SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/in/9")
+    run(f"{tmp_path}/new")
+    wanted = flat_window(viewing_seconds(spark.read.parquet(path), "course", "ts"))
+    assert rows(read_latest(spark, f"{tmp_path}/new", keys)) == rows(wanted)
+
+
 def test_sql_over_a_streaming_view(spark, files, rows, tmp_path):
     path = files(*FILES)
     seconds = flat_window(viewing_seconds_sql(spark, stream(spark, path, "2 hours"), "course", "ts"))

@@ -35,6 +35,14 @@ def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFram
     return latest_per_key(spark.read.option("basePath", path).parquet(path), keys)
 
 
+def rewrite_latest(spark: SparkSession, path: str, target: str, keys: Sequence[str]) -> None:
+    """Copy the latest values to the fresh folder ``target``, for a stopped stream to go on in.
+
+    They come before every batch, so a last batch that runs again still overwrites only itself.
+    """
+    read_latest(spark, path, keys).write.parquet(f"{target}/batch_id=-1")
+
+
 def start_updates(
     stream: DataFrame, path: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
