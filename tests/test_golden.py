@@ -98,7 +98,8 @@ def test_month_report(spark):
     log = timed(spark.createDataFrame(LOG_A, schemas.LOG_LINES))
     wanted = [("FATAL", "April", 1), ("INFO", "April", 1), ("FATAL", "December", 1), ("WARN", "December", 2)]
     assert [tuple(r) for r in month_report(log).collect()] == wanted
-    assert [tuple(r) for r in month_report_sql(spark, log).collect()] == wanted
+    report = month_report_sql(spark, log).select("level", "month", "total")
+    assert [tuple(r) for r in report.collect()] == wanted
 
 
 def test_month_report_from_a_file(spark, tmp_path):

@@ -126,7 +126,8 @@ def test_kmeans_is_repeatable_and_its_cost_is_the_sse(points, rows):
     assert rows(metrics.cluster_sizes(assigned)) == [(0, 20), (1, 20), (2, 20)]
     assert rows(kmeans(3).fit(points).transform(points)) == rows(assigned)
     assert 0.9 < metrics.silhouette(assigned) <= 1
-    found = sorted((r.prediction, r.dimension, round(r.center, 9)) for r in metrics.cluster_centers(assigned).collect())
+    centers = metrics.cluster_centers(assigned).collect()
+    found = sorted((r.prediction, r.dimension, round(r.center, 9)) for r in centers)
     wanted = sorted(
         (k, d, round(float(v), 9)) for k, c in enumerate(model.clusterCenters()) for d, v in enumerate(c)
     )
@@ -139,7 +140,8 @@ def houses(spark):
     grade = F.when(F.col("id") % 3 == 0, "low").when(F.col("id") % 3 == 1, "mid").otherwise("high")
     lift = F.when(grade == "high", 50).otherwise(0)
     size = (F.col("id") % 17).cast("double")
-    return spark.range(600).select("id", size.alias("size"), grade.alias("grade"), (size * 7 + lift + noise).alias("price"))
+    price = size * 7 + lift + noise
+    return spark.range(600).select("id", size.alias("size"), grade.alias("grade"), price.alias("price"))
 
 
 def test_searched_regression(houses):

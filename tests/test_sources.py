@@ -82,7 +82,12 @@ def test_parquet_stream_takes_few_files_at_a_time(spark, tmp_path):
 
 
 def test_log_lines_to_levels(spark):
-    data = [("WARN,Tue Mar 05 16:24:07 GMT 2019",), ("DEBUG,Tue Mar 05 16:24:07 CET 2019",), ("INFO,soon",), ("FATAL",)]
+    data = [
+        ("WARN,Tue Mar 05 16:24:07 GMT 2019",),
+        ("DEBUG,Tue Mar 05 16:24:07 CET 2019",),
+        ("INFO,soon",),
+        ("FATAL",),
+    ]
     lines = spark.createDataFrame(data, "value string")
     arrived = lines.withColumn("timestamp", F.lit("2024-01-01 00:00:00").cast("timestamp"))
     levels = log_levels(arrived).select("level", F.col("timestamp").cast("string"))

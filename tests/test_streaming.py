@@ -25,6 +25,11 @@ START = datetime(2024, 1, 1)
 SCHEMA = "ts timestamp_ntz, course string"
 
 
+def at(seconds):
+    """Literal of a time in the events, whatever the time zone of this machine."""
+    return F.lit(str(START + timedelta(seconds=seconds))).cast("timestamp_ntz")
+
+
 def heartbeats(*seconds_and_courses):
     return [(START + timedelta(seconds=s), c) for s, c in seconds_and_courses]
 
@@ -103,7 +108,7 @@ def test_last_hour_appends_each_closed_window_once(spark, files, rows, tmp_path)
     start_append(hours, f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
     found = spark.read.schema(hours.schema).parquet(f"{tmp_path}/out")
     everything = flat_window(viewing_last_hour(spark.read.parquet(path), "course", "ts"))
-    closed = everything.where(F.col("window_end") <= F.lit(datetime(2024, 1, 1, 0, 1, 40)))
+    closed = everything.where(F.col("window_end") <= at(100))
     assert rows(found) == rows(closed)
     assert closed.count() > 0
 
@@ -112,7 +117,7 @@ def test_level_counts_slide(spark, files, rows):
     path = files(heartbeats((0, "WARN"), (1, "WARN"), (3, "INFO")))
     found = flat_window(live_level_counts(spark.read.parquet(path), "course", "ts"))
     assert found.count() == 120
-    full = found.where(F.col("window_start") == F.lit(START)).select("course", "total")
+    full = found.where(F.col("window_start") == at(0)).select("course", "total")
     assert rows(full) == [("INFO", 1), ("WARN", 2)]
 
 
@@ -136,7 +141,7 @@ def test_row_behind_the_watermark_is_dropped(spark, files, tmp_path):
     dropped = sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
     assert dropped == 1
     found = read_latest(spark, f"{tmp_path}/out", ["window_start", "window_end", "course"])
-    first = found.where(F.col("window_start") == F.lit(START)).first()
+    first = found.where(F.col("window_start") == at(0)).first()
     assert first.seconds_watched == 5
 
 
@@ -175,12 +180,13 @@ def test_state_on_disk_gives_the_same_windows(spark, files, rows, tmp_path):
         for key in CLUSTER_CONF:
             spark.conf.unset(key)
     everything = flat_window(viewing_last_hour(spark.read.parquet(path), "course", "ts"))
-    closed = everything.where(F.col("window_end") <= F.lit(datetime(2024, 1, 1, 0, 1, 40)))
+    closed = everything.where(F.col("window_end") <= at(100))
     assert rows(spark.read.schema(hours.schema).parquet(f"{tmp_path}/out")) == rows(closed)
 
 
 def test_latest_per_key(spark, rows):
-    updates = spark.createDataFrame([("a", 1, 0), ("a", 3, 10), ("a", 2, 9), ("b", 7, 0)], "k string, v int, batch_id int")
+    data = [("a", 1, 0), ("a", 3, 10), ("a", 2, 9), ("b", 7, 0)]
+    updates = spark.createDataFrame(data, "k string, v int, batch_id int")
     assert rows(latest_per_key(updates, ["k"])) == [("a", 3), ("b", 7)]
 
 
@@ -204,7 +210,8 @@ def test_leaderboard_after_every_batch(spark, files, rows, tmp_path):
     ends = [START + timedelta(minutes=m) for m in (11, 51, 122)]
     for batch, end in enumerate(ends):
         board = spark.read.parquet(f"{base}/boards/batch_id={batch}")
-        found = [(r.course, r.seconds_watched) for r in board.orderBy(F.desc("seconds_watched"), "course").collect()]
+        ordered = board.orderBy(F.desc("seconds_watched"), "course")
+        found = [(r.course, r.seconds_watched) for r in ordered.collect()]
         assert found == expected(batch + 1, end) == reported[batch]
         assert {r.window_end for r in board.collect()} == {end}
     assert rows(read_leaderboard(spark, base)) == rows(spark.read.parquet(f"{base}/boards/batch_id=2"))

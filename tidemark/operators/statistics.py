@@ -34,7 +34,7 @@ def correlations_with(df: DataFrame, target: str, columns: Sequence[str]) -> Dat
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of columns, in both orders: ``col_a, col_b, corr``.
 
-    Only the upper triangle is computed.
+    Only the upper triangle is computed. Meant for tens of columns, since every pair is an aggregate.
     """
     triangle = [
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(a, b).alias("corr"))

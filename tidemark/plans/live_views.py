@@ -28,10 +28,12 @@ def viewing_seconds_sql(
     """:func:`viewing_seconds` as SQL over a temporary view, which may be a stream."""
     heartbeats.createOrReplaceTempView("heartbeats")
     return spark.sql(f"""
-        SELECT window, CAST({course} AS STRING) AS course_name,
-               sum({HEARTBEAT_SECONDS}) AS seconds_watched
-        FROM heartbeats
-        GROUP BY window({time}, '{size}'), course_name""")
+        WITH beats AS (
+            SELECT window({time}, '{size}') AS window, string({course}) AS course_name
+            FROM heartbeats)
+        SELECT window, course_name, {HEARTBEAT_SECONDS} * count(*) AS seconds_watched
+        FROM beats
+        GROUP BY ALL""")
 
 
 def viewing_last_hour(heartbeats: DataFrame, course: str, time: str) -> DataFrame:

@@ -37,10 +37,12 @@ def month_report_sql(spark: SparkSession, logs: DataFrame, rows: int = REPORT_RO
     """:func:`month_report` as SQL over a temporary view of ``level, datetime``."""
     logs.createOrReplaceTempView("log_lines")
     report = spark.sql(f"""
-        SELECT level, date_format(datetime, 'MMMM') AS month, count(1) AS total,
-               month(datetime) AS month_num
-        FROM log_lines
-        GROUP BY level, month, month_num
+        WITH counts AS (
+            SELECT level, month(datetime) AS month_num, count(*) AS total
+            FROM log_lines
+            GROUP BY level, month_num)
+        SELECT *, date_format(make_date(2000, month_num, 1), 'MMMM') AS month
+        FROM counts
         ORDER BY month_num, level
         LIMIT {rows}""")
     return report.drop("month_num")

@@ -136,7 +136,8 @@ def field_cast(spark: SparkSession, folder: str) -> DataFrame:
 def country_groups(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents")
     group = country_group(F.upper("lang"))
-    return count_by(documents.select(F.upper("lang").alias("country"), group.alias("grouped")), "country", "grouped")
+    grouped = documents.select(F.upper("lang").alias("country"), group.alias("grouped"))
+    return count_by(grouped, "country", "grouped")
 
 
 def exam_results(spark: SparkSession, folder: str) -> DataFrame:

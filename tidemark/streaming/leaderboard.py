@@ -23,6 +23,7 @@ from tidemark.streaming.windows import flat_window, tumbling_sum
 
 LAST_HOUR = timedelta(hours=1)
 
+
 def step_sums(
     events: DataFrame, time: str, slide: str, key: str, value: Column, name: str
 ) -> DataFrame:
@@ -37,13 +38,17 @@ def ranking(
     """Top keys of ``steps`` in the window up to their newest ``end``: ``key, name, window_end``."""
     recent = _since(steps, end, size)
     sums = recent.groupBy(key).agg(F.sum(name).alias(name))
-    last = F.lit(end).cast("timestamp_ntz")
-    return top(sums, rows, F.desc(name), key).withColumn("window_end", last)
+    return top(sums, rows, F.desc(name), key).withColumn("window_end", _time(end))
+
+
+def _time(value: datetime) -> Column:
+    """A literal without time zone; by way of text, which no local time zone can shift."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def _since(steps: DataFrame, end: datetime, size: timedelta) -> DataFrame:
     """The steps of the window that ends at ``end``, which none of ``steps`` is after."""
-    return steps.where(F.col("window_start") >= F.lit(end - size).cast("timestamp_ntz"))
+    return steps.where(F.col("window_start") >= _time(end - size))
 
 
 def _hours(end: datetime, size: timedelta) -> list[str]:
