@@ -17,6 +17,7 @@ def top_per_group(
     """The first ``k`` rows of every group in ``order``, numbered from 1.
 
     Spark limits each group to ``k`` rows per task before the shuffle, so a frequent group is cheap.
+    It does so up to ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 unless raised.
     """
     window = Window.partitionBy(group).orderBy(*order)
     return df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= k)
