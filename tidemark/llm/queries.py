@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.language_id import identify_languages
 from tidemark.llm.quality_rules import MAX_COVERAGE, MAX_LINE_COVERAGE, quality_report
 from tidemark.llm.secret_scan import find_secrets
 from tidemark.llm.shard_tree import OVERHEAD_BYTES, assign_shards, fleet, grown
+from tidemark.llm.token_output import round_trip
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -23,10 +25,19 @@ def op3_shard_tree(spark: SparkSession, folder: str) -> DataFrame:
     return assign_shards(_documents(spark, folder))
 
 
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return identify_languages(_documents(spark, folder))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_report(_documents(spark, folder)).drop("coverage", "line_coverage")
 
 
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as token ids, written to files and read back."""
+    return round_trip(_documents(spark, folder))
+
+
 _OP9_SQL = f"""
 WITH texts AS (
     SELECT doc_id, coalesce(text, '') AS text,
@@ -119,7 +130,9 @@ FROM codes JOIN old_shard USING (doc_id) JOIN new_shard USING (doc_id)
 QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op3_shard_tree": op3_shard_tree,
+    "op8_language_id": op8_language_id,
     "op9_quality_rules": op9_quality_rules,
+    "op10_token_files": op10_token_files,
 }
 SQL = {
     "op3_shard_tree": _op3_sql(),
