@@ -8,6 +8,7 @@ from tidemark.llm.language_id import identify_languages
 from tidemark.llm.quality_rules import MAX_COVERAGE, MAX_LINE_COVERAGE, quality_report
 from tidemark.llm.secret_scan import find_secrets
 from tidemark.llm.shard_tree import OVERHEAD_BYTES, assign_shards, fleet, grown
+from tidemark.llm.simhash_dedup import near_duplicates
 from tidemark.llm.token_output import round_trip
 
 
@@ -25,6 +26,10 @@ def op3_shard_tree(spark: SparkSession, folder: str) -> DataFrame:
     return assign_shards(_documents(spark, folder))
 
 
+def op5_simhash_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(_documents(spark, folder))
+
+
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify_languages(_documents(spark, folder))
 
@@ -130,6 +135,7 @@ FROM codes JOIN old_shard USING (doc_id) JOIN new_shard USING (doc_id)
 QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op3_shard_tree": op3_shard_tree,
+    "op5_simhash_tree": op5_simhash_tree,
     "op8_language_id": op8_language_id,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_files": op10_token_files,
