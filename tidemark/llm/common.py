@@ -37,7 +37,7 @@ def with_row_ids(df: DataFrame) -> DataFrame:
     return df.withColumn("rid", F.monotonically_increasing_id())
 
 
-def batch_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def batch_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Words of a batch of texts: number of words per text, code of each word, and the words by code.
 
     A null text has no words.
@@ -50,7 +50,7 @@ def batch_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     if isinstance(coded, pa.ChunkedArray):
         coded = coded.combine_chunks()
     counts = np.bincount(parents.to_numpy(zero_copy_only=False), minlength=len(texts))
-    return counts, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
+    return counts, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

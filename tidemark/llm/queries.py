@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm.decontaminate import find_leaks
 from tidemark.llm.language_id import identify_languages
+from tidemark.llm.license_scan import CONTAINMENT, SHINGLE, TEMPLATES, scan_licenses
 from tidemark.llm.quality_rules import MAX_COVERAGE, MAX_LINE_COVERAGE, quality_report
 from tidemark.llm.secret_scan import find_secrets
+from tidemark.llm.sentencepiece_codec import encode_pieces
 from tidemark.llm.shard_tree import OVERHEAD_BYTES, assign_shards, fleet, grown
 from tidemark.llm.simhash_dedup import near_duplicates
+from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.token_output import round_trip
 
 
@@ -16,6 +22,10 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_pieces(_documents(spark, folder))
+
+
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets of all documents; a source is an owner, a document a repository."""
     return find_secrets(_documents(spark, folder)).drop("text_key", "found")
@@ -26,10 +36,24 @@ def op3_shard_tree(spark: SparkSession, folder: str) -> DataFrame:
     return assign_shards(_documents(spark, folder))
 
 
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan_licenses(_documents(spark, folder)).drop("matches")
+    return found.withColumn("licenses", F.array_join("licenses", ","))
+
+
 def op5_simhash_tree(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_documents(spark, folder))
 
 
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Items of the benchmark in all documents."""
+    return find_leaks(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(_documents(spark, folder)).drop("kept")
+
+
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify_languages(_documents(spark, folder))
 
@@ -132,15 +156,46 @@ FROM codes JOIN old_shard USING (doc_id) JOIN new_shard USING (doc_id)
 """
 
 
+_OP4_SQL = f"""
+WITH templates AS (
+    SELECT row_number() OVER () AS number, name, text
+    FROM (VALUES {", ".join("(" + ", ".join("'" + x.replace("'", "''") + "'" for x in t) + ")" for t in TEMPLATES)}) AS t(name, text)
+), words AS (
+    SELECT 't' AS kind, number AS id, text FROM templates
+    UNION ALL SELECT 'd', doc_id, coalesce(text, '') FROM documents
+), split AS (
+    SELECT kind, id, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS w
+    FROM words
+), shingles AS (
+    SELECT DISTINCT kind, id, array_to_string(w[i:i + {SHINGLE - 1}], ' ') AS shingle
+    FROM (SELECT kind, id, w, unnest(range(1, len(w) - {SHINGLE - 2})) AS i FROM split)
+), found AS (
+    SELECT d.id AS doc_id, t.id AS number,
+           count(*) / (SELECT count(*) FROM shingles s WHERE s.kind = 't' AND s.id = t.id) AS containment
+    FROM shingles d JOIN shingles t ON d.shingle = t.shingle AND d.kind = 'd' AND t.kind = 't'
+    GROUP BY d.id, t.id HAVING containment >= {CONTAINMENT}::DOUBLE
+)
+SELECT d.doc_id, coalesce(array_to_string(list_sort(list_distinct(list(name) FILTER (name IS NOT NULL))), ','), '') AS licenses,
+       count(number) AS n_templates, coalesce(max(containment), 0)::DOUBLE AS best
+FROM documents d LEFT JOIN found USING (doc_id) LEFT JOIN templates USING (number)
+GROUP BY d.doc_id
+"""
+
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_secret_scan": op2_secret_scan,
     "op3_shard_tree": op3_shard_tree,
+    "op4_license_scan": op4_license_scan,
     "op5_simhash_tree": op5_simhash_tree,
+    "op6_decontaminate": op6_decontaminate,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_language_id": op8_language_id,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_files": op10_token_files,
+    "pipeline": corpus_pipeline.run,
 }
 SQL = {
     "op3_shard_tree": _op3_sql(),
+    "op4_license_scan": _OP4_SQL,
     "op9_quality_rules": _OP9_SQL,
 }

@@ -12,12 +12,14 @@ A chunk is one row of a Parquet file, the container that Spark can write to and
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -92,44 +94,97 @@ class EliasFano:
         return upper << self.low_bits | (bits << np.arange(self.low_bits)).sum(axis=1)
 
 
+# Letters that the normaliser of this vocabulary maps one to one, and marks that it splits off as one
+# piece: the ids of such a word are those of its letters, then those of its marks.
+_PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?]*$"
+_MARKS = ".,;:!?"
+
+
 class Encoder:
-    """Ids of whole texts by the tokenizers library, each distinct word of a batch encoded once.
+    """Ids of whole texts by the tokenizers library, which sees each distinct word of a batch once.
 
     No token of this vocabulary spans ASCII white space, which its normaliser and splitter drop, so the
     ids of a text are those of its words end to end. Words seen before are remembered up to a bound.
     """
 
-    def __init__(self, path: str, remembered: int = 200_000) -> None:
+    def __init__(self, path: str, remembered: int = 400_000) -> None:
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[str, np.ndarray] = {}
+        self._ends = np.zeros(self._tokenizer.get_vocab_size(), dtype=bool)
+        for token, i in self._tokenizer.get_vocab().items():
+            self._ends[i] = token.endswith("</w>")
         self._remembered = remembered
+        self._forget()
+
+    def _forget(self) -> None:
+        self._known: dict[str, int] = {}
+        self._flat, self._sizes = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
+
+    def _keep(self, pieces: list[str], flat: list[int], sizes: list[int] | np.ndarray) -> None:
+        self._known.update(zip(pieces, range(len(self._sizes), len(self._sizes) + len(pieces)), strict=True))
+        self._flat = np.concatenate([self._flat, np.array(flat, dtype=np.uint32)])
+        self._sizes = np.concatenate([self._sizes, np.array(sizes, dtype=np.int64)])
+
+    def _learn(self, pieces: list[str], words: bool) -> None:
+        """Remember the ids of new ``pieces``. If they are ``words`` of letters, each ends in a token
+        that marks a word's end, so many are encoded as one text and told apart by those tokens."""
+        fresh = [p for p in pieces if p not in self._known]
+        for start in range(0, len(fresh), 2000):
+            part = fresh[start : start + 2000]
+            if words:
+                flat = self._tokenizer.encode(" ".join(part), add_special_tokens=False).ids
+                ends = np.flatnonzero(self._ends[flat])
+                if len(ends) == len(part):
+                    self._keep(part, flat, np.diff(ends, prepend=-1))
+                    continue
+            found = [e.ids for e in self._tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            self._keep(part, [i for ids in found for i in ids], [len(ids) for ids in found])
 
     def __call__(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts``, each ended by ``end_id``, and the number of ids of each."""
-        n_words, codes, words = batch_words(texts)
-        fresh = [w for w in words if w not in self._known]
-        if len(self._known) + len(fresh) > self._remembered:
-            self._known, fresh = {}, words
-        for start in range(0, len(fresh), 10_000):
-            part = fresh[start : start + 10_000]
-            for word, found in zip(part, self._tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self._known[word] = np.array(found.ids, dtype=np.uint32)
-        ids = [self._known[w] for w in words] + [np.array([end_id], dtype=np.uint32)]
-        sizes = np.array([len(x) for x in ids])
-        ends = np.cumsum(n_words)
-        pieces = np.insert(codes, ends, len(words))  # the end id after the last word of each text
-        flat, starts = np.concatenate(ids), np.cumsum(sizes) - sizes
-        lengths = sizes[pieces]
-        at = np.repeat(starts[pieces] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-        text_of = np.repeat(np.arange(len(texts)), n_words + 1)
+        n_words, codes, distinct = batch_words(texts)
+        if len(self._known) + len(distinct) > self._remembered:
+            self._forget()
+        low = pc.utf8_lower(distinct)
+        stems = pc.utf8_rtrim(low, _MARKS)
+        plain = pc.match_substring_regex(distinct, _PLAIN)
+        stems = pc.if_else(plain, stems, distinct)
+        n_marks = pc.subtract(pc.binary_length(low), pc.binary_length(stems)).to_numpy(zero_copy_only=False)
+        marked = np.flatnonzero(plain.to_numpy(zero_copy_only=False) & (n_marks > 0))
+        marks = [distinct[i].as_py()[-int(n_marks[i]) :] for i in marked.tolist()]
+        of = stems.dictionary_encode()
+        names = of.dictionary.to_pylist()
+        simple = pc.match_substring_regex(of.dictionary, _PLAIN).to_pylist()
+        self._learn([n for n, s in zip(names, simple, strict=True) if s], words=True)
+        self._learn([n for n, s in zip(names, simple, strict=True) if not s], words=False)
+        self._learn(list(dict.fromkeys(marks)), words=False)
+
+        # each word is a stem and maybe marks; -1 for no piece, and the end id is the last piece
+        slots = np.array([self._known[n] for n in names], dtype=np.int64)
+        pieces = np.full((len(distinct) + 1, 2), -1)
+        pieces[:-1, 0] = slots[of.indices.to_numpy(zero_copy_only=False)] if len(names) else -1
+        pieces[marked, 1] = [self._known[m] for m in marks]
+        pieces[-1, 0] = len(self._sizes)
+        flat, sizes = np.append(self._flat, np.uint32(end_id)), np.append(self._sizes, 1)
+        starts = np.cumsum(sizes) - sizes
+
+        words = np.insert(codes, np.cumsum(n_words), len(distinct))  # the end id ends each text
+        order = pieces[words].ravel()
+        text_of = np.repeat(np.arange(len(texts)), 2 * (n_words + 1))[order >= 0]
+        order = order[order >= 0]
+        lengths = sizes[order]
+        at = np.repeat(starts[order] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
         return flat[at], np.bincount(text_of, weights=lengths, minlength=len(texts)).astype(np.int64)
 
 
+_ENCODERS: dict[str, Encoder] = {}  # one for each vocabulary in a worker process
+
+
 _FILE = (
-    "part int, chunk int, first long, n_docs long, n_tokens long, ids binary, low_bits int, low binary, high binary, "
-    "samples binary, doc_ids array<{kind}>"
+    "part int, chunk int, first long, n_docs long, n_tokens long, ids binary, low_bits int, low binary, "
+    "high binary, samples binary, doc_ids array<{kind}>"
 )
 
 
@@ -159,7 +214,9 @@ def write_ids(
     schema = _FILE.format(kind=kind)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = Encoder(tokenizer), TaskContext.get().partitionId()
+        encode, part = _ENCODERS.get(tokenizer), TaskContext.get().partitionId()
+        if encode is None:
+            encode = _ENCODERS[tokenizer] = Encoder(tokenizer)
         held: list[tuple] = []
         size, chunk, first = 0, 0, 0
 
@@ -176,7 +233,7 @@ def write_ids(
             return pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in schema.split(", ")])
 
         for whole in batches:
-            for batch in slices(whole, "text", 1 << 20):
+            for batch in slices(whole, "text", 4 << 20):
                 ids, sizes = encode(batch.column("text"), end_id)
                 held.append((batch.column("doc_id"), ids, sizes))
                 size += len(ids)
