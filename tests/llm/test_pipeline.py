@@ -1,0 +1,42 @@
+"""Stages of the pipeline against the operators' reports on the same rows."""
+
+from __future__ import annotations
+
+import corpus_pipeline
+from tidemark.llm.decontaminate import find_leaks
+from tidemark.llm.quality_rules import quality_report
+from tidemark.llm.secret_scan import find_secrets
+from tidemark.llm.simhash_dedup import near_duplicates
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def ids(df):
+    return sorted(r["doc_id"] for r in df.select("doc_id").collect())
+
+
+def test_each_stage_decides_as_its_operator_reports(spark, documents, tmp_path):
+    docs, columns, seen = documents, documents.columns, {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, FOLDER)
+        out.write.parquet(str(tmp_path / name))
+        seen[name] = (docs, spark.read.parquet(str(tmp_path / name)))
+        docs = seen[name][1]
+        if name != "tokens":
+            assert docs.columns == columns
+    before, after = seen["quality"]
+    assert ids(after) == ids(quality_report(before).filter("kept"))
+    before, after = seen["near_duplicates"]
+    assert ids(after) == sorted({r["component_id"] for r in near_duplicates(before).collect()})
+    before, after = seen["decontamination"]
+    benchmark = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
+    assert ids(after) == ids(find_leaks(before, benchmark).filter("n_items = 0"))
+    before, after = seen["secrets"]
+    assert ids(after) == ids(before)
+    live = {r["doc_id"] for r in find_secrets(before).filter("n_live > 0").collect()}
+    changed = {r["doc_id"] for r in after.exceptAll(before).collect()}
+    assert changed == live
+    before, after = seen["tokens"]
+    assert ids(after) == ids(before) and after.filter("NOT round_trip").count() == 0
+    run = corpus_pipeline.run(spark, FOLDER)
+    assert sorted(map(str, run.collect())) == sorted(map(str, after.collect()))

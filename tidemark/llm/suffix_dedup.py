@@ -24,10 +24,11 @@ from tidemark.llm.common import column, mixed, slices, stored
 
 MATCH, GRAM = 50, 16
 _SPAN = MATCH - GRAM + 1
+_ROW = 64  # most strings in a context
 BLOCK_BYTES = 2 << 20
 # About so many anchors in a bucket, and so much text in a shard.
 BUCKET_ANCHORS = 1 << 20
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 4 << 20
 _NEVER = np.iinfo(np.int64).max
 _LOW40 = np.uint64((1 << 40) - 1)
 
@@ -126,32 +127,34 @@ def smallest_holders(contexts: list[bytes], holders: np.ndarray) -> list[np.ndar
 
 
 def anchors(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first string, last string) of every anchor; the strings it stands for are side by side."""
+    """(hash, first string, last string) of every anchor; the strings it stands for are side by side.
+
+    Strings in a row with the same smallest hash have one anchor; long rows, as in periodic text, are
+    cut, which changes nothing but where their bytes are sent.
+    """
     none = np.zeros(0, dtype=np.int64)
-    n = len(data)
-    if n < MATCH:
+    strings = np.maximum(sizes - MATCH + 1, 0)
+    if not strings.sum():
         return none.astype(np.uint64), none, none
     loads = _loads(data)
-    hashes = mixed(loads[: n - 15] * np.uint64(0x9E3779B97F4A7C15) + loads[8 : n - 7])
-    best, at = hashes, np.arange(len(hashes), dtype=np.int32)
-    width = 1
-    while width < _SPAN:  # the smallest of 1, 2, 4, ... hashes from each place on, leftmost of equal ones
+    hashes = loads[: len(data) - GRAM + 1]
+    for k in range(8, GRAM, 8):
+        hashes = hashes * np.uint64(0x9E3779B97F4A7C15) + loads[k : k + len(hashes)]
+    best, width = mixed(hashes), 1
+    while width < _SPAN:  # the smallest of 1, 2, 4, ... hashes from each place on
         shift = min(width, _SPAN - width)
-        later = best[shift:] < best[:-shift]
-        best = np.where(later, best[shift:], best[:-shift])
-        at = np.where(later, at[shift:], at[:-shift])
+        best = np.minimum(best[shift:], best[:-shift])
         width += shift
-    ends = np.cumsum(sizes)
-    strings = np.maximum(sizes - MATCH + 1, 0)
     of = np.repeat(np.arange(len(sizes)), strings)
-    valid = np.arange(len(of)) + (ends - sizes - np.cumsum(strings) + strings)[of]
-    if not len(valid):
-        return none.astype(np.uint64), none, none
-    owner = at[valid]
-    fresh = np.concatenate([[True], (owner[1:] != owner[:-1]) | (of[1:] != of[:-1])])
-    first = np.flatnonzero(fresh)
-    last = np.append(first[1:], len(valid)) - 1
-    return hashes[owner[first]], valid[first], valid[last]
+    place = np.arange(len(of)) + (np.cumsum(sizes) - sizes - np.cumsum(strings) + strings)[of]
+    best = best[place]
+    head = np.flatnonzero(np.concatenate([[True], (best[1:] != best[:-1]) | (of[1:] != of[:-1])]))
+    length = np.diff(head, append=len(place))
+    parts = -(-length // _ROW)
+    step = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    first = np.repeat(head, parts) + step * _ROW
+    last = np.minimum(first + _ROW, np.repeat(head + length, parts)) - 1
+    return best[first], place[first], place[last]
 
 
 class Block:
@@ -275,39 +278,53 @@ def _answers(known: DataFrame, n_buckets: int, n_shards: int) -> DataFrame:
     """``block`` and for each shard the smallest holders of all strings that it sent there."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = {"shard": _LONG, "block": _LONG, "lengths": _BINARY, "holders": _BINARY, "data": _BINARY}
+        schema = {"shard": _LONG, "block": _LONG, "lengths": _BINARY, "holders": _BINARY, "codes": _BINARY}
+        schema["data"] = _BINARY
         for row in _rows(batches):
             block = Block(row, n_buckets)
             out = []
             for shard, found in block.contexts(row["shared"], row["gone"], n_shards).items():
                 holders = np.array([block.ids[block.doc[i]].min() for i in found.values()], dtype="<i8")
                 lengths = np.array([len(c) for c in found], dtype=np.uint8)
-                out.append((shard, row["block"], lengths.tobytes(), holders.tobytes(), _zip(b"".join(found))))
+                codes = np.array([block.code[i[0]] for i in found.values()], dtype=np.uint64).astype("<u4")
+                texts = _zip(b"".join(found))
+                out.append((shard, row["block"], lengths.tobytes(), holders.tobytes(), codes.tobytes(), texts))
             yield _batch(schema, out)
 
     def answer(group: pa.Table) -> pa.Table:
-        listed, places, holders = [], {}, []
-        for lengths, holder, data in zip(
-            *(group[c].to_pylist() for c in ("lengths", "holders", "data")), strict=True
-        ):
+        listed, places, holders, same = [], {}, [], {}
+        names = ("lengths", "holders", "codes", "data")
+        for lengths, holder, codes, data in zip(*(group[c].to_pylist() for c in names), strict=True):
             text, own, at = _unzip(data), [], 0
-            for n, h in zip(lengths, np.frombuffer(holder, dtype="<i8").tolist(), strict=True):
+            numbers = np.frombuffer(holder, dtype="<i8").tolist(), np.frombuffer(codes, dtype="<u4").tolist()
+            for n, h, code in zip(lengths, *numbers, strict=True):
                 place = places.setdefault(text[at : at + n], len(places))
                 if place == len(holders):
                     holders.append(h)
-                holders[place] = min(holders[place], h)
+                    same.setdefault(code, []).append(place)
+                elif h < holders[place]:
+                    holders[place] = h
                 own.append(place)
                 at += n
             listed.append(own)
-        found = smallest_holders(list(places), np.array(holders, dtype=np.int64))
-        rows = [
-            (block, group["shard"][0].as_py(), _zip(np.concatenate([found[p] for p in own]).astype("<i8").tobytes()))
-            for block, own in zip(group["block"].to_pylist(), listed, strict=True)
-        ]
+        # equal strings have one anchor, so a context that is the only one of its anchor needs no search
+        texts, least = list(places), np.array(holders, dtype=np.int64)
+        rest = [p for found in same.values() if len(found) > 1 for p in found]
+        searched = smallest_holders([texts[p] for p in rest], least[rest]) if rest else []
+        found = dict(zip(rest, searched, strict=True))
+        sizes = np.array([len(t) - MATCH + 1 for t in texts])
+        rows = []
+        for block, own in zip(group["block"].to_pylist(), listed, strict=True):
+            n = sizes[own]
+            answers = np.repeat(least[own], n)
+            for p, at in zip(own, (np.cumsum(n) - n).tolist(), strict=True):
+                if p in found:
+                    answers[at : at + len(found[p])] = found[p]
+            rows.append((block, group["shard"][0].as_py(), _zip(answers.astype("<i8").tobytes())))
         return pa.Table.from_batches([_batch({"block": _LONG, "shard": _LONG, "least": _BINARY}, rows)])
 
     sent = known.filter("shared IS NOT NULL").mapInArrow(
-        send, "shard long, block long, lengths binary, holders binary, data binary"
+        send, "shard long, block long, lengths binary, holders binary, codes binary, data binary"
     )
     answers = sent.groupBy("shard").applyInArrow(answer, "block long, shard long, least binary")
     return answers.groupBy("block").agg(F.collect_list(F.struct("shard", "least")).alias("answers"))
@@ -349,15 +366,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             least = {a["shard"]: np.frombuffer(_unzip(a["least"]), dtype="<i8") for a in row["answers"] or []}
             if least:
                 for shard, found in block.contexts(row["shared"], row["gone"], n_shards).items():
-                    at = 0
-                    for context, places in found.items():
-                        n = len(context) - MATCH + 1
-                        holders = least[shard][at : at + n]
-                        at += n
-                        for i in places:
-                            hit = block.first[i] + np.flatnonzero(holders < block.ids[block.doc[i]])
-                            steps[hit] += 1
-                            steps[hit + MATCH] -= 1
+                    n = np.array([len(c) - MATCH + 1 for c in found])
+                    times = [len(i) for i in found.values()]
+                    anchor = np.concatenate([np.array(i) for i in found.values()])
+                    offset, n = np.repeat(np.cumsum(n) - n, times), np.repeat(n, times)
+                    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    holder = least[shard][np.repeat(offset, n) + step]
+                    hit = np.repeat(block.first[anchor], n) + step
+                    hit = hit[holder < np.repeat(block.ids[block.doc[anchor]], n)]
+                    steps[hit] += 1  # a string is in one context only, so no place comes twice
+                    steps[hit + MATCH] -= 1
             for place in row["gone"] or []:
                 steps[block.starts[place]] += 1
                 steps[block.starts[place] + block.sizes[place]] -= 1
