@@ -61,7 +61,7 @@ def test_a_large_benchmark_is_refused(spark, documents, monkeypatch):
 
 
 def test_odd_rows(spark, odd_rows, no_rows):
-    items = spark.createDataFrame([(1, "the same row twice over, with more than ten words in it")], "item_id long, text string")
+    items = spark.createDataFrame([(1, "the same row twice over, with more than ten words in it, as")], "item_id long, text string")
     assert find_leaks(odd_rows, items).count() == odd_rows.count()
     kept = drop_leaks(odd_rows, items)
     assert kept.columns == odd_rows.columns and kept.count() == odd_rows.count() - 2

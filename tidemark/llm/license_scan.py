@@ -72,7 +72,7 @@ def _shingle_hashes(words: Column) -> Column:
 
 def _shingles(words: Column) -> Column:
     return F.array_distinct(
-        F.transform(_places(F.size(words), SHINGLE), lambda i: F.array_join(F.slice(words, i + 1, SHINGLE), " "))
+        F.transform(_places(F.size(words), SHINGLE), lambda i: F.concat_ws(" ", *[words[i + k] for k in range(SHINGLE)]))
     )
 
 
@@ -91,7 +91,10 @@ def _minima(hashes: Column, width: int, step: int) -> Column:
     """Smallest of the hashes in each window."""
     if width == 1:
         return hashes
-    return F.transform(_places(F.size(hashes), width, step), lambda i: F.array_min(F.slice(hashes, i + 1, width)))
+    # element by element: a slice would copy the whole array each time
+    return F.transform(
+        _places(F.size(hashes), width, step), lambda i: F.least(*[hashes[i + k] for k in range(width)])
+    )
 
 
 def _signed(df: DataFrame, steps: dict[int, int]) -> DataFrame:
@@ -169,7 +172,10 @@ def scan_licenses(
             (F.size(F.array_intersect(of[t], F.col("shingles"))) / F.size(of[t])).alias("containment"),
         ),
     )
-    df = df.select("doc_id", F.array_sort(F.filter(share, lambda m: m["containment"] >= containment)).alias("matches"))
+    matches = F.array_sort(F.filter(share, lambda m: m["containment"] >= containment))
+    # a generator: a caller's filter on the result must not be moved below, where it would be computed
+    # with all of the above once for every word
+    df = df.select("doc_id", F.explode(F.array(matches)).alias("matches"))
     return df.select(
         "doc_id",
         F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"]))).alias("licenses"),
