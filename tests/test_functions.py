@@ -99,3 +99,14 @@ def test_rules_by_name_in_the_dataframe_api(spark):
     assert values(spark, "g string, s string", EXAMS, called) == PASSED
     grouped = F.call_function("country_group", F.col("c"))
     assert values(spark, "c string", [("FR",), ("XX",)], grouped) == ["EUROPE", "OTHER"]
+
+
+def test_month_report_holds_all_levels(spark):
+    from tidemark.plans.log_reports import keyed_month_report, month_report, month_report_sql
+
+    logs = spark.range(1440).selectExpr(
+        "concat('level', id % 12) AS level", "make_timestamp(2020, cast(id div 12 % 12 AS int) + 1, 1, 0, 0, 0) AS datetime"
+    )
+    for report in (month_report(logs), month_report_sql(spark, logs), keyed_month_report(logs)):
+        assert {r["total"] for r in report.collect()} == {10} and report.count() == 144
+    assert month_report(logs, rows=5).count() == 5

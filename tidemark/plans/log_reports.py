@@ -26,14 +26,15 @@ def level_month_counts(logs: DataFrame, level: str = "level", time: str = "datet
 
 
 def month_report(
-    logs: DataFrame, level: str = "level", time: str = "datetime", rows: int = REPORT_ROWS
+    logs: DataFrame, level: str = "level", time: str = "datetime", rows: int | None = None
 ) -> DataFrame:
-    """``level, month, total`` in calendar order, then by level; the first ``rows`` lines."""
-    ordered = top(level_month_counts(logs, level, time), rows, "month_num", "level")
+    """``level, month, total`` in calendar order, then by level; only the first ``rows`` if given."""
+    counts = level_month_counts(logs, level, time)
+    ordered = counts.orderBy("month_num", "level") if rows is None else top(counts, rows, "month_num", "level")
     return ordered.withColumn("month", month_name(F.col("month_num"))).select("level", "month", "total")
 
 
-def month_report_sql(spark: SparkSession, logs: DataFrame, rows: int = REPORT_ROWS) -> DataFrame:
+def month_report_sql(spark: SparkSession, logs: DataFrame, rows: int | None = None) -> DataFrame:
     """:func:`month_report` as SQL over a temporary view of ``level, datetime``."""
     logs.createOrReplaceTempView("log_lines")
     report = spark.sql(f"""
@@ -44,12 +45,12 @@ def month_report_sql(spark: SparkSession, logs: DataFrame, rows: int = REPORT_RO
         SELECT *, date_format(make_date(2000, month_num, 1), 'MMMM') AS month
         FROM counts
         ORDER BY month_num, level
-        LIMIT {rows}""")
+        {"" if rows is None else f"LIMIT {rows}"}""")
     return report.drop("month_num")
 
 
 def keyed_month_report(
-    logs: DataFrame, level: str = "level", time: str = "datetime", rows: int = REPORT_ROWS
+    logs: DataFrame, level: str = "level", time: str = "datetime", rows: int | None = None
 ) -> DataFrame:
     """:func:`month_report` with one ``level:month`` key: ``level_month, total``."""
     report = month_report(logs, level, time, rows)

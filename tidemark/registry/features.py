@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.features import (
     assembler,
     feature_stages,
-    hash_split as split_by_hash,
+    in_first_part,
     index_to_string as back_to_string,
     one_hot_encoder,
     string_indexer,
@@ -67,10 +67,7 @@ def assemble_scalars(spark: SparkSession, folder: str) -> DataFrame:
 def hash_split(spark: SparkSession, folder: str) -> DataFrame:
     """Every order with the part it falls into."""
     orders = read_table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
-    first, second = split_by_hash(orders, "o_orderkey")
-    return first.withColumn("part", F.lit("training")).unionByName(
-        second.withColumn("part", F.lit("holdout"))
-    )
+    return orders.withColumn("part", F.when(in_first_part("o_orderkey"), "training").otherwise("holdout"))
 
 
 QUERIES = {

@@ -79,7 +79,7 @@ QUERIES = {
 MONTHS = """
     SELECT o_orderpriority AS level, monthname(o_orderdate) AS month, count(*) AS total
     FROM orders GROUP BY o_orderpriority, monthname(o_orderdate), month(o_orderdate)
-    ORDER BY month(o_orderdate), level LIMIT 100"""
+    ORDER BY month(o_orderdate), level"""
 
 SQL = {
     "log_month_counts": MONTHS,
