@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +62,22 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def filter_texts(docs: DataFrame, text_col: str, limit: int, keeper: Callable) -> DataFrame:
+    """The rows of ``docs``, all columns, that pass: ``keeper`` is called once per task and gives a
+    function from an array of texts to a list of decisions. Columns are numbered meanwhile, since
+    names may hold dots."""
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text = f"c{docs.columns.index(text_col)}"
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decide = keeper()
+        for whole in batches:
+            for batch in slices(whole, text, limit):
+                yield batch.filter(pa.array(decide(batch.column(text)), type=pa.bool_()))
+
+    return numbered.mapInArrow(rows, numbered.schema).toDF(*docs.columns)
+
+
 def slices(batch: pa.RecordBatch, text: str, limit: int = 8 << 20):
     """Parts of a batch with at most ``limit`` bytes of text each, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batch_words, column, mixed, slices
+from tidemark.llm.common import batch_words, column, filter_texts, mixed, slices
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -320,10 +320,8 @@ def drop_leaks(
     """The rows of ``docs``, all columns, whose text holds no benchmark item (see ``find_leaks``)."""
     matcher = _shared(docs, _bounded_items(benchmark, item_col, item_text_col), similarity, radius)
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keeper():
         match = matcher()
-        for whole in batches:
-            for batch in slices(whole, text_col, 2 << 20):
-                yield batch.filter(pa.array([not f for f in match(batch.column(text_col))], type=pa.bool_()))
+        return lambda texts: [not found for found in match(texts)]
 
-    return docs.mapInArrow(rows, docs.schema)
+    return filter_texts(docs, text_col, 2 << 20, keeper)

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import WORD, column, mixed, slices
+from tidemark.llm.common import WORD, column, filter_texts, mixed, slices
 
 # Largest share of word characters in n-grams that occurred before in the text, by n.
 MAX_COVERAGE = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
@@ -142,10 +142,7 @@ def keep_good(
     """The rows of ``docs``, all columns, that ``quality_report`` keeps."""
     limits = dict(max_coverage)
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole, text_col):
-                verdicts = [measure(t.as_py(), limits, max_line_coverage)[6] for t in batch.column(text_col)]
-                yield batch.filter(pa.array(verdicts, type=pa.bool_()))
+    def keeper():
+        return lambda texts: [measure(t.as_py(), limits, max_line_coverage)[6] for t in texts]
 
-    return docs.mapInArrow(rows, docs.schema)
+    return filter_texts(docs, text_col, 8 << 20, keeper)

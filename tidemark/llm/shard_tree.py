@@ -34,7 +34,7 @@ def grown(tree: list[Shard], weight: float = 1.0) -> list[Shard]:
 
     No old subtree changes its weight, so rows move into the new shard and nowhere else. (A shard that
     joins an existing rack changes the weights of that rack and region instead; rows then move into
-    that rack only, but may land on any shard of it.)
+    that region, and within it into that rack, but may land on any shard there.)
     """
     number, region = max(s.number for s in tree) + 1, max(s.region for s in tree) + 1
     return [*tree, Shard(number, region, 0, weight)]
