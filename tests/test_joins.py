@@ -53,6 +53,21 @@ def test_salted_join_spreads_a_hot_key(spark, facts, dimension):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+@pytest.mark.parametrize("how", ["left", "left_anti"])
+def test_salted_join_spreads_null_keys(spark, dimension, how):
+    """Half the facts have no key; they take part in no match, but must not meet in one task."""
+    facts = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.col("id") % 30).alias("k"), "id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        nulls = salted_join(facts, dimension, "k", how).where("k IS NULL")
+        sizes = [r["count"] for r in nulls.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 2000 and max(sizes) < 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_salted_join_of_nothing(spark, facts, dimension):
     assert salted_join(facts.limit(0), dimension, "k", "left").count() == 0
     nulls = facts.where("k IS NULL")

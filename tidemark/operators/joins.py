@@ -58,7 +58,8 @@ def salted_join(
     is cheaper to read; at most ``hot_keys`` come to the driver. Any choice of keys gives the same
     result. Their rows get a salt from the row's hash and its partition, which spreads copies of
     one row too and is the same when a lost task is run again; their rows in ``other`` are
-    repeated once per salt. All other keys keep salt 0.
+    repeated once per salt. Null keys match nothing, so their rows of ``facts`` are spread as well. All
+    other keys keep salt 0.
     """
     counted = facts if hot_from is None else hot_from
     frequent = (
@@ -70,12 +71,10 @@ def salted_join(
         .limit(hot_keys)
         .collect()
     )
-    if not frequent:
-        return facts.join(other, key, how)
-    is_hot = F.col(key).isin([row[0] for row in frequent])
+    is_hot = F.coalesce(F.col(key).isin([row[0] for row in frequent]), F.lit(False))
     spread = F.xxhash64(*_hashable(facts)) + F.spark_partition_id()
     row_salt = F.pmod(spread, F.lit(salts)).cast("int")
-    left = facts.withColumn("_salt", F.when(is_hot, row_salt).otherwise(F.lit(0)))
+    left = facts.withColumn("_salt", F.when(is_hot | F.col(key).isNull(), row_salt).otherwise(F.lit(0)))
     all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
     right = other.withColumn("_salt", F.explode(F.when(is_hot, all_salts).otherwise(F.array(F.lit(0)))))
     return left.join(right, [key, "_salt"], how).drop("_salt")
