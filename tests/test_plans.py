@@ -24,7 +24,7 @@ def test_columns_and_filters_reach_the_scan(spark):
 
     plan = physical_plan(QUERIES["log_month_counts"](spark, str(FOLDER)))
     assert "ReadSchema: struct<o_orderdate:timestamp_ntz,o_orderpriority:string>" in plan
-    assert "TakeOrderedAndProject" in plan
+    assert "Sort [" in plan and "Limit" not in plan
 
 
 def test_months_are_grouped_as_numbers(spark):
@@ -33,6 +33,12 @@ def test_months_are_grouped_as_numbers(spark):
     assert "date_format" not in plan[plan.index("HashAggregate") :]
 
 
+def test_sliding_windows_are_repeated_after_the_last_shuffle(spark):
+    plan = physical_plan(QUERIES["sliding_2m_2s"](spark, str(FOLDER)))
+    before = plan[: plan.index("Exchange")]
+    assert "explode(filter(" in before and plan.count("Exchange") == 2
+
+
 def test_correlations_take_one_shuffle(spark):
     plan = physical_plan(QUERIES["corr_matrix"](spark, str(FOLDER)))
     assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1

@@ -29,13 +29,44 @@ def sliding_sum(
     """Sum of ``value`` per sliding window and key: ``window, *keys, name``.
 
     Rows are first summed per slide, so that each sum, not each row, is repeated for all the
-    windows it falls into. ``size`` must be a multiple of ``slide``.
+    windows it falls into. ``size`` must be a multiple of ``slide``. On a batch the repetition
+    comes after the last shuffle.
     """
     steps = df.groupBy(F.window(time, slide).alias("_step"), *keys).agg(F.sum(value).alias("_part"))
+    if not df.isStreaming:
+        return _windows_of_blocks(steps, size, slide, keys, name)
     last_moment = F.window_time("_step")
     return steps.groupBy(F.window(last_moment, size, slide), *keys).agg(F.sum("_part").alias(name))
 
 
+def _windows_of_blocks(
+    steps: DataFrame, size: str, slide: str, keys: Sequence[str], name: str
+) -> DataFrame:
+    """Windows over sums per slide, with the sums shuffled and not their repetitions.
+
+    Windows are dealt to tasks by key and the hour (the day, for longer windows) in which they start.
+    A sum goes to the one or two blocks in which windows that hold it start, and is repeated there.
+    """
+    long, step = F.expr(f"INTERVAL '{size}'"), F.expr(f"INTERVAL '{slide}'")
+    starts = F.sequence(F.col("_start") - long + step, F.col("_start"), step)
+    hour = F.lit(0).cast("timestamp") + long <= F.lit(3600).cast("timestamp")
+
+    def block(start: Column) -> Column:
+        return F.when(hour, F.date_trunc("hour", start)).otherwise(F.date_trunc("day", start))
+
+    parts = steps.select(*keys, F.col("_step.start").alias("_start"), "_part")
+    blocks = F.explode(F.array_distinct(F.transform(starts, block)))
+    dealt = parts.withColumn("_block", blocks).repartition(*keys, "_block")
+    own = F.filter(starts, lambda start: block(start) == F.col("_block"))
+    sums = (
+        dealt.withColumn("_begin", F.explode(own))
+        .groupBy(*keys, "_block", "_begin")
+        .agg(F.sum("_part").alias(name))
+    )
+    window = F.struct(F.col("_begin").alias("start"), (F.col("_begin") + long).alias("end"))
+    return sums.select(window.alias("window"), *keys, name)
+
+
 def flat_window(df: DataFrame) -> DataFrame:
     """Replace the ``window`` struct by ``window_start`` and ``window_end`` without time zone."""
     others = [c for c in df.columns if c != "window"]
