@@ -15,6 +15,7 @@ from tidemark.plans.live_views import (
 )
 from tidemark.plans.log_reports import live_level_counts, start_level_counts
 from tidemark.session import CLUSTER_CONF, shared_folder
+from tidemark.sources.files import folder_names
 from tidemark.sources.sinks import console_writer, start_append
 from tidemark.sources.streams import parquet_stream
 from tidemark.streaming.leaderboard import ranking, read_leaderboard, step_sums, write_leaderboard
@@ -233,6 +234,27 @@ def test_leaderboard_batch_can_be_repeated(spark, rows, tmp_path):
     assert rows(spark.read.parquet(f"{base}/boards/batch_id=2")) == once
 
 
+def test_leaderboard_reads_no_more_as_it_goes_on(spark, rows, tmp_path):
+    """Over 50 batches folders are compacted and removed, and rankings stay those of all steps."""
+    base, keys = f"{tmp_path}/out", 120
+    data = [(START + timedelta(seconds=30 * i), f"c{i % keys}") for i in range(55 * 4)]
+    parts = [
+        step_sums(spark.createDataFrame(data[: 4 * i + 4], SCHEMA), "ts", "1 minute", "course", F.lit(5), "n")
+        .where(F.col("window_start") >= at(120 * i - 60))
+        for i in range(55)
+    ]
+    parts[0].select("course", "n", "window_end").limit(0).write.parquet(f"{base}/boards/batch_id=-1")
+    handle = write_leaderboard(spark, base, "course", "n", size=timedelta(hours=3), compact_every=5)
+    for i, part in enumerate(parts):
+        handle(part, i)
+    handle(parts[-1], 54)
+    board = read_leaderboard(spark, base)
+    wanted = {f"c{k}": 5 * sum(1 for _, c in data if c == f"c{k}") for k in range(keys)}
+    assert {r.course: r.n for r in board.collect()} == wanted
+    for folder, most in (("steps", 11), ("boards", 11), ("compacted", 2)):
+        assert len(folder_names(spark, f"{base}/{folder}")) <= most
+
+
 def test_live_level_counts(spark, files, rows, tmp_path):
     """Counts of the last two minutes up to the newest line, after every batch."""
     path = files(heartbeats((0, "WARN"), (1, "WARN"), (100, "INFO")), heartbeats((121, "WARN"), (60, "INFO")))

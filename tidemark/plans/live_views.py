@@ -46,7 +46,7 @@ def viewing_last_hour(heartbeats: DataFrame, course: str, time: str) -> DataFram
 
 def start_course_leaderboard(
     heartbeats: DataFrame, path: str, checkpoint: str, course: str, time: str,
-    rows: int = 50, report: Callable[[DataFrame], None] | None = None, interval: str | None = None,
+    rows: int | None = None, report: Callable[[DataFrame], None] | None = None, interval: str | None = None,
 ) -> StreamingQuery:
     """Start ranking courses by viewing time in the last hour, under ``path``."""
     return start_leaderboard(

@@ -16,8 +16,6 @@ from tidemark.operators.ordering import top
 from tidemark.streaming.leaderboard import start_leaderboard
 from tidemark.streaming.windows import sliding_sum
 
-REPORT_ROWS = 100
-
 
 def level_month_counts(logs: DataFrame, level: str = "level", time: str = "datetime") -> DataFrame:
     """``level, month_num, total``: grouped by month number, names are formatted afterwards."""
@@ -72,7 +70,7 @@ def live_level_counts(
 
 def start_level_counts(
     logs: DataFrame, path: str, checkpoint: str, level: str = "level", time: str = "timestamp",
-    rows: int = REPORT_ROWS, report: Callable[[DataFrame], None] | None = None,
+    rows: int | None = None, report: Callable[[DataFrame], None] | None = None,
     interval: str | None = None,
 ) -> StreamingQuery:
     """Start counting the lines per level in the last two minutes after every batch."""

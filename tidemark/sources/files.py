@@ -48,3 +48,16 @@ def read_lines(spark: SparkSession, path: str | list[str], header_prefix: str |
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """Parquet table ``name`` (a file or a folder of files) below ``folder``."""
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
+def folder_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies directly in ``folder``, in any file system that Spark can reach."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in files.listStatus(path)]
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove ``folder`` and all in it, if it is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,9 +1,11 @@
 """Ranking of keys over the last hour (or other time), renewed after every batch of a stream.
 
-The stream holds only sums per slide as state, a slide being a minute, say. Those of the last hour
-are stored as updates below ``steps/hour=<hour>/batch_id=<id>`` (the window only moves forward, so
-no later ranking needs older ones); a ranking lists and reads just the hours its window touches,
-however long the stream has run. Rankings go to ``boards/batch_id=<id>``.
+The stream holds only sums per slide as state, a slide being a minute, say. What a batch changed of
+the last hour is stored below ``steps/batch_id=<id>``. After every ``COMPACT_EVERY`` batches all that
+still counts is stored once more below ``compacted/batch_id=<id>``, and what was written a round
+earlier is removed. A ranking reads the last compacted steps and the batches since, which it finds
+by their numbers: however long the stream has run, it reads at most ``COMPACT_EVERY`` + 1 folders and
+lists none. Rankings hold all keys and go to ``boards/batch_id=<id>``.
 """
 
 from __future__ import annotations
@@ -17,28 +19,34 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.caching import reused
 from tidemark.operators.ordering import top
+from tidemark.sources.files import folder_names, remove_folder
 from tidemark.sources.sinks import start_batches
 from tidemark.streaming.updates import latest_per_key
 from tidemark.streaming.windows import flat_window, tumbling_sum
 
 LAST_HOUR = timedelta(hours=1)
+COMPACT_EVERY = 20
+ROWS_PER_FILE = 1_000_000
 
 
 def step_sums(
     events: DataFrame, time: str, slide: str, key: str, value: Column, name: str
 ) -> DataFrame:
-    """``window_start, window_end, key, name, hour``: one row per slide and key."""
-    sums = flat_window(tumbling_sum(events, time, slide, [key], value, name))
-    return sums.withColumn("hour", F.date_format("window_start", "yyyyMMddHH"))
+    """``window_start, window_end, key, name``: one row per slide and key."""
+    return flat_window(tumbling_sum(events, time, slide, [key], value, name))
 
 
 def ranking(
-    steps: DataFrame, key: str, name: str, end: datetime, size: timedelta, rows: int = 50
+    steps: DataFrame, key: str, name: str, end: datetime, size: timedelta, rows: int | None = None
 ) -> DataFrame:
-    """Top keys of ``steps`` in the window up to their newest ``end``: ``key, name, window_end``."""
-    recent = _since(steps, end, size)
-    sums = recent.groupBy(key).agg(F.sum(name).alias(name))
-    return top(sums, rows, F.desc(name), key).withColumn("window_end", _time(end))
+    """Keys of ``steps`` in the window up to their newest ``end``: ``key, name, window_end``.
+
+    All keys, or the ``rows`` with the largest sums.
+    """
+    sums = _since(steps, end, size).groupBy(key).agg(F.sum(name).alias(name))
+    if rows is not None:
+        sums = top(sums, rows, F.desc(name), key)
+    return sums.withColumn("window_end", _time(end))
 
 
 def _time(value: datetime) -> Column:
@@ -51,23 +59,9 @@ def _since(steps: DataFrame, end: datetime, size: timedelta) -> DataFrame:
     return steps.where(F.col("window_start") >= _time(end - size))
 
 
-def _hours(end: datetime, size: timedelta) -> list[str]:
-    """The ``hour`` partitions that a window ending at ``end`` touches."""
-    first = (end - size).replace(minute=0, second=0, microsecond=0)
-    count = int((end - first).total_seconds() // 3600) + 1
-    return [(first + timedelta(hours=i)).strftime("%Y%m%d%H") for i in range(count)]
-
-
-def _store_steps(changed: DataFrame, key: str, store: str, files_per_hour: int) -> None:
-    """Write the batch's own partitions, each hour in a few files."""
-    spread = F.pmod(F.hash(key), F.lit(files_per_hour))
-    (
-        changed.repartition("hour", spread)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("hour", "batch_id")
-        .parquet(store)
-    )
+def _write(df: DataFrame, path: str, rows: int) -> None:
+    """Replace ``path`` by at most ``rows`` rows in files of about ``ROWS_PER_FILE``."""
+    df.repartition(1 + rows // ROWS_PER_FILE).write.mode("overwrite").parquet(path)
 
 
 def write_leaderboard(
@@ -76,33 +70,51 @@ def write_leaderboard(
     key: str,
     name: str,
     size: timedelta = LAST_HOUR,
-    rows: int = 50,
+    rows: int | None = None,
     report: Callable[[DataFrame], None] | None = None,
-    files_per_hour: int = 2,
+    compact_every: int = COMPACT_EVERY,
 ) -> Callable[[DataFrame, int], None]:
     """Batch handler that stores the sums per slide and then the ranking they give.
 
     Repeating a batch overwrites what it wrote before, and only that. ``report`` is called with
-    each stored ranking.
+    each stored ranking. Keep ``compact_every`` while a stream goes on from its checkpoint.
     """
-    store, boards = f"{path}/steps", f"{path}/boards"
+    store, compacted, boards = f"{path}/steps", f"{path}/compacted", f"{path}/boards"
+
+    def remove_before(batch_id: int) -> None:
+        """Remove the round of batches up to ``batch_id``; a repeated later batch needs none of them."""
+        for old in range(batch_id - compact_every + 1, batch_id + 1):
+            remove_folder(spark, f"{store}/batch_id={old}")
+            remove_folder(spark, f"{boards}/batch_id={old}")
+        remove_folder(spark, f"{compacted}/batch_id={batch_id - compact_every}")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        stored = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        base = batch_id // compact_every * compact_every - 1
         board = spark.read.parquet(f"{boards}/batch_id={batch_id - 1}")
+        stored = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         with reused(stored) as changed:
-            ends = board.select("window_end").union(changed.select("window_end"))
-            end = ends.agg(F.max("window_end")).first()[0]
-            if end is not None:
-                _store_steps(_since(changed, end, size), key, store, files_per_hour)
+            number, newest = changed.agg(F.count("*"), F.max("window_end")).first()
+            ends = [newest, board.agg(F.max("window_end")).first()[0]]
+            end = max((e for e in ends if e is not None), default=None)
+            recent = changed if end is None else _since(changed, end, size)
+            _write(recent, f"{store}/batch_id={batch_id}", number)
         if end is not None:
-            hours = ",".join(_hours(end, size))
-            reader = spark.read.schema(stored.schema).option("basePath", store)
-            recent = reader.parquet(f"{store}/hour={{{hours}}}")
-            known = recent.where(F.col("batch_id") <= batch_id).drop("hour")
+            paths = [f"{store}/batch_id={i}" for i in range(base + 1, batch_id + 1)]
+            if base >= 0:
+                paths.append(f"{compacted}/batch_id={base}")
+            known = _since(spark.read.schema(stored.schema).parquet(*paths), end, size)
             steps = latest_per_key(known, ["window_start", "window_end", key])
-            board = ranking(steps, key, name, end, size, rows)
-        board.write.mode("overwrite").parquet(f"{boards}/batch_id={batch_id}")
+            with reused(ranking(steps, key, name, end, size, rows)) as board:
+                _write(board, f"{boards}/batch_id={batch_id}", board.count())
+            if batch_id == base + compact_every:
+                with reused(steps.withColumn("batch_id", F.lit(batch_id).cast("bigint"))) as kept:
+                    _write(kept.select(stored.columns), f"{compacted}/batch_id={batch_id}", kept.count())
+        else:
+            _write(board, f"{boards}/batch_id={batch_id}", 0)
+            if batch_id == base + compact_every:
+                _write(recent, f"{compacted}/batch_id={batch_id}", 0)
+        if batch_id == base + compact_every and base >= 0:
+            remove_before(base)
         if report is not None:
             report(spark.read.parquet(f"{boards}/batch_id={batch_id}").orderBy(F.desc(name), key))
 
@@ -120,7 +132,7 @@ def start_leaderboard(
     name: str,
     size: timedelta = LAST_HOUR,
     slide: str = "1 minute",
-    rows: int = 50,
+    rows: int | None = None,
     report: Callable[[DataFrame], None] | None = None,
     interval: str | None = None,
 ) -> StreamingQuery:
@@ -134,7 +146,7 @@ def start_leaderboard(
 
 
 def read_leaderboard(spark: SparkSession, path: str) -> DataFrame:
-    """The ranking stored last."""
-    boards = spark.read.option("basePath", f"{path}/boards").parquet(f"{path}/boards")
-    newest = boards.agg(F.max("batch_id")).scalar()
-    return boards.where(F.col("batch_id") == newest).drop("batch_id")
+    """The ranking stored last. Only the names of the boards of two rounds are listed, not their files."""
+    names = folder_names(spark, f"{path}/boards")
+    newest = max(int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id="))
+    return spark.read.parquet(f"{path}/boards/batch_id={newest}")
