@@ -23,6 +23,11 @@ def entries(vector: str, size: int, prefix: str) -> list[Column]:
     return [F.get(array, F.lit(i)).alias(f"{prefix}{i}") for i in range(size)]
 
 
+def all_entries(vector: str) -> Column:
+    """``position, entry``: a row for each entry, however many categories there are."""
+    return F.posexplode(vector_to_array(vector)).alias("position", "entry")
+
+
 def segments(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
 
@@ -47,7 +52,7 @@ def one_hot(spark: SparkSession, folder: str) -> DataFrame:
     indexer = string_indexer(["c_mktsegment"], unseen="error")
     encoder = one_hot_encoder(indexer.getOutputCols(), unseen="error")
     encoded = Pipeline(stages=[indexer, encoder]).fit(customers).transform(customers)
-    return encoded.select("c_custkey", *entries("c_mktsegment_vector", 4, "v"))
+    return encoded.select("c_custkey", all_entries("c_mktsegment_vector"))
 
 
 def assemble(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,7 +60,7 @@ def assemble(spark: SparkSession, folder: str) -> DataFrame:
     customers = segments(spark, folder)
     stages = feature_stages(["c_acctbal"], ["c_mktsegment"], unseen="error")
     assembled = Pipeline(stages=stages).fit(customers).transform(customers)
-    return assembled.select("c_custkey", *entries("features", 5, "f"))
+    return assembled.select("c_custkey", all_entries("features"))
 
 
 def assemble_scalars(spark: SparkSession, folder: str) -> DataFrame:
@@ -86,9 +91,12 @@ def ranked(table: str, column: str) -> str:
         FROM {table} GROUP BY {column}"""
 
 
-def flags(count: int, prefix: str, start: int = 0) -> str:
-    return ", ".join(f"(idx = {i})::INTEGER::DOUBLE AS {prefix}{i + start}" for i in range(count))
-
+# The last category has no entry.
+FLAGS = f"""
+    ranks AS ({ranked("customer", "c_mktsegment")}),
+    places AS (SELECT idx AS place FROM ranks WHERE idx < (SELECT max(idx) FROM ranks)),
+    flags AS (SELECT c_custkey, place::INTEGER AS position, (idx = place)::INTEGER::DOUBLE AS entry
+              FROM customer JOIN ranks USING (c_mktsegment), places)"""
 
 SQL = {
     "string_index": f"""
@@ -99,11 +107,11 @@ SQL = {
         SELECT idx AS c_mktsegment_index, c_mktsegment AS value
         FROM ({ranked("customer", "c_mktsegment")})""",
     "one_hot": f"""
-        SELECT c_custkey, {flags(4, "v")}
-        FROM customer JOIN ({ranked("customer", "c_mktsegment")}) USING (c_mktsegment)""",
+        WITH {FLAGS} SELECT * FROM flags""",
     "assemble": f"""
-        SELECT c_custkey, c_acctbal AS f0, {flags(4, "f", 1)}
-        FROM customer JOIN ({ranked("customer", "c_mktsegment")}) USING (c_mktsegment)""",
+        WITH {FLAGS}
+        SELECT c_custkey, 0 AS position, c_acctbal AS entry FROM customer
+        UNION ALL SELECT c_custkey, position + 1, entry FROM flags""",
     "assemble_scalars": """
         SELECT l_orderkey, l_quantity AS f0, l_discount AS f1, l_linenumber::DOUBLE AS f2
         FROM lineitem""",
