@@ -239,6 +239,12 @@ def test_recommendations(spark, watched, rows):
     )
     new = new_recommendations(model, users, rated)
     assert new.join(rated, ["user", "course"]).count() == 0
+    known = {u: rated.where(F.col("user") == u).count() for u in (1, 2)}
+    assert known[1] > 5 or known[2] > 5
+    assert rows(new.groupBy("user").agg(F.count("*"), F.max("rank"))) == [
+        (u, min(5, 12 - known[u]), min(5, 12 - known[u])) for u in (1, 2)
+    ]
+    assert new_recommendations(model, users.limit(0), rated).count() == 0
     beside = with_history(model, users, rated)
     watched_rows = rated.where("user IN (1, 2)").count()
     assert rows(beside.groupBy("kind").count()) == [("new", 10), ("watched", watched_rows)]

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.caching import spread
+from tidemark.operators.caching import reused, spread
 from tidemark.operators.models import als, als_blocks, int_ids, recommend
 
 PERCENT = 100
@@ -24,10 +26,25 @@ def fit_recommender(ratings: DataFrame, user: str, item: str, rating: str) -> AL
 
 
 def new_recommendations(model: ALSModel, users: DataFrame, history: DataFrame, k: int = 5) -> DataFrame:
-    """Top ``k`` items of ``users`` without what their history already holds."""
+    """Top ``k`` items of ``users`` that are not in their history, ranked anew from 1.
+
+    Everyone gets ``k`` items, if the model knows so many that are new. Users are taken together by the
+    length of their history up to the next power of two, so few of them are asked for many items.
+    """
     user, item = model.getUserCol(), model.getItemCol()
-    seen = history.select(user, item).distinct()
-    return recommend(model, users, k).join(seen, [user, item], "left_anti")
+    seen = history.join(users.select(user).distinct(), user, "left_semi").select(user, item).distinct()
+    asked = users.select(user).distinct().join(seen.groupBy(user).count(), user, "left")
+    seen_bits = F.length(F.bin(F.coalesce("count", F.lit(0)))) * (F.coalesce("count", F.lit(0)) > 0).cast("int")
+    with reused(asked.select(user, seen_bits.alias("bits"))) as sized:
+        sizes = [row.bits for row in sized.select("bits").distinct().collect()]  # 32 at most
+        found = [recommend(model, sized.where(F.col("bits") == b), k + 2**b - 1) for b in sorted(sizes)]
+        if not found:
+            found = [recommend(model, users, k)]
+        unseen = reduce(DataFrame.unionByName, found).join(seen, [user, item], "left_anti")
+    order = Window.partitionBy(user).orderBy("rank")
+    return unseen.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
+        user, "rank", item, "rating"
+    )
 
 
 def with_history(model: ALSModel, users: DataFrame, history: DataFrame, k: int = 5) -> DataFrame:

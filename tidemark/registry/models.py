@@ -253,6 +253,23 @@ def als_new_items(spark: SparkSession, folder: str) -> DataFrame:
     return new_recommendations(model, urgent_users(spark, folder), rated)
 
 
+def als_new_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """New items per asked user: how many, their ranks, and how many of them the user has rated."""
+    model, rated = fitted(spark, folder)
+    new = new_recommendations(model, urgent_users(spark, folder), rated)
+    known = rated.select("o_custkey", "l_partkey", F.lit(1).alias("known"))
+    return (
+        new.join(known, ["o_custkey", "l_partkey"], "left")
+        .groupBy("o_custkey")
+        .agg(
+            F.count_distinct("l_partkey").alias("items"),
+            F.min("rank").alias("first_rank"),
+            F.max("rank").alias("last_rank"),
+            F.count("known").alias("known"),
+        )
+    )
+
+
 def als_with_history(spark: SparkSession, folder: str) -> DataFrame:
     model, rated = fitted(spark, folder)
     return with_history(model, urgent_users(spark, folder), rated)
@@ -284,6 +301,7 @@ QUERIES = {
     "als_topk": als_topk,
     "als_topk_all": als_topk_all,
     "als_new_items": als_new_items,
+    "als_new_counts": als_new_counts,
     "als_with_history": als_with_history,
 }
 
@@ -338,6 +356,17 @@ SQL = {
     "accuracy": f"""
         WITH {GUESSES}
         SELECT round(avg((label = prediction)::INTEGER::DOUBLE), 10) AS accuracy FROM guesses""",
+    # Five, or as many parts as the user has not ordered yet.
+    "als_new_counts": """
+        WITH rated AS (SELECT DISTINCT o_custkey, l_partkey
+                       FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+        urgent AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'),
+        news AS (SELECT o_custkey,
+                        least(5, (SELECT count(DISTINCT l_partkey) FROM rated) - count(*)) AS n
+                 FROM rated JOIN urgent USING (o_custkey) GROUP BY o_custkey)
+        SELECT o_custkey::INTEGER AS o_custkey, n AS items, 1 AS first_rank, n::INTEGER AS last_rank,
+               0::BIGINT AS known
+        FROM news WHERE n > 0""",
     "cluster_sizes": "SELECT label, count(*) AS total FROM embeddings GROUP BY label",
     "cluster_sse": f"""
         WITH {DIMENSIONS}, spread AS (
