@@ -1,6 +1,7 @@
 """Command line of the jobs: ``spark-submit jobs.py <job> <files>`` or ``python -m tidemark.jobs``.
 
-Reports are shown; nothing unbounded is brought to the driver.
+With ``--output`` each report is written whole to a folder of its name, otherwise its first rows are
+shown; nothing unbounded is brought to the driver.
 """
 
 from __future__ import annotations
@@ -24,13 +25,14 @@ from tidemark.plans.course_popularity import course_scores
 from tidemark.plans.exam_flags import pass_flags
 from tidemark.plans.keywords import course_keywords
 from tidemark.plans.live_views import start_course_leaderboard, viewing_seconds_sql
-from tidemark.plans.log_reports import REPORT_ROWS, month_report, rows_per_key, start_level_counts
+from tidemark.plans.log_reports import month_report, rows_per_key, start_level_counts
 from tidemark.session import build_session, shared_folder
 from tidemark.sources import schemas
 from tidemark.sources.files import read_csv, read_csv_strings, read_lines
 from tidemark.sources.sinks import console_writer
 from tidemark.sources.streams import kafka_values, log_levels, socket_lines
-from tidemark.streaming.windows import with_event_time
+from tidemark.streaming.updates import start_updates
+from tidemark.streaming.windows import flat_window, with_event_time
 
 SHOWN = 50
 STREAM_DELAY = "10 minutes"
@@ -52,10 +54,19 @@ def show(df: DataFrame, rows: int = SHOWN) -> None:
     df.show(rows, truncate=False)
 
 
+def deliver(args: argparse.Namespace, **reports: DataFrame) -> None:
+    """Write all rows of the reports below ``--output``, or show the first of each without it."""
+    for name, report in reports.items():
+        if args.output:
+            report.write.parquet(f"{args.output.rstrip('/')}/{name}")
+        else:
+            show(report)
+
+
 def log_report(spark: SparkSession, args: argparse.Namespace) -> None:
     """Log lines by level and month."""
     log = read_csv_strings(spark, args.log)
-    show(month_report(log.withColumn("datetime", parse_log_time(F.col("datetime")))), REPORT_ROWS)
+    deliver(args, months=month_report(log.withColumn("datetime", parse_log_time(F.col("datetime")))))
 
 
 def score_courses(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -63,20 +74,19 @@ def score_courses(spark: SparkSession, args: argparse.Namespace) -> None:
     views = read_csv(spark, args.views, schemas.VIEWS, header=False)
     chapters = read_csv(spark, args.chapters, schemas.CHAPTERS, header=False)
     titles = read_csv(spark, args.titles, schemas.TITLES, header=False)
-    show(course_scores(views, chapters, titles))
+    deliver(args, scores=course_scores(views, chapters, titles))
 
 
 def flag_exams(spark: SparkSession, args: argparse.Namespace) -> None:
     """Exam results with a pass flag."""
-    show(pass_flags(read_csv_strings(spark, args.results)))
+    deliver(args, flags=pass_flags(read_csv_strings(spark, args.results)))
 
 
 def profile_keys(spark: SparkSession, args: argparse.Namespace) -> None:
     """Rows per first field of a log."""
     lines = read_lines(spark, args.log, args.header)
     sizes, number = rows_per_key(lines.select(field(F.col("value"), 0, args.delimiter).alias("key")), "key")
-    show(sizes.orderBy(F.desc("key_rows")))
-    show(number)
+    deliver(args, keys=sizes.orderBy(F.desc("key_rows")), number=number)
 
 
 def live_levels(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -98,26 +108,30 @@ def live_leaderboard(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def live_seconds(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Viewing time per course and two minutes on the console, from Kafka."""
-    views = with_event_time(kafka_values(spark, args.servers, [args.topic]), "timestamp", STREAM_DELAY)
-    seconds = viewing_seconds_sql(spark, views, "value", "timestamp")
-    console_writer(seconds).option("checkpointLocation", args.checkpoint).start().awaitTermination()
+    """Viewing time per course and two minutes from Kafka: as updates, or on the console without --output."""
+    views = kafka_values(spark, args.servers, [args.topic], group_id=args.group)
+    seconds = viewing_seconds_sql(spark, with_event_time(views, "timestamp", STREAM_DELAY), "value", "timestamp")
+    if args.output:
+        query = start_updates(flat_window(seconds), args.output, args.checkpoint, "1 second")
+    else:
+        query = console_writer(seconds).option("checkpointLocation", args.checkpoint).start()
+    query.awaitTermination()
 
 
 def predict_repetitions(spark: SparkSession, args: argparse.Namespace) -> None:
     """Regression of competition repetitions."""
     data = read_csv(spark, args.competition, schemas.COMPETITION)
     model = forecasts.linear_fit(data, "NoOfReps", GYM_NUMERIC, ["Gender"])
-    show(forecasts.linear_weights(model, data))
-    show(metrics.regression_metrics(model.transform(data), "NoOfReps"))
+    fit = metrics.regression_metrics(model.transform(data), "NoOfReps")
+    deliver(args, weights=forecasts.linear_weights(model, data), fit=fit)
 
 
 def screen_houses(spark: SparkSession, args: argparse.Namespace) -> None:
     """Correlations among house features."""
     houses = read_csv(spark, args.houses, None)
-    show(describe_columns(houses, [c for c in houses.columns if c not in HOUSE_DROPPED]))
-    for report in forecasts.screen_features(houses, "price", HOUSE_DROPPED, HOUSE_DROPPED_LATER):
-        show(report)
+    summary = describe_columns(houses, [c for c in houses.columns if c not in HOUSE_DROPPED])
+    target, pairs = forecasts.screen_features(houses, "price", HOUSE_DROPPED, HOUSE_DROPPED_LATER)
+    deliver(args, summary=summary, target=target, pairs=pairs)
 
 
 def predict_prices(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -127,8 +141,7 @@ def predict_prices(spark: SparkSession, args: argparse.Namespace) -> None:
     model = forecasts.searched_regression(
         houses.withColumn("sqft_above_percentage", share), "id", "price", HOUSE_NUMERIC, HOUSE_CATEGORICAL
     )
-    show(model.candidates())
-    show(forecasts.regression_report(model, "price"))
+    deliver(args, candidates=model.candidates(), fit=forecasts.regression_report(model, "price"))
 
 
 def forecast_views(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -138,9 +151,8 @@ def forecast_views(spark: SparkSession, args: argparse.Namespace) -> None:
         forecasts.with_views_label(views), "row_key", "label", VIEWS_NUMERIC, VIEWS_CATEGORICAL,
         forecasts.VIEWS_GRID, train_tenths=9,
     )
-    show(model.candidates())
-    show(model.weights())
-    show(forecasts.regression_report(model, "label"))
+    fit = forecasts.regression_report(model, "label")
+    deliver(args, candidates=model.candidates(), weights=model.weights(), fit=fit)
 
 
 def predict_churn(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -149,9 +161,8 @@ def predict_churn(spark: SparkSession, args: argparse.Namespace) -> None:
     model = forecasts.searched_churn(
         forecasts.with_inactive_label(views), "row_key", CHURN_NUMERIC, VIEWS_CATEGORICAL
     )
-    show(model.candidates())
-    for report in forecasts.churn_report(model):
-        show(report)
+    rates, confusion = forecasts.churn_report(model)
+    deliver(args, candidates=model.candidates(), rates=rates, confusion=confusion)
 
 
 def convert_trials(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -160,17 +171,20 @@ def convert_trials(spark: SparkSession, args: argparse.Namespace) -> None:
     training, holdout = hash_split(with_row_key(trials), "row_key")
     for kind in ("tree", "forest"):
         model = conversions.fit_conversion(training, kind)
-        show(conversions.country_indexes(model, training))
         print(conversions.rules_text(model))
         names = ["country_index", *conversions.USAGE]
-        show(importance_rows(model.stages[-1], training, names))
-        show(metrics.accuracy(model.transform(holdout)))
+        reports = {
+            f"{kind}_countries": conversions.country_indexes(model, training),
+            f"{kind}_importance": importance_rows(model.stages[-1], training, names),
+            f"{kind}_accuracy": metrics.accuracy(model.transform(holdout)),
+        }
+        deliver(args, **reports)
 
 
 def cluster_competitors(spark: SparkSession, args: argparse.Namespace) -> None:
     """Two to seven clusters of competitors."""
     data = read_csv(spark, args.competition, schemas.COMPETITION)
-    show(cluster_report(data, [*GYM_NUMERIC, "NoOfReps"], ["Gender"]))
+    deliver(args, clusters=cluster_report(data, [*GYM_NUMERIC, "NoOfReps"], ["Gender"]))
 
 
 def recommend_courses(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -179,16 +193,16 @@ def recommend_courses(spark: SparkSession, args: argparse.Namespace) -> None:
     rated = recommendations.percent_ratings(read_csv(spark, args.ratings, schemas.COURSE_RATINGS), *columns)
     users = read_csv(spark, args.users, schemas.COURSE_RATINGS)
     model = recommendations.fit_recommender(rated, *columns)
-    show(model.transform(users))
-    show(recommend(model, users).orderBy("userId", "rank"))
+    best = recommend(model, users).orderBy("userId", "rank")
+    deliver(args, predictions=model.transform(users), recommendations=best)
 
 
 def find_keywords(spark: SparkSession, args: argparse.Namespace) -> None:
     """Words of courses that not all of them use, from files named by course."""
     lines = read_lines(spark, args.texts).withColumn("course", F.col("_metadata.file_name"))
     keywords = course_keywords(lines, "course", "value")
-    show(keywords.orderBy(F.desc("n"), "course", "word"))
-    show(count_by(keywords, "course", name="keywords").orderBy("course"))
+    numbers = count_by(keywords, "course", name="keywords").orderBy("course")
+    deliver(args, keywords=keywords.orderBy(F.desc("n"), "course", "word"), numbers=numbers)
 
 
 FILES = {
@@ -221,6 +235,7 @@ def parser() -> argparse.ArgumentParser:
         job = jobs.add_parser(name, help=run.__doc__)
         for file in files:
             job.add_argument(file, help="path or glob")
+        job.add_argument("--output", help="folder for whole reports as Parquet; must not hold them yet")
         job.set_defaults(run=run)
         if name == "rows-per-key":
             job.add_argument("--delimiter", default=",")
@@ -244,7 +259,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"tidemark {args.job}", args.master)
     if args.job in STREAMS:
-        args.output = args.output or shared_folder(spark, f"{args.job}-output")
+        if args.job != "live-seconds":
+            args.output = args.output or shared_folder(spark, f"{args.job}-output")
         args.checkpoint = args.checkpoint or shared_folder(spark, f"{args.job}-checkpoint")
     args.run(spark, args)
 
