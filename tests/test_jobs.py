@@ -90,6 +90,17 @@ def test_job(spark, tmp_path, capsys, job):
         assert text in shown
 
 
+def test_whole_reports_are_written(spark, tmp_path, capsys):
+    """All 144 groups of twelve levels, not only what fits on a screen; nothing is written over."""
+    days = [(f"L{level}", f"2024-{month}-1 10:00:00") for level in range(12) for month in range(1, 13)]
+    (tmp_path / "log.csv").write_text(csv("level,datetime", days))
+    main(["log-report", str(tmp_path / "log.csv"), "--output", f"{tmp_path}/out"])
+    assert spark.read.parquet(f"{tmp_path}/out/months").count() == 144
+    assert "L1" not in capsys.readouterr().out
+    with pytest.raises(Exception, match="(?i)exist"):
+        main(["log-report", str(tmp_path / "log.csv"), "--output", f"{tmp_path}/out"])
+
+
 def test_live_jobs_need_the_kafka_connector(spark):
     for job in ("live-leaderboard", "live-seconds"):
         with pytest.raises(Exception, match="(?i)kafka"):
