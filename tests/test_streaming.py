@@ -129,6 +129,9 @@ def test_two_steps_equal_direct_sliding(spark, files, rows):
         F.sum(F.lit(5)).alias("s")
     )
     assert rows(flat_window(found)) == rows(flat_window(direct))
+    long = sliding_sum(events, "ts", "3 days", "7 hours 12 minutes", ["course"], F.lit(5), "s")
+    direct = events.groupBy(F.window("ts", "3 days", "7 hours 12 minutes"), "course").agg(F.sum(F.lit(5)).alias("s"))
+    assert rows(flat_window(long)) == rows(flat_window(direct))
 
 
 def test_row_behind_the_watermark_is_dropped(spark, files, tmp_path):

@@ -48,18 +48,20 @@ def _windows_of_blocks(
     A sum goes to the one or two blocks in which windows that hold it start, and is repeated there.
     """
     long, step = F.expr(f"INTERVAL '{size}'"), F.expr(f"INTERVAL '{slide}'")
-    starts = F.sequence(F.col("_start") - long + step, F.col("_start"), step)
+    first, last = F.col("_start") - long + step, F.col("_start")
+    starts = F.sequence(first, last, step)
     hour = F.lit(0).cast("timestamp") + long <= F.lit(3600).cast("timestamp")
 
     def block(start: Column) -> Column:
         return F.when(hour, F.date_trunc("hour", start)).otherwise(F.date_trunc("day", start))
 
     parts = steps.select(*keys, F.col("_step.start").alias("_start"), "_part")
-    blocks = F.explode(F.array_distinct(F.transform(starts, block)))
-    dealt = parts.withColumn("_block", blocks).repartition(*keys, "_block")
-    own = F.filter(starts, lambda start: block(start) == F.col("_block"))
+    # windows of an hour or less start in two blocks at most
+    blocks = F.when(hour, F.array(block(first), block(last))).otherwise(F.transform(starts, block))
+    dealt = parts.withColumn("_block", F.explode(F.array_distinct(blocks))).repartition(*keys, "_block")
     sums = (
-        dealt.withColumn("_begin", F.explode(own))
+        dealt.withColumn("_begin", F.explode(starts))
+        .where(block(F.col("_begin")) == F.col("_block"))
         .groupBy(*keys, "_block", "_begin")
         .agg(F.sum("_part").alias(name))
     )
