@@ -21,7 +21,7 @@ from tidemark.operators.features import (
     one_hot_encoder,
     string_indexer,
 )
-from tidemark.operators.models import als, feature_names, kmeans, parameter_grid, recommend
+from tidemark.operators.models import als, feature_names, kmeans, number_ids, parameter_grid, validation_search
 from tidemark.plans.forecasts import (
     churn_report,
     clean_chapter_views,
@@ -35,6 +35,8 @@ from tidemark.plans.recommendations import (
     fit_recommender,
     new_recommendations,
     percent_ratings,
+    score,
+    top_items,
     with_history,
 )
 from tidemark.sources import schemas
@@ -161,6 +163,28 @@ def test_searched_regression(houses):
     assert len(model.pipeline.stages) == 4
 
 
+def test_the_search_does_not_depend_on_partitions(houses):
+    grid = {"regParam": (0.01, 50.0), "elasticNetParam": (0.0, 1.0)}
+    first = searched_regression(houses.coalesce(1), "id", "price", ["size"], ["grade"], grid).search
+    other = searched_regression(houses.repartition(17), "id", "price", ["size"], ["grade"], grid).search
+    assert first.chosen == other.chosen
+    assert all(math.isclose(a, b, rel_tol=1e-9) for a, b in zip(first.metrics, other.metrics, strict=True))
+
+
+def test_equal_metrics_choose_the_first_and_large_ones_only_where_better(spark):
+    line = spark.range(40).select(
+        F.col("id").cast("double").alias("label"),
+        array_to_vector(F.array(F.col("id").cast("double"))).alias("features"),
+        (F.col("id") % 4 == 0).alias("judge"),
+    )
+    regression = LinearRegression()
+    grid = parameter_grid(regression, {"regParam": (9.0, 0.0, 0.0)})
+    for metric in ("rmse", "r2"):
+        found = validation_search(regression, grid, RegressionEvaluator(metricName=metric), line, "judge")
+        assert found.chosen == 1 and len(found.metrics) == 3
+        assert math.isclose(found.best.coefficients[0], 1.0, rel_tol=1e-6)
+
+
 def test_indexes_are_fitted_on_training_rows_only(houses):
     rare = houses.withColumn("grade", F.when(F.col("id") == 1, "unique").otherwise(F.col("grade")))
     training, holdout = hash_split(rare, "id")
@@ -223,18 +247,18 @@ def watched(spark):
 
 def test_recommendations(spark, watched, rows):
     rated = percent_ratings(watched, "user", "course", "share")
-    assert dict(rated.dtypes)["user"] == "int" and rated.agg(F.max("share")).first()[0] <= 100
+    assert rated.agg(F.max("share")).first()[0] <= 100
     model = fit_recommender(rated, "user", "course", "share")
-    strangers = spark.createDataFrame([(1, 1), (1, 99), (777, 1)], "user int, course int")
-    assert rows(model.transform(strangers).select("user", "course")) == [(1, 1)]
-    users = spark.createDataFrame([(1,), (2,), (2,), (777,)], "user int")
-    found = recommend(model, users, 5)
+    strangers = spark.createDataFrame([(1, 1), (1, 99), (777, 1)], "user bigint, course bigint")
+    assert rows(score(model, strangers).select("user", "course")) == [(1, 1)]
+    users = spark.createDataFrame([(1,), (2,), (2,), (777,)], "user bigint")
+    found = top_items(model, users, 5)
     assert rows(found.groupBy("user").count()) == [(1, 5), (2, 5)]
     by_rank = [r.rating for r in found.where("user = 1").orderBy("rank").collect()]
     assert by_rank == sorted(by_rank, reverse=True)
-    assert recommend(model, None, 3).count() == 30 * 3
+    assert top_items(model, None, 3).count() == 30 * 3
     again = fit_recommender(rated, "user", "course", "share")
-    assert rows(recommend(again, users, 5).select("user", "rank", "course")) == rows(
+    assert rows(top_items(again, users, 5).select("user", "rank", "course")) == rows(
         found.select("user", "rank", "course")
     )
     new = new_recommendations(model, users, rated)
@@ -250,10 +274,27 @@ def test_recommendations(spark, watched, rows):
     assert rows(beside.groupBy("kind").count()) == [("new", 10), ("watched", watched_rows)]
 
 
-def test_ids_outside_the_int_range_raise(spark):
-    big = spark.createDataFrame([(2**40, 1, 0.5)], "user bigint, course bigint, share double")
-    with pytest.raises(Exception, match="CAST_OVERFLOW"):
-        percent_ratings(big, "user", "course", "share").collect()
+def test_ids_of_any_type(spark, watched, rows):
+    """Ids beyond int and of text give the same recommendations; rows without an id teach nothing."""
+    named = watched.select(
+        (F.col("user") + 2**40).alias("user"), F.concat(F.lit("course "), "course").alias("course"), "share"
+    )
+    lost = spark.createDataFrame([(None, "course 1", 0.5), (2**40, None, 0.5)], named.schema)
+    model = fit_recommender(named.unionByName(lost), "user", "course", "share")
+    users = spark.createDataFrame([(2**40 + 1,), (5,), (None,)], "user bigint")
+    found = top_items(model, users, 4)
+    assert dict(found.dtypes) == {"user": "bigint", "rank": "int", "course": "string", "rating": "float"}
+    assert [r[:2] for r in rows(found)] == [(2**40 + 1, rank) for rank in (1, 2, 3, 4)]
+    assert {r.course for r in found.collect()} <= {f"course {c}" for c in range(12)}
+    assert score(model, named).count() == named.count()
+
+
+def test_numbers_of_ids_have_no_gaps(spark, rows):
+    ids = spark.createDataFrame([(f"id {i % 40}",) for i in range(100)] + [(None,)], "id string")
+    numbered = number_ids(ids, "id", "n", buckets=7)
+    assert sorted(r.n for r in numbered.collect()) == list(range(40))
+    assert rows(number_ids(ids.repartition(5), "id", "n", buckets=7)) == rows(numbered)
+    assert number_ids(ids.limit(0), "id", "n").count() == 0
 
 
 def test_als_settings():

@@ -17,7 +17,7 @@ from tidemark.functions.times import parse_log_time
 from tidemark.operators import metrics
 from tidemark.operators.aggregates import count_by
 from tidemark.operators.features import hash_split, with_row_key
-from tidemark.operators.models import importance_rows, recommend
+from tidemark.operators.models import importance_rows
 from tidemark.operators.statistics import describe_columns
 from tidemark.plans import conversions, forecasts, recommendations
 from tidemark.plans.clusters import cluster_report
@@ -146,7 +146,7 @@ def predict_prices(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def forecast_views(spark: SparkSession, args: argparse.Namespace) -> None:
     """Searched regression of next month's chapter views."""
-    views = with_row_key(forecasts.clean_chapter_views(read_csv(spark, args.views, None)))
+    views = with_row_key(forecasts.clean_chapter_views(read_csv(spark, args.views, schemas.CHAPTER_VIEWS)))
     model = forecasts.searched_regression(
         forecasts.with_views_label(views), "row_key", "label", VIEWS_NUMERIC, VIEWS_CATEGORICAL,
         forecasts.VIEWS_GRID, train_tenths=9,
@@ -157,7 +157,7 @@ def forecast_views(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def predict_churn(spark: SparkSession, args: argparse.Namespace) -> None:
     """Searched classification of inactive customers."""
-    views = with_row_key(forecasts.clean_chapter_views(read_csv(spark, args.views, None)))
+    views = with_row_key(forecasts.clean_chapter_views(read_csv(spark, args.views, schemas.CHAPTER_VIEWS)))
     model = forecasts.searched_churn(
         forecasts.with_inactive_label(views), "row_key", CHURN_NUMERIC, VIEWS_CATEGORICAL
     )
@@ -193,8 +193,8 @@ def recommend_courses(spark: SparkSession, args: argparse.Namespace) -> None:
     rated = recommendations.percent_ratings(read_csv(spark, args.ratings, schemas.COURSE_RATINGS), *columns)
     users = read_csv(spark, args.users, schemas.COURSE_RATINGS)
     model = recommendations.fit_recommender(rated, *columns)
-    best = recommend(model, users).orderBy("userId", "rank")
-    deliver(args, predictions=model.transform(users), recommendations=best)
+    best = recommendations.top_items(model, users).orderBy("userId", "rank")
+    deliver(args, predictions=recommendations.score(model, users), recommendations=best)
 
 
 def find_keywords(spark: SparkSession, args: argparse.Namespace) -> None:

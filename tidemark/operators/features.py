@@ -78,9 +78,12 @@ def feature_stages(numeric: Sequence[str], categorical: Sequence[str], unseen: s
     return [indexer, encoder, assembler([*numeric, *encoder.getOutputCols()])]
 
 
-def hash_bucket(key: Column, buckets: int = 10) -> Column:
-    """Bucket of a key from its MD5 digest, the same on every run, cluster and engine."""
-    digest = F.substring(F.md5(key.cast("string")), 1, 8)
+def hash_bucket(key: Column, buckets: int = 10, digits: int = 0) -> Column:
+    """Bucket of a key from its MD5 digest, the same on every run, cluster and engine.
+
+    ``digits`` chooses one of four independent eight-digit parts of the digest, for splits of splits.
+    """
+    digest = F.substring(F.md5(key.cast("string")), 1 + 8 * digits, 8)
     return F.conv(digest, 16, 10).cast("bigint") % buckets
 
 
@@ -92,8 +95,8 @@ def with_row_key(df: DataFrame, name: str = "row_key") -> DataFrame:
     return df.withColumn(name, F.xxhash64(*df.columns))
 
 
-def in_first_part(key: str, tenths: int = 8) -> Column:
-    return F.coalesce(hash_bucket(F.col(key)) < tenths, F.lit(False))
+def in_first_part(key: str, tenths: int = 8, digits: int = 0) -> Column:
+    return F.coalesce(hash_bucket(F.col(key), digits=digits) < tenths, F.lit(False))
 
 
 def hash_split(df: DataFrame, key: str, tenths: int = 8) -> tuple[DataFrame, DataFrame]:

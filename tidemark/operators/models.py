@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
-from pyspark.sql import DataFrame
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.caching import spread
 from tidemark.operators.metrics import silhouette
 
 SEED = 42
-INT_MAX = 2**31 - 1
+# Hash buckets of ids; their sizes are summed in one task.
+ID_BUCKETS = 4096
 
 
 def parameter_grid(estimator: Estimator, values: Mapping[str, Sequence[float]]) -> list:
@@ -26,36 +29,47 @@ def parameter_grid(estimator: Estimator, values: Mapping[str, Sequence[float]])
     return builder.build()
 
 
+@dataclass
+class Search:
+    """Result of a parameter search: the best candidate fitted on all rows, and every candidate's metric."""
+
+    best: Model
+    grid: list
+    metrics: list[float]
+    chosen: int
+
+
 def validation_search(
-    estimator: Estimator,
-    grid: list,
-    evaluator: Evaluator,
-    train_ratio: float = 0.8,
-    seed: int = SEED,
+    estimator: Estimator, grid: list, evaluator: Evaluator, data: DataFrame, validation: str,
     parallelism: int = 4,
-) -> TrainValidationSplit:
-    """Search of the grid on one split; ``parallelism`` candidates are fitted at a time."""
-    return TrainValidationSplit(
-        estimator=estimator,
-        estimatorParamMaps=grid,
-        evaluator=evaluator,
-        trainRatio=train_ratio,
-        seed=seed,
-        parallelism=parallelism,
-    )
+) -> Search:
+    """Fit the grid on the rows of ``data`` where ``validation`` is false and judge it on the others.
+
+    The column is given by the caller, from a hash of the key, so the rows and with them the choice do
+    not depend on how ``data`` is partitioned. ``parallelism`` candidates are fitted at a time; of
+    equal metrics the first wins. ``data`` is read many times and should be kept.
+    """
+    fitted = estimator.fitMultiple(data.where(~F.col(validation)), grid)
+    judged = data.where(validation)
 
+    def judge(_: int) -> tuple[int, float]:
+        position, model = next(fitted)
+        return position, float(evaluator.evaluate(model.transform(judged)))
 
-def search_results(searched: TrainValidationSplitModel, data: DataFrame) -> DataFrame:
+    with ThreadPoolExecutor(parallelism) as pool:
+        metrics = [metric for _, metric in sorted(pool.map(judge, range(len(grid))))]
+    best = max if evaluator.isLargerBetter() else min
+    chosen = metrics.index(best(metrics))
+    return Search(estimator.fit(data, grid[chosen]), grid, metrics, chosen)
+
+
+def search_results(search: Search, data: DataFrame) -> DataFrame:
     """One row per candidate: its parameters, ``metric``, and whether it was ``chosen``."""
-    best = max if searched.getEvaluator().isLargerBetter() else min
-    chosen = best(searched.validationMetrics)
-    rows, seen = [], False
-    for params, metric in zip(searched.getEstimatorParamMaps(), searched.validationMetrics):
-        is_best = metric == chosen and not seen
-        seen = seen or is_best
+    rows = []
+    for position, (params, metric) in enumerate(zip(search.grid, search.metrics)):
         named = {p.name: float(v) for p, v in params.items()}
-        rows.append((*[named[k] for k in sorted(named)], float(metric), is_best))
-    names = sorted(p.name for p in searched.getEstimatorParamMaps()[0])
+        rows.append((*[named[k] for k in sorted(named)], metric, position == search.chosen))
+    names = sorted(p.name for p in search.grid[0])
     schema = ", ".join([*[f"{n} double" for n in names], "metric double", "chosen boolean"])
     return data.sparkSession.createDataFrame(rows, schema)
 
@@ -100,9 +114,20 @@ def kmeans_sweep(
     )
 
 
-def int_ids(df: DataFrame, *columns: str) -> DataFrame:
-    """Cast id columns to int as ALS needs; an id outside the int range raises."""
-    return df.withColumns({c: F.col(c).cast("int") for c in columns})
+def number_ids(df: DataFrame, column: str, name: str, buckets: int = ID_BUCKETS) -> DataFrame:
+    """``column, name``: the distinct ids of any type and an int for each, from 0 without gaps.
+
+    Ids are numbered within hash buckets, and buckets follow one another, so the numbers are the same on
+    every run. ALS takes 2^31 ids at most, hence a bucket holds half a million. Null ids get no number.
+    """
+    ids = df.select(column).where(F.col(column).isNotNull()).distinct()
+    bucketed = ids.withColumn("_bucket", F.pmod(F.xxhash64(column), F.lit(buckets)))
+    sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_size"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_bucket").orderBy(column)) - 1
+    placed = bucketed.withColumn("_place", place).join(starts, "_bucket")
+    return placed.select(column, (F.col("_start") + F.col("_place")).cast("int").alias(name))
 
 
 def als(user: str, item: str, rating: str, seed: int = SEED, blocks: int = 10) -> ALS:

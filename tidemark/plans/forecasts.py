@@ -5,19 +5,19 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, RegressionEvaluator
 from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.rules import inactive_label, zero_if_null
-from tidemark.operators.caching import spread
-from tidemark.operators.features import check_categories, feature_stages, in_first_part
+from tidemark.operators.caching import reused, spread
+from tidemark.operators.features import MOST_CATEGORIES, check_categories, feature_stages, in_first_part
 from tidemark.operators.metrics import binary_rates, confusion_counts, regression_metrics
 from tidemark.operators.models import (
+    Search,
     feature_names,
     parameter_grid,
     search_results,
@@ -30,13 +30,15 @@ from tidemark.operators.statistics import correlation_matrix, correlations_with
 HOUSE_GRID = {"regParam": (0.01, 0.5, 0.1), "elasticNetParam": (0.0, 0.5, 1.0)}
 VIEWS_GRID = {"regParam": (0.01, 0.1, 0.3, 0.5, 0.7, 1.0), "elasticNetParam": (0.0, 0.5, 1.0)}
 
+VALIDATION = "_validation"
+
 
 def linear_fit(
     df: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str] = (),
-    unseen: str = "error",
+    unseen: str = "error", most_categories: int = MOST_CATEGORIES,
 ) -> PipelineModel:
     """Pipeline of feature stages and a linear regression without regularisation."""
-    check_categories(df, categorical)
+    check_categories(df, categorical, most_categories)
     regression = LinearRegression(labelCol=label)
     return Pipeline(stages=[*feature_stages(numeric, categorical, unseen), regression]).fit(df)
 
@@ -60,12 +62,13 @@ def screen_features(
 
 @dataclass
 class SearchedModel:
-    """A fitted pipeline whose last stage is a search, with the data it was fitted and judged on.
+    """A pipeline that ends in the best model of a search, with the data it was fitted and judged on.
 
     ``data`` has a column ``part`` with the values ``training`` and ``holdout``.
     """
 
     pipeline: PipelineModel
+    search: Search
     data: DataFrame
 
     @property
@@ -76,13 +79,9 @@ class SearchedModel:
     def holdout(self) -> DataFrame:
         return self.data.where("part = 'holdout'")
 
-    @property
-    def search(self):
-        return self.pipeline.stages[-1]
-
     @property
     def best(self):
-        return self.search.bestModel
+        return self.search.best
 
     def candidates(self) -> DataFrame:
         return search_results(self.search, self.training)
@@ -93,34 +92,38 @@ class SearchedModel:
 
 def _searched(
     df: DataFrame, key: str, label: str, numeric: Sequence[str], categorical: Sequence[str],
-    search: TrainValidationSplit, train_tenths: int,
+    estimator: Estimator, grid: Mapping[str, Sequence[float]], evaluator: Evaluator, train_tenths: int,
+    most_categories: int,
 ) -> SearchedModel:
-    """Fit the feature stages and then ``search`` on the training part of ``df``.
+    """Fit the feature stages and then search ``grid`` on the training part of ``df``.
 
-    The source is read once: the columns of the model are kept for all passes. The search keeps its
-    own two parts, so it gets the label and the vector only.
+    Both splits, training from held-out rows and fitting from validation rows, hash ``key`` with other
+    digits of its digest. The source is read once: the columns of the model are kept for all passes.
     """
     part = F.when(in_first_part(key, train_tenths), "training").otherwise("holdout")
     data = df.withColumn("part", part)
-    training = data.where("part = 'training'").select(label, *numeric, *categorical)
-    with spread(training) as rows:
-        check_categories(rows, categorical)
+    validation = (~in_first_part(key, train_tenths, digits=1)).alias(VALIDATION)
+    training = data.where("part = 'training'").select(label, *numeric, *categorical, validation)
+    with reused(training) as rows:
+        check_categories(rows, categorical, most_categories)
         features = Pipeline(stages=feature_stages(numeric, categorical)).fit(rows)
-        searched = search.fit(features.transform(rows).select(label, "features"))
-    return SearchedModel(PipelineModel([*features.stages, searched]), data)
+        with spread(features.transform(rows).select(label, "features", VALIDATION)) as vectors:
+            search = validation_search(
+                estimator, parameter_grid(estimator, grid), evaluator, vectors, VALIDATION
+            )
+    return SearchedModel(PipelineModel([*features.stages, search.best]), search, data)
 
 
 def searched_regression(
     df: DataFrame, key: str, label: str, numeric: Sequence[str], categorical: Sequence[str] = (),
     grid: Mapping[str, Sequence[float]] = HOUSE_GRID, train_tenths: int = 8,
+    most_categories: int = MOST_CATEGORIES,
 ) -> SearchedModel:
     """Linear regression searched by R² on the training part; every stage is fitted on it only."""
-    regression = LinearRegression(labelCol=label)
-    evaluator = RegressionEvaluator(labelCol=label, metricName="r2")
-    search = validation_search(
-        regression, parameter_grid(regression, grid), evaluator, train_tenths / 10
-    )
-    return _searched(df, key, label, numeric, categorical, search, train_tenths)
+    return _searched(
+        df, key, label, numeric, categorical, LinearRegression(labelCol=label), grid,
+        RegressionEvaluator(labelCol=label, metricName="r2"), train_tenths, most_categories,
+    )
 
 
 def regression_report(model: SearchedModel, label: str) -> DataFrame:
@@ -146,15 +149,15 @@ def with_inactive_label(views: DataFrame, target: str = "next_month_views") -> D
 
 
 def searched_churn(
-    df: DataFrame, key: str, numeric: Sequence[str], categorical: Sequence[str],
+    df: DataFrame, key: str, numeric: Sequence[str], categorical: Sequence[str] = (),
     grid: Mapping[str, Sequence[float]] = VIEWS_GRID, train_tenths: int = 9,
+    most_categories: int = MOST_CATEGORIES,
 ) -> SearchedModel:
     """Logistic regression on ``label`` searched by area under the ROC curve."""
-    logistic = LogisticRegression()
-    search = validation_search(
-        logistic, parameter_grid(logistic, grid), BinaryClassificationEvaluator(), train_tenths / 10
-    )
-    return _searched(df, key, "label", numeric, categorical, search, train_tenths)
+    return _searched(
+        df, key, "label", numeric, categorical, LogisticRegression(), grid,
+        BinaryClassificationEvaluator(), train_tenths, most_categories,
+    )
 
 
 def churn_report(model: SearchedModel) -> tuple[DataFrame, DataFrame]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml.recommendation import ALSModel
@@ -9,48 +10,105 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.caching import reused, spread
-from tidemark.operators.models import als, als_blocks, int_ids, recommend
+from tidemark.operators.models import als, als_blocks, number_ids, recommend
+from tidemark.session import shared_folder
 
 PERCENT = 100
+# Columns of the numbers that stand for ids within ALS.
+USER, ITEM = "_user", "_item"
+
+
+@dataclass
+class Recommender:
+    """A model over numbered ids, and the numbers of all ids it knows: ``users`` and ``items``."""
+
+    model: ALSModel
+    users: DataFrame
+    items: DataFrame
+    user: str
+    item: str
+
+    def numbered(self, users: DataFrame) -> DataFrame:
+        """The distinct known ``users`` by number."""
+        return users.select(self.user).distinct().join(self.users, self.user).select(USER)
+
+    def named(self, found: DataFrame) -> DataFrame:
+        """Recommendations with the ids in place of their numbers."""
+        with_ids = found.join(self.users, USER).join(self.items, ITEM)
+        return with_ids.select(self.user, "rank", self.item, "rating")
 
 
 def percent_ratings(shares: DataFrame, user: str, item: str, share: str) -> DataFrame:
-    """Ratings from 0 to 100 with ids that ALS accepts."""
-    rated = shares.withColumn(share, F.col(share) * PERCENT)
-    return int_ids(rated.select(user, item, share), user, item)
+    """Ratings from 0 to 100."""
+    return shares.withColumn(share, F.col(share) * PERCENT).select(user, item, share)
+
+
+def fit_recommender(
+    ratings: DataFrame, user: str, item: str, rating: str, blocks: int | None = None
+) -> Recommender:
+    """Fit ALS to ids of any type; rows without one of the ids teach nothing.
+
+    The numbers of ids are written to the shared folder, for fitting and scoring read them. ``blocks``
+    follows the cores if it is not given; other blocks start from other random factors.
+    """
+    with reused(ratings) as rated:
+        users = _written(number_ids(rated, user, USER), "als-users")
+        items = _written(number_ids(rated, item, ITEM), "als-items")
+        numbered = rated.join(users, user).join(items, item).select(USER, ITEM, rating)
+        with spread(numbered) as kept:
+            model = als(USER, ITEM, rating, blocks=blocks or als_blocks(ratings)).fit(kept)
+    return Recommender(model, users, items, user, item)
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    folder = shared_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def fit_recommender(ratings: DataFrame, user: str, item: str, rating: str) -> ALSModel:
-    with spread(ratings) as kept:
-        return als(user, item, rating, blocks=als_blocks(ratings)).fit(kept)
+def score(recommender: Recommender, pairs: DataFrame) -> DataFrame:
+    """``pairs`` with a ``prediction``; those of unknown users or items are dropped."""
+    numbered = pairs.join(recommender.users, recommender.user).join(recommender.items, recommender.item)
+    return recommender.model.transform(numbered).drop(USER, ITEM)
 
 
-def new_recommendations(model: ALSModel, users: DataFrame, history: DataFrame, k: int = 5) -> DataFrame:
+def top_items(recommender: Recommender, users: DataFrame | None, k: int = 5) -> DataFrame:
+    """``user, rank, item, rating``: top ``k`` items for ``users``, or for every known user if None."""
+    asked = None if users is None else recommender.numbered(users)
+    return recommender.named(recommend(recommender.model, asked, k))
+
+
+def new_recommendations(
+    recommender: Recommender, users: DataFrame, history: DataFrame, k: int = 5
+) -> DataFrame:
     """Top ``k`` items of ``users`` that are not in their history, ranked anew from 1.
 
     Everyone gets ``k`` items, if the model knows so many that are new. Users are taken together by the
     length of their history up to the next power of two, so few of them are asked for many items.
     """
-    user, item = model.getUserCol(), model.getItemCol()
-    seen = history.join(users.select(user).distinct(), user, "left_semi").select(user, item).distinct()
-    asked = users.select(user).distinct().join(seen.groupBy(user).count(), user, "left")
+    model, user, item = recommender.model, recommender.user, recommender.item
+    asked = recommender.numbered(users)
+    seen = (
+        history.join(recommender.users, user).join(recommender.items, item)
+        .join(asked, USER, "left_semi").select(USER, ITEM).distinct()
+    )
+    counted = asked.join(seen.groupBy(USER).count(), USER, "left")
     seen_bits = F.length(F.bin(F.coalesce("count", F.lit(0)))) * (F.coalesce("count", F.lit(0)) > 0).cast("int")
-    with reused(asked.select(user, seen_bits.alias("bits"))) as sized:
+    with reused(counted.select(USER, seen_bits.alias("bits"))) as sized:
         sizes = [row.bits for row in sized.select("bits").distinct().collect()]  # 32 at most
         found = [recommend(model, sized.where(F.col("bits") == b), k + 2**b - 1) for b in sorted(sizes)]
         if not found:
-            found = [recommend(model, users, k)]
-        unseen = reduce(DataFrame.unionByName, found).join(seen, [user, item], "left_anti")
-    order = Window.partitionBy(user).orderBy("rank")
-    return unseen.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
-        user, "rank", item, "rating"
-    )
+            found = [recommend(model, asked, k)]
+        unseen = reduce(DataFrame.unionByName, found).join(seen, [USER, ITEM], "left_anti")
+    order = Window.partitionBy(USER).orderBy("rank")
+    ranked = unseen.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return recommender.named(ranked)
 
 
-def with_history(model: ALSModel, users: DataFrame, history: DataFrame, k: int = 5) -> DataFrame:
+def with_history(recommender: Recommender, users: DataFrame, history: DataFrame, k: int = 5) -> DataFrame:
     """Top ``k`` items beside each user's own history, as rows of kind ``new`` and ``watched``."""
-    user, item = model.getUserCol(), model.getItemCol()
-    found = recommend(model, users, k)
+    user, item = recommender.user, recommender.item
+    found = top_items(recommender, users, k)
     watched = history.join(users.select(user).distinct(), user, "left_semi")
     return found.select(user, item, F.lit("new").alias("kind")).unionByName(
         watched.select(user, item, F.lit("watched").alias("kind"))

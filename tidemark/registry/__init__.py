@@ -6,8 +6,8 @@ A module holds two dictionaries: ``QUERIES`` maps a name to a function of (spark
 
 from __future__ import annotations
 
-from tidemark.registry import courses, features, logs, models, relational, statistics, streams, words
+from tidemark.registry import courses, features, known_models, logs, models, relational, statistics, streams, words
 
-MODULES = (logs, courses, relational, statistics, words, features, streams, models)
+MODULES = (logs, courses, relational, statistics, words, features, streams, models, known_models)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 SQL = {name: sql for module in MODULES for name, sql in module.SQL.items()}

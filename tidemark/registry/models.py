@@ -12,10 +12,17 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import metrics
 from tidemark.operators.features import hash_split
-from tidemark.operators.models import importance_rows, kmeans_sweep as sweep, recommend
+from tidemark.operators.models import importance_rows, kmeans_sweep as sweep
 from tidemark.plans import conversions, forecasts
 from tidemark.plans.clusters import cluster_report
-from tidemark.plans.recommendations import fit_recommender, new_recommendations, percent_ratings, with_history
+from tidemark.plans.recommendations import (
+    fit_recommender,
+    new_recommendations,
+    percent_ratings,
+    score,
+    top_items,
+    with_history,
+)
 from tidemark.registry.relational import (
     EUROPEAN_NATIONS,
     REPORTED_NATIONS,
@@ -225,7 +232,7 @@ def als_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Error on held-out ratings, unknown users and items dropped."""
     training, holdout = split_ratings(spark, folder)
     model = fit_recommender(training, "o_custkey", "l_partkey", "share")
-    return metrics.regression_metrics(model.transform(holdout), label="share")
+    return metrics.regression_metrics(score(model, holdout), label="share")
 
 
 def fitted(spark: SparkSession, folder: str):
@@ -235,17 +242,12 @@ def fitted(spark: SparkSession, folder: str):
 
 def urgent_users(spark: SparkSession, folder: str) -> DataFrame:
     orders = read_table(spark, folder, "orders").where("o_orderpriority = '1-URGENT'")
-    return orders.select(F.col("o_custkey").cast("int").alias("o_custkey"))
+    return orders.select("o_custkey")
 
 
 def als_topk(spark: SparkSession, folder: str) -> DataFrame:
     model, _ = fitted(spark, folder)
-    return recommend(model, urgent_users(spark, folder))
-
-
-def als_topk_all(spark: SparkSession, folder: str) -> DataFrame:
-    model, _ = fitted(spark, folder)
-    return recommend(model, None)
+    return top_items(model, urgent_users(spark, folder))
 
 
 def als_new_items(spark: SparkSession, folder: str) -> DataFrame:
@@ -299,7 +301,6 @@ QUERIES = {
     "kmeans_mixed": kmeans_mixed,
     "als_scores": als_scores,
     "als_topk": als_topk,
-    "als_topk_all": als_topk_all,
     "als_new_items": als_new_items,
     "als_new_counts": als_new_counts,
     "als_with_history": als_with_history,
@@ -364,7 +365,7 @@ SQL = {
         news AS (SELECT o_custkey,
                         least(5, (SELECT count(DISTINCT l_partkey) FROM rated) - count(*)) AS n
                  FROM rated JOIN urgent USING (o_custkey) GROUP BY o_custkey)
-        SELECT o_custkey::INTEGER AS o_custkey, n AS items, 1 AS first_rank, n::INTEGER AS last_rank,
+        SELECT o_custkey, n AS items, 1 AS first_rank, n::INTEGER AS last_rank,
                0::BIGINT AS known
         FROM news WHERE n > 0""",
     "cluster_sizes": "SELECT label, count(*) AS total FROM embeddings GROUP BY label",
