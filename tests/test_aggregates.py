@@ -106,9 +106,10 @@ def test_correlations(measures, rows):
 
 
 def test_screening_drops_columns_in_two_steps(measures):
-    first, pairs = screen_features(measures, "a", ["d"], ["c"])
-    assert {r.column for r in first.collect()} == {"a", "b", "c"}
-    assert {r.col_a for r in pairs.collect()} == {"a", "b"}
+    found = screen_features(measures, "a", ["d"], ["c"]).collect()
+    assert [(r.col_a, r.col_b) for r in found if r.step == 1] == [("a", "a"), ("b", "a"), ("c", "a")]
+    assert {(r.col_a, r.col_b) for r in found if r.step == 2} == {(x, y) for x in "ab" for y in "ab"}
+    assert all(math.isclose(r["corr"], measures.stat.corr(r.col_a, r.col_b), abs_tol=1e-12) for r in found)
 
 
 def test_describe_equals_spark(measures):
@@ -117,3 +118,12 @@ def test_describe_equals_spark(measures):
     for c in ("a", "d"):
         for name in ("count", "mean", "stddev", "min", "max"):
             assert math.isclose(float(found[c][name]), float(wanted[name][c]))
+
+
+def test_describe_of_text(spark):
+    df = spark.createDataFrame([("b", 1, True), (None, 2, False), ("a", None, None)], "t string, n int, f boolean")
+    found = {r.column: r for r in describe_columns(df, ["t", "n", "f"]).collect()}
+    assert (found["t"]["count"], found["t"].min_text, found["t"].max_text, found["t"].mean) == (2, "a", "b", None)
+    assert (found["n"].min, found["n"].max, found["n"].min_text) == (1.0, 2.0, None)
+    assert (found["f"]["count"], found["f"].min_text, found["f"].max_text) == (2, "false", "true")
+    assert describe_columns(df.limit(0), ["t"]).first()["count"] == 0

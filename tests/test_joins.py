@@ -30,7 +30,7 @@ def dimension(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain_join(facts, dimension, rows, how):
     wanted = rows(facts.join(dimension, "k", how))
-    assert rows(salted_join(facts, dimension, "k", how, hot_keys=2, salts=8)) == wanted
+    assert rows(salted_join(facts, dimension, "k", how, hot_share=0.2, salts=8)) == wanted
     assert rows(salted_join(facts, dimension, "k", how)) == wanted
     assert rows(salted_join(facts, dimension, "k", how, hot_from=dimension)) == wanted
     assert rows(lookup(facts, dimension, "k", how)) == wanted
@@ -38,12 +38,12 @@ def test_salted_join_equals_plain_join(facts, dimension, rows, how):
 
 
 def test_salted_join_spreads_a_hot_key(spark, facts, dimension):
-    salted = salted_join(facts, dimension, "k", "left_semi", hot_keys=3, salts=8)
+    salted = salted_join(facts, dimension, "k", "left_semi", salts=8)
     assert "_salt" not in salted.columns
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        salted = salted_join(facts, dimension, "k", "left_semi", hot_keys=3, salts=8)
+        salted = salted_join(facts, dimension, "k", "left_semi", salts=8)
         parts = salted.where("k = 7").select(F.spark_partition_id().alias("p")).distinct().count()
         plain = facts.join(dimension, "k", "left_semi").where("k = 7")
         assert plain.select(F.spark_partition_id().alias("p")).distinct().count() == 1
@@ -53,6 +53,15 @@ def test_salted_join_spreads_a_hot_key(spark, facts, dimension):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def test_even_keys_are_not_salted(spark, dimension):
+    """A key is hot by its share of the rows, not by its place among the keys."""
+    even = spark.range(4000).select((F.col("id") % 40).alias("k"))
+    plan = plan_of(salted_join(even, dimension, "k", hot_share=0.03))
+    assert "k#" in plan and " IN (" not in plan and "INSET" not in plan
+    hot = even.union(spark.range(4000).selectExpr("7L AS k"))
+    assert salted_join(hot, dimension, "k", hot_share=0.03).count() == hot.join(dimension, "k").count()
+
+
 @pytest.mark.parametrize("how", ["left", "left_anti"])
 def test_salted_join_spreads_null_keys(spark, dimension, how):
     """Half the facts have no key; they take part in no match, but must not meet in one task."""

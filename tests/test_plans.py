@@ -39,6 +39,7 @@ def test_sliding_windows_are_repeated_after_the_last_shuffle(spark):
     assert "explode(sequence(" in before and plan.count("Exchange") == 2
 
 
-def test_correlations_take_one_shuffle(spark):
-    plan = physical_plan(QUERIES["corr_matrix"](spark, str(FOLDER)))
-    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+@pytest.mark.parametrize("name", ["corr_matrix", "feature_screen", "describe_cols", "hash_split"])
+def test_one_scan_and_at_most_one_shuffle(spark, name):
+    plan = physical_plan(QUERIES[name](spark, str(FOLDER)))
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == (name != "hash_split")

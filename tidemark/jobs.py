@@ -129,9 +129,9 @@ def predict_repetitions(spark: SparkSession, args: argparse.Namespace) -> None:
 def screen_houses(spark: SparkSession, args: argparse.Namespace) -> None:
     """Correlations among house features."""
     houses = read_csv(spark, args.houses, None)
-    summary = describe_columns(houses, [c for c in houses.columns if c not in HOUSE_DROPPED])
-    target, pairs = forecasts.screen_features(houses, "price", HOUSE_DROPPED, HOUSE_DROPPED_LATER)
-    deliver(args, summary=summary, target=target, pairs=pairs)
+    found = forecasts.screen_features(houses, "price", HOUSE_DROPPED, HOUSE_DROPPED_LATER)
+    pairs = found.select("col_a", "col_b", "corr", "step")
+    deliver(args, summary=describe_columns(houses, houses.columns), pairs=pairs)
 
 
 def predict_prices(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 # A side of at most this many rows, and this many bytes of text in them, is broadcast.
 BROADCAST_ROWS = 200_000
 BROADCAST_TEXT_BYTES = 32 * 1024 * 1024
-# Keys that may be spread over several tasks, and how many tasks each.
-HOT_KEYS = 1_000
+# Share of all rows from which on a key is spread over several tasks, and how many tasks each.
+HOT_SHARE = 0.001
 SALTS = 64
 
 
@@ -32,15 +32,13 @@ def lookup(
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, text_bytes: int = BROADCAST_TEXT_BYTES) -> bool:
-    """Whether ``df`` has few rows and little text; other variable-length columns count as large."""
+    """Whether ``df`` has few rows and little text, in one pass; other variable-length columns are large."""
     kinds = dict(df.dtypes)
-    if any("<" in kind or kind == "binary" for kind in kinds.values()) or df.count() > rows:
+    if any("<" in kind or kind == "binary" for kind in kinds.values()):
         return False
     texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in kinds.items() if kind == "string"]
-    if not texts:
-        return True
-    total = df.agg(F.sum(sum(texts, F.lit(0))).alias("bytes")).first()["bytes"]
-    return (total or 0) <= text_bytes
+    size = df.agg(F.count("*").alias("rows"), F.sum(sum(texts, F.lit(0))).alias("bytes")).first()
+    return size["rows"] <= rows and (size["bytes"] or 0) <= text_bytes
 
 
 def salted_join(
@@ -48,29 +46,23 @@ def salted_join(
     other: DataFrame,
     key: str,
     how: str = "inner",
-    hot_keys: int = HOT_KEYS,
+    hot_share: float = HOT_SHARE,
     salts: int = SALTS,
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffle join that spreads the rows of the most frequent keys over ``salts`` tasks.
 
-    The most frequent keys of ``facts`` are found first, or those of ``hot_from`` if it has them and
-    is cheaper to read; at most ``hot_keys`` come to the driver. Any choice of keys gives the same
-    result. Their rows get a salt from the row's hash and its partition, which spreads copies of
+    Keys that at least a ``hot_share`` of the rows of ``facts`` have are found first, or those of
+    ``hot_from`` if it has them and is cheaper to read; there are at most ``1 / hot_share``, and none
+    where keys are even. Any choice of keys gives the same result. Their rows get a salt from the row's hash and its partition, which spreads copies of
     one row too and is the same when a lost task is run again; their rows in ``other`` are
     repeated once per salt. Null keys match nothing, so their rows of ``facts`` are spread as well. All
     other keys keep salt 0.
     """
     counted = facts if hot_from is None else hot_from
-    frequent = (
-        counted.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .count()
-        .orderBy(F.desc("count"), key)
-        .select(key)
-        .limit(hot_keys)
-        .collect()
-    )
+    least = max(2.0, hot_share * counted.count())
+    sizes = counted.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
+    frequent = sizes.where(F.col("_rows") >= least).select(key).collect()
     is_hot = F.coalesce(F.col(key).isin([row[0] for row in frequent]), F.lit(False))
     spread = F.xxhash64(*_hashable(facts)) + F.spark_partition_id()
     row_salt = F.pmod(spread, F.lit(salts)).cast("int")

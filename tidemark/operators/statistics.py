@@ -3,45 +3,66 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
+from itertools import product
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 
 def describe_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``column, count, mean, stddev, min, max`` with one row per numeric column."""
-    summaries = [
+    """``column, count, mean, stddev, min, max, min_text, max_text``, one row per column.
+
+    Numbers have all but the texts; columns of other types have only the count and the first and last
+    value in text order.
+    """
+    numeric = {field.name for field in df.schema if isinstance(field.dataType, NumericType)}
+    return df.agg(F.array(*[_summary(c, c in numeric) for c in columns]).alias("rows")).selectExpr("inline(rows)")
+
+
+def _summary(column: str, numeric: bool) -> Column:
+    number, text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    value = F.col(column)
+    return F.struct(
+        F.lit(column).alias("column"),
+        F.count(value).alias("count"),
+        (F.avg(value) if numeric else number).alias("mean"),
+        (F.stddev_samp(value) if numeric else number).alias("stddev"),
+        (F.min(value).cast("double") if numeric else number).alias("min"),
+        (F.max(value).cast("double") if numeric else number).alias("max"),
+        (text if numeric else F.min(value.cast("string"))).alias("min_text"),
+        (text if numeric else F.max(value.cast("string"))).alias("max_text"),
+    )
+
+
+def correlation_steps(df: DataFrame, steps: Sequence[Sequence[tuple[str, str]]]) -> DataFrame:
+    """``step, col_a, col_b, corr`` of lists of pairs, numbered from 1, in one aggregate.
+
+    A pair that occurs in several steps or in both orders is computed once. Meant for tens of columns,
+    since every pair is an aggregate.
+    """
+    wanted = [(step, *pair) for step, pairs in enumerate(steps, 1) for pair in pairs]
+    unordered = sorted({tuple(sorted(pair)) for _, *pair in wanted})
+    names = {pair: f"corr_{n}" for n, pair in enumerate(unordered)}
+    found = df.agg(*[F.corr(*pair).alias(name) for pair, name in names.items()])
+    rows = [
         F.struct(
-            F.lit(c).alias("column"),
-            F.count(c).alias("count"),
-            F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("stddev"),
-            F.min(c).cast("double").alias("min"),
-            F.max(c).cast("double").alias("max"),
+            F.lit(step).alias("step"),
+            F.lit(a).alias("col_a"),
+            F.lit(b).alias("col_b"),
+            F.col(names[tuple(sorted((a, b)))]).alias("corr"),
         )
-        for c in columns
+        for step, a, b in wanted
     ]
-    return df.agg(F.array(*summaries).alias("rows")).selectExpr("inline(rows)")
+    return found.select(F.inline(F.array(*rows)))
 
 
 def correlations_with(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every column with ``target``: ``column, corr``."""
-    pairs = [F.corr(c, target).alias(c) for c in columns]
-    return df.agg(*pairs).unpivot([], list(columns), "column", "corr")
+    found = correlation_steps(df, [[(c, target) for c in columns]])
+    return found.select(F.col("col_a").alias("column"), "corr")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns, in both orders: ``col_a, col_b, corr``.
-
-    Only the upper triangle is computed. Meant for tens of columns, since every pair is an aggregate.
-    """
-    triangle = [
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(a, b).alias("corr"))
-        for a, b in combinations_with_replacement(columns, 2)
-    ]
-    upper = df.agg(F.array(*triangle).alias("rows")).selectExpr("inline(rows)")
-    pair = F.struct(F.col("a").alias("col_a"), F.col("b").alias("col_b"))
-    mirrored = F.struct(F.col("b").alias("col_a"), F.col("a").alias("col_b"))
-    orders = F.when(F.col("a") == F.col("b"), F.array(pair)).otherwise(F.array(pair, mirrored))
-    return upper.select(F.inline(orders), "corr")
+    """Pearson correlation of every pair of columns, in both orders: ``col_a, col_b, corr``."""
+    return correlation_steps(df, [list(product(columns, columns))]).drop("step")

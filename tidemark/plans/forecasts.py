@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from itertools import product
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -24,7 +25,7 @@ from tidemark.operators.models import (
     validation_search,
     weight_rows,
 )
-from tidemark.operators.statistics import correlation_matrix, correlations_with
+from tidemark.operators.statistics import correlation_steps
 
 # The parameter grids of the searches.
 HOUSE_GRID = {"regParam": (0.01, 0.5, 0.1), "elasticNetParam": (0.0, 0.5, 1.0)}
@@ -50,14 +51,12 @@ def linear_weights(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 def screen_features(
     df: DataFrame, target: str, dropped: Sequence[str], dropped_later: Sequence[str]
-) -> tuple[DataFrame, DataFrame]:
-    """Correlations with ``target``, then all pairs among the columns that remain."""
-    candidates = df.drop(*dropped)
-    remaining = candidates.drop(*dropped_later)
-    return (
-        correlations_with(candidates, target, candidates.columns),
-        correlation_matrix(remaining, remaining.columns),
-    )
+) -> DataFrame:
+    """``step, col_a, col_b, corr``: of all columns with ``target`` in step 1, of all pairs among those
+    that remain in step 2, in one pass."""
+    candidates = [c for c in df.columns if c not in dropped]
+    remaining = [c for c in candidates if c not in dropped_later]
+    return correlation_steps(df, [[(c, target) for c in candidates], list(product(remaining, remaining))])
 
 
 @dataclass

@@ -25,15 +25,14 @@ def viewing_seconds(heartbeats: DataFrame, course: str, time: str, size: str = "
 def viewing_seconds_sql(
     spark: SparkSession, heartbeats: DataFrame, course: str, time: str, size: str = "2 minutes"
 ) -> DataFrame:
-    """:func:`viewing_seconds` as SQL over a temporary view, which may be a stream."""
-    heartbeats.createOrReplaceTempView("heartbeats")
+    """:func:`viewing_seconds` as SQL over a table, which may be a stream."""
     return spark.sql(f"""
         WITH beats AS (
             SELECT window({time}, '{size}') AS window, string({course}) AS course_name
-            FROM heartbeats)
+            FROM {{heartbeats}})
         SELECT window, course_name, {HEARTBEAT_SECONDS} * count(*) AS seconds_watched
         FROM beats
-        GROUP BY ALL""")
+        GROUP BY ALL""", heartbeats=heartbeats)
 
 
 def viewing_last_hour(heartbeats: DataFrame, course: str, time: str) -> DataFrame:

@@ -33,17 +33,16 @@ def month_report(
 
 
 def month_report_sql(spark: SparkSession, logs: DataFrame, rows: int | None = None) -> DataFrame:
-    """:func:`month_report` as SQL over a temporary view of ``level, datetime``."""
-    logs.createOrReplaceTempView("log_lines")
+    """:func:`month_report` as SQL over ``level, datetime``."""
     report = spark.sql(f"""
         WITH counts AS (
             SELECT level, month(datetime) AS month_num, count(*) AS total
-            FROM log_lines
+            FROM {{logs}}
             GROUP BY level, month_num)
         SELECT *, date_format(make_date(2000, month_num, 1), 'MMMM') AS month
         FROM counts
         ORDER BY month_num, level
-        {"" if rows is None else f"LIMIT {rows}"}""")
+        {"" if rows is None else f"LIMIT {rows}"}""", logs=logs)
     return report.drop("month_num")
 
 

@@ -159,17 +159,17 @@ def pass_flags(spark: SparkSession, folder: str) -> DataFrame:
 def country_groups_sql(spark: SparkSession, folder: str) -> DataFrame:
     """:func:`country_groups` with the rule called by name from SQL."""
     register_rules(spark)
-    read_table(spark, folder, "documents").createOrReplaceTempView("document_table")
-    return spark.sql("""
+    query = """
         SELECT upper(lang) AS country, country_group(upper(lang)) AS grouped, count(1) AS total
-        FROM document_table GROUP BY country, grouped""")
+        FROM {documents} GROUP BY country, grouped"""
+    return spark.sql(query, documents=read_table(spark, folder, "documents"))
 
 
 def pass_flags_sql(spark: SparkSession, folder: str) -> DataFrame:
     """:func:`pass_flags` with the rule called by name from SQL."""
     register_rules(spark)
-    exam_results(spark, folder).createOrReplaceTempView("exam_results")
-    return spark.sql("SELECT *, has_passed(score, subject) AS pass FROM exam_results")
+    query = "SELECT *, has_passed(score, subject) AS pass FROM {results}"
+    return spark.sql(query, results=exam_results(spark, folder))
 
 
 def views_labels(spark: SparkSession, folder: str) -> DataFrame:

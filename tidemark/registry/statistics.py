@@ -12,6 +12,7 @@ from tidemark.plans.forecasts import screen_features
 from tidemark.sources.files import read_table
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+TEXTS = ["l_returnflag", "l_linestatus"]
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 8) -> DataFrame:
@@ -21,7 +22,7 @@ def rounded(df: DataFrame, *columns: str, digits: int = 8) -> DataFrame:
 
 def describe_cols(spark: SparkSession, folder: str) -> DataFrame:
     lines = read_table(spark, folder, "lineitem")
-    return rounded(describe_columns(lines, MEASURES), "mean", "stddev", digits=6)
+    return rounded(describe_columns(lines, [*MEASURES, *TEXTS]), "mean", "stddev", digits=6)
 
 
 def corr_target(spark: SparkSession, folder: str) -> DataFrame:
@@ -36,12 +37,10 @@ def corr_matrix(spark: SparkSession, folder: str) -> DataFrame:
 def feature_screen(spark: SparkSession, folder: str) -> DataFrame:
     """Both steps of feature screening on one table, as rows of pairs."""
     measures = read_table(spark, folder, "lineitem").select(*MEASURES, "l_linenumber", "l_returnflag")
-    first, pairs = screen_features(
+    found = screen_features(
         measures, "l_extendedprice", dropped=["l_returnflag"], dropped_later=["l_linenumber", "l_tax"]
     )
-    first = first.select(F.col("column").alias("col_a"), F.lit("l_extendedprice").alias("col_b"), "corr")
-    steps = [first.withColumn("step", F.lit(1)), pairs.withColumn("step", F.lit(2))]
-    return rounded(steps[0].unionByName(steps[1]), "corr")
+    return rounded(found, "corr")
 
 
 QUERIES = {
@@ -66,9 +65,14 @@ REMAINING = MEASURES[:3]
 SQL = {
     "describe_cols": " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 6) AS mean,
-                   round(stddev_samp({c}), 6) AS stddev, min({c}) AS min, max({c}) AS max
+                   round(stddev_samp({c}), 6) AS stddev, min({c}) AS min, max({c}) AS max,
+                   NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text
             FROM lineitem"""
         for c in MEASURES
+    )
+    + "".join(
+        f""" UNION ALL SELECT '{c}', count({c}), NULL, NULL, NULL, NULL, min({c}), max({c}) FROM lineitem"""
+        for c in TEXTS
     ),
     "corr_target": " UNION ALL ".join(
         corr_sql(c, "l_extendedprice", f"""'{c}' AS "column" """) for c in MEASURES
