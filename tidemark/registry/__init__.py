@@ -1,7 +1,8 @@
 """Registered queries over the test tables, each beside the SQL that must give the same rows.
 
 A module holds two dictionaries: ``QUERIES`` maps a name to a function of (spark, folder), and
-``SQL`` maps the same name to a query for DuckDB. Names without SQL are fitted models; ``known_models`` has models whose results SQL knows.
+``SQL`` maps the same name to a query for DuckDB. Names without SQL are fitted models; those in
+``known_models`` have targets whose solution SQL knows.
 """
 
 from __future__ import annotations
