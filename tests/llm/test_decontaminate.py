@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,3 +70,20 @@ def test_odd_rows(spark, odd_rows, no_rows):
     nothing = no_rows.selectExpr("doc_id AS item_id", "text")
     assert drop_leaks(odd_rows, nothing).count() == odd_rows.count()
     assert find_leaks(no_rows, items).count() == drop_leaks(no_rows, items).count() == 0
+
+
+def leaks(items, texts):
+    match = decontaminate.Matcher(list(enumerate(items)), 0.8, decontaminate.RADIUS)
+    return [sorted(f) for f in match(pa.array(texts, type=pa.string()))]
+
+
+def test_cut_items_of_every_length():
+    for n in range(5, 75):
+        item = [f"item{i}" for i in range(n)]
+        lead, tail = [f"lead{i}" for i in range(n % 13 + 3)], [f"tail{i}" for i in range(n % 7 + 3)]
+        texts = []
+        for k in range(max(5, n - n // 5 - 2), n + 1):
+            texts += [item[:k], item[n - k :], lead + item[:k], item[n - k :] + tail, item[(n - k) // 2 :][:k]]
+        texts = [" ".join(t) for t in texts]
+        want = plain(texts, [(0, " ".join(item))])
+        assert leaks([" ".join(item)], texts) == want and want.count([0]) >= 5

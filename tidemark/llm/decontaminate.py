@@ -1,8 +1,8 @@
 """Benchmark decontamination: SimHash of item-sized windows, Hamming blocks, exact similarity.
 
-Windows of a few sizes slide over every text. A size stands for the items a little longer than it, and
-its windows start so close together that any copy of such an item holds one of them whole. Each item
-is indexed by the fingerprints of all its own windows of that size. A window of a text and one of an
+Windows of a few sizes slide over every text. An item belongs to a size and step for which any copy
+that is similar enough, cut or edited, still holds a window of it unchanged (see ``_clean_run``). Each
+item is indexed by the fingerprints of all its own windows of that size. A window of a text and one of an
 item within ``RADIUS`` bits agree in one of four 16-bit blocks up to ``RADIUS // 4`` bits, so four
 lookups per window find all such pairs. Each pair then says where the item would lie in the text, and
 the exact weighted similarity of the shingles there and thereabouts decides.
@@ -14,6 +14,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -36,16 +37,33 @@ _CHUNK, _ALIGN = 1 << 14, 16
 SCHEMA = "n_items long, items array<long>, best double, first_start long, first_end long"
 
 
+def _clean_run(n: int, similarity: float) -> int:
+    """Shingles in a row that any text similar enough to an item of ``n`` shingles shares with it.
+
+    A place where a copy breaks off and goes on otherwise (a word changed, added, dropped, a part
+    moved) costs the item four shingles at least and puts four others in the window. With b such places
+    the two share at least similarity * (n + 4 b) shingles, 4 b of the item's are lost, and what is
+    shared lies in b + 1 runs. A copy cut by the end of the text only has less of them.
+    """
+    lost = SHINGLE - 1
+    runs, b = [], 0
+    while b == 0 or similarity * (n + lost * b) <= n - lost * b:
+        runs.append(ceil(round(similarity * (n + lost * b) / (b + 1), 9)))
+        b += 1
+    return max(1, min(runs))
+
+
 def _steps(longest: int) -> list[tuple[int, int]]:
-    """Window sizes in shingles and the step between windows, up to ``longest``.
+    """Window sizes in shingles and the step between windows, for runs of up to ``longest``.
 
-    Items of at least size + step - 1 shingles, and fewer than those of the next size, belong to it.
-    Steps are powers of two up to ``_ALIGN``, and texts start at multiples of that.
+    A run of size + step - 1 shingles holds a window whole. Steps are powers of two up to ``_ALIGN``,
+    and texts start at multiples of that.
     """
-    sizes, size = [], 1
-    while size <= longest:
-        sizes.append((size, min(_ALIGN, 1 << max(0, size.bit_length() - 3))))
-        size = max(size + 1, size * 13 // 10)
+    sizes, run = [], 1
+    while run <= longest:
+        step = min(_ALIGN, 1 << ((run + 1) // 2).bit_length() - 1)
+        sizes.append((run - step + 1, step))
+        run = max(run + 1, run * 3 // 2 if run & (run - 1) == 0 else run * 4 // 3)
     return sizes
 
 
@@ -116,7 +134,9 @@ def _near_values(values: np.ndarray, distance: int) -> np.ndarray:
     return values[:, None] ^ np.array(masks, dtype=np.int64)
 
 
-def build_index(items: list[tuple[int, str]], radius: int = RADIUS) -> tuple[list[Item], list[SizeIndex]]:
+def build_index(
+    items: list[tuple[int, str]], radius: int = RADIUS, similarity: float = SIMILARITY
+) -> tuple[list[Item], list[SizeIndex]]:
     """Items by place, and an index for each window size in use. An item without words is left out."""
     known = []
     for number, text in items:
@@ -124,10 +144,11 @@ def build_index(items: list[tuple[int, str]], radius: int = RADIUS) -> tuple[lis
         if n_words[0]:
             hashes = shingle_hashes(_word_hashes(words)[codes])
             known.append(Item(number, hashes, Counter(hashes.tolist())))
-    sizes = _steps(max((len(i.hashes) for i in known), default=0))
+    clean = [_clean_run(len(i.hashes), similarity) for i in known]
+    sizes = _steps(max(clean, default=0))
     of: dict[int, list[int]] = {}
-    for place, item in enumerate(known):
-        k = max(k for k, (size, step) in enumerate(sizes) if size + step - 1 <= len(item.hashes))
+    for place, run in enumerate(clean):
+        k = max(k for k, (size, step) in enumerate(sizes) if size + step - 1 <= run)
         of.setdefault(k, []).append(place)
     indexes = []
     for k, places in sorted(of.items()):
@@ -175,20 +196,34 @@ class Matcher:
     """Finds items in texts of a batch."""
 
     def __init__(self, items: list[tuple[int, str]], similarity: float, radius: int) -> None:
-        self.known, self.indexes = build_index(items, radius)
+        self.known, self.indexes = build_index(items, radius, similarity)
         self.similarity, self.radius = similarity, radius
 
+    def _shift(self, size: int) -> int:
+        """How far words added or dropped within a copy may move the rest of it."""
+        return ceil(size * (1 - self.similarity) / (1 + self.similarity)) if self.similarity > 0 else size
+
     def _verified(self, hashes: np.ndarray, low: int, high: int, at: int, item: Item, slack: int) -> tuple[float, int]:
         """Best exact similarity of the item with windows that start within ``slack`` of ``at``."""
         size, best, where = len(item.hashes), 0.0, at
-        around = hashes[max(low, at - slack) : min(at + slack + size, high)].tolist()
+        first, last = max(low, at - slack), min(high - 1, max(low, at + slack))
+        around = hashes[first : min(last + size, high)].tolist()
         if sum(h in item.counts for h in around) < self.similarity * size:
             return best, where  # too few shingles in common, wherever the window starts
-        for start in range(max(low, at - slack), min(high - 1, at + slack) + 1):
-            window = Counter(hashes[start : min(start + size, high)].tolist())
-            found = weighted_similarity(window, item.counts)
+        window = Counter(around[:size])
+        both = sum(min(n, item.counts[h]) for h, n in window.items() if h in item.counts)
+        for start in range(first, last + 1):
+            found = both / (size + min(start + size, high) - start - both)
             if found > best:
                 best, where = found, start
+            # on to the next start: one shingle leaves, and one comes unless the text ends
+            gone = around[start - first]
+            both -= window[gone] <= item.counts.get(gone, 0)
+            window[gone] -= 1
+            if start + size < high and start < last:
+                new = around[start + size - first]
+                window[new] += 1
+                both += window[new] <= item.counts.get(new, 0)
         return best, where
 
     def __call__(self, texts: pa.Array) -> list[dict[int, tuple[float, int, int]]]:
@@ -220,6 +255,7 @@ class Matcher:
                 starts = np.arange(0, upto, index.step)
                 whole = (parents[starts] == parents[starts + index.size - 1]) & (parents[starts] >= 0)
                 starts, prints = starts[whole], prints[whole]
+                seen = set()  # windows of one copy say the same place
                 for window, entry in zip(*_candidates(prints, index, self.radius), strict=True):
                     text, item = int(parents[starts[window]]), int(index.item[entry])
                     had = found[text].get(item, (0.0, 0, 0))
@@ -227,7 +263,11 @@ class Matcher:
                         continue
                     low, high = int(lows[text]), int(lows[text] + lengths[text])
                     at = begin + int(starts[window]) - int(index.offset[entry])
-                    got, where = self._verified(hashes, low, high, at, self.known[item], index.step)
+                    if (text, item, at) in seen:
+                        continue
+                    seen.add((text, item, at))
+                    slack = max(index.step, self._shift(len(self.known[item].hashes)))
+                    got, where = self._verified(hashes, low, high, at, self.known[item], slack)
                     if got >= self.similarity and got > had[0]:
                         last = min(where - low + len(self.known[item].hashes) + SHINGLE - 1, int(n_words[text]))
                         found[text][item] = (got, where - low, last)
