@@ -87,3 +87,19 @@ def test_cut_items_of_every_length():
         texts = [" ".join(t) for t in texts]
         want = plain(texts, [(0, " ".join(item))])
         assert leaks([" ".join(item)], texts) == want and want.count([0]) >= 5
+
+
+def test_edited_items():
+    draw = random.Random(3)
+    for n in [*range(36, 64), 80, 95, 120, 200]:
+        item = [f"item{i}" for i in range(n)]
+        texts = []
+        for k in range(24):
+            copy = list(item)
+            for e in range(1 + (n > 100)):
+                at = draw.randrange(len(copy)) if k > 2 else len(copy) // 2
+                copy[at : at + 1] = [[f"new{e}"], [], [copy[at], f"more{e}"]][k % 3]
+            texts.append(" ".join([*(f"lead{i}" for i in range(k)), *copy, *(f"tail{i}" for i in range(9))]))
+        want = plain(texts, [(0, " ".join(item))])
+        assert leaks([" ".join(item)], texts) == want
+        assert n < 50 or want.count([0]) > 12

@@ -1,4 +1,4 @@
-"""Benchmark decontamination: SimHash of item-sized windows, Hamming blocks, exact similarity.
+"""Benchmark decontamination: SimHash of windows, Hamming blocks, exact similarity.
 
 Windows of a few sizes slide over every text. An item belongs to a size and step for which any copy
 that is similar enough, cut or edited, still holds a window of it unchanged (see ``_clean_run``). Each
