@@ -36,10 +36,3 @@ def rows(spark):
         return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple((v is None, str(v)) for v in r))
 
     return collect
-
-
-def plan_of(df) -> str:
-    """The physical plan that ``df`` ran with."""
-    df.toArrow()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return plan.split("== Initial Plan ==")[0]

@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from executed_plans import plan_of
 from tidemark.operators.aggregates import (
     count_by,
     key_count,

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from executed_plans import plan_of
 from tidemark.operators.joins import flag_members, is_small, lookup, salted_join
 
 
