@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import stored
 from tidemark.llm.decontaminate import drop_leaks
-from tidemark.llm.minhash_dedup import keep_dissimilar
 from tidemark.llm.quality_rules import keep_good
 from tidemark.llm.secret_scan import redact_secrets
 from tidemark.llm.sentencepiece_codec import encode_pieces
+from tidemark.llm.simhash_dedup import keep_first
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,8 +22,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word similarity 0.8 or more), that with the smallest id."""
-    return keep_dissimilar(docs)
+    """One document of each SimHash component (3 words a shingle, 2 bits), that with the smallest id."""
+    return keep_first(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +49,7 @@ STAGES = [
     ("tokens", tokens),
 ]
 
-# Fingerprints and pieces are beyond SQL; tests compare every stage with a plain version.
+# Fingerprints and pieces are beyond SQL; tests/llm/test_pipeline.py compares run() with plain Python.
 ORACLE_SQL = None
 
 
