@@ -27,9 +27,9 @@ def odd_rows(spark):
     rows = [*ODD, (9, long, "de", "u", len(long))]
     kinds = (
         "doc_id long, text string, lang string, source string, n_chars long, rid long, fp long, shard int, "
-        "`a.b` string, block long"
+        "`a.b` string, block long, __id long, __key string, __spans string, kept_id long, c0 long"
     )
-    return spark.createDataFrame([(*r, 1, 2, 3, "x", 4) for r in rows], kinds)
+    return spark.createDataFrame([(*r, 1, 2, 3, "x", 4, 5, "y", "z", 6, 7) for r in rows], kinds)
 
 
 @pytest.fixture

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 
 from tidemark.llm import suffix_dedup
 from tidemark.llm.suffix_dedup import common_prefixes, remove_repeats, suffix_array
@@ -69,6 +70,19 @@ def test_all_documents_against_all_strings(documents):
     assert found(documents) == want and sum(r[2] for r in want) > 0
 
 
+def test_texts_of_nearly_equal_checksums(spark):
+    """Two texts of one passage whose checksums start with the same three bytes."""
+    passage, seen = "p" + "assage " * 4 + "that two texts share, of eighty bytes or so, to be found in both", {}
+    for i in range(100_000):
+        text = f"{i} {passage}"
+        other = seen.setdefault(xxhash.xxh128_digest(text.encode())[:3], text)
+        if other != text:
+            break
+    rows = [(1, other), (2, text)]
+    got = found(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got == plain(rows) and sum(r[2] for r in got) >= len(passage)
+
+
 def test_suffix_array_and_prefixes():
     draw = random.Random(4)
     for text in ["a" * 200, "ab" * 60, "".join(draw.choices("ab", k=300)), "x", ""]:

@@ -357,7 +357,11 @@ def drop_leaks(
     similarity: float = SIMILARITY,
     radius: int = RADIUS,
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text holds no benchmark item (see ``find_leaks``)."""
+    """The rows of ``docs``, all columns, whose text holds no benchmark item (see ``find_leaks``).
+
+    A null or empty text holds none and stays. Only the text decides, so rows without an id and repeated
+    rows are judged one by one; without rows, or without items, nothing goes.
+    """
     matcher = _shared(docs, _bounded_items(benchmark, item_col, item_text_col), similarity, radius)
 
     def keeper():

@@ -139,7 +139,11 @@ def keep_good(
     max_coverage: dict[int, float] = MAX_COVERAGE,
     max_line_coverage: float = MAX_LINE_COVERAGE,
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, that ``quality_report`` keeps."""
+    """The rows of ``docs``, all columns, that ``quality_report`` keeps.
+
+    A null text has no words and goes. Only the text decides, so rows without an id and repeated rows are
+    judged one by one; without rows there is none.
+    """
     limits = dict(max_coverage)
 
     def keeper():

@@ -172,21 +172,21 @@ def redact_secrets(
 ) -> DataFrame:
     """``docs``, all columns and rows, with each live secret in the text replaced by ``mark``.
 
-    Overlapping spans are replaced together. Copied examples and null texts stay.
+    Overlapping spans are replaced together. Copied examples and null texts stay; rows without an id and
+    repeated rows are treated like others and stay one row each; without rows there is none.
     """
     found = find_secrets(docs, id_col, text_col, owner_col, repo_col, **limits)
     spans = found.filter("n_live > 0").select(
-        F.col("doc_id").alias("__id"),
-        F.col("text_key").alias("__key"),
-        F.filter("found", lambda s: s["live"]).alias("__spans"),
-    )
-    spans = spans.dropDuplicates(["__id", "__key"])
-    text = column(docs, text_col)
-    both = docs.join(
-        spans,
-        column(docs, id_col).eqNullSafe(F.col("__id")) & (F.md5(F.coalesce(text, F.lit(""))) == F.col("__key")),
-        "left",
+        F.col("doc_id").alias("found_id"),
+        F.col("text_key").alias("found_key"),
+        F.filter("found", lambda s: s["live"]).alias("found_spans"),
     )
+    spans = spans.dropDuplicates(["found_id", "found_key"])
+    # columns are numbered meanwhile, since their names may be those of the helper columns
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    number, text = (F.col(f"c{docs.columns.index(c)}") for c in (id_col, text_col))
+    same = number.eqNullSafe(F.col("found_id")) & (F.md5(F.coalesce(text, F.lit(""))) == F.col("found_key"))
+    both = numbered.join(spans, same, "left")
     # (end of the last span, text so far); spans come by start
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -198,6 +198,7 @@ def redact_secrets(
             F.concat(done["out"], F.coalesce(kept, F.lit(""))).alias("out"),
         )
 
-    cut = F.aggregate("__spans", start, step, lambda d: F.concat(d["out"], F.substring(text, d["at"] + 1, F.length(text))))
-    clean = F.when(F.col("__spans").isNull(), text).otherwise(cut)
-    return both.select(*[(clean if c == text_col else column(docs, c)).alias(c) for c in docs.columns])
+    cut = F.aggregate("found_spans", start, step, lambda d: F.concat(d["out"], F.substring(text, d["at"] + 1, F.length(text))))
+    clean = F.when(F.col("found_spans").isNull(), text).otherwise(cut)
+    place = f"c{docs.columns.index(text_col)}"
+    return both.select(*[clean.alias(c) if c == place else c for c in numbered.columns]).toDF(*docs.columns)

@@ -270,7 +270,10 @@ def encode_pieces(
 def decode_pieces(
     encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", model: str | None = None
 ) -> DataFrame:
-    """``doc_id`` and ``text`` of every row of ids; null ids give a null text."""
+    """``doc_id`` and ``text`` of every row of ids, repeated rows and rows without a ``doc_id`` included.
+
+    A null list of ids gives a null text, an empty one an empty text; without rows there is none.
+    """
     path = model_path(model)
     source = encoded.select(column(encoded, id_col).alias("doc_id"), column(encoded, ids_col).alias("ids"))
     kind = source.schema["doc_id"].dataType.simpleString()

@@ -237,27 +237,38 @@ def _whole_copies(blocks: DataFrame) -> DataFrame:
 
 
 def _shared_anchors(blocks: DataFrame, n_buckets: int) -> DataFrame:
-    """``block`` and its anchors (sorted codes per bucket) that occur in two different texts."""
+    """``block`` and its anchors (sorted codes per bucket) that occur in two different texts.
+
+    An entry is an anchor's code and a place in the row's list of ``texts``, the 64-bit checksums by
+    which texts are told apart; a text's checksum is sent once for all its anchors of a bucket.
+    """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = {"bucket": _LONG, "block": _LONG, "entries": _BINARY}
+        schema = {"bucket": _LONG, "block": _LONG, "entries": _BINARY, "texts": _BINARY}
         for row in _rows(batches):
             block = Block(row, n_buckets)
-            text = np.array([int.from_bytes(k[:3], "little") for k in row["keys"]], dtype=np.uint64)
-            entries = (block.code & _LOW40) << np.uint64(24) | text[block.doc]
+            key = np.array([int.from_bytes(k[:8], "little") for k in row["keys"]], dtype=np.uint64)
+            code, text = block.code & _LOW40, key[block.doc]
             order = np.argsort(block.bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(block.bucket[order])) + 1
             out = []
             for part in np.split(order, cuts) if len(order) else []:
-                found = np.unique(entries[part]).astype("<u8").tobytes()
-                out.append((int(block.bucket[part[0]]), row["block"], found))
+                texts, place = np.unique(text[part], return_inverse=True)
+                found = np.unique(code[part] << np.uint64(24) | place.astype(np.uint64))
+                sent = found.astype("<u8").tobytes(), texts.astype("<u8").tobytes()
+                out.append((int(block.bucket[part[0]]), row["block"], *sent))
             yield _batch(schema, out)
 
     def answer(group: pa.Table) -> pa.Table:
         lists = [np.frombuffer(e, dtype="<u8") for e in group["entries"].to_pylist()]
-        distinct = np.unique(np.concatenate(lists))
-        codes = distinct >> np.uint64(24)
-        shared = np.unique(codes[1:][codes[1:] == codes[:-1]])  # one code, two texts
+        codes = np.concatenate([e >> np.uint64(24) for e in lists])
+        checksums = [np.frombuffer(t, dtype="<u8") for t in group["texts"].to_pylist()]
+        places = [(e & np.uint64(0xFFFFFF)).astype(np.int64) for e in lists]
+        texts = np.concatenate([t[at] for t, at in zip(checksums, places, strict=True)])
+        order = np.argsort(codes, kind="stable")
+        codes, texts = codes[order], texts[order]
+        # one code, two texts: some neighbours of equal code differ in text
+        shared = np.unique(codes[1:][(codes[1:] == codes[:-1]) & (texts[1:] != texts[:-1])])
         bucket = np.uint64(group["bucket"][0].as_py()) << np.uint64(40)
         rows = []
         for block, entries in zip(group["block"].to_pylist(), lists, strict=True):
@@ -268,7 +279,7 @@ def _shared_anchors(blocks: DataFrame, n_buckets: int) -> DataFrame:
         return pa.Table.from_batches([_batch({"block": _LONG, "shared": _BINARY}, rows)])
 
     sent = blocks.select("block", "doc_ids", "sizes", "keys", "data").mapInArrow(
-        send, "bucket long, block long, entries binary"
+        send, "bucket long, block long, entries binary, texts binary"
     )
     answers = sent.groupBy("bucket").applyInArrow(answer, "block long, shared binary")
     return answers.groupBy("block").agg(F.collect_list("shared").alias("shared"))
