@@ -1,0 +1,159 @@
+from __future__ import annotations
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import conversation_repair
+from tidemark.llm.conversation_repair import Conversation, Paths, Repair, repair_report, repaired_messages
+from tidemark.llm.queries import op11_conversation_repair
+
+KINDS = "conv_id long, turn long, role string, text string"
+
+
+def plain(rows):
+    """Cheapest audit and repaired lines by trying all lists of edits with two inserted rows in a gap at most."""
+    seen, faults = set(), []
+    for role, text in rows:
+        bare = re.sub(r"[\x20\x09-\x0D]+$", "", text)
+        fault = "blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else ""
+        seen.add((role, text))
+        faults.append(fault)
+    gaps = [(), ("user",), ("assistant",), ("user", "assistant"), ("assistant", "user")]
+    choices = [
+        "D" if fault in ("blank", "duplicate") else ["K", "R:user", "R:assistant", "D"] for fault in faults
+    ]
+    best = None
+    for edits in itertools.product(*choices):
+        for inserted in itertools.product(gaps, repeat=len(rows) + 1):
+            cost, audit, lines = 0, "", []
+            for i, gap in enumerate(inserted):
+                cost, audit = cost + 3 * len(gap), audit + "I" * len(gap)
+                lines += [(role, "") for role in gap]
+                if i < len(rows):
+                    role, text = rows[i]
+                    audit += edits[i][0]
+                    cost += {"K": 0, "R": 3, "D": 4}[edits[i][0]]
+                    cost += 3 if faults[i] == "truncated" and edits[i] != "D" else 0
+                    if edits[i] != "D":
+                        lines.append((edits[i][2:] or role, text))
+            if best is not None and (cost, audit) >= best[:2]:
+                continue
+            if re.fullmatch("(s?(ua)+)?", "".join(role[:1] or "-" for role, _ in lines)):
+                best = (cost, audit, "\n".join(f"{r}:{t}" for r, t in lines))
+    return best
+
+
+def repaired(rows, nodes=None):
+    held, seen = Conversation(1), set()
+    if nodes:
+        held.repair = Repair(nodes)
+    lines = []
+    for i, (role, text) in enumerate(rows):
+        lines += held.add(i, role, text, (role, text) in seen)
+        seen.add((role, text))
+    report, rest = held.end()
+    return report[6], report[7], "\n".join(f"{r}:{t}" for _, _, r, t in lines + rest), report[8]
+
+
+def drawn(draw, n):
+    roles = ["system", "user", "assistant", "assistant", "user", "tool", " ", ""]
+    return [(draw.choice(roles), draw.choice(["Yes.", "No!", "and", " ", "", "Why? ", f"{i}."])) for i in range(n)]
+
+
+def test_against_all_edits():
+    draw = random.Random(3)
+    for n in (0, 1, 2, 3):
+        for _ in range(1 if n == 0 else 60):
+            rows = drawn(draw, n)
+            cost, audit, lines, digest = repaired(rows)
+            assert (cost, audit, lines) == plain(rows), rows
+            assert digest == hashlib.sha256(lines.encode()).hexdigest()
+
+
+def test_settling_early_and_equal_hashes_change_nothing(monkeypatch):
+    draw = random.Random(4)
+    many = [drawn(draw, draw.randint(1, 300)) for _ in range(20)]
+    want = [repaired(rows, 1 << 30) for rows in many]
+    assert [repaired(rows, 1) for rows in many] == want
+    monkeypatch.setattr(conversation_repair, "_PRIME", 7)  # most hashes are equal
+    assert [repaired(rows, 1 << 30) for rows in many] == want
+
+
+def test_paths_compare_as_their_texts():
+    draw, paths = random.Random(5), Paths()
+    for _ in range(300):
+        paths.add(draw.randrange(len(paths.parent)), draw.choice("DK"))
+    for _ in range(2000):
+        a, b = draw.randrange(301), draw.randrange(301)
+        assert paths.less(a, b) == (paths.text(a) < paths.text(b))
+
+
+def test_a_long_conversation_holds_few_rows():
+    held, draw = Conversation(1), random.Random(6)
+    for i in range(20_000):
+        held.add(i, draw.choice(["user", "assistant"]), f"{i}.", False)
+        assert len(held.repair.waiting) < 2000 and len(held.repair.paths.parent) < 10_000
+    report, _ = held.end()
+    assert len([x for x in report[7] if x != "I"]) == 20_000
+
+
+def test_query_on_given_rows(spark, tmp_path):
+    """Faults by checksum, tried against plain Python; a conversation whose only row is dropped is there."""
+    rows = [(c, t, r, f"{c} {t}." if t % 5 else None) for c in range(200) for t, r in enumerate(["user", "assistant", "user"][: 1 + c % 3])]
+    rows += [(None, 1, "user", "No id."), (7000, None, "user", "No turn."), (7000, None, None, "No role."), (7000, 9, "user", "Gap.")]
+    spark.createDataFrame(rows, KINDS).write.parquet(str(tmp_path / "conversations.parquet"))
+    found = {r["conv_id"]: r for r in op11_conversation_repair(spark, str(tmp_path)).collect()}
+    assert found.keys() == {r[0] for r in rows}
+    dropped = 0
+    for number in range(200):
+        damaged, turns = [], []
+        for c, t, role, text in rows:
+            if c == number:
+                kind, text = zlib.crc32(f"{c}:{t}".encode()) % 20, " " if text is None else text
+                role = "user" if kind == 4 else role
+                text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+                damaged += [(role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+                turns += [t] if kind else []
+        dropped += not damaged
+        cost, audit, lines = plain(damaged) if len(damaged) < 4 else repaired(damaged)[:3]
+        r = found[number]
+        assert (r["cost"], r["audit"]) == (cost, audit)
+        assert r["repaired_sha256"] == hashlib.sha256(lines.encode()).hexdigest()
+        assert r["gaps"] == (max(turns) - min(turns) + 1 - len(turns) if turns else 0)
+    assert dropped > 0
+
+
+def test_repaired_rows_are_what_the_report_is_about(spark):
+    messages = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").withColumn(
+        "role", F.when(F.col("turn") % 3 == 1, "user").otherwise(F.col("role"))
+    )
+    lines = {}
+    for r in repaired_messages(messages).orderBy("conv_id", "place").collect():
+        lines.setdefault(r["conv_id"], []).append(f"{r['role']}:{r['text']}")
+    for r in repair_report(messages).collect():
+        text = "\n".join(lines.get(r["conv_id"], []))
+        assert r["repaired_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+    assert "I" in "".join(r["audit"] for r in repair_report(messages).collect())
+
+
+@pytest.mark.parametrize("report", [repair_report, repaired_messages])
+def test_odd_rows(spark, report):
+    rows = [
+        (None, None, None, None), (1, None, "user", "a."), (1, None, "user", "a."), (1, 2, None, "b."), (1, 2, "user", None),
+        (2, 1, "", ""), (2, 5, "user", "x" * 200_000), (2, 5, "user", "x" * 200_000),
+    ]
+    names = KINDS + ", audit string, place long, same string, absent boolean, copy string, `a.b` int"
+    docs = spark.createDataFrame([(*r, "x", 1, "y", True, "z", 2) for r in rows], names)
+    found = report(docs).collect()
+    assert {r["conv_id"] for r in found} <= {None, 1, 2} and found
+    if report is repair_report:
+        by = {r["conv_id"]: r for r in found}
+        assert by[2]["gaps"] == 3 and by[2]["blank"] == 1 and by[2]["duplicate"] == 1 and by[2]["truncated"] == 1
+        assert by[None]["audit"] == "D" and by[1]["duplicate"] == 1
+    assert report(spark.createDataFrame([], KINDS)).count() == 0

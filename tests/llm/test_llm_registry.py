@@ -16,7 +16,8 @@ FOLDER = "/root/testdata/sf0.001"
 def test_same_rows_as_sql(spark, name):
     found = QUERIES[name](spark, FOLDER).toPandas()
     duck = duckdb.connect()
-    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
+    for table in ("documents", "conversations", "pages"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     wanted = duck.sql(SQL[name]).df()
     columns = sorted(wanted.columns)
     assert sorted(found.columns) == columns
@@ -28,6 +29,6 @@ def test_same_rows_as_sql(spark, name):
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in QUERIES if n.startswith("op")}
+    assert {f"op{n}" for n in range(1, 12)} == {n.split("_")[0] for n in QUERIES if n.startswith("op")}
     assert QUERIES.keys() <= entry_points.queries().keys()
     assert SQL.keys() <= entry_points.oracle_sql().keys()

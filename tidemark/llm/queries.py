@@ -6,6 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.conversation_repair import DELETE, INSERT, REROLE, TRUNCATED, repair_report
 from tidemark.llm.decontaminate import find_leaks
 from tidemark.llm.language_id import identify_languages
 from tidemark.llm.license_scan import CONTAINMENT, SHINGLE, TEMPLATES, scan_licenses
@@ -67,6 +68,114 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(_documents(spark, folder))
 
 
+def _damaged(messages: DataFrame) -> DataFrame:
+    """The rows with the faults that their checksums call for; ``copy`` numbers a repeated row."""
+    number, turn = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn"))
+    role, text = (F.coalesce(c, F.lit(" ")) for c in ("role", "text"))
+    kind = F.crc32(F.concat(number, F.lit(":"), turn)) % 20
+    return messages.select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, F.lit("user")).otherwise(role).alias("role"),
+        F.when(kind == 1, F.lit("")).when(kind == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        (kind == 0).alias("dropped"),
+        F.explode(F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+
+
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, damaged and repaired."""
+    rows = _damaged(spark.read.parquet(f"{folder}/conversations.parquet"))
+    return repair_report(rows, absent_col="dropped", copy_col="copy")
+
+
+def _crc_sql(bytes_: str) -> str:
+    """The CRC-32 of a blob in SQL."""
+    crc = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ 0xEDB88320 * (byte & 1)
+        crc.append(byte)
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(0, octet_length({bytes_})),
+        lambda i: ('0x' || substr(hex({bytes_}), 2 * i + 1, 2))::BIGINT)),
+        lambda c, b: xor(({crc})[(xor(c, b) & 255) + 1], c >> 8)))"""
+
+
+def _op11_sql() -> str:
+    """The same dynamic program row by row: per place the cost, the audit and the repaired text so far."""
+
+    def edit(place: str, cost: str, letter: str, line: str | None = None) -> str:
+        text = f"{place}.r" if line is None else f"{place}.r || CASE {place}.r WHEN '' THEN '' ELSE chr(10) END || {line}"
+        return f"{{'c': {place}.c + {cost}, 'a': {place}.a || '{letter}', 'r': {text}}}"
+
+    def least(*options: str) -> str:
+        return f"list_sort([{', '.join(options)}])[1]"
+
+    keep = f"CASE fault WHEN 'truncated' THEN {TRUNCATED} ELSE 0 END"
+    rerole = f"{REROLE} + {keep}"
+    own, out = "role || ':' || text", "CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000000 ELSE 0 END + "
+
+    def kept(place: str, initial: str) -> str:
+        return edit(place, f"{out}CASE initial WHEN '{initial}' THEN 0 ELSE 1000000000 END + {keep}", "K", own)
+
+    def given(place: str, role: str) -> str:
+        return edit(place, f"{out}{rerole}", "R", f"'{role}:' || text")
+
+    user = [x for p in ("s0", "s1", "s3") for x in (kept(p, "u"), given(p, "user"))]
+    never = "{'c': 1000000000::BIGINT, 'a': '', 'r': ''}"
+    inserted = f"""n0 AS s0, n1 AS s1, {least("n2", *[edit(p, str(INSERT), "I", "'user:'") for p in ("n0", "n1", "n3")])} AS s2,
+        {least("n3", edit(least("n2", *[edit(p, str(INSERT), "I", "'user:'") for p in ("n0", "n1", "n3")]), str(INSERT), "I", "'assistant:'"))} AS s3"""
+    blank = "[^\\x20\\x09-\\x0D]"
+    return f"""
+WITH RECURSIVE source AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')) AS key
+    FROM conversations
+), hashed AS (SELECT *, {_crc_sql("key")} % 20 AS kind FROM source),
+damaged AS (
+    SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+           unnest(CASE kind WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM hashed WHERE kind <> 0
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again
+    FROM damaged
+), faults AS (
+    SELECT *, left(role, 1) AS initial,
+           lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair,
+           CASE WHEN NOT regexp_matches(text, '{blank}') THEN 'blank' WHEN again THEN 'duplicate'
+                WHEN regexp_extract(text, '({blank})[\\x20\\x09-\\x0D]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated'
+                ELSE '' END AS fault
+    FROM numbered
+), walk AS (
+    SELECT conv_id, 0::BIGINT AS i, {inserted}
+    FROM (SELECT DISTINCT conv_id, {{'c': 0::BIGINT, 'a': '', 'r': ''}} AS n0, {never} AS n1, {never} AS n2, {never} AS n3
+          FROM conversations)
+    UNION ALL
+    SELECT conv_id, i, {inserted}
+    FROM (
+        SELECT f.conv_id, f.i, {edit("s0", str(DELETE), "D")} AS n0,
+               {least(edit("s1", str(DELETE), "D"), kept("s0", "s"))} AS n1,
+               {least(edit("s2", str(DELETE), "D"), *user)} AS n2,
+               {least(edit("s3", str(DELETE), "D"), kept("s2", "a"), given("s2", "assistant"))} AS n3
+        FROM walk w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+    )
+), counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+    FROM faults GROUP BY ALL
+)
+SELECT w.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, {least("s0", "s3")}.c AS cost,
+       {least("s0", "s3")}.a AS audit, sha256({least("s0", "s3")}.r) AS repaired_sha256
+FROM walk w LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id
+WHERE w.i = coalesce(n, 0)
+"""
+
+
 _OP9_SQL = f"""
 WITH texts AS (
     SELECT doc_id, coalesce(text, '') AS text,
@@ -137,18 +246,11 @@ def _op3_sql() -> str:
             || '/' || rack || '/' || number), 1, 12))::BIGINT + 0.5) / 281474976710656.0) / weight) AS number
             FROM keys JOIN {name}_rack USING (doc_id) JOIN {name} USING (region, rack) GROUP BY ALL)"""
         )
-    crc = []
-    for byte in range(256):
-        for _ in range(8):
-            byte = byte >> 1 ^ 0xEDB88320 * (byte & 1)
-        crc.append(byte)
     return f"""
 WITH keys AS (SELECT doc_id, doc_id::VARCHAR AS key FROM documents), {", ".join(trees)},
 codes AS (SELECT doc_id, text, encode(coalesce(text, '')) AS bytes FROM documents)
 SELECT doc_id, (octet_length(bytes) + {OVERHEAD_BYTES})::BIGINT AS size,
-       xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(0, octet_length(bytes)),
-           lambda i: ('0x' || substr(hex(bytes), 2 * i + 1, 2))::BIGINT)),
-           lambda c, b: xor(({crc})[(xor(c, b) & 255) + 1], c >> 8))) AS text_crc32,
+       {_crc_sql("bytes")} AS text_crc32,
        'key' AS law, old_shard.number AS shard,
        row_number() OVER (PARTITION BY old_shard.number ORDER BY doc_id) - 1 AS slot,
        new_shard.number AS grown_shard
@@ -192,10 +294,12 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_files": op10_token_files,
+    "op11_conversation_repair": op11_conversation_repair,
     "pipeline": corpus_pipeline.run,
 }
 SQL = {
     "op3_shard_tree": _op3_sql(),
     "op4_license_scan": _OP4_SQL,
     "op9_quality_rules": _OP9_SQL,
+    "op11_conversation_repair": _op11_sql(),
 }
