@@ -15,6 +15,7 @@ from tidemark.llm.secret_scan import find_secrets
 from tidemark.llm.sentencepiece_codec import encode_pieces
 from tidemark.llm.shard_tree import OVERHEAD_BYTES, assign_shards, fleet, grown
 from tidemark.llm.simhash_dedup import near_duplicates
+from tidemark.llm.spelling_variants import MIN_COUNT, MIN_LETTERS, TIMES, count_words, group_spellings
 from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.token_output import round_trip
 
@@ -89,6 +90,15 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair_report(rows, absent_col="dropped", copy_col="copy")
 
 
+# One in so many runs of letters is misspelt on purpose.
+DAMAGE_EVERY = 199
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents and the forms that they are misspellings of."""
+    return group_spellings(count_words(_documents(spark, folder), damage_every=DAMAGE_EVERY))
+
+
 def _crc_sql(bytes_: str) -> str:
     """The CRC-32 of a blob in SQL."""
     crc = []
@@ -176,6 +186,43 @@ WHERE w.i = coalesce(n, 0)
 """
 
 
+_OP12_SQL = f"""
+WITH RECURSIVE runs AS (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM documents
+), counted AS (
+    SELECT run, encode(coalesce(doc_id::VARCHAR, '') || ':' || run) AS key, count(*) AS n FROM runs GROUP BY ALL
+), hashed AS (SELECT run, n, {_crc_sql("key")} AS h FROM counted),
+spelt AS (
+    SELECT CASE WHEN h % {DAMAGE_EVERY} = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2)
+                ELSE run END AS word, n AS times
+    FROM hashed
+), words AS (
+    SELECT word, sum(times)::BIGINT AS n FROM spelt WHERE length(word) >= {MIN_LETTERS}
+    GROUP BY word HAVING sum(times) >= {MIN_COUNT}
+), cut AS (
+    SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+    SELECT a.word, b.word AS other FROM cut a JOIN cut b USING (i, rest) WHERE a.word <> b.word
+    UNION SELECT word, rest FROM cut WHERE rest IN (SELECT word FROM words)
+    UNION SELECT rest, word FROM cut WHERE rest IN (SELECT word FROM words)
+), best AS (
+    SELECT near.word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS other_n
+    FROM near JOIN words ON words.word = other GROUP BY ALL
+), forms AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= {TIMES} * n THEN other END AS form,
+           CASE WHEN other_n >= {TIMES} * n THEN other_n END AS form_n
+    FROM words LEFT JOIN best USING (word)
+), walk AS (
+    SELECT word, word AS root FROM forms
+    UNION ALL SELECT walk.word, forms.form FROM walk JOIN forms ON forms.word = root AND form IS NOT NULL
+), roots AS (SELECT word, arg_max(root, n) AS root FROM walk JOIN (SELECT word AS root, n FROM words) USING (root) GROUP BY ALL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
+"""
+
+
 _OP9_SQL = f"""
 WITH texts AS (
     SELECT doc_id, coalesce(text, '') AS text,
@@ -295,6 +342,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_token_files": op10_token_files,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_spelling_variants": op12_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
 SQL = {
@@ -302,4 +350,5 @@ SQL = {
     "op4_license_scan": _OP4_SQL,
     "op9_quality_rules": _OP9_SQL,
     "op11_conversation_repair": _op11_sql(),
+    "op12_spelling_variants": _OP12_SQL,
 }
