@@ -29,6 +29,6 @@ def test_same_rows_as_sql(spark, name):
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 13)} == {n.split("_")[0] for n in QUERIES if n.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in QUERIES if n.startswith("op")}
     assert QUERIES.keys() <= entry_points.queries().keys()
     assert SQL.keys() <= entry_points.oracle_sql().keys()

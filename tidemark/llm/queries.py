@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.conversation_repair import DELETE, INSERT, REROLE, TRUNCATED, repair_report
 from tidemark.llm.decontaminate import find_leaks
+from tidemark.llm.html_extraction import LONG, extract_text
 from tidemark.llm.language_id import identify_languages
 from tidemark.llm.license_scan import CONTAINMENT, SHINGLE, TEMPLATES, scan_licenses
 from tidemark.llm.quality_rules import MAX_COVERAGE, MAX_LINE_COVERAGE, quality_report
@@ -99,6 +100,11 @@ def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return group_spellings(count_words(_documents(spark, folder), damage_every=DAMAGE_EVERY))
 
 
+def op13_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of all pages."""
+    return extract_text(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
 def _crc_sql(bytes_: str) -> str:
     """The CRC-32 of a blob in SQL."""
     crc = []
@@ -223,6 +229,43 @@ SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
 """
 
 
+# Markup and character references as they occur in the given pages.
+_OP13_SQL = f"""
+WITH raw AS (
+    SELECT row_number() OVER () AS row, page_id, url, coalesce(html, '') AS html,
+           lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)) AS host
+    FROM pages
+), cut AS (
+    SELECT *, regexp_replace(regexp_replace(regexp_extract(html, '<article>(.*)</article>', 1, 's'),
+                  '<br>', ' ', 'g'), '</?(h1|p)>', chr(1), 'g') AS inner_,
+           regexp_replace(regexp_replace(html, '^.*</head>|<!--.*?-->', '', 'gs'),
+                  '<article>.*</article>|</?(nav|ul|li|div|footer|body|html)[^>]*>', chr(1), 'gs') AS outer_
+    FROM raw
+), plain AS (
+    SELECT row, page_id, url, host, list_transform([inner_, outer_], lambda part: list_filter(list_transform(
+               string_split(regexp_replace(part, '</?(a|b)( [^>]*)?>', '', 'g'), chr(1)),
+               lambda t: trim(regexp_replace(regexp_replace(replace(replace(replace(t, '&quot;', '"'), '&copy;', '\u00a9'),
+                   '&middot;', '\u00b7'), '&amp;?', '&', 'g'), '[\\x20\\x09-\\x0D]+', ' ', 'g'))),
+               lambda t: t <> '')) AS parts
+    FROM cut
+), tokens AS (
+    SELECT row, host, md5(array_to_string(parts[1], chr(2)) || chr(1) || array_to_string(parts[2], chr(2))) AS holder,
+           flatten(list_transform(parts[2], lambda b: list_prepend(chr(10), string_split(b, ' ')))) AS tokens
+    FROM plain
+), runs AS (
+    SELECT row, host, holder, i, array_to_string(tokens[i:i + {LONG - 1}], ' ') AS run
+    FROM (SELECT *, unnest(range(1, len(tokens) - {LONG - 2})) AS i FROM tokens)
+), repeated AS (SELECT host, run FROM runs GROUP BY ALL HAVING count(DISTINCT holder) > 1),
+counts AS (
+    SELECT row, count(DISTINCT place) AS n
+    FROM (SELECT row, unnest(range(i, i + {LONG})) AS place FROM runs SEMI JOIN repeated USING (host, run)) GROUP BY ALL
+)
+SELECT page_id, url, array_to_string(parts[1], chr(10) || chr(10)) AS text,
+       length(array_to_string(parts[1], chr(10) || chr(10))) AS n_chars, coalesce(n, 0) AS n_repeated
+FROM plain LEFT JOIN counts USING (row)
+"""
+
+
 _OP9_SQL = f"""
 WITH texts AS (
     SELECT doc_id, coalesce(text, '') AS text,
@@ -343,6 +386,7 @@ QUERIES = {
     "op10_token_files": op10_token_files,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_html_extraction": op13_html_extraction,
     "pipeline": corpus_pipeline.run,
 }
 SQL = {
@@ -351,4 +395,5 @@ SQL = {
     "op9_quality_rules": _OP9_SQL,
     "op11_conversation_repair": _op11_sql(),
     "op12_spelling_variants": _OP12_SQL,
+    "op13_html_extraction": _OP13_SQL,
 }
