@@ -19,7 +19,7 @@ from tidemark.sources.files import folder_names
 from tidemark.sources.sinks import console_writer, start_append
 from tidemark.sources.streams import parquet_stream
 from tidemark.streaming.leaderboard import ranking, read_leaderboard, step_sums, write_leaderboard
-from tidemark.streaming.updates import latest_per_key, read_latest, rewrite_latest, start_updates
+from tidemark.streaming.updates import latest_per_key, read_latest, rewrite_latest, start_updates, write_updates
 from tidemark.streaming.windows import flat_window, sliding_sum, tumbling_sum, with_event_time
 
 START = datetime(2024, 1, 1)
@@ -194,6 +194,54 @@ def test_latest_per_key(spark, rows):
     assert rows(latest_per_key(updates, ["k"])) == [("a", 3), ("b", 7)]
 
 
+def test_update_table_reads_no_more_as_it_goes_on(spark, rows, tmp_path):
+    """Over 60 batches a reader opens a bounded number of folders, and values stay the latest ones."""
+    path, latest, opened = f"{tmp_path}/out", {}, []
+    handle = write_updates(path, ["k"], compact_every=5)
+    for i in range(60):
+        changed = {f"k{j}": 100 * i + j for j in range(40) if (i + j) % 7 == 0 or i == 0}
+        latest.update(changed)
+        handle(spark.createDataFrame(list(changed.items()), "k string, v long").coalesce(1), i)
+        if i % 4 == 3 or i > 50:
+            found = read_latest(spark, path, ["k"])
+            assert {r.k: r.v for r in found.collect()} == latest
+            opened.append(len({f.rsplit("/", 1)[0] for f in found.inputFiles()}))
+    assert max(opened) <= 5 and len(folder_names(spark, path)) <= 5 + 5 + 2
+    assert len(folder_names(spark, f"{path}/_snapshots")) == 2
+
+
+def test_update_table_takes_repeated_batches(spark, rows, tmp_path):
+    """A batch that runs again, also one that made a snapshot, changes nothing; a failed snapshot is not read."""
+    path = f"{tmp_path}/out"
+    handle = write_updates(path, ["k"], compact_every=2)
+    batches = [[("a", 1), ("b", 1)], [("b", 2)], [("c", 3)], [("a", 4)], [("b", 5)]]
+    frames = [spark.createDataFrame(b, "k string, v long") for b in batches]
+    for i in (0, 1, 1, 2, 3, 3):
+        handle(frames[i], i)
+    assert rows(read_latest(spark, path, ["k"])) == [("a", 4), ("b", 2), ("c", 3)]
+    reader = read_latest(spark, path, ["k"])  # planned before the next snapshot
+    spark.createDataFrame([("x", 9)], "k string, v long").write.parquet(f"{path}/_snapshots/batch_id=5")
+    handle(frames[4], 4)
+    assert rows(read_latest(spark, path, ["k"])) == [("a", 4), ("b", 5), ("c", 3)]
+    handle(spark.createDataFrame([("d", 6)], "k string, v long"), 5)
+    assert rows(reader) == [("a", 4), ("b", 2), ("c", 3)]
+    assert rows(read_latest(spark, path, ["k"])) == [("a", 4), ("b", 5), ("c", 3), ("d", 6)]
+
+
+def test_stream_with_snapshots_goes_on(spark, files, rows, tmp_path):
+    """Snapshots of a real stream, over a restart, hold what the batch result holds."""
+    path, keys = files(*FILES[:2]), ["window_start", "window_end", "course"]
+    for more in (None, FILES[2]):
+        if more is not None:
+            spark.createDataFrame(more, SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/in/9")
+        seconds = flat_window(viewing_seconds(stream(spark, path, "2 hours"), "course", "ts"))
+        query = start_updates(seconds, f"{tmp_path}/out", f"{tmp_path}/checkpoint", keys=keys, compact_every=2)
+        query.awaitTermination()
+        wanted = flat_window(viewing_seconds(spark.read.parquet(path), "course", "ts"))
+        assert rows(read_latest(spark, f"{tmp_path}/out", keys)) == rows(wanted)
+    assert "_latest" in folder_names(spark, f"{tmp_path}/out")
+
+
 def test_leaderboard_after_every_batch(spark, files, rows, tmp_path):
     path = files(*FILES)
     base = f"{tmp_path}/out"

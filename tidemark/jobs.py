@@ -112,7 +112,8 @@ def live_seconds(spark: SparkSession, args: argparse.Namespace) -> None:
     views = kafka_values(spark, args.servers, [args.topic], group_id=args.group)
     seconds = viewing_seconds_sql(spark, with_event_time(views, "timestamp", STREAM_DELAY), "value", "timestamp")
     if args.output:
-        query = start_updates(flat_window(seconds), args.output, args.checkpoint, "1 second")
+        keys = ["window_start", "window_end", "course_name"]
+        query = start_updates(flat_window(seconds), args.output, args.checkpoint, "1 second", keys)
     else:
         query = console_writer(seconds).option("checkpointLocation", args.checkpoint).start()
     query.awaitTermination()

@@ -70,8 +70,9 @@ def stream_tumbling_sql(spark: SparkSession, folder: str) -> DataFrame:
     base = shared_folder(spark, "tumbling")
     with in_utc(spark):
         windows = viewing_seconds_sql(spark, events_stream(spark, folder), "event_type", "ts")
-        finish(start_updates(flat_window(windows), f"{base}/updates", f"{base}/checkpoint"))
-    return read_latest(spark, f"{base}/updates", ["window_start", "window_end", "course_name"])
+        keys = ["window_start", "window_end", "course_name"]
+        finish(start_updates(flat_window(windows), f"{base}/updates", f"{base}/checkpoint", keys=keys, compact_every=1))
+    return read_latest(spark, f"{base}/updates", keys)
 
 
 def stream_last_hour(spark: SparkSession, folder: str) -> DataFrame:

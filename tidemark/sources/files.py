@@ -61,3 +61,29 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     """Remove ``folder`` and all in it, if it is there."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def read_text_file(spark: SparkSession, path: str) -> str | None:
+    """What a small text file holds, or None if there is no such file."""
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = name.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(name):
+        return None
+    stream = files.open(name)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_text_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file in place of the one before in one step, so that readers find either."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    name, fresh = hadoop.Path(path), hadoop.Path(f"{path}.fresh")
+    stream = name.getFileSystem(spark._jsc.hadoopConfiguration()).create(fresh, True)
+    stream.write(text.encode())
+    stream.close()
+    overwrite = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    overwrite[0] = hadoop.Options.Rename.OVERWRITE
+    files = hadoop.FileContext.getFileContext(name.toUri(), spark._jsc.hadoopConfiguration())
+    files.rename(fresh, name, overwrite)
