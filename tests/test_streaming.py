@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -18,7 +19,14 @@ from tidemark.session import CLUSTER_CONF, shared_folder
 from tidemark.sources.files import folder_names
 from tidemark.sources.sinks import console_writer, start_append
 from tidemark.sources.streams import parquet_stream
-from tidemark.streaming.leaderboard import ranking, read_leaderboard, step_sums, write_leaderboard
+from tidemark.streaming.leaderboard import (
+    ranking,
+    read_leaderboard,
+    step_changes,
+    step_sums,
+    summed,
+    write_leaderboard,
+)
 from tidemark.streaming.updates import latest_per_key, read_latest, rewrite_latest, start_updates, write_updates
 from tidemark.streaming.windows import flat_window, sliding_sum, tumbling_sum, with_event_time
 
@@ -306,6 +314,47 @@ def test_leaderboard_reads_no_more_as_it_goes_on(spark, rows, tmp_path):
         assert len(folder_names(spark, f"{base}/{folder}")) <= most
 
 
+def test_leaderboard_by_changes_equals_all_steps(spark, tmp_path):
+    """Over random batches, with late and replaced steps, jumps in time and a repeated batch."""
+    draw, base = random.Random(3), f"{tmp_path}/out"
+    rows, now, parts = {}, 0, []
+    schema = "window_start timestamp_ntz, window_end timestamp_ntz, course string, n long"
+    for _ in range(14):
+        now += draw.choice([0, 1, 3, 20, 70])
+        changed = {}
+        for _ in range(draw.choice([0, 1, 6])):
+            step = (max(0, now - draw.choice([0, 0, 1, 5, 30, 100])), f"c{draw.randrange(6)}")
+            changed[step] = rows[step] = rows.get(step, 0) + draw.randint(1, 9)
+        parts.append((changed, dict(rows)))
+    spark.createDataFrame([], "course string, n long, window_end timestamp_ntz").write.parquet(f"{base}/boards/batch_id=-1")
+    handle, minute, end = write_leaderboard(spark, base, "course", "n", compact_every=6), timedelta(minutes=1), None
+    for i, (changed, known) in enumerate(parts):
+        data = [(START + m * minute, START + m * minute + minute, c, n) for (m, c), n in changed.items()]
+        for _ in range(2 if i % 5 == 4 else 1):
+            handle(spark.createDataFrame(data, schema), i)
+        end = max([m for m, _ in known], default=None)
+        want = {}
+        for (m, c), n in known.items():
+            if end - 60 < m:
+                want[c] = want.get(c, 0) + n
+        assert {r.course: r.n for r in read_leaderboard(spark, base).collect()} == want, i
+
+
+def test_leaderboard_reads_only_slides_that_changed(spark, tmp_path):
+    """A batch looks up the slides it writes to and those that left the hour, not all steps."""
+    base, schema = f"{tmp_path}/known", "window_start timestamp_ntz, window_end timestamp_ntz, course string, n long, batch_id long"
+    minute = timedelta(minutes=1)
+    steps = [(START + m * minute, START + m * minute + minute, f"c{k}", 1, 0) for m in range(60) for k in range(50)]
+    spark.createDataFrame(steps, schema).write.parquet(base)
+    known = spark.read.schema(schema).parquet(base)
+    recent = spark.createDataFrame([(START + 59 * minute, START + 60 * minute, "c1", 5, 1)], schema)
+    changes = step_changes(recent, known, "course", "n", START + minute, (START, START + 60 * minute))
+    assert changes.count() == 1 + 1 + 50  # the new step, the one it replaces, the minute that has passed
+    assert changes._jdf.queryExecution().executedPlan().toString().count("PushedFilters: [IsNotNull(window_start)") >= 2
+    found = summed(known.select("course", "n", F.lit(1).cast("bigint").alias("steps")).unionByName(changes), "course", "n")
+    assert {r.course: (r.n, r.steps) for r in found.collect()} == {f"c{k}": (59 + 4 * (k == 1), 59) for k in range(50)}
+
+
 def test_live_level_counts(spark, files, rows, tmp_path):
     """Counts of the last two minutes up to the newest line, after every batch."""
     path = files(heartbeats((0, "WARN"), (1, "WARN"), (100, "INFO")), heartbeats((121, "WARN"), (60, "INFO")))
