@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
@@ -11,7 +12,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from tidemark.operators import metrics
+from tidemark.operators import inner_products, metrics
 from tidemark.operators.caching import reused, spread
 from tidemark.operators.features import (
     check_categories,
@@ -21,7 +22,8 @@ from tidemark.operators.features import (
     one_hot_encoder,
     string_indexer,
 )
-from tidemark.operators.models import als, feature_names, kmeans, number_ids, parameter_grid, validation_search
+from tidemark.operators.inner_products import top_inner_products
+from tidemark.operators.models import als, feature_names, kmeans, number_ids, parameter_grid, recommend, validation_search
 from tidemark.plans.forecasts import (
     churn_report,
     clean_chapter_views,
@@ -271,7 +273,48 @@ def test_recommendations(spark, watched, rows):
     assert new_recommendations(model, users.limit(0), rated).count() == 0
     beside = with_history(model, users, rated)
     watched_rows = rated.where("user IN (1, 2)").count()
-    assert rows(beside.groupBy("kind").count()) == [("new", 10), ("watched", watched_rows)]
+    new_rows = sum(min(5, 12 - known[u]) for u in (1, 2))
+    assert rows(beside.groupBy("kind").count()) == [("new", new_rows), ("watched", watched_rows)]
+    again = beside.where("kind = 'new'").join(beside.where("kind = 'watched'"), ["user", "course"])
+    assert again.isEmpty()
+
+
+@pytest.mark.parametrize("block_bytes", [32 << 20, 40 * 40, 1])
+def test_top_products_against_all_pairs(spark, rows, monkeypatch, block_bytes):
+    """With and without seen items, for items in one block and in many; users of few or no items left."""
+    monkeypatch.setattr(inner_products, "STEP", 16)
+    draw = np.random.default_rng(1)
+    n = 150 if block_bytes > 1 else 7
+    users, items = draw.normal(size=(20, 4)).astype("f4"), (draw.normal(size=(n, 4)) * draw.gamma(1, 2, (n, 1))).astype("f4")
+    users[3] = 0
+    items[5] = items[4]
+    kinds = "id int, features array<float>"
+    frames = [spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], kinds) for m in (users, items)]
+    seen = [(u, int(i)) for u in range(0, 20, 2) for i in draw.choice(n, min(n, 9 * u), replace=False)]
+    seen += [(0, 10**6), (4, seen[0][1])]
+    for known in ([], seen):
+        frame = spark.createDataFrame(known, "user int, item int") if known else None
+        found = top_inner_products(*frames, 5, frame, block_bytes)
+        got = {}
+        for r in found.orderBy("user", "rank").collect():
+            got.setdefault(r.user, []).append((r.item, r.rating))
+        products = (users @ items.T).astype("f8")
+        for u in range(20):
+            left = [i for i in range(n) if (u, i) not in set(known)]
+            want = sorted((-products[u, i], i) for i in left)[:5]
+            assert np.allclose([p for _, p in got.get(u, [])], [-p for p, _ in want], atol=1e-4)
+            assert all(i in left for i, _ in got.get(u, [])) and len({i for i, _ in got.get(u, [])}) == len(want)
+
+
+def test_top_items_equal_those_of_spark(spark, watched, rows):
+    rated = percent_ratings(watched, "user", "course", "share")
+    model = fit_recommender(rated, "user", "course", "share")
+    users = model.numbered(rated.select("user"))
+    whole = recommend(model.model, users, 4)
+    own = top_items(model, rated.select("user"), 4).join(model.users, "user").join(model.items, "course")
+    want = {(r._user, r.rank): (r._item, round(r.rating, 2)) for r in whole.collect()}
+    assert {(r._user, r.rank): (r._item, round(r.rating, 2)) for r in own.collect()} == want
+    assert top_inner_products(model.model.userFactors, model.model.itemFactors.limit(0), 3).count() == 0
 
 
 def test_ids_of_any_type(spark, watched, rows):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,10 +16,11 @@ from tidemark.plans.live_views import (
     viewing_seconds_sql,
 )
 from tidemark.plans.log_reports import live_level_counts, start_level_counts
-from tidemark.session import CLUSTER_CONF, shared_folder
+from tidemark.session import shared_folder, state_on_disk
 from tidemark.sources.files import folder_names
 from tidemark.sources.sinks import console_writer, start_append
 from tidemark.sources.streams import parquet_stream
+from tidemark.streaming.late_rows import count_late_rows, observed
 from tidemark.streaming.leaderboard import (
     ranking,
     read_leaderboard,
@@ -28,7 +30,7 @@ from tidemark.streaming.leaderboard import (
     write_leaderboard,
 )
 from tidemark.streaming.updates import latest_per_key, read_latest, rewrite_latest, start_updates, write_updates
-from tidemark.streaming.windows import flat_window, sliding_sum, tumbling_sum, with_event_time
+from tidemark.streaming.windows import closed_windows, flat_window, sliding_sum, tumbling_sum, with_event_time
 
 START = datetime(2024, 1, 1)
 SCHEMA = "ts timestamp_ntz, course string"
@@ -113,8 +115,9 @@ def test_sql_over_a_streaming_view(spark, files, rows, tmp_path):
 
 def test_last_hour_appends_each_closed_window_once(spark, files, rows, tmp_path):
     path = files(*FILES)
-    hours = flat_window(viewing_last_hour(stream(spark, path, "2 hours"), "course", "ts"))
-    start_append(hours, f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
+    with state_on_disk(spark):
+        hours = flat_window(viewing_last_hour(stream(spark, path, "2 hours"), "course", "ts"))
+        start_append(hours, f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
     found = spark.read.schema(hours.schema).parquet(f"{tmp_path}/out")
     everything = flat_window(viewing_last_hour(spark.read.parquet(path), "course", "ts"))
     closed = everything.where(F.col("window_end") <= at(100))
@@ -157,6 +160,25 @@ def test_row_behind_the_watermark_is_dropped(spark, files, tmp_path):
     assert first.seconds_watched == 5
 
 
+def test_late_rows_are_counted(spark, files, tmp_path):
+    """Three rows behind the watermark, and one without a time."""
+    late = [*heartbeats((40, "a"), (200, "a"), (40, "b")), (None, "a")]
+    path = files(heartbeats((0, "a"), (1800, "a")), heartbeats((1810, "a")), late)
+    listener = count_late_rows(spark)
+    try:
+        seconds = flat_window(viewing_seconds(observed(stream(spark, path), "ts"), "course", "ts"))
+        query = start_updates(seconds, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+        query.awaitTermination()
+        assert listener.settled(query)
+    finally:
+        spark.streams.removeListener(listener)
+    assert listener.late(query) == 3
+    by_batch = {b.number: (b.rows, b.late) for b in listener.batches(query) if b.rows}
+    assert by_batch == {0: (2, 0), 1: (1, 0), 2: (4, 3)}
+    last = [b for b in listener.batches(query) if b.number == 2][0]
+    assert (last.times["n_rows"], last.times["n_without_time"]) == (4, 1)
+
+
 def test_state_is_released_behind_the_watermark(spark, files, tmp_path):
     path = files(*[heartbeats((3600 * i, "a"), (3600 * i + 1, "b")) for i in range(6)])
     seconds = flat_window(viewing_seconds(stream(spark, path), "course", "ts"))
@@ -181,19 +203,49 @@ def test_query_goes_on_from_its_checkpoint(spark, files, rows, tmp_path):
 
 
 def test_state_on_disk_gives_the_same_windows(spark, files, rows, tmp_path):
-    """The state store that clusters use, for a chain of two aggregates."""
+    """The state store that clusters use."""
     path = files(*FILES)
-    for key, value in CLUSTER_CONF.items():
-        spark.conf.set(key, value)
-    try:
-        hours = flat_window(viewing_last_hour(stream(spark, path, "2 hours"), "course", "ts"))
-        start_append(hours, f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
-    finally:
-        for key in CLUSTER_CONF:
-            spark.conf.unset(key)
-    everything = flat_window(viewing_last_hour(spark.read.parquet(path), "course", "ts"))
-    closed = everything.where(F.col("window_end") <= at(100))
-    assert rows(spark.read.schema(hours.schema).parquet(f"{tmp_path}/out")) == rows(closed)
+    with state_on_disk(spark):
+        seconds = flat_window(viewing_seconds(stream(spark, path, "2 hours"), "course", "ts"))
+        start_updates(seconds, f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
+    found = read_latest(spark, f"{tmp_path}/out", ["window_start", "window_end", "course"])
+    assert rows(found) == rows(flat_window(viewing_seconds(spark.read.parquet(path), "course", "ts")))
+
+
+def test_sliding_sums_of_a_stream_over_many_batches(spark, files, rows, tmp_path):
+    """From state: every closed window once, with late and null keys, numbers with fractions, and a restart."""
+    draw = random.Random(1)
+    lists = [heartbeats(*[(600 * i + draw.randint(-200, 900), draw.choice(["a", "b", None])) for _ in range(15)]) for i in range(5)]
+    path, size, slide = files(*lists[:3]), "10 minutes", "2 minutes"
+    value = F.second("ts") + F.lit(0.5)
+    with state_on_disk(spark):
+        for more in (None, lists[3], lists[4]):
+            if more is not None:
+                spark.createDataFrame(more, SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/in/{9 + len(folder_names(spark, f'{tmp_path}/in'))}")
+            sums = sliding_sum(stream(spark, path, "20 minutes"), "ts", size, slide, ["course"], value, "s")
+            query = start_append(flat_window(sums), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+            query.awaitTermination()
+    everything = flat_window(sliding_sum(spark.read.parquet(path), "ts", size, slide, ["course"], value, "s"))
+    last = spark.read.parquet(path).agg(F.max("ts")).first()[0] - timedelta(minutes=20)
+    closed = everything.where(F.col("window_end") <= F.lit(str(last)).cast("timestamp_ntz"))
+    assert rows(spark.read.parquet(f"{tmp_path}/out")) == rows(closed) and closed.count() >= 50
+    plan = query._jsq.explainInternal(False)
+    assert "TransformWithState" in plan and "Expand" not in plan and "Generate" not in plan
+
+
+def test_windows_of_slides(rows):
+    draw = np.random.default_rng(2)
+    for _ in range(50):
+        starts = np.unique(draw.integers(-30, 60, draw.integers(0, 20))) * 5
+        parts = draw.integers(1, 9, len(starts))
+        after, until = sorted(draw.integers(-200, 400, 2).tolist())
+        ends, sums = closed_windows(starts, parts, 40, 5, after, until)
+        want = {
+            e: sum(p for s, p in zip(starts.tolist(), parts.tolist(), strict=True) if e - 40 <= s < e)
+            for e in range(-400, 600, 5)
+            if after < e <= until
+        }
+        assert dict(zip(ends.tolist(), sums.tolist(), strict=True)) == {e: s for e, s in want.items() if s}
 
 
 def test_latest_per_key(spark, rows):

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.caching import reused, spread
-from tidemark.operators.models import als, als_blocks, number_ids, recommend
+from tidemark.operators.inner_products import top_inner_products
+from tidemark.operators.models import als, als_blocks, number_ids
 from tidemark.session import shared_folder
 
 PERCENT = 100
@@ -73,42 +73,45 @@ def score(recommender: Recommender, pairs: DataFrame) -> DataFrame:
 
 
 def top_items(recommender: Recommender, users: DataFrame | None, k: int = 5) -> DataFrame:
-    """``user, rank, item, rating``: top ``k`` items for ``users``, or for every known user if None."""
-    asked = None if users is None else recommender.numbered(users)
-    return recommender.named(recommend(recommender.model, asked, k))
+    """``user, rank, item, rating``: top ``k`` items for ``users``, or for every known user if None.
+
+    Items are tried by falling norm until none to come can be better, so most pairs are never multiplied.
+    """
+    factors = _factors_of(recommender, None if users is None else recommender.numbered(users))
+    return recommender.named(_by_number(top_inner_products(factors, recommender.model.itemFactors, k)))
+
+
+def _factors_of(recommender: Recommender, asked: DataFrame | None) -> DataFrame:
+    factors = recommender.model.userFactors
+    return factors if asked is None else factors.join(asked.withColumnRenamed(USER, "id"), "id", "left_semi")
+
+
+def _by_number(found: DataFrame) -> DataFrame:
+    return found.withColumnsRenamed({"user": USER, "item": ITEM})
 
 
 def new_recommendations(
     recommender: Recommender, users: DataFrame, history: DataFrame, k: int = 5
 ) -> DataFrame:
-    """Top ``k`` items of ``users`` that are not in their history, ranked anew from 1.
+    """Top ``k`` items of ``users`` that are not in their history, ranked from 1.
 
-    Everyone gets ``k`` items, if the model knows so many that are new. Users are taken together by the
-    length of their history up to the next power of two, so few of them are asked for many items.
+    Everyone gets ``k`` items, if the model knows so many that are new. What a user has seen is left out in
+    the same pass, however long the history.
     """
-    model, user, item = recommender.model, recommender.user, recommender.item
+    user, item = recommender.user, recommender.item
     asked = recommender.numbered(users)
     seen = (
         history.join(recommender.users, user).join(recommender.items, item)
-        .join(asked, USER, "left_semi").select(USER, ITEM).distinct()
+        .join(asked, USER, "left_semi").select(F.col(USER).alias("user"), F.col(ITEM).alias("item"))
     )
-    counted = asked.join(seen.groupBy(USER).count(), USER, "left")
-    seen_bits = F.length(F.bin(F.coalesce("count", F.lit(0)))) * (F.coalesce("count", F.lit(0)) > 0).cast("int")
-    with reused(counted.select(USER, seen_bits.alias("bits"))) as sized:
-        sizes = [row.bits for row in sized.select("bits").distinct().collect()]  # 32 at most
-        found = [recommend(model, sized.where(F.col("bits") == b), k + 2**b - 1) for b in sorted(sizes)]
-        if not found:
-            found = [recommend(model, asked, k)]
-        unseen = reduce(DataFrame.unionByName, found).join(seen, [USER, ITEM], "left_anti")
-    order = Window.partitionBy(USER).orderBy("rank")
-    ranked = unseen.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return recommender.named(ranked)
+    found = top_inner_products(_factors_of(recommender, asked), recommender.model.itemFactors, k, seen)
+    return recommender.named(_by_number(found))
 
 
 def with_history(recommender: Recommender, users: DataFrame, history: DataFrame, k: int = 5) -> DataFrame:
-    """Top ``k`` items beside each user's own history, as rows of kind ``new`` and ``watched``."""
+    """Top ``k`` items that are new to each user beside the user's history, as rows of kind ``new`` and ``watched``."""
     user, item = recommender.user, recommender.item
-    found = top_items(recommender, users, k)
+    found = new_recommendations(recommender, users, history, k)
     watched = history.join(users.select(user).distinct(), user, "left_semi")
     return found.select(user, item, F.lit("new").alias("kind")).unionByName(
         watched.select(user, item, F.lit("watched").alias("kind"))

@@ -272,6 +272,23 @@ def als_new_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def als_history_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of each kind beside the history per asked user, and how many new ones the user has rated."""
+    model, rated = fitted(spark, folder)
+    beside = with_history(model, urgent_users(spark, folder), rated)
+    known = rated.select("o_custkey", "l_partkey", F.lit(1).alias("known"))
+    new = F.col("kind") == "new"
+    return (
+        beside.join(known, ["o_custkey", "l_partkey"], "left")
+        .groupBy("o_custkey")
+        .agg(
+            F.count_if(new).alias("new_items"),
+            F.count_if(~new).alias("watched"),
+            F.count_if(new & F.col("known").isNotNull()).alias("new_but_known"),
+        )
+    )
+
+
 def als_with_history(spark: SparkSession, folder: str) -> DataFrame:
     model, rated = fitted(spark, folder)
     return with_history(model, urgent_users(spark, folder), rated)
@@ -303,6 +320,7 @@ QUERIES = {
     "als_topk": als_topk,
     "als_new_items": als_new_items,
     "als_new_counts": als_new_counts,
+    "als_history_counts": als_history_counts,
     "als_with_history": als_with_history,
 }
 
@@ -368,6 +386,13 @@ SQL = {
         SELECT o_custkey, n AS items, 1 AS first_rank, n::INTEGER AS last_rank,
                0::BIGINT AS known
         FROM news WHERE n > 0""",
+    "als_history_counts": """
+        WITH rated AS (SELECT DISTINCT o_custkey, l_partkey
+                       FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+        urgent AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
+        SELECT o_custkey, least(5, (SELECT count(DISTINCT l_partkey) FROM rated) - count(*)) AS new_items,
+               count(*) AS watched, 0::BIGINT AS new_but_known
+        FROM rated JOIN urgent USING (o_custkey) GROUP BY o_custkey""",
     "cluster_sizes": "SELECT label, count(*) AS total FROM embeddings GROUP BY label",
     "cluster_sse": f"""
         WITH {DIMENSIONS}, spread AS (

@@ -15,7 +15,7 @@ from tidemark.plans.live_views import (
     viewing_seconds_sql,
 )
 from tidemark.plans.log_reports import live_level_counts, start_level_counts
-from tidemark.session import shared_folder
+from tidemark.session import shared_folder, state_on_disk
 from tidemark.sources.files import read_table
 from tidemark.sources.schemas import EVENTS
 from tidemark.sources.sinks import start_append
@@ -78,7 +78,7 @@ def stream_tumbling_sql(spark: SparkSession, folder: str) -> DataFrame:
 def stream_last_hour(spark: SparkSession, folder: str) -> DataFrame:
     """Sliding hours whose end the watermark has passed, appended once each."""
     base = shared_folder(spark, "last-hour")
-    with in_utc(spark):
+    with in_utc(spark), state_on_disk(spark):
         hours = viewing_last_hour(events_stream(spark, folder), "event_type", "ts")
         finish(start_append(flat_window(hours), f"{base}/hours", f"{base}/checkpoint"))
     return spark.read.parquet(f"{base}/hours")

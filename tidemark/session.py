@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -46,6 +48,19 @@ def build_session(
     return builder.getOrCreate()
 
 
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Start streams with their state in RocksDB, as clusters have it; some operators need it everywhere."""
+    before = {key: spark.conf.get(key, None) for key in CLUSTER_CONF}
+    for key, value in CLUSTER_CONF.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for one run of ``name`` below ``spark.checkpoint.dir``.
 
