@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -127,3 +128,16 @@ def test_describe_of_text(spark):
     assert (found["n"].min, found["n"].max, found["n"].min_text) == (1.0, 2.0, None)
     assert (found["f"]["count"], found["f"].min_text, found["f"].max_text) == (2, "false", "true")
     assert describe_columns(df.limit(0), ["t"]).first()["count"] == 0
+
+
+def test_describe_sums_numbers_by_hashing(spark, tmp_path):
+    """Text beside numbers does not make their aggregate sort, and no column is read twice."""
+    data = spark.range(1000).select("id", (F.col("id") / 7).alias("x"), F.concat(F.lit("t"), "id").alias("t"))
+    data.write.parquet(str(tmp_path / "data"))
+    read = spark.read.parquet(str(tmp_path / "data"))
+    plan = plan_of(describe_columns(read, ["id", "t", "x"]))
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    assert sorted(schemas) == ["id:bigint,x:double", "t:string"]
+    assert plan.count("HashAggregate") >= 2 and plan.count("SortAggregate") == 2
+    found = {r.column: r for r in describe_columns(read, ["id", "t", "x"]).collect()}
+    assert (found["id"].max, found["t"].max_text, found["x"]["count"]) == (999.0, "t999", 1000)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from executed_plans import plan_of
-from tidemark.operators.joins import flag_members, is_small, lookup, salted_join
+from tidemark.operators.joins import flag_members, hot_keys, is_small, lookup, salted_join
 
 
 @pytest.fixture
@@ -77,6 +77,30 @@ def test_salted_join_spreads_null_keys(spark, dimension, how):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_hot_keys_from_a_sketch(spark):
+    """Exact while the sketch holds all keys; no hot key is missed among a hundred thousand others."""
+    facts = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k"))
+    assert hot_keys(facts, "k", 0.1) == [7]
+    many = spark.range(300_000).select(
+        F.when(F.col("id") % 4 == 0, F.col("id") % 20).otherwise(F.col("id")).cast("string").alias("k")
+    )
+    found = hot_keys(many.repartition(8), "k", 0.01)
+    exact = {r.k for r in many.groupBy("k").count().where("count >= 3000").collect()}
+    assert exact <= set(found) and len(exact) == 5 and len(found) < 20
+    dates = facts.select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("k").cast("int")).alias("k"))
+    assert [str(d) for d in hot_keys(dates, "k", 0.1)] == ["2024-01-08"]
+    assert hot_keys(facts.select((F.col("k") == 7).alias("k")), "k", 0.4) == [False]
+    assert hot_keys(facts.select(F.lit(None).cast("string").alias("k")), "k") == []
+    assert hot_keys(facts.limit(0), "k") == []
+
+
+def test_hot_keys_are_found_in_one_pass(spark, facts):
+    """No shuffle by key: what reaches the one reducing task is a sketch a task."""
+    key = facts.where("k IS NOT NULL").agg(F.count("*"), F.expr("approx_top_k(k, 10, 40)"))
+    plan = plan_of(key)
+    assert plan.count("Exchange SinglePartition") == 1 and "hashpartitioning" not in plan
+
+
 def test_salted_join_of_nothing(spark, facts, dimension):
     assert salted_join(facts.limit(0), dimension, "k", "left").count() == 0
     nulls = facts.where("k IS NULL")

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from tidemark.operators import inner_products, metrics
 from tidemark.operators.caching import reused, spread
 from tidemark.operators.features import (
+    category_table,
+    index_categories,
     check_categories,
     feature_stages,
     hash_split,
@@ -23,6 +25,7 @@ from tidemark.operators.features import (
     string_indexer,
 )
 from tidemark.operators.inner_products import top_inner_products
+from tidemark.operators.ranks import with_rank
 from tidemark.operators.models import als, feature_names, kmeans, number_ids, parameter_grid, recommend, validation_search
 from tidemark.plans.forecasts import (
     churn_report,
@@ -370,3 +373,25 @@ def test_too_many_categories_raise(colours):
     check_categories(colours, [])
     with pytest.raises(ValueError, match="colour"):
         check_categories(colours, ["colour"], most=3)
+
+
+def test_ranks_are_global(spark):
+    rows = spark.range(5000).select(F.pmod(F.xxhash64("id"), F.lit(100)).alias("a"), "id").repartition(7)
+    ranked = with_rank(rows, F.desc("a"), F.asc("id"))
+    found = [(r.a, r.id) for r in ranked.orderBy("rank").collect()]
+    assert found == sorted(found, key=lambda r: (-r[0], r[1]))
+    assert [r.rank for r in ranked.orderBy("rank").collect()] == list(range(5000))
+    assert with_rank(rows.limit(0), F.asc("id")).count() == 0
+
+
+def test_a_million_categories(spark):
+    """Far more than the driver should hold: same numbers as the rule, values unseen and null get the next one."""
+    n = 1_000_000
+    values = spark.range(n + 1000).select(F.concat(F.lit("v"), F.pmod("id", F.lit(n))).alias("v"))
+    table = category_table(values, "v", "i")
+    assert table.agg(F.count("*"), F.count_distinct("i"), F.min("i"), F.max("i")).first()[:] == (n, n, 0.0, n - 1.0)
+    often = sorted(f"v{k}" for k in range(1000))
+    assert [r.v for r in table.where("i < 1000").orderBy("i").collect()] == often
+    asked = spark.createDataFrame([(often[3],), ("none",), (None,)], "v string")
+    assert [r.i for r in index_categories(asked, table, "v", "i").orderBy("i").collect()] == [3.0, float(n), float(n)]
+    assert index_categories(asked, table, "v", "i", "skip").count() == 1

@@ -15,6 +15,8 @@ from pyspark.ml.feature import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import lookup
+from tidemark.operators.ranks import with_rank
 
 # Categories are held on the driver and in every model; vectors are as wide as their number.
 MOST_CATEGORIES = 100_000
@@ -47,6 +49,30 @@ def check_categories(df: DataFrame, columns: Sequence[str], most: int = MOST_CAT
         raise ValueError(f"more than {most} categories: {many}")
 
 
+def category_table(df: DataFrame, column: str, index: str) -> DataFrame:
+    """``column, index``: the distinct values by falling frequency, ties in alphabetical order, from 0.0.
+
+    The same numbers as those of :func:`string_indexer`, as a table of any length: categories are
+    counted by key and ranked over a range partition, and none reaches the driver. Null is no category.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_rows"))
+    ranked = with_rank(counts, F.desc("_rows"), F.asc(column), name="_rank")
+    return ranked.select(column, F.col("_rank").cast("double").alias(index))
+
+
+def index_categories(
+    df: DataFrame, table: DataFrame, column: str, index: str, unseen: str = "keep"
+) -> DataFrame:
+    """``df`` with the ``index`` of each value from a :func:`category_table`.
+
+    Values that are not in it get the next number (``keep``), or their rows go (``skip``).
+    """
+    found = lookup(df, table, column, "left" if unseen == "keep" else "inner")
+    if unseen != "keep":
+        return found
+    return found.withColumn(index, F.coalesce(F.col(index), F.lit(float(table.count()))))
+
+
 def index_to_string(model: StringIndexerModel, column: str, output: str) -> Transformer:
     """Transformer from an index column of ``model`` back to its categories."""
     position = model.getOutputCols().index(column)

@@ -4,6 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegralType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 # A side of at most this many rows, and this many bytes of text in them, is broadcast.
 BROADCAST_ROWS = 200_000
@@ -11,6 +21,7 @@ BROADCAST_TEXT_BYTES = 32 * 1024 * 1024
 # Share of all rows from which on a key is spread over several tasks, and how many tasks each.
 HOT_SHARE = 0.001
 SALTS = 64
+_SKETCHED = (IntegralType, StringType, FloatType, DoubleType, DateType, TimestampType, TimestampNTZType, DecimalType)
 
 
 def lookup(
@@ -52,18 +63,15 @@ def salted_join(
 ) -> DataFrame:
     """Shuffle join that spreads the rows of the most frequent keys over ``salts`` tasks.
 
-    Keys that at least a ``hot_share`` of the rows of ``facts`` have are found first, or those of
+    Keys that at least a ``hot_share`` of the rows of ``facts`` have are found first (:func:`hot_keys`), or those of
     ``hot_from`` if it has them and is cheaper to read; there are at most ``1 / hot_share``, and none
     where keys are even. Any choice of keys gives the same result. Their rows get a salt from the row's hash and its partition, which spreads copies of
     one row too and is the same when a lost task is run again; their rows in ``other`` are
     repeated once per salt. Null keys match nothing, so their rows of ``facts`` are spread as well. All
     other keys keep salt 0.
     """
-    counted = facts if hot_from is None else hot_from
-    least = max(2.0, hot_share * counted.count())
-    sizes = counted.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
-    frequent = sizes.where(F.col("_rows") >= least).select(key).collect()
-    is_hot = F.coalesce(F.col(key).isin([row[0] for row in frequent]), F.lit(False))
+    frequent = hot_keys(facts if hot_from is None else hot_from, key, hot_share)
+    is_hot = F.coalesce(F.col(key).isin(frequent), F.lit(False))
     spread = F.xxhash64(*_hashable(facts)) + F.spark_partition_id()
     row_salt = F.pmod(spread, F.lit(salts)).cast("int")
     left = facts.withColumn("_salt", F.when(is_hot | F.col(key).isNull(), row_salt).otherwise(F.lit(0)))
@@ -72,6 +80,25 @@ def salted_join(
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
+    """Keys that about a ``share`` of the rows or more have, from one pass over the key column alone.
+
+    A sketch of the most frequent items is kept in every task and merged, so nothing is shuffled by key. It
+    holds four times as many counters as there can be such keys and never counts a key too low by more than a
+    counter's share, so no hot key is missed; one a little below the share may be among them. Keys of types that
+    the sketch does not take are counted by key instead.
+    """
+    most = max(1, int(1 / share))
+    if not isinstance(df.schema[key].dataType, _SKETCHED):
+        counted = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
+        least = max(2.0, share * df.count())
+        return [row[0] for row in counted.where(F.col("_rows") >= least).select(key).collect()]
+    items = F.expr(f"approx_top_k(`{key}`, {most}, {min(1_000_000, 4 * most)})")
+    found = df.where(F.col(key).isNotNull()).agg(F.count("*").alias("n"), items.alias("items")).first()
+    least = max(2.0, share * found["n"])
+    return [row["item"] for row in found["items"] or [] if row["item"] is not None and row["count"] >= least]
+
+
 def _hashable(df: DataFrame) -> list[Column]:
     """Columns of ``df`` that can be hashed (maps cannot)."""
     return [F.col(name) for name, kind in df.dtypes if "map<" not in kind]

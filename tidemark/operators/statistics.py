@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import product
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +18,13 @@ def describe_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     value in text order.
     """
     numeric = {field.name for field in df.schema if isinstance(field.dataType, NumericType)}
-    return df.agg(F.array(*[_summary(c, c in numeric) for c in columns]).alias("rows")).selectExpr("inline(rows)")
+    numbers, others = [c for c in columns if c in numeric], [c for c in columns if c not in numeric]
+    # Extremes of text are aggregated by sorting, so that numbers have an aggregate of their own, by hashing. No
+    # column is read twice.
+    parts = [
+        df.agg(F.array(*[_summary(c, c in numeric) for c in part]).alias("rows")) for part in (numbers, others) if part
+    ]
+    return reduce(DataFrame.unionAll, parts).selectExpr("inline(rows)")
 
 
 def _summary(column: str, numeric: bool) -> Column:

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.features import (
     assembler,
+    category_table,
+    check_categories,
     feature_stages,
     in_first_part,
+    index_categories,
     index_to_string as back_to_string,
     one_hot_encoder,
     string_indexer,
@@ -35,10 +38,20 @@ def segments(spark: SparkSession, folder: str) -> DataFrame:
 def string_index(spark: SparkSession, folder: str) -> DataFrame:
     """Indexes of two columns from one fit."""
     parts = read_table(spark, folder, "part").select("p_partkey", "p_type", "p_brand")
+    check_categories(parts, ["p_type", "p_brand"])
     indexed = string_indexer(["p_type", "p_brand"]).fit(parts).transform(parts)
     return indexed.select("p_partkey", "p_type_index", "p_brand_index")
 
 
+def string_index_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The same indexes from tables of categories, which may have any length."""
+    parts = read_table(spark, folder, "part").select("p_partkey", "p_type", "p_brand")
+    for column in ("p_type", "p_brand"):
+        table = category_table(parts, column, f"{column}_index")
+        parts = index_categories(parts, table, column, f"{column}_index")
+    return parts.select("p_partkey", "p_type_index", "p_brand_index")
+
+
 def index_to_string(spark: SparkSession, folder: str) -> DataFrame:
     """The category behind each index that occurs."""
     customers = segments(spark, folder)
@@ -77,6 +90,7 @@ def hash_split(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "string_index": string_index,
+    "string_index_table": string_index_table,
     "index_to_string": index_to_string,
     "one_hot": one_hot,
     "assemble": assemble,
@@ -98,11 +112,14 @@ FLAGS = f"""
     flags AS (SELECT c_custkey, place::INTEGER AS position, (idx = place)::INTEGER::DOUBLE AS entry
               FROM customer JOIN ranks USING (c_mktsegment), places)"""
 
+INDEXES = f"""
+    SELECT p_partkey, t.idx AS p_type_index, b.idx AS p_brand_index
+    FROM part JOIN ({ranked("part", "p_type")}) t USING (p_type)
+              JOIN ({ranked("part", "p_brand")}) b USING (p_brand)"""
+
 SQL = {
-    "string_index": f"""
-        SELECT p_partkey, t.idx AS p_type_index, b.idx AS p_brand_index
-        FROM part JOIN ({ranked("part", "p_type")}) t USING (p_type)
-                  JOIN ({ranked("part", "p_brand")}) b USING (p_brand)""",
+    "string_index": INDEXES,
+    "string_index_table": INDEXES,
     "index_to_string": f"""
         SELECT idx AS c_mktsegment_index, c_mktsegment AS value
         FROM ({ranked("customer", "c_mktsegment")})""",
