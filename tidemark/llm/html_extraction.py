@@ -7,7 +7,7 @@ of their main region, or else of their body. What an element's name, role or cla
 an advert and the like is never text.
 
 Streams are cut into shards where the pages lie, so a host of any size is many tasks' work. A suffix array tells
-which runs repeat within its shard; the distinct runs of all shards are then merged by checksum.
+which runs of a host repeat within its shard; the distinct runs of all shards are then merged by checksum.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import column, slices, stored
+from tidemark.llm.common import column, mixed, slices, stored
 
 # Tokens, with one for the start of each block, that several pages must share in a row.
 LONG = 8
@@ -59,6 +59,7 @@ NO_TEXT_NAMES = set(
 MAIN_NAMES = set("article content post entry story main".split())
 
 ARTICLE, REGION, OUTSIDE, NEVER = range(4)
+_CODEC = pa.Codec("zstd", compression_level=9)
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -210,20 +211,22 @@ def suffix_order(codes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]
     return np.argsort(rank, kind="stable"), rank
 
 
-def shared_runs(streams: list[list[str]], holders: list[int], host: str) -> dict[str, np.ndarray]:
-    """Distinct runs of LONG tokens in the streams of one host: ``first`` and ``second`` half of a checksum, smallest and
-    largest holder, and the ``places`` of each in the streams end to end, as ``starts`` in ``order``."""
+def shared_runs(streams: list[list[str]], holders: list[int], hosts: list[str]) -> dict[str, np.ndarray]:
+    """Distinct runs of LONG tokens in streams of pages: ``first`` and ``second`` half of a checksum, smallest and
+    largest holder, and the places of each in the streams end to end, as ``starts`` in ``order``. Tokens of
+    different hosts are different."""
     lengths = np.array([len(s) for s in streams], dtype=np.int64)
     tokens = np.array([xxhash.xxh3_64_intdigest(t, 0) for s in streams for t in s], dtype=np.uint64)
+    salts = np.array([xxhash.xxh3_64_intdigest(h, 1) for h in hosts], dtype=np.uint64)
+    tokens = mixed(tokens ^ np.repeat(salts, lengths))
     order, rank = suffix_order(tokens, LONG)
     ends = np.repeat(np.cumsum(lengths), lengths)
     whole = order[order + LONG <= ends[order]]  # a run does not go on in the next page
     heads = np.flatnonzero(np.concatenate([[True], rank[whole[1:]] != rank[whole[:-1]]])) if len(whole) else whole
     holder = np.repeat(np.array(holders, dtype=np.int64), lengths)[whole]
-    salt = np.uint64(xxhash.xxh3_64_intdigest(host, 1))
     sums = []
     for base in (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)):
-        total = np.full(len(heads), salt, dtype=np.uint64)
+        total = np.zeros(len(heads), dtype=np.uint64)
         for k in range(LONG):
             total = (total ^ tokens[whole[heads] + k]) * base
             total ^= total >> np.uint64(29)
@@ -240,57 +243,44 @@ def shared_runs(streams: list[list[str]], holders: list[int], host: str) -> dict
 
 def _pack(data: list) -> bytes:
     raw = json.dumps(data, ensure_ascii=False).encode("utf-8", "surrogatepass")
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    return len(raw).to_bytes(8, "little") + _CODEC.compress(raw, asbytes=True)
 
 
 def _unpack(data: bytes) -> list:
-    return json.loads(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True))
+    return json.loads(_CODEC.decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True))
 
 
 def _shards(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """Rows of pages of one host: ``shard``, ``host``, ``ids``, ``urls``, and the blocks of the pages."""
-    kind = pages.schema[id_col].dataType.simpleString()
+    """Rows of many pages: ``shard``, ``ids``, ``urls``, and the packed ``blocks`` of the pages."""
     source = pages.select(
         column(pages, id_col).alias("page_id"),
         column(pages, url_col).cast("string").alias("url"),
         column(pages, html_col).cast("string").alias("html"),
     )
+    kind = source.schema["page_id"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() << 32
         for whole in batches:
             for batch in slices(whole, "html", SHARD_BYTES):
-                ids = batch.column("page_id")
-                hosts = defaultdict(list)
-                pages = zip(range(len(ids)), batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True)
-                for i, url, page in pages:
-                    hosts[host_of(url)].append((i, url, blocks_of(page)))
-                numbers, out = [], []
-                for host, found in hosts.items():
-                    numbers.append([i for i, _, _ in found])
-                    out.append((shard, host, [url for _, url, _ in found], _pack([b for _, _, b in found])))
-                    shard += 1
-                order = pa.array([i for n in numbers for i in n], type=pa.int64())
-                offsets = np.cumsum([0, *map(len, numbers)])
-                lists = pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), ids.take(order))
-                shards, names, urls, blocks = zip(*out, strict=True) if out else ((), (), (), ())
+                blocks = [blocks_of(page) for page in batch.column("html").to_pylist()]
+                ends = pa.array([0, batch.num_rows], type=pa.int32())
                 columns = [
-                    pa.array(shards, type=pa.int64()),
-                    pa.array(names, type=pa.string()),
-                    lists,
-                    pa.array(urls, type=pa.list_(pa.string())),
-                    pa.array(blocks, type=pa.binary()),
+                    pa.array([shard], type=pa.int64()),
+                    *(pa.ListArray.from_arrays(ends, batch.column(c)) for c in ("page_id", "url")),
+                    pa.array([_pack(blocks)], type=pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["shard", "host", "ids", "urls", "blocks"])
+                yield pa.RecordBatch.from_arrays(columns, ["shard", "ids", "urls", "blocks"])
+                shard += 1
 
-    return source.mapInArrow(rows, f"shard long, host string, ids array<{kind}>, urls array<string>, blocks binary")
+    return source.mapInArrow(rows, f"shard long, ids array<{kind}>, urls array<string>, blocks binary")
 
 
-def _runs_of(host: str, pages: list) -> tuple[dict[str, np.ndarray], list[list[str]]]:
+def _runs_of(urls: list[str | None], pages: list) -> tuple[dict[str, np.ndarray], list[list[str]]]:
     """Runs of a shard; pages of equal text hold as one, so that a copy does not make all its text a repetition."""
     streams = [stream_of(blocks)[0] for blocks in pages]
     holders = [xxhash.xxh3_64_intdigest("\n".join(t for _, t in blocks)) - (1 << 63) for blocks in pages]
-    return shared_runs(streams, holders, host), streams
+    return shared_runs(streams, holders, [host_of(url) for url in urls]), streams
 
 
 def extract_text(
@@ -314,15 +304,15 @@ def extract_text(
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, host, blocks in zip(*(batch.column(c).to_pylist() for c in ("shard", "host", "blocks")), strict=True):
-                runs, _ = _runs_of(host, _unpack(blocks))
+            for shard, urls, blocks in zip(*(batch.column(c).to_pylist() for c in ("shard", "urls", "blocks")), strict=True):
+                runs, _ = _runs_of(urls, _unpack(blocks))
                 n = len(runs["starts"])
                 columns = [runs["first"], runs["second"], runs["low"], runs["high"], np.full(n, shard), np.arange(n)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, type=pa.int64()) for c in columns], ["first", "second", "low", "high", "shard", "run"]
                 )
 
-    runs = shards.select("shard", "host", "blocks").mapInArrow(
+    runs = shards.select("shard", "urls", "blocks").mapInArrow(
         find, "first long, second long, low long, high long, shard long, run long"
     )
     same = Window.partitionBy("first", "second")
@@ -334,7 +324,7 @@ def extract_text(
         for batch in batches:
             for i in range(batch.num_rows):
                 pages = _unpack(batch.column("blocks")[i].as_py())
-                found, streams = _runs_of(batch.column("host")[i].as_py(), pages)
+                found, streams = _runs_of(batch.column("urls")[i].as_py(), pages)
                 covered = _covered(found, batch.column("runs")[i].as_py() or [], sum(map(len, streams)))
                 texts, counts, at = [], [], 0
                 for blocks, stream in zip(pages, streams, strict=True):
