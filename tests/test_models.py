@@ -9,9 +9,10 @@ import pytest
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import functions as F
 
+from executed_plans import plan_of
 from tidemark.operators import inner_products, metrics
 from tidemark.operators.caching import reused, spread
 from tidemark.operators.features import (
@@ -25,6 +26,7 @@ from tidemark.operators.features import (
     string_indexer,
 )
 from tidemark.operators.inner_products import top_inner_products
+from tidemark.operators.moments import Moments, correlation_pairs, elastic_net, moments, search_by_moments
 from tidemark.operators.ranks import with_rank
 from tidemark.operators.models import als, feature_names, kmeans, number_ids, parameter_grid, recommend, validation_search
 from tidemark.plans.forecasts import (
@@ -161,7 +163,8 @@ def test_searched_regression(houses):
     assert model.best.getRegParam() == 0.01
     report = {r.part: r for r in regression_report(model, "price").collect()}
     assert report["training"].rows + report["holdout"].rows == 600
-    assert math.isclose(report["training"].r2, model.best.summary.r2, abs_tol=1e-9)
+    vectors = model.pipeline.transform(model.training).drop("prediction")
+    assert math.isclose(report["training"].r2, model.best.evaluate(vectors).r2, abs_tol=1e-9)
     assert min(r.r2 for r in report.values()) > 0.9
     names = [r.feature for r in model.weights().collect()]
     assert names[:2] == ["(intercept)", "size"] and any("grade" in n for n in names)
@@ -395,3 +398,78 @@ def test_a_million_categories(spark):
     asked = spark.createDataFrame([(often[3],), ("none",), (None,)], "v string")
     assert [r.i for r in index_categories(asked, table, "v", "i").orderBy("i").collect()] == [3.0, float(n), float(n)]
     assert index_categories(asked, table, "v", "i", "skip").count() == 1
+
+
+def test_search_by_moments_equals_fitting_every_candidate(spark, tmp_path):
+    """Ridge, lasso and mixtures, with features that are collinear, constant, far from zero, or unknown in a row."""
+    draw = np.random.default_rng(5)
+    x = draw.normal(size=(900, 5)) * [1, 10, 0.1, 1, 1] + [0, 1e3, 3, 0, 2]
+    x[:, 3] = x[:, 0] - x[:, 2]
+    x[:, 4] = 2.0
+    y = x[:, 0] * 3 + (x[:, 1] - 1e3) / 5 + x[:, 2] + draw.normal(size=900) + 1e2
+    data = spark.createDataFrame([(row.tolist(), float(v), i % 5 == 0) for i, (row, v) in enumerate(zip(x, y))], "x array<double>, y double, judge boolean")
+    data = data.select(array_to_vector("x").alias("features"), "y", "judge")
+    regression = LinearRegression(labelCol="y")
+    grid = parameter_grid(regression, {"regParam": (0.01, 0.5, 2.0), "elasticNetParam": (0.0, 0.5, 1.0)})
+    found = search_by_moments(regression, grid, data.repartition(5), "judge")
+    wanted = validation_search(regression, grid, RegressionEvaluator(labelCol="y", metricName="r2"), data, "judge")
+    for params, a, b in zip(grid, found.metrics, wanted.metrics, strict=True):
+        ridge = params[regression.elasticNetParam] == 0.0
+        assert math.isclose(a, b, abs_tol=1e-8 if ridge else 1e-5), (params, a, b)  # the lasso of Spark stops early
+    assert max(wanted.metrics) - wanted.metrics[found.chosen] < 1e-5
+    fitted = regression.fit(data, grid[found.chosen])
+    assert np.allclose(found.best.transform(data).toPandas()["prediction"], fitted.transform(data).toPandas()["prediction"], atol=0.05)
+    found.best.write().overwrite().save(str(tmp_path / "model"))
+    again = LinearRegressionModel.load(str(tmp_path / "model"))
+    assert again.coefficients == found.best.coefficients and again.getLabelCol() == "y"
+    plain = parameter_grid(regression, {"regParam": (0.3,)})
+    ridge, wanted = search_by_moments(regression, plain, data, "judge").best, regression.fit(data, plain[0])
+    assert np.allclose(ridge.coefficients, wanted.coefficients, atol=1e-7) and math.isclose(ridge.intercept, wanted.intercept, rel_tol=1e-7)
+    lost = spark.createDataFrame([([float("nan")] * 5, 1.0, False), ([1.0] * 5, None, True)], "x array<double>, y double, judge boolean")
+    more = data.unionByName(lost.select(array_to_vector("x").alias("features"), "y", "judge"))
+    assert moments(more, "y", "features", "judge")[False].n == 720
+    with pytest.raises(ValueError, match="no rows"):
+        moments(data.limit(0), "y", "features", "judge")
+
+
+def test_lasso_meets_its_conditions():
+    """Optimality of every solution, also where features outnumber what the rows tell."""
+    draw = np.random.default_rng(6)
+    for n, d in ((50, 3), (40, 20), (15, 30)):
+        x, w = draw.normal(size=(n, d)), draw.normal(size=d)
+        whole = np.column_stack([x, x @ w + draw.normal(size=n)])
+        found = Moments(n, whole.sum(axis=0), whole.T @ whole, np.zeros(d + 1))
+        spread, sy = x.std(axis=0), whole[:, -1].std()
+        for penalty, mixing in ((0.1, 1.0), (0.5, 0.5), (3.0, 1.0)):
+            weights, intercept = elastic_net(found, penalty, mixing)
+            error = whole[:, -1] - intercept - x @ weights
+            slope = (error @ (x - x.mean(axis=0)) / n) / spread / sy - (1 - mixing) * penalty / sy * weights * spread / sy
+            limit = mixing * penalty / sy
+            assert np.all(np.abs(slope) <= limit + 1e-8)
+            assert np.allclose(slope[weights != 0], limit * np.sign(weights[weights != 0]), atol=1e-8)
+            assert math.isclose(found.r2(weights, intercept), 1 - error.var() / sy**2, abs_tol=1e-9)
+
+
+def test_wide_correlations(spark):
+    """Five hundred columns in one pass; pairs with nulls, and columns that do not vary."""
+    width = 500
+    columns = [(F.sin(F.col("id") * (k + 1)) + F.lit(1e5 * (k % 3))).alias(f"c{k}") for k in range(width)]
+    data = spark.range(300).select(*columns, "id")
+    data = data.withColumns(
+        {"c1": F.when(F.col("id") % 7 != 0, F.col("c1")), "c2": F.lit(4), "c3": F.lit(None).cast("double"), "c4": F.when(F.col("id") == 0, 1)}
+    )
+    names = [f"c{k}" for k in range(width)]
+    frame = correlation_pairs(data, names)
+    found = {(r.col_a, r.col_b): r["corr"] for r in frame.collect()}
+    assert len(found) == width * width
+    wanted = data.toPandas()[names].astype("float64").corr()
+    for a in (*names[:12], "c499"):
+        for b in names:
+            want = wanted.loc[a, b]
+            if math.isnan(want):
+                assert found[a, b] is None or a in ("c2", "c3", "c4") or b in ("c2", "c3", "c4")
+            else:
+                assert math.isclose(found[a, b], want, abs_tol=1e-8)
+    assert found["c2", "c5"] is None and found["c3", "c5"] is None and found["c4", "c5"] is None
+    plan = plan_of(frame)
+    assert plan.count("Range (0, 300") == 1 and plan.count("Exchange hashpartitioning") == 1

@@ -25,6 +25,7 @@ from tidemark.operators.models import (
     validation_search,
     weight_rows,
 )
+from tidemark.operators.moments import MOST_FEATURES, search_by_moments
 from tidemark.operators.statistics import correlation_steps
 
 # The parameter grids of the searches.
@@ -106,19 +107,31 @@ def _searched(
     with reused(training) as rows:
         check_categories(rows, categorical, most_categories)
         features = Pipeline(stages=feature_stages(numeric, categorical)).fit(rows)
-        with spread(features.transform(rows).select(label, "features", VALIDATION)) as vectors:
-            search = validation_search(
-                estimator, parameter_grid(estimator, grid), evaluator, vectors, VALIDATION
-            )
+        vectors = features.transform(rows).select(label, "features", VALIDATION)
+        candidates = parameter_grid(estimator, grid)
+        if _by_moments(estimator, grid, vectors):
+            search = search_by_moments(estimator, candidates, vectors, VALIDATION)
+        else:
+            with spread(vectors) as kept:
+                search = validation_search(estimator, candidates, evaluator, kept, VALIDATION)
     return SearchedModel(PipelineModel([*features.stages, search.best]), search, data)
 
 
+def _by_moments(estimator: Estimator, grid: Mapping[str, Sequence[float]], vectors: DataFrame) -> bool:
+    """Whether sums of products, which one pass gives, are all that the search needs; very wide vectors have too many."""
+    linear = isinstance(estimator, LinearRegression) and set(grid) <= {"regParam", "elasticNetParam"}
+    return linear and len(feature_names(vectors)) <= MOST_FEATURES
+
+
 def searched_regression(
     df: DataFrame, key: str, label: str, numeric: Sequence[str], categorical: Sequence[str] = (),
     grid: Mapping[str, Sequence[float]] = HOUSE_GRID, train_tenths: int = 8,
     most_categories: int = MOST_CATEGORIES,
 ) -> SearchedModel:
-    """Linear regression searched by R² on the training part; every stage is fitted on it only."""
+    """Linear regression searched by R² on the training part; every stage is fitted on it only.
+
+    All candidates come from one pass over the vectors (:mod:`tidemark.operators.moments`).
+    """
     return _searched(
         df, key, label, numeric, categorical, LinearRegression(labelCol=label), grid,
         RegressionEvaluator(labelCol=label, metricName="r2"), train_tenths, most_categories,

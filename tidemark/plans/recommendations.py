@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tidemark.operators.caching import reused, spread
 from tidemark.operators.inner_products import top_inner_products
@@ -48,16 +49,39 @@ def fit_recommender(
 ) -> Recommender:
     """Fit ALS to ids of any type; rows without one of the ids teach nothing.
 
-    The numbers of ids are written to the shared folder, for fitting and scoring read them. ``blocks``
-    follows the cores if it is not given; other blocks start from other random factors.
+    Ids that are whole numbers within the range of an int stand for themselves, which one look at their least
+    and largest tells. The numbers of others are written to the shared folder, for fitting and scoring read them.
+    ``blocks`` follows the cores if it is not given; other blocks start from other random factors.
     """
     with reused(ratings) as rated:
-        users = _written(number_ids(rated, user, USER), "als-users")
-        items = _written(number_ids(rated, item, ITEM), "als-items")
-        numbered = rated.join(users, user).join(items, item).select(USER, ITEM, rating)
-        with spread(numbered) as kept:
+        ready = _ready_ids(rated, [user, item])
+        names = {user: (USER, "als-users"), item: (ITEM, "als-items")}
+        numbers = {c: None if c in ready else _written(number_ids(rated, c, name), folder) for c, (name, folder) in names.items()}
+        numbered = rated.where(F.col(user).isNotNull() & F.col(item).isNotNull())
+        for c, (name, _) in names.items():
+            if numbers[c] is None:
+                numbered = numbered.withColumn(name, F.col(c).cast("int"))
+            else:
+                numbered = numbered.join(numbers[c], c)
+        with spread(numbered.select(USER, ITEM, rating)) as kept:
             model = als(USER, ITEM, rating, blocks=blocks or als_blocks(ratings)).fit(kept)
-    return Recommender(model, users, items, user, item)
+
+    def table(column: str, factors: DataFrame) -> DataFrame:
+        if numbers[column] is not None:
+            return numbers[column]
+        number = F.col("id")
+        return factors.select(number.cast(ratings.schema[column].dataType).alias(column), number.alias(names[column][0]))
+
+    return Recommender(model, table(user, model.userFactors), table(item, model.itemFactors), user, item)
+
+
+def _ready_ids(rated: DataFrame, columns: list[str]) -> list[str]:
+    """Those of ``columns`` that hold whole numbers from 0 to the largest int only."""
+    whole = [c for c in columns if isinstance(rated.schema[c].dataType, IntegralType)]
+    if not whole:
+        return []
+    ends = rated.agg(*[f(c).alias(f"{name}_{c}") for c in whole for name, f in (("low", F.min), ("high", F.max))]).first()
+    return [c for c in whole if ends[f"low_{c}"] is None or (ends[f"low_{c}"] >= 0 and ends[f"high_{c}"] < 1 << 31)]
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:

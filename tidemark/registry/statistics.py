@@ -7,6 +7,7 @@ from itertools import product
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.moments import correlation_pairs
 from tidemark.operators.statistics import correlation_matrix, correlations_with, describe_columns
 from tidemark.plans.forecasts import screen_features
 from tidemark.sources.files import read_table
@@ -34,6 +35,11 @@ def corr_matrix(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(correlation_matrix(read_table(spark, folder, "lineitem"), MEASURES), "corr")
 
 
+def corr_matrix_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """The same pairs from one matrix of products a task, as hundreds of columns need it."""
+    return rounded(correlation_pairs(read_table(spark, folder, "lineitem"), MEASURES), "corr")
+
+
 def feature_screen(spark: SparkSession, folder: str) -> DataFrame:
     """Both steps of feature screening on one table, as rows of pairs."""
     measures = read_table(spark, folder, "lineitem").select(*MEASURES, "l_linenumber", "l_returnflag")
@@ -47,6 +53,7 @@ QUERIES = {
     "describe_cols": describe_cols,
     "corr_target": corr_target,
     "corr_matrix": corr_matrix,
+    "corr_matrix_wide": corr_matrix_wide,
     "feature_screen": feature_screen,
 }
 
@@ -78,6 +85,7 @@ SQL = {
         corr_sql(c, "l_extendedprice", f"""'{c}' AS "column" """) for c in MEASURES
     ),
     "corr_matrix": " UNION ALL ".join(pair_sql(a, b) for a, b in product(MEASURES, MEASURES)),
+    "corr_matrix_wide": " UNION ALL ".join(pair_sql(a, b) for a, b in product(MEASURES, MEASURES)),
     "feature_screen": " UNION ALL ".join(
         [pair_sql(c, "l_extendedprice", ", 1 AS step") for c in SCREENED]
         + [pair_sql(a, b, ", 2 AS step") for a, b in product(REMAINING, REMAINING)]
