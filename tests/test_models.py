@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from executed_plans import plan_of
 from tidemark.operators import inner_products, metrics
 from tidemark.operators.caching import reused, spread
+from tidemark.operators.clusterings import kmeans_sweep
 from tidemark.operators.features import (
     category_table,
     index_categories,
@@ -473,3 +474,24 @@ def test_wide_correlations(spark):
     assert found["c2", "c5"] is None and found["c3", "c5"] is None and found["c4", "c5"] is None
     plan = plan_of(frame)
     assert plan.count("Range (0, 300") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_sweep_of_all_clusterings_at_once(points, spark):
+    """Errors and silhouettes are those of Spark for the same assignment, and no worse than its search."""
+    found = {r.k: r for r in kmeans_sweep(points).collect()}
+    assert sorted(found) == list(range(2, 8))
+    for k in (2, 3):
+        model = kmeans(k).fit(points)
+        assert found[k].sse <= model.summary.trainingCost * (1 + 1e-9)
+        if math.isclose(found[k].sse, model.summary.trainingCost, rel_tol=1e-9):
+            assert math.isclose(found[k].silhouette, metrics.silhouette(model.transform(points)), abs_tol=1e-9)
+    assert math.isclose(found[3].sse, kmeans(3).fit(points).summary.trainingCost, rel_tol=1e-9)
+    sizes = [r["size"] for r in kmeans_sweep(points).where("k = 3").orderBy("cluster").collect()]
+    assert sizes == [20, 20, 20]
+    again = kmeans_sweep(points.repartition(3))
+    assert [tuple(r)[:1] + tuple(r)[3:] for r in again.collect()] == [tuple(r)[:1] + tuple(r)[3:] for r in kmeans_sweep(points).collect()]
+    same = spark.range(6).select(array_to_vector(F.array((F.col("id") % 2).cast("double"))).alias("features"))
+    few = kmeans_sweep(same, [2, 4]).collect()
+    assert [(r.k, r.sse, r["size"]) for r in few] == [(2, 0.0, 3), (2, 0.0, 3), (4, 0.0, 3), (4, 0.0, 3)]
+    with pytest.raises(ValueError, match="no rows"):
+        kmeans_sweep(same.limit(0))

@@ -14,9 +14,6 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.caching import spread
-from tidemark.operators.metrics import silhouette
-
 SEED = 42
 # Hash buckets of ids; their sizes are summed in one task.
 ID_BUCKETS = 4096
@@ -98,22 +95,6 @@ def kmeans(k: int, features: str = "features", seed: int = SEED) -> KMeans:
     return KMeans(k=k, featuresCol=features, seed=seed)
 
 
-def kmeans_sweep(
-    df: DataFrame, ks: Sequence[int] = range(2, 8), features: str = "features", seed: int = SEED
-) -> DataFrame:
-    """``k, sse, silhouette, cluster, size``: a row per cluster for every number of clusters."""
-    rows = []
-    with spread(df.select(features)) as vectors:
-        for k in ks:
-            model = kmeans(k, features, seed).fit(vectors)
-            cost = float(model.summary.trainingCost)
-            score = silhouette(model.transform(vectors), features=features)
-            rows += [(k, cost, score, c, n) for c, n in enumerate(model.summary.clusterSizes)]
-    return df.sparkSession.createDataFrame(
-        rows, "k int, sse double, silhouette double, cluster int, size bigint"
-    )
-
-
 def number_ids(df: DataFrame, column: str, name: str, buckets: int = ID_BUCKETS) -> DataFrame:
     """``column, name``: the distinct ids of any type and an int for each, from 0 without gaps.
 

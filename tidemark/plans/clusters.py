@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 
+from tidemark.operators.clusterings import kmeans_sweep
 from tidemark.operators.features import MOST_CATEGORIES, check_categories, feature_stages
-from tidemark.operators.models import kmeans_sweep
 
 
 def cluster_report(

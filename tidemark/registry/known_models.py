@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import metrics
 from tidemark.operators.features import hash_split
-from tidemark.operators.models import importance_rows, kmeans_sweep
+from tidemark.operators.clusterings import kmeans_sweep
+from tidemark.operators.models import importance_rows
 from tidemark.plans import conversions, forecasts
 from tidemark.plans.recommendations import Recommender, fit_recommender, percent_ratings, score, top_items
 from tidemark.registry.statistics import rounded
@@ -118,6 +119,21 @@ def kmeans_known(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(kmeans_sweep(points, [regions]).drop("cluster"), "sse", "silhouette", digits=6)
 
 
+def kmeans_known_sweep(spark: SparkSession, folder: str) -> DataFrame:
+    """``k, share, size`` for two to seven clusters of seven groups, each four times as far out as the one before.
+
+    The best clusters are the k - 1 outermost groups and all others together. ``share`` is what they leave of the
+    squared distances from the mean.
+    """
+    customers = read_table(spark, folder, "customer")
+    group = F.col("c_custkey") % 7
+    placed = customers.select((F.pow(F.lit(4.0), group) * 100).alias("x"), (F.col("c_acctbal") / 1000).alias("y"))
+    points = VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(placed)
+    total = placed.agg(((F.var_pop("x") + F.var_pop("y")) * F.count("*")).alias("total"))
+    found = kmeans_sweep(points).join(F.broadcast(total))
+    return found.select("k", F.round(F.col("sse") / F.col("total"), 9).alias("share"), "size")
+
+
 # Recommendation: a rating is the product of a number of the user and one of the item.
 
 
@@ -164,6 +180,7 @@ QUERIES = {
     "tree_rules": tree_rules,
     "tree_importance": tree_importance,
     "kmeans_known": kmeans_known,
+    "kmeans_known_sweep": kmeans_known_sweep,
     "als_known_scores": als_known_scores,
     "als_known_topk": als_known_topk,
 }
@@ -272,6 +289,15 @@ SQL = {
                (SELECT round(sum(spread), 6) + 0.0 FROM clusters) AS sse,
                (SELECT round(s, 6) + 0.0 FROM score) AS silhouette, n AS size
         FROM clusters""",
+    "kmeans_known_sweep": """
+        WITH points AS (SELECT c_custkey % 7 AS g, 4.0::DOUBLE ** (c_custkey % 7) * 100 AS x, c_acctbal / 1000 AS y
+                        FROM customer),
+        total AS (SELECT (var_pop(x) + var_pop(y)) * count(*) AS t FROM points),
+        clusters AS (SELECT k, greatest(g, 7 - k) AS c, count(*) AS size,
+                            count(*) * (var_pop(x) + var_pop(y)) AS sse
+                     FROM points, range(2, 8) AS ks(k) GROUP BY ALL)
+        SELECT k::INTEGER AS k, round(sum(sse) OVER (PARTITION BY k) / t, 9) + 0.0 AS share, size
+        FROM clusters, total""",
     "als_known_scores": f"""
         WITH {PAIRS},
         parts AS (SELECT *, {tenth("o_custkey || '-' || l_partkey")} < 9 AS training FROM pairs)

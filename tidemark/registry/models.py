@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import metrics
 from tidemark.operators.features import hash_split
-from tidemark.operators.models import importance_rows, kmeans_sweep as sweep
+from tidemark.operators.clusterings import kmeans_sweep as sweep
+from tidemark.operators.models import importance_rows
 from tidemark.plans import conversions, forecasts
 from tidemark.plans.clusters import cluster_report
 from tidemark.plans.recommendations import (
