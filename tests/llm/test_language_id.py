@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+import math
 import zlib
+from collections import Counter, defaultdict
+
+import pytest
 
 from tidemark.llm.language_id import fit, hashed_grams, identify_languages
 
@@ -14,6 +18,55 @@ def test_held_out_accuracy(spark):
     assert both["score"].between(0, 1).all()
 
 
+def plain_grams(text, buckets):
+    """Buckets of the 1- to 3-grams of one text, letter by letter."""
+    chars = [" "]
+    for c in text or "":
+        c = c.lower()[0] if c.isalpha() else " "
+        if c != " " or chars[-1] != " ":
+            chars.append(c)
+    if chars[-1] != " ":
+        chars.append(" ")
+    out = []
+    for n in (1, 2, 3):
+        for i in range(len(chars) - n + 1):
+            h = n
+            for c in chars[i : i + n]:
+                h = (h ^ ord(c)) * 2654435761 % 2**32
+                h ^= h >> 15
+            out.append(h % buckets)
+    return out
+
+
+@pytest.mark.parametrize("buckets", [1 << 15, 64])
+def test_every_row_against_plain_naive_bayes(spark, buckets):
+    """Choice and score of all rows, by counts in dictionaries; one language is rare, so the prior counts."""
+    docs = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    docs += [(900_000 + i, t, "xx" if i % 9 else "en") for i, t in enumerate(["der the", "", None, "le la", "Ünd", "1 2"] * 3)]
+    counts, rows = defaultdict(Counter), Counter()
+    for number, text, lang in docs:
+        if zlib.crc32(str(number).encode()) % 4 != 2 and text is not None:
+            rows[lang] += 1
+            counts[lang].update(plain_grams(text, buckets))
+    found = identify_languages(spark.createDataFrame(docs, "doc_id long, text string, lang string"), buckets=buckets)
+    found = {r["doc_id"]: r for r in found.collect()}
+    total = {lang: sum(c.values()) + buckets for lang, c in counts.items()}
+    for number, text, _ in docs:
+        if not any(c.isalpha() for c in text or ""):
+            assert (found[number]["lang_pred"], found[number]["score"]) == ("und", 0.0)
+            continue
+        grams = plain_grams(text, buckets)
+        log = {
+            lang: math.log(rows[lang] / sum(rows.values())) + sum(math.log((c[g] + 1) / total[lang]) for g in grams)
+            for lang, c in counts.items()
+        }
+        best = max(sorted(log), key=log.get)
+        assert found[number]["lang_pred"] == best
+        cool = min(len(grams), 20) / len(grams)
+        chance = 1 / sum(math.exp((v - log[best]) * cool) for v in log.values())
+        assert math.isclose(found[number]["score"], chance, abs_tol=1e-5)
+
+
 def test_predictions_do_not_see_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     held = "crc32(cast(doc_id AS string)) % 4 = 2"

@@ -135,11 +135,11 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, buckets: int = BUCK
 
 
 def scores(texts: list[str | None], model: Model) -> tuple[list[str], list[float]]:
-    """Most probable language of each text and its probability among the learned ones.
+    """Most probable language of each text, by prior and the sum over all its n-grams, and a score from 0 to 1.
 
-    Log-probabilities are averaged over the n-grams before they are compared, and weighted as if a
-    text had at most 20 of them: overlapping n-grams are far from independent, and the probability of
-    a long text would always be one. The choice is not affected except by the prior.
+    The score is the probability of the choice if a text of more than 20 n-grams had 20 of the same mean:
+    overlapping n-grams are far from independent, and the probability of a long text would always be one. The
+    choice is not affected.
     """
     grams = hashed_grams(texts, len(model.log_prob))
     n_grams = np.bincount(grams.parents, minlength=len(texts))
@@ -147,11 +147,11 @@ def scores(texts: list[str | None], model: Model) -> tuple[list[str], list[float
     for i in range(len(model.languages)):
         weights = model.log_prob[:, i][grams.buckets]
         sums[:, i] = np.bincount(grams.parents, weights=weights, minlength=len(texts))
-    scaled = sums * (np.minimum(n_grams, 20) / np.maximum(n_grams, 1))[:, None] + model.log_prior
-    scaled -= scaled.max(axis=1, keepdims=True)
-    odds = np.exp(scaled)
-    best = odds.argmax(axis=1)
-    chance = odds.max(axis=1) / odds.sum(axis=1)
+    posterior = sums + model.log_prior
+    best = posterior.argmax(axis=1)
+    posterior -= posterior.max(axis=1, keepdims=True)
+    odds = np.exp(posterior * (np.minimum(n_grams, 20) / np.maximum(n_grams, 1))[:, None])
+    chance = 1 / odds.sum(axis=1)  # the odds of the choice are one
     known = grams.has_letter
     langs = [model.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
     return langs, np.where(known, chance, 0.0).tolist()
