@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
 import pytest
@@ -39,7 +40,14 @@ def test_sliding_windows_are_repeated_after_the_last_shuffle(spark):
     assert "explode(sequence(" in before and plan.count("Exchange") == 2
 
 
-@pytest.mark.parametrize("name", ["corr_matrix", "feature_screen", "describe_cols", "hash_split"])
+def test_summaries_read_numbers_and_text_apart(spark):
+    """Two aggregates, by hashing and by sorting; no column is read twice."""
+    plan = physical_plan(QUERIES["describe_cols"](spark, str(FOLDER)))
+    read = [c.split(":")[0] for s in re.findall(r"ReadSchema: struct<([^>]*)>", plan) for c in s.split(",")]
+    assert plan.count("FileScan") == 2 and len(read) == len(set(read)) == 6
+
+
+@pytest.mark.parametrize("name", ["corr_matrix", "feature_screen", "hash_split"])
 def test_one_scan_and_at_most_one_shuffle(spark, name):
     plan = physical_plan(QUERIES[name](spark, str(FOLDER)))
     assert plan.count("FileScan") == 1 and plan.count("Exchange") == (name != "hash_split")

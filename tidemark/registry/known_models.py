@@ -129,9 +129,8 @@ def kmeans_known_sweep(spark: SparkSession, folder: str) -> DataFrame:
     group = F.col("c_custkey") % 7
     placed = customers.select((F.pow(F.lit(4.0), group) * 100).alias("x"), (F.col("c_acctbal") / 1000).alias("y"))
     points = VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(placed)
-    total = placed.agg(((F.var_pop("x") + F.var_pop("y")) * F.count("*")).alias("total"))
-    found = kmeans_sweep(points).join(F.broadcast(total))
-    return found.select("k", F.round(F.col("sse") / F.col("total"), 9).alias("share"), "size")
+    total = placed.agg((F.var_pop("x") + F.var_pop("y")) * F.count("*")).first()[0]
+    return kmeans_sweep(points).select("k", F.round(F.col("sse") / F.lit(total), 9).alias("share"), "size")
 
 
 # Recommendation: a rating is the product of a number of the user and one of the item.
