@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -56,6 +57,22 @@ def test_copies_in_every_phase(spark):
     assert found[100]["items"] == [] and found[101]["items"] == [6]
 
 
+def test_index_is_small_and_finds_all_within_the_radius():
+    """At most two kilobytes of windows for an item of 60 words, beside near values of a bounded size."""
+    draw = random.Random(11)
+    items = [(i, " ".join(f"w{draw.randrange(5000)}" for _ in range(60))) for i in range(300)]
+    _, indexes = decontaminate.build_index(items)
+    windows = sum(x.nbytes for i in indexes for x in (i.prints, i.item, i.offset, *i.entry))
+    assert windows <= 2048 * len(items)
+    assert all(n.nbytes <= 137 * 2 << 16 for i in indexes for n in i.near)
+    for index in indexes:
+        flips = np.array([sum(1 << k for k in draw.sample(range(64), draw.randint(0, 14))) for _ in index.prints], dtype=np.uint64)
+        prints = (index.prints ^ flips)[:: max(1, len(flips) // 400)]
+        got = set(zip(*(x.tolist() for x in decontaminate._candidates(prints, index, 11)), strict=True))
+        away = np.bitwise_count(prints[:, None] ^ index.prints[None, :])
+        assert got == {(int(a), int(b)) for a, b in np.argwhere(away <= 11)} and got
+
+
 def test_a_large_benchmark_is_refused(spark, documents, monkeypatch):
     monkeypatch.setattr(decontaminate, "MAX_ITEMS", 2)
     with pytest.raises(ValueError, match="too large"):
