@@ -15,7 +15,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tidemark.llm.sentencepiece_codec import Codec, decode_pieces, encode_pieces
-from tidemark.llm.token_output import EliasFano, Encoder, read_ids, round_trip, write_ids
+from tidemark.llm.token_output import EliasFano, Encoder, read_documents, read_ids, round_trip, write_ids
 
 HARD = [
     None, "", " ", "   x", "a  b   c" + " " * 40 + "d", "x\n\n\ty\r\n", "é è ﬁ ① 日本語😀😀", "a▁b ▁▁", "<s> </s><0x41>",
@@ -88,6 +88,42 @@ def test_encoder_against_the_library(documents):
         assert ids.tolist() == [i for w in want for i in w]
 
 
+def test_other_vocabularies_give_the_ids_of_the_library(spark, documents):
+    """Byte-level tokens keep case and white space, so texts are encoded whole."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    texts = ["Hello World, this is a Test.", *HARD]
+    ids, sizes = Encoder(path)(pa.array(texts, type=pa.string()), 7)
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids + [7] for t in texts]
+    assert ids.tolist() == [i for w in want for i in w] and sizes.tolist() == list(map(len, want))
+    assert ids[:4].tolist() == [15496, 2159, 11, 428]
+    found = {r["doc_id"]: r for r in round_trip(documents.limit(20), tokenizer=path).collect()}
+    for r in documents.limit(20).collect():
+        want = [*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 1]
+        assert found[r["doc_id"]]["ids_crc32"] == zlib.crc32(np.array(want, dtype="<u4").tobytes())
+
+
+def test_forgetting_words_changes_nothing(documents):
+    """Whatever is remembered, and in whatever order; frequent words stay."""
+    path, texts = public_tokenizers.path("word_bpe_49k.json"), [r["text"] for r in documents.collect()]
+    large, small = Encoder(path), Encoder(path, remembered=300)
+    for start in range(0, len(texts), 10):
+        part = pa.array(texts[start : start + 10], type=pa.string())
+        for a, b in zip(large(part, 1), small(part, 1), strict=True):
+            assert a.tolist() == b.tolist()
+    assert list(small._known.values()) == list(range(len(small._sizes))) and len(small._known) < len(large._known)
+
+
+def test_single_documents_are_selected(spark, documents, tmp_path):
+    write_ids(documents, str(tmp_path / "ids"), chunk_tokens=500)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = {r["doc_id"]: r["text"] for r in documents.collect()}
+    asked = [*sorted(texts)[:3], *sorted(texts)[50::40], -5]
+    found = {r["doc_id"]: list(r["tokens"]) for r in read_documents(spark, str(tmp_path / "ids"), asked).collect()}
+    assert found == {i: [*tokenizer.encode(texts[i] or "", add_special_tokens=False).ids, 1] for i in asked if i in texts}
+    assert read_documents(spark, str(tmp_path / "ids"), []).count() == 0
+
+
 def test_files_hold_documents_in_order(spark, documents, tmp_path):
     write_ids(documents, str(tmp_path / "ids"), chunk_tokens=500)
     found = read_ids(spark, str(tmp_path / "ids")).toPandas().sort_values("start").reset_index(drop=True)

@@ -12,6 +12,7 @@ A chunk is one row of a Parquet file, the container that Spark can write to and
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -100,11 +101,29 @@ _PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?]*$"
 _MARKS = ".,;:!?"
 
 
+def _goes_by_words(settings: dict) -> bool:
+    """Whether a tokenizer lower-cases, takes white space as a mere gap between words, and marks their ends."""
+
+    def kinds(part: dict | None) -> list[str]:
+        parts = (part or {}).get("normalizers") or (part or {}).get("pretokenizers") or [part or {}]
+        return [p.get("type", "") for p in parts]
+
+    normal, split = settings.get("normalizer"), settings.get("pre_tokenizer")
+    return (
+        kinds(normal) == ["NFC", "Replace", "Lowercase"]
+        and kinds(split) == ["Split", "ByteLevel"]
+        and split["pretokenizers"][0].get("invert") is True
+        and split["pretokenizers"][1].get("add_prefix_space") is False
+        and settings["model"].get("end_of_word_suffix") == "</w>"
+    )
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, which sees each distinct word of a batch once.
 
-    No token of this vocabulary spans ASCII white space, which its normaliser and splitter drop, so the
-    ids of a text are those of its words end to end. Words seen before are remembered up to a bound.
+    No token of the default vocabulary spans ASCII white space, which its normaliser and splitter drop, so the
+    ids of a text are those of its words end to end. Words seen before are remembered up to a bound; beyond it those
+    stay that several batches had. Vocabularies that treat white space or letters otherwise get whole texts.
     """
 
     def __init__(self, path: str, remembered: int = 400_000) -> None:
@@ -115,35 +134,61 @@ class Encoder:
         self._ends = np.zeros(self._tokenizer.get_vocab_size(), dtype=bool)
         for token, i in self._tokenizer.get_vocab().items():
             self._ends[i] = token.endswith("</w>")
+        self._by_words = _goes_by_words(json.loads(self._tokenizer.to_str()))
         self._remembered = remembered
-        self._forget()
-
-    def _forget(self) -> None:
         self._known: dict[str, int] = {}
         self._flat, self._sizes = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
+        self._hits = np.zeros(0, dtype=np.int32)  # batches that had a piece
 
-    def _keep(self, pieces: list[str], flat: list[int], sizes: list[int] | np.ndarray) -> None:
+    def _forget(self) -> None:
+        """Keep what several batches had, the most frequent up to half of the bound."""
+        often = np.flatnonzero(self._hits > 1)
+        often = np.sort(often[np.argsort(-self._hits[often], kind="stable")][: self._remembered // 2])
+        names = list(self._known)  # in the order of their places
+        self._known = {names[i]: place for place, i in enumerate(often.tolist())}
+        starts, lengths = np.cumsum(self._sizes) - self._sizes, self._sizes[often]
+        at = np.repeat(starts[often] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+        self._flat, self._sizes = self._flat[at], lengths
+        self._hits = np.ones(len(often), dtype=np.int32)
+
+    def _keep(self, pieces: list[str], flats: list, sizes: list) -> None:
         self._known.update(zip(pieces, range(len(self._sizes), len(self._sizes) + len(pieces)), strict=True))
-        self._flat = np.concatenate([self._flat, np.array(flat, dtype=np.uint32)])
-        self._sizes = np.concatenate([self._sizes, np.array(sizes, dtype=np.int64)])
+        self._flat = np.concatenate([self._flat, *[np.asarray(f, dtype=np.uint32) for f in flats]])
+        self._sizes = np.concatenate([self._sizes, *[np.asarray(s, dtype=np.int64) for s in sizes]])
+        self._hits = np.concatenate([self._hits, np.zeros(len(pieces), dtype=np.int32)])
 
     def _learn(self, pieces: list[str], words: bool) -> None:
         """Remember the ids of new ``pieces``. If they are ``words`` of letters, each ends in a token
         that marks a word's end, so many are encoded as one text and told apart by those tokens."""
         fresh = [p for p in pieces if p not in self._known]
+        flats, sizes = [], []
         for start in range(0, len(fresh), 2000):
             part = fresh[start : start + 2000]
             if words:
-                flat = self._tokenizer.encode(" ".join(part), add_special_tokens=False).ids
+                flat = self._tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids
+                flat = np.array(flat, dtype=np.uint32)
                 ends = np.flatnonzero(self._ends[flat])
                 if len(ends) == len(part):
-                    self._keep(part, flat, np.diff(ends, prepend=-1))
+                    flats.append(flat)
+                    sizes.append(np.diff(ends, prepend=-1))
                     continue
             found = [e.ids for e in self._tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            self._keep(part, [i for ids in found for i in ids], [len(ids) for ids in found])
+            flats += found
+            sizes.append([len(ids) for ids in found])
+        self._keep(fresh, flats, sizes)
+
+    def _whole(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The library's ids of whole texts."""
+        found = [
+            e.ids for e in self._tokenizer.encode_batch_fast([t or "" for t in texts.to_pylist()], add_special_tokens=False)
+        ]
+        ids = np.array([i for own in found for i in (*own, end_id)], dtype=np.uint32)
+        return ids, np.array([len(own) + 1 for own in found], dtype=np.int64)
 
     def __call__(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts``, each ended by ``end_id``, and the number of ids of each."""
+        if not self._by_words:
+            return self._whole(texts, end_id)
         n_words, codes, distinct = batch_words(texts)
         if len(self._known) + len(distinct) > self._remembered:
             self._forget()
@@ -153,30 +198,44 @@ class Encoder:
         stems = pc.if_else(plain, stems, distinct)
         n_marks = pc.subtract(pc.binary_length(low), pc.binary_length(stems)).to_numpy(zero_copy_only=False)
         marked = np.flatnonzero(plain.to_numpy(zero_copy_only=False) & (n_marks > 0))
-        marks = [distinct[i].as_py()[-int(n_marks[i]) :] for i in marked.tolist()]
+        ended = distinct.take(pa.array(marked)).to_numpy(zero_copy_only=False).tolist()
+        marks = [word[-n:] for word, n in zip(ended, n_marks[marked].tolist(), strict=True)]
         of = stems.dictionary_encode()
-        names = of.dictionary.to_pylist()
-        simple = pc.match_substring_regex(of.dictionary, _PLAIN).to_pylist()
-        self._learn([n for n, s in zip(names, simple, strict=True) if s], words=True)
-        self._learn([n for n, s in zip(names, simple, strict=True) if not s], words=False)
+        names = of.dictionary.to_numpy(zero_copy_only=False).tolist()
+        simple = pc.match_substring_regex(of.dictionary, _PLAIN).to_numpy(zero_copy_only=False)
+        place = np.array([self._known.get(n, -1) for n in names], dtype=np.int64)
+        fresh = place < 0
+        for words in (True, False):
+            self._learn([names[i] for i in np.flatnonzero(fresh & (simple == words)).tolist()], words)
         self._learn(list(dict.fromkeys(marks)), words=False)
-
-        # each word is a stem and maybe marks; -1 for no piece, and the end id is the last piece
-        slots = np.array([self._known[n] for n in names], dtype=np.int64)
-        pieces = np.full((len(distinct) + 1, 2), -1)
-        pieces[:-1, 0] = slots[of.indices.to_numpy(zero_copy_only=False)] if len(names) else -1
-        pieces[marked, 1] = [self._known[m] for m in marks]
-        pieces[-1, 0] = len(self._sizes)
-        flat, sizes = np.append(self._flat, np.uint32(end_id)), np.append(self._sizes, 1)
+        place[fresh] = [self._known[names[i]] for i in np.flatnonzero(fresh).tolist()]
+
+        # each distinct word is a stem and maybe marks; their ids are put together once, with the end id as a last word
+        stem = place[of.indices.to_numpy(zero_copy_only=False)]
+        mark = np.array([self._known[m] for m in marks], dtype=np.int64)
+        hit = np.zeros(len(self._sizes), dtype=bool)
+        hit[stem] = hit[mark] = True
+        self._hits += hit
+        slots = np.insert(stem, marked + 1, mark)
+        starts = np.cumsum(self._sizes) - self._sizes
+        flat = np.append(self._flat[_places(starts[slots], self._sizes[slots])], np.uint32(end_id))
+        sizes = self._sizes[stem]
+        sizes[marked] += self._sizes[mark]
+        sizes = np.append(sizes, 1)
         starts = np.cumsum(sizes) - sizes
 
         words = np.insert(codes, np.cumsum(n_words), len(distinct))  # the end id ends each text
-        order = pieces[words].ravel()
-        text_of = np.repeat(np.arange(len(texts)), 2 * (n_words + 1))[order >= 0]
-        order = order[order >= 0]
-        lengths = sizes[order]
-        at = np.repeat(starts[order] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-        return flat[at], np.bincount(text_of, weights=lengths, minlength=len(texts)).astype(np.int64)
+        lengths = sizes[words]
+        upto = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(n_words + 1)])]
+        return flat[_places(starts[words], lengths)], np.diff(upto)
+
+
+def _places(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``length`` places from each start on, end to end."""
+    total = int(lengths.sum())
+    kind = np.int32 if total < 1 << 31 and (not len(starts) or int(starts.max()) < 1 << 31) else np.int64
+    shift = (starts - (np.cumsum(lengths) - lengths)).astype(kind)
+    return np.repeat(shift, lengths) + np.arange(total, dtype=kind)
 
 
 _ENCODERS: dict[str, Encoder] = {}  # one for each vocabulary in a worker process
@@ -286,6 +345,33 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_documents(spark: SparkSession, path: str, ids: list) -> DataFrame:
+    """``doc_id`` and ``tokens`` (array of ids, the end id included) of the documents with one of ``ids``, a short list.
+
+    Only chunks that hold any of them are looked into, and there two boundaries a document are selected.
+    """
+    chunks = spark.read.parquet(path)
+    kind = chunks.schema["doc_ids"].dataType.elementType.simpleString()
+    asked = F.array(*[F.lit(i).cast(kind) for i in ids]) if ids else F.array().cast(f"array<{kind}>")
+    wanted = set(ids)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {n: batch.column(n)[i].as_py() for n in ("n_docs", "n_tokens", "low_bits", "low", "high", "samples")}
+                n_tokens = row.pop("n_tokens")
+                ends = EliasFano(row.pop("n_docs"), **row)
+                data = batch.column("ids")[i].as_py()
+                all_ids = np.frombuffer(data, dtype=f"<u{len(data) // max(n_tokens, 1)}")
+                held = batch.column("doc_ids")[i].values
+                at = [k for k, number in enumerate(held.to_pylist()) if number in wanted]
+                tokens = [all_ids[ends.select(k - 1) if k else 0 : ends.select(k)].tolist() for k in at]
+                columns = [held.take(pa.array(at, type=pa.int64())), pa.array(tokens, type=pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tokens"])
+
+    return chunks.where(F.arrays_overlap("doc_ids", asked)).mapInArrow(rows, f"doc_id {kind}, tokens array<long>")
+
+
 def round_trip(docs: DataFrame, **options: object) -> DataFrame:
     """Write ``docs`` by ``write_ids`` below the shared folder and read the files back."""
     path = shared_folder(docs.sparkSession, "token-ids")
