@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 
 from tidemark.llm import spelling_variants
-from tidemark.llm.spelling_variants import count_words, group_spellings, matrices, single_edits
+from tidemark.llm.spelling_variants import count_words, damaged_runs, group_spellings, matrices, single_edits
 
 
 def one_edit(a, b):
@@ -77,6 +77,29 @@ def test_counts_of_documents(spark, documents, monkeypatch):
     assert {r["word"]: r["n"] for r in count_words(documents, damage_every=199).collect()} == want
 
 
+def test_each_run_is_damaged_once(spark):
+    def cut(run):
+        h = zlib.crc32(f"1:{run}".encode())
+        return run if h % 199 else run[: h % len(run)] + run[h % len(run) + 1 :]
+
+    draw = random.Random(5)
+    while True:  # a run that becomes another one that is damaged, too
+        first = "".join(draw.choices("abcdefghij", k=10))
+        if cut(cut(first)) != cut(first) != first:
+            break
+    text = f"{first} {cut(first)} " * 3
+    assert damaged_runs(text, "1", 199) == {cut(first): 3, cut(cut(first)): 3}
+    docs = spark.createDataFrame([(1, text), (1, text)], "doc_id long, text string")
+    assert {tuple(r) for r in count_words(docs, damage_every=199).collect()} == {(cut(first), 6), (cut(cut(first)), 6)}
+
+
+def test_words_longer_than_two_bytes_count():
+    words = ["a" * 65537, "a" * 65538, "a" * 65537 + "b"]
+    whole = matrices(words)
+    x, y, _ = single_edits(whole, whole)
+    assert {(i, j) for i, j in zip(x.tolist(), y.tolist(), strict=True)} == {(0, 1), (1, 0), (0, 2), (2, 0), (1, 2), (2, 1)}
+
+
 def test_odd_rows(spark, odd_rows, no_rows):
     words = count_words(odd_rows, min_letters=5, min_count=2)
     counts = {r["word"]: r["n"] for r in words.collect()}

@@ -42,9 +42,13 @@ def damaged_runs(text: str, key: str, every: int) -> Counter:
     runs = Counter(LETTERS.findall(text.encode().lower().decode()))
     if every:
         start = zlib.crc32(f"{key}:".encode())
+        # all are taken out before any comes back: what a run becomes may be a run that loses a letter itself
+        damaged = []
         for run in [run for run in runs if zlib.crc32(run.encode(), start) % every == 0]:
             at = zlib.crc32(run.encode(), start) % len(run)
-            runs[run[:at] + run[at + 1 :]] += runs.pop(run)
+            damaged.append((run[:at] + run[at + 1 :], runs.pop(run)))
+        for run, n in damaged:
+            runs[run] += n
     return runs
 
 
@@ -104,7 +108,7 @@ def matrices(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Equal columns at the start of each row of ``a`` and each of ``b``; zeros are padding and end it."""
     alive = np.ones((len(a), len(b)), dtype=bool)
-    found = np.zeros((len(a), len(b)), dtype=np.uint16)
+    found = np.zeros((len(a), len(b)), dtype=np.uint16 if a.shape[1] < 1 << 16 else np.uint32)
     for k in range(a.shape[1]):
         alive &= (a[:, k][:, None] == b[:, k][None, :]) & (a[:, k] != 0)[:, None]
         if not alive.any():
