@@ -364,6 +364,17 @@ def test_spread_frames_use_all_cores(spark):
         assert kept.rdd.getNumPartitions() == cores + 3
 
 
+def test_spread_frames_have_few_tasks(spark):
+    """Every task of every pass sends the driver a result, so tasks follow the cores, not the partitions."""
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(0, 1000, 1, 10 * cores)
+    with spread(many) as kept:
+        assert kept.rdd.getNumPartitions() == 2 * cores
+        assert sorted(r.id for r in kept.collect()) == list(range(1000))
+    with spread(many, most_rows=1000 // (4 * cores)) as kept:  # but no more rows in one than it can take
+        assert 2 * cores < kept.rdd.getNumPartitions() <= 5 * cores and kept.count() == 1000
+
+
 def test_reused_frames_are_released(spark):
     df = spark.range(10)
     with pytest.raises(ValueError), reused(df) as kept:
