@@ -375,6 +375,30 @@ def test_spread_frames_have_few_tasks(spark):
         assert 2 * cores < kept.rdd.getNumPartitions() <= 5 * cores and kept.count() == 1000
 
 
+def test_few_products_are_ranked(spark, monkeypatch):
+    """The k largest of a step are looked for where many can count only: at first."""
+    draw = np.random.default_rng(3)
+    users, items = (draw.normal(size=(n, 4)).astype(np.float32) for n in (50, 3000))
+    items = items[np.argsort(-np.linalg.norm(items, axis=1))]
+    monkeypatch.setattr(inner_products, "STEP", 300)
+    calls, plain = [], np.partition
+    monkeypatch.setattr(np, "partition", lambda *a, **b: calls.append(1) or plain(*a, **b))
+    held = (np.zeros(0, dtype=int), np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.float32))
+    numbered = (np.arange(3000, dtype=np.int32), items, np.linalg.norm(items, axis=1))
+    none = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
+    user, item, _ = inner_products._best(users, held, numbered, none, 5)
+    assert len(calls) == 1
+    products = users @ items.T
+    assert item.reshape(50, 5).tolist() == np.argsort(-products, axis=1, kind="stable")[:, :5].tolist()
+
+    def frame(rows):
+        return spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "id int, features array<float>")
+
+    found = inner_products.top_inner_products(frame(users).coalesce(1), frame(items), 5)
+    assert found.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+    assert {(r["user"], r["item"]) for r in found.collect()} == set(zip(user.tolist(), item.tolist()))
+
+
 def test_reused_frames_are_released(spark):
     df = spark.range(10)
     with pytest.raises(ValueError), reused(df) as kept:

@@ -21,6 +21,10 @@ from tidemark.session import shared_folder
 BLOCK_BYTES = 32 << 20
 # Items that a batch of users is compared with before the bound is tried again.
 STEP = 2048
+# Tasks a core that users are dealt among, so that the last ones do not wait long for one.
+TASKS_PER_CORE = 4
+# Products a user, in multiples of k, that are kept from a step without looking for its k largest first.
+_HITS = 4
 # Numbers of products in a step, which bounds the users taken at a time.
 _PRODUCTS = 1 << 22
 
@@ -46,16 +50,21 @@ def _best(
         stop = min(start + STEP, len(numbers))
         products = vectors[active] @ factors[start:stop].T
         low, high = np.searchsorted(seen_place, [start, stop])
-        where = np.full(len(vectors), -1)
-        where[active] = np.arange(len(active))
-        rows = where[seen_user[low:high]]
-        products[rows[rows >= 0], seen_place[low:high][rows >= 0] - start] = -np.inf
-        if stop - start > k:
+        if low < high:
+            where = np.full(len(vectors), -1)
+            where[active] = np.arange(len(active))
+            rows = where[seen_user[low:high]]
+            products[rows[rows >= 0], seen_place[low:high][rows >= 0] - start] = -np.inf
+        # few products reach the k-th best so far; one comparison each finds them
+        least = np.maximum(worst[active], np.finfo(np.float32).min).astype(np.float32)  # exact: it is such a product
+        hits = np.flatnonzero(products >= least[:, None])
+        if len(hits) > _HITS * k * len(active) and stop - start > k:
             # of each user's products only those among the k largest of this step can count
-            least = np.partition(products, stop - start - k, axis=1)[:, stop - start - k]
-        else:
-            least = np.full(len(active), -np.inf)
-        x, y = np.nonzero((products >= np.maximum(least, worst[active])[:, None]) & (products > -np.inf))
+            largest = np.partition(products, stop - start - k, axis=1)[:, stop - start - k]
+            hits = np.flatnonzero(products >= np.maximum(least, largest)[:, None])
+        if not len(hits):
+            continue
+        x, y = np.divmod(hits, stop - start)
         user = np.concatenate([user, active[x]])
         item = np.concatenate([item, numbers[start:stop][y]])
         product = np.concatenate([product, products[x, y]])
@@ -89,7 +98,8 @@ def top_inner_products(
     ``users`` and ``items`` have an int ``id`` and ``features`` (array of float); ``seen`` (``user, item``) is what no user
     is given again. Of equal products the smallest item wins. Users without ``k`` unseen items have fewer.
 
-    Workers hold ``block_bytes`` of factors at a time. Where items are more, the users who are not done by the
+    Users are dealt evenly among the cores where items are more than a step. Workers hold ``block_bytes`` of factors at
+    a time. Where items are more, the users who are not done by the
     bound go on to the next block, and passes end when there are none.
     """
     spark = users.sparkSession
@@ -105,6 +115,9 @@ def top_inner_products(
     if not number:
         return spark.createDataFrame([], "user int, rank int, item int, rating float")
     block = max(1, block_bytes // (4 * width + 16))
+    if number > STEP:
+        # a user's work is with the items, so small partitions that reading would join stay apart
+        asked = asked.repartition(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, "user")
     kinds = "user int, features array<float>, seen array<int>, items array<int>, ratings array<float>, open boolean"
     waiting = asked.withColumn("items", F.array().cast("array<int>")).withColumn("ratings", F.array().cast("array<float>"))
     if number <= block:
