@@ -29,7 +29,7 @@ from tidemark.operators.features import (
 from tidemark.operators.inner_products import top_inner_products
 from tidemark.operators.moments import Moments, correlation_pairs, elastic_net, moments, search_by_moments
 from tidemark.operators.ranks import with_rank
-from tidemark.operators.models import als, feature_names, kmeans, number_ids, parameter_grid, recommend, validation_search
+from tidemark.operators.models import als, als_blocks, feature_names, kmeans, number_ids, parameter_grid, recommend, validation_search
 from tidemark.plans.forecasts import (
     churn_report,
     clean_chapter_views,
@@ -47,6 +47,7 @@ from tidemark.plans.recommendations import (
     top_items,
     with_history,
 )
+from tidemark.registry import models as registered
 from tidemark.sources import schemas
 
 
@@ -375,6 +376,43 @@ def test_spread_frames_have_few_tasks(spark):
         assert 2 * cores < kept.rdd.getNumPartitions() <= 5 * cores and kept.count() == 1000
 
 
+def test_blocks_of_many_ratings(spark):
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(1)
+    assert als_blocks(df) == als_blocks(df, rows=1000) == max(10, cores)
+    assert als_blocks(df, rows=3_000_000) == max(4, cores // 2)  # the exchange is with ids times blocks
+    assert als_blocks(df, rows=2_000_000_000) == 50
+
+
+def test_ratings_are_made_once(spark, rows, tmp_path):
+    folder = str(tmp_path)
+    orders = [(o, o % 7, "1-URGENT") for o in range(40)]
+    lines = [(o, (o * n) % 5, float(n)) for o in range(40) for n in (1, 2, 3)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderpriority string").write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_quantity double").write.parquet(f"{folder}/lineitem.parquet")
+    model, rated = registered.fitted(spark, folder)
+    assert "Aggregate" not in rated._jdf.queryExecution().toString()
+    assert rows(rated) == rows(registered.ratings(spark, folder))
+    for part in registered.split_ratings(spark, folder):
+        assert "Aggregate" not in part._jdf.queryExecution().toString()
+    # ids that are their own numbers are not joined with a table of them
+    assert model.ready == ("o_custkey", "l_partkey")
+    assert "Join" not in model.with_numbers(rated)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pairs_of_unknown_ids_have_no_score(spark):
+    rated = spark.createDataFrame([(u, i, float(u + i)) for u in range(4) for i in range(3)], "u long, i long, r double")
+    model = fit_recommender(rated, "u", "i", "r")
+    odd = [(0, 0, 1.0), (0, 7, 1.0), (9, 0, 1.0), (None, 1, 1.0), (1, None, 1.0), (-1, 1, 1.0), (1 << 32, 1, 1.0), (3, 2, None)]
+    found = score(model, spark.createDataFrame(odd, "u long, i long, r double"))
+    assert {(r["u"], r["i"], r["r"]) for r in found.collect()} == {(0, 0, 1.0), (3, 2, None)}
+    seen = spark.createDataFrame([(0, 0), (0, 7), (9, 1), (0, None), (None, 1), (0, 1 << 32), (1, -1)], "u long, i long")
+    new = new_recommendations(model, spark.createDataFrame([(0,), (1,), (9,)], "u long"), seen)
+    assert {(r["u"], r["i"]) for r in new.collect()} == {(0, 1), (0, 2), (1, 0), (1, 1), (1, 2)}
+    halves = spark.createDataFrame([(0.0, 1.5), (0.0, 1.0)], "u double, i double")
+    assert [(r["u"], r["i"]) for r in score(model, halves).collect()] == [(0.0, 1.0)]
+
+
 def test_few_products_are_ranked(spark, monkeypatch):
     """The k largest of a step are looked for where many can count only: at first."""
     draw = np.random.default_rng(3)

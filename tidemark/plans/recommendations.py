@@ -9,25 +9,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from tidemark.operators.caching import reused, spread
+from tidemark.operators.caching import reused, spread, written
 from tidemark.operators.inner_products import top_inner_products
 from tidemark.operators.models import als, als_blocks, number_ids
-from tidemark.session import shared_folder
 
 PERCENT = 100
 # Columns of the numbers that stand for ids within ALS.
 USER, ITEM = "_user", "_item"
+# The largest number of an id.
+MOST_ID = (1 << 31) - 1
 
 
 @dataclass
 class Recommender:
-    """A model over numbered ids, and the numbers of all ids it knows: ``users`` and ``items``."""
+    """A model over numbered ids, and the numbers of all ids it knows: ``users`` and ``items``.
+
+    Ids of the columns in ``ready`` are their own numbers, so no join is needed to tell one from the other.
+    """
 
     model: ALSModel
     users: DataFrame
     items: DataFrame
     user: str
     item: str
+    ready: tuple[str, ...] = ()
 
     def numbered(self, users: DataFrame) -> DataFrame:
         """The distinct known ``users`` by number."""
@@ -35,8 +40,21 @@ class Recommender:
 
     def named(self, found: DataFrame) -> DataFrame:
         """Recommendations with the ids in place of their numbers."""
-        with_ids = found.join(self.users, USER).join(self.items, ITEM)
-        return with_ids.select(self.user, "rank", self.item, "rating")
+        for column, number, table in ((self.user, USER, self.users), (self.item, ITEM, self.items)):
+            if column in self.ready:
+                found = found.withColumn(column, F.col(number).cast(table.schema[column].dataType))
+            else:
+                found = found.join(table, number)
+        return found.select(self.user, "rank", self.item, "rating")
+
+    def with_numbers(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` with the numbers of their ids; rows are dropped whose ids cannot be known."""
+        for column, number, table in ((self.user, USER, self.users), (self.item, ITEM, self.items)):
+            if column in self.ready and isinstance(pairs.schema[column].dataType, IntegralType):
+                pairs = pairs.where(F.col(column).between(0, MOST_ID)).withColumn(number, F.col(column).cast("int"))
+            else:
+                pairs = pairs.join(table, column)
+        return pairs
 
 
 def percent_ratings(shares: DataFrame, user: str, item: str, share: str) -> DataFrame:
@@ -56,7 +74,7 @@ def fit_recommender(
     with reused(ratings) as rated:
         ready = _ready_ids(rated, [user, item])
         names = {user: (USER, "als-users"), item: (ITEM, "als-items")}
-        numbers = {c: None if c in ready else _written(number_ids(rated, c, name), folder) for c, (name, folder) in names.items()}
+        numbers = {c: None if c in ready else written(number_ids(rated, c, name), folder) for c, (name, folder) in names.items()}
         numbered = rated.where(F.col(user).isNotNull() & F.col(item).isNotNull())
         for c, (name, _) in names.items():
             if numbers[c] is None:
@@ -64,7 +82,7 @@ def fit_recommender(
             else:
                 numbered = numbered.join(numbers[c], c)
         with spread(numbered.select(USER, ITEM, rating)) as kept:
-            model = als(USER, ITEM, rating, blocks=blocks or als_blocks(ratings)).fit(kept)
+            model = als(USER, ITEM, rating, blocks=blocks or als_blocks(ratings, rows=kept.count())).fit(kept)
 
     def table(column: str, factors: DataFrame) -> DataFrame:
         if numbers[column] is not None:
@@ -72,7 +90,7 @@ def fit_recommender(
         number = F.col("id")
         return factors.select(number.cast(ratings.schema[column].dataType).alias(column), number.alias(names[column][0]))
 
-    return Recommender(model, table(user, model.userFactors), table(item, model.itemFactors), user, item)
+    return Recommender(model, table(user, model.userFactors), table(item, model.itemFactors), user, item, tuple(ready))
 
 
 def _ready_ids(rated: DataFrame, columns: list[str]) -> list[str]:
@@ -81,18 +99,12 @@ def _ready_ids(rated: DataFrame, columns: list[str]) -> list[str]:
     if not whole:
         return []
     ends = rated.agg(*[f(c).alias(f"{name}_{c}") for c in whole for name, f in (("low", F.min), ("high", F.max))]).first()
-    return [c for c in whole if ends[f"low_{c}"] is None or (ends[f"low_{c}"] >= 0 and ends[f"high_{c}"] < 1 << 31)]
-
-
-def _written(df: DataFrame, name: str) -> DataFrame:
-    folder = shared_folder(df.sparkSession, name)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    return [c for c in whole if ends[f"low_{c}"] is None or (ends[f"low_{c}"] >= 0 and ends[f"high_{c}"] <= MOST_ID)]
 
 
 def score(recommender: Recommender, pairs: DataFrame) -> DataFrame:
     """``pairs`` with a ``prediction``; those of unknown users or items are dropped."""
-    numbered = pairs.join(recommender.users, recommender.user).join(recommender.items, recommender.item)
+    numbered = recommender.with_numbers(pairs)
     return recommender.model.transform(numbered).drop(USER, ITEM)
 
 
@@ -125,7 +137,7 @@ def new_recommendations(
     user, item = recommender.user, recommender.item
     asked = recommender.numbered(users)
     seen = (
-        history.join(recommender.users, user).join(recommender.items, item)
+        recommender.with_numbers(history.select(user, item))
         .join(asked, USER, "left_semi").select(F.col(USER).alias("user"), F.col(ITEM).alias("item"))
     )
     found = top_inner_products(_factors_of(recommender, asked), recommender.model.itemFactors, k, seen)

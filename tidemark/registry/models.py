@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import metrics
+from tidemark.operators.caching import written
 from tidemark.operators.features import hash_split
 from tidemark.operators.clusterings import kmeans_sweep as sweep
 from tidemark.operators.models import importance_rows
@@ -223,8 +224,9 @@ def ratings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def split_ratings(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Ratings split by user and item together."""
-    keyed = ratings(spark, folder).withColumn("pair", F.concat_ws("-", "o_custkey", "l_partkey"))
+    """Ratings split by user and item together, from one reading of the orders."""
+    rated = written(ratings(spark, folder), "als-ratings")
+    keyed = rated.withColumn("pair", F.concat_ws("-", "o_custkey", "l_partkey"))
     training, holdout = hash_split(keyed, "pair", 9)
     return training.drop("pair"), holdout.drop("pair")
 
@@ -237,7 +239,8 @@ def als_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fitted(spark: SparkSession, folder: str):
-    rated = ratings(spark, folder)
+    """A model, and the ratings it was fitted to, which are written once for all that read them."""
+    rated = written(ratings(spark, folder), "als-ratings")
     return fit_recommender(rated, "o_custkey", "l_partkey", "share"), rated
 
 
@@ -279,8 +282,10 @@ def als_history_counts(spark: SparkSession, folder: str) -> DataFrame:
     beside = with_history(model, urgent_users(spark, folder), rated)
     known = rated.select("o_custkey", "l_partkey", F.lit(1).alias("known"))
     new = F.col("kind") == "new"
+    # only new rows ask whether they are known, and a pair is rated once, so the long history is not joined with itself
+    looked_up = beside.where(new).join(known, ["o_custkey", "l_partkey"], "left")
     return (
-        beside.join(known, ["o_custkey", "l_partkey"], "left")
+        looked_up.unionByName(beside.where(~new), allowMissingColumns=True)
         .groupBy("o_custkey")
         .agg(
             F.count_if(new).alias("new_items"),
