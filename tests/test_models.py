@@ -39,6 +39,7 @@ from tidemark.plans.forecasts import (
     with_inactive_label,
     with_views_label,
 )
+from tidemark.plans import recommendations
 from tidemark.plans.recommendations import (
     fit_recommender,
     new_recommendations,
@@ -384,6 +385,45 @@ def test_blocks_of_many_ratings(spark):
     assert als_blocks(df, rows=2_000_000_000) == 50
 
 
+def test_blocks_of_many_ids(spark):
+    """Factors of few ratings each weigh more than the ratings, so fewer blocks exchange them, at any size."""
+    df = spark.range(1)
+    for rows in (3_600_000, 36_000_000, 216_000_000):
+        assert als_blocks(df, rows=rows, ids=rows // 17) == 3
+        assert als_blocks(df, rows=rows, ids=rows // 1000) == als_blocks(df, rows=3_000_000)
+    assert als_blocks(df, rows=2_000_000_000, ids=10_000_000) == 25  # a block holds 80 million
+    assert als_blocks(df, rows=1000, ids=1000) == als_blocks(df, rows=1000)
+
+
+def test_fit_takes_blocks_by_ids(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(recommendations, "als_blocks", lambda df, **given: asked.append(given) or 2)
+    rated = spark.createDataFrame([(u, 100 + i, float(u * i)) for u in range(6) for i in range(4)], "u int, i int, r double")
+    fit_recommender(rated, "u", "i", "r")
+    fit_recommender(rated, "u", "i", "r", blocks=1)
+    assert asked == [{"rows": 24, "ids": 10}]
+
+
+def test_users_who_are_done_leave_their_lists(spark, tmp_path, monkeypatch):
+    """What is written after a block has factors and seen items only of those who go on to the next."""
+    folders = []
+    monkeypatch.setattr(inner_products, "shared_folder", lambda _, name: folders.append(f"{tmp_path}/{len(folders)}") or folders[-1])
+    draw = np.random.default_rng(5)
+    users, items = (draw.normal(size=(n, 4)).astype("f4") for n in (30, 90))
+    items *= np.linspace(1, 9, 90, dtype="f4")[:, None]
+    frames = [spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id int, features array<float>") for m in (users, items)]
+    seen = spark.createDataFrame([(u, 89 - u) for u in range(30)] + [(77, 1)], "user int, item int")
+    found = top_inner_products(*frames, 3, seen, block_bytes=32 * 30)
+    products = users @ items.T
+    products[np.arange(30), 89 - np.arange(30)] = -np.inf
+    want = np.argsort(-products, axis=1)[:, :3]
+    assert {(r["user"], r["rank"], r["item"]) for r in found.collect()} == {(u, k + 1, int(want[u, k])) for u in range(30) for k in range(3)}
+    held = spark.read.parquet(*folders)
+    assert held.where("open").count() and held.where("NOT open").count() == 30
+    assert held.where("NOT open AND (features IS NOT NULL OR seen IS NOT NULL)").isEmpty()
+    assert held.where("open AND (features IS NULL OR seen IS NULL)").isEmpty()
+
+
 def test_ratings_are_made_once(spark, rows, tmp_path):
     folder = str(tmp_path)
     orders = [(o, o % 7, "1-URGENT") for o in range(40)]

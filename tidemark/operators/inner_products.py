@@ -96,7 +96,8 @@ def top_inner_products(
     """``user, rank, item, rating``: the ``k`` items of the largest products for every one of ``users``.
 
     ``users`` and ``items`` have an int ``id`` and ``features`` (array of float); ``seen`` (``user, item``) is what no user
-    is given again. Of equal products the smallest item wins. Users without ``k`` unseen items have fewer.
+    is given again; it may name other users too, and where the rows of a user lie together, tasks pass on one list of them.
+    Of equal products the smallest item wins. Users without ``k`` unseen items have fewer.
 
     Users are dealt evenly among the cores where items are more than a step. Workers hold ``block_bytes`` of factors at
     a time. Where items are more, the users who are not done by the
@@ -144,7 +145,7 @@ def top_inner_products(
 def _pass(waiting: DataFrame, part: DataFrame, k: int, width: int, following: float | None, kinds: str) -> DataFrame:
     """``waiting`` after one block of items, with whether items to come may still be better: ``open``.
 
-    ``following`` is the largest norm of those.
+    ``following`` is the largest norm of those. Users who are done leave their factors and seen items behind.
     """
     table = part.select("item", "features", "norm").toArrow().combine_chunks()  # a block of bounded size
     numbers = table["item"].to_numpy()
@@ -185,8 +186,10 @@ def _pass(waiting: DataFrame, part: DataFrame, k: int, width: int, following: fl
                 else:
                     limit = np.linalg.norm(vectors, axis=1) * following * (1 + 1e-5)
                     open_ = limit >= _worst(user, product, n, k)
+                going_on = pa.array(np.arange(n), mask=~open_)
                 columns = [
-                    *(batch.column(c) for c in ("user", "features", "seen")),
+                    batch.column("user"),
+                    *(batch.column(c).take(going_on) for c in ("features", "seen")),
                     pa.ListArray.from_arrays(offsets, pa.array(item, type=pa.int32())),
                     pa.ListArray.from_arrays(offsets, pa.array(product.astype(np.float32))),
                     pa.array(open_),

@@ -69,7 +69,8 @@ def fit_recommender(
 
     Ids that are whole numbers within the range of an int stand for themselves, which one look at their least
     and largest tells. The numbers of others are written to the shared folder, for fitting and scoring read them.
-    ``blocks`` follows the cores if it is not given; other blocks start from other random factors.
+    ``blocks`` follows the cores, or the ids of many ratings, if it is not given; other blocks start from other random
+    factors.
     """
     with reused(ratings) as rated:
         ready = _ready_ids(rated, [user, item])
@@ -82,7 +83,11 @@ def fit_recommender(
             else:
                 numbered = numbered.join(numbers[c], c)
         with spread(numbered.select(USER, ITEM, rating)) as kept:
-            model = als(USER, ITEM, rating, blocks=blocks or als_blocks(ratings, rows=kept.count())).fit(kept)
+            if blocks is None:
+                ids = [F.approx_count_distinct(c) for c in (USER, ITEM)]
+                n, *known = kept.agg(F.count("*"), *ids).first()
+                blocks = als_blocks(ratings, rows=n, ids=sum(known))
+            model = als(USER, ITEM, rating, blocks=blocks).fit(kept)
 
     def table(column: str, factors: DataFrame) -> DataFrame:
         if numbers[column] is not None:
@@ -136,10 +141,8 @@ def new_recommendations(
     """
     user, item = recommender.user, recommender.item
     asked = recommender.numbered(users)
-    seen = (
-        recommender.with_numbers(history.select(user, item))
-        .join(asked, USER, "left_semi").select(F.col(USER).alias("user"), F.col(ITEM).alias("item"))
-    )
+    # history goes in as it is: it is shuffled as lists, which are shorter than the rows that a join with ``asked`` would shuffle
+    seen = recommender.with_numbers(history.select(user, item)).select(F.col(USER).alias("user"), F.col(ITEM).alias("item"))
     found = top_inner_products(_factors_of(recommender, asked), recommender.model.itemFactors, k, seen)
     return recommender.named(_by_number(found))
 
