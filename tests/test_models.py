@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pytest
@@ -404,6 +405,39 @@ def test_fit_takes_blocks_by_ids(spark, monkeypatch):
     assert asked == [{"rows": 24, "ids": 10}]
 
 
+def test_history_is_shuffled_as_lists(spark, rows, tmp_path):
+    """Ratings of a customer lie together, so a task lists them before the shuffle, for those seen and those known."""
+    folder = str(tmp_path)
+    orders = [(o, o % 7 if o % 10 else None, "1-URGENT" if o % 3 else "5-LOW") for o in range(40)]
+    lines = [(o, (o * n) % 9 if o % 11 else None, float(n)) for o in range(40) for n in (1, 2, 3)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderpriority string").write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_quantity double").write.parquet(f"{folder}/lineitem.parquet")
+    rated = registered.ratings(spark, folder)
+    plan = rated._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(o_custkey#\w+, \d", plan) and not re.search(r"hashpartitioning\([^)]*l_partkey", plan)
+    homes = rated.withColumn("task", F.spark_partition_id()).groupBy("o_custkey").agg(F.count_distinct("task").alias("n"))
+    assert {r.n for r in homes.collect()} == {1}
+    known = {}
+    for customer, part, _ in rows(rated):
+        known.setdefault(customer, set()).add(part)
+    known = {c: parts - {None} for c, parts in known.items()}
+    listed = registered.rated_parts(rated)
+    assert {r.o_custkey: set(r.known) for r in listed.collect()} == known
+    partial = listed._jdf.queryExecution().executedPlan().toString()
+    assert "partial_collect_set" in partial
+    new = registered.als_new_items(spark, folder)
+    assert "LeftSemi" not in new._jdf.queryExecution().optimizedPlan().toString().split("collect_set")[1]
+    found = {}
+    for r in new.collect():
+        found.setdefault(r.o_custkey, set()).add(r.l_partkey)
+    parts = set().union(*known.values())
+    urgent = {c for _, c, p in orders if p == "1-URGENT" and known.get(c)} - {None}
+    assert all(not (found.get(c, set()) & known[c]) for c in urgent)
+    assert {c: len(p) for c, p in found.items()} == {c: n for c in urgent if (n := min(5, len(parts - known[c])))}
+    counts = {r.o_custkey: (r.items, r["known"]) for r in registered.als_new_counts(spark, folder).collect()}
+    assert counts == {c: (len(p), 0) for c, p in found.items()}
+
+
 def test_users_who_are_done_leave_their_lists(spark, tmp_path, monkeypatch):
     """What is written after a block has factors and seen items only of those who go on to the next."""
     folders = []

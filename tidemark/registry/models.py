@@ -219,8 +219,11 @@ def ratings(spark: SparkSession, folder: str) -> DataFrame:
     lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-    shares = joined.groupBy("o_custkey", "l_partkey").agg((F.avg("l_quantity") / 50).alias("share"))
-    return percent_ratings(shares, "o_custkey", "l_partkey", "share")
+    # the ratings of a customer lie together and in order: they are smaller then, and so is what is grouped by customer
+    shares = (
+        joined.repartition("o_custkey").groupBy("o_custkey", "l_partkey").agg((F.avg("l_quantity") / 50).alias("share"))
+    )
+    return percent_ratings(shares, "o_custkey", "l_partkey", "share").sortWithinPartitions("o_custkey", "l_partkey")
 
 
 def split_ratings(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -249,6 +252,11 @@ def urgent_users(spark: SparkSession, folder: str) -> DataFrame:
     return orders.select("o_custkey")
 
 
+def rated_parts(rated: DataFrame) -> DataFrame:
+    """The parts that each customer has rated, ``known``: a list is shuffled at a fraction of its rows' size."""
+    return rated.groupBy("o_custkey").agg(F.collect_set("l_partkey").alias("known"))
+
+
 def als_topk(spark: SparkSession, folder: str) -> DataFrame:
     model, _ = fitted(spark, folder)
     return top_items(model, urgent_users(spark, folder))
@@ -263,15 +271,14 @@ def als_new_counts(spark: SparkSession, folder: str) -> DataFrame:
     """New items per asked user: how many, their ranks, and how many of them the user has rated."""
     model, rated = fitted(spark, folder)
     new = new_recommendations(model, urgent_users(spark, folder), rated)
-    known = rated.select("o_custkey", "l_partkey", F.lit(1).alias("known"))
     return (
-        new.join(known, ["o_custkey", "l_partkey"], "left")
+        new.join(rated_parts(rated), "o_custkey", "left")
         .groupBy("o_custkey")
         .agg(
             F.count_distinct("l_partkey").alias("items"),
             F.min("rank").alias("first_rank"),
             F.max("rank").alias("last_rank"),
-            F.count("known").alias("known"),
+            F.count_if(F.array_contains("known", F.col("l_partkey"))).alias("known"),
         )
     )
 
@@ -280,17 +287,17 @@ def als_history_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of each kind beside the history per asked user, and how many new ones the user has rated."""
     model, rated = fitted(spark, folder)
     beside = with_history(model, urgent_users(spark, folder), rated)
-    known = rated.select("o_custkey", "l_partkey", F.lit(1).alias("known"))
     new = F.col("kind") == "new"
-    # only new rows ask whether they are known, and a pair is rated once, so the long history is not joined with itself
-    looked_up = beside.where(new).join(known, ["o_custkey", "l_partkey"], "left")
+    # only new rows ask whether they are known, so the long history is not joined with itself
+    known = F.array_contains("known", F.col("l_partkey"))
+    looked_up = beside.where(new).join(rated_parts(rated), "o_custkey", "left").withColumn("known", known)
     return (
         looked_up.unionByName(beside.where(~new), allowMissingColumns=True)
         .groupBy("o_custkey")
         .agg(
             F.count_if(new).alias("new_items"),
             F.count_if(~new).alias("watched"),
-            F.count_if(new & F.col("known").isNotNull()).alias("new_but_known"),
+            F.count_if(new & F.col("known")).alias("new_but_known"),
         )
     )
 
