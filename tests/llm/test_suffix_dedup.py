@@ -100,3 +100,40 @@ def test_odd_rows(odd_rows, no_rows):
     rows = [(r["doc_id"], r["text"]) for r in odd_rows.collect()]
     assert found(odd_rows) == plain(rows)
     assert remove_repeats(no_rows).count() == 0
+
+
+def test_texts_that_end_in_zero_bytes(spark):
+    """Bytes of value zero are not the end of the data: such strings are told apart, and the search ends."""
+    passage = "a passage that two texts have in common and that ends here" + "\0" * 60
+    rows = [(1, passage), (2, "x" + passage), (3, "\0" * 70), (4, passage[:-3])]
+    got = found(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    assert got == plain(rows) and sum(r[2] for r in got) > 150
+
+
+def test_holders_of_the_places_where_strings_start(monkeypatch):
+    """Only places with 50 bytes of their context are ordered, and no further than a string goes."""
+    sorted_rows, sort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda x, *a, **b: sorted_rows.append(len(x)) or sort(x, *a, **b))
+    draw = random.Random(8)
+    base = "".join(draw.choices("abcdefgh", k=400)).encode()
+    contexts = [base[i : i + 60] + b"%03d" % i for i in range(0, 300, 3)] + [b"\0" * 50, b"\0" * 52]
+    held = suffix_dedup.smallest_holders(contexts, np.arange(len(contexts))[::-1])
+    first = {}
+    for k, c in enumerate(contexts):
+        for i in range(len(c) - 49):
+            first[c[i : i + 50]] = len(contexts) - 1 - k
+    assert [h.tolist() for h in held] == [[first[c[i : i + 50]] for i in range(len(c) - 49)] for c in contexts]
+    assert len(sorted_rows) <= 8 and max(sorted_rows[1:]) < sorted_rows[0] / 3
+
+
+def test_sparse_suffix_array():
+    draw = random.Random(6)
+    for text in ["a" * 300, "ab" * 160, "".join(draw.choices("ab", k=300)), "".join(draw.choices("abcdefgh\0", k=300))]:
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        for depth in (8, 13, 50):
+            places = np.array(sorted(draw.sample(range(len(data) - depth + 1), 150)))
+            order = suffix_dedup.sparse_suffix_array(data, places, depth)
+            strings = [text[i : i + depth] for i in order.tolist()]
+            assert sorted(order.tolist()) == places.tolist() and strings == sorted(strings)
+    none = np.zeros(0, dtype=np.int64)
+    assert suffix_dedup.sparse_suffix_array(data, none).tolist() == []

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ BLOCK_BYTES = 2 << 20
 BUCKET_ANCHORS = 1 << 20
 SHARD_BYTES = 4 << 20
 _NEVER = np.iinfo(np.int64).max
+# Places whose hashes are compared at a time; what is held of them fits a core's cache.
+_PLACES = 1 << 14
 _LOW40 = np.uint64((1 << 40) - 1)
 
 
@@ -55,7 +58,7 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
     """
     n = len(data)
     keys = _loads(data)
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     heads = np.flatnonzero(np.concatenate([[True], keys[order[1:]] != keys[order[:-1]]])) if n else np.zeros(0, int)
     sizes = np.diff(heads, append=n)
     rank = np.empty(n, dtype=np.int64)
@@ -67,7 +70,7 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
         beyond = places + step
         second = np.where(beyond < n, rank[np.minimum(beyond, n - 1)], -1)
         key = rank[places] * (n + 1) + second + 1
-        inner = np.argsort(key, kind="stable")
+        inner = np.argsort(key)
         key, places = key[inner], places[inner]
         order[active] = places
         fresh = np.concatenate([[True], key[1:] != key[:-1]])
@@ -80,32 +83,62 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
     return order
 
 
-def common_prefixes(data: np.ndarray, order: np.ndarray, starts: np.ndarray, limit: int = MATCH) -> np.ndarray:
+def sparse_suffix_array(data: np.ndarray, places: np.ndarray, depth: int = MATCH) -> np.ndarray:
+    """``places`` in the order of the ``depth`` bytes from there on (8 or more), which ``data`` has for each.
+
+    Groups of places that share all bytes so far are refined by the next eight, ranked once for all of ``data``.
+    """
+    n = len(data)
+    keys = _loads(data)
+    order = np.argsort(keys)
+    keys = keys[order]
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = np.cumsum(np.concatenate([[0], keys[1:] != keys[:-1]]))
+    key = rank[places]
+    order = np.argsort(key)
+    key, places = key[order], places[order]
+    active, at = np.arange(len(places)), 0
+    while len(active) and at + 8 < depth:
+        at = min(at + 8, depth - 8)
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        lengths = np.diff(first, append=len(active))
+        several = np.repeat(lengths > 1, lengths)
+        active, group = active[several], np.repeat(np.arange(len(first)), lengths)[several]
+        if len(active):
+            held = places[active]
+            key = group * n + rank[held + at]
+            inner = np.argsort(key)
+            key, places[active] = key[inner], held[inner]
+    return places
+
+
+def common_prefixes(data: np.ndarray, order: np.ndarray, starts: np.ndarray | None = None, limit: int = MATCH) -> np.ndarray:
     """Bytes that each place shares with the one before it in ``order``, up to ``limit``.
 
-    Kasai: the next place of a text shares at most one byte less. All pieces of ``data`` (``starts``)
-    are walked side by side, a place of each at a time.
+    Neighbours are compared eight bytes at a time, those that shared all so far only. Places that are not in ``order``
+    share none; prefixes run on over the ``starts`` of pieces.
     """
     n = len(data)
-    before = np.full(n, -1)
-    before[order[1:]] = order[:-1]
-    lengths = np.diff(starts, append=n)
     shared = np.zeros(n, dtype=np.int64)
-    held = np.zeros(len(starts), dtype=np.int64)
-    for place in range(int(lengths.max(initial=0))):
-        lanes = np.flatnonzero(lengths > place)
-        at = starts[lanes] + place
-        other, h = before[at], np.maximum(held[lanes] - 1, 0)
-        h[other < 0] = 0
-        open_ = np.flatnonzero(other >= 0)
-        while len(open_):
-            a, b = at[open_] + h[open_], other[open_] + h[open_]
-            inside = (h[open_] < limit) & (a < n) & (b < n)
-            equal = inside & (data[np.minimum(a, n - 1)] == data[np.minimum(b, n - 1)])
-            open_ = open_[equal]
-            h[open_] += 1
-        held[lanes] = h
-        shared[at] = h
+    loads = _loads(data)
+    for at in range(1, len(order), _PLACES):
+        a, b = order[at - 1 : at - 1 + _PLACES], order[at : at + _PLACES]
+        a = a[: len(b)]
+        most = np.minimum(limit, n - np.maximum(a, b))
+        same, open_ = np.zeros(len(b), dtype=np.int64), np.arange(len(b))
+        for k in range(0, limit, 8):
+            open_ = open_[most[open_] > k]
+            if not len(open_):
+                break
+            differ = loads[a[open_] + k] ^ loads[b[open_] + k]
+            same[open_] = k + 8
+            first = np.flatnonzero(differ)
+            if len(first):
+                # the bytes before the first that differs; the first byte is the highest
+                bytes_ = sum((differ[first] < np.uint64(1 << 8 * j)).astype(np.int64) for j in range(1, 8))
+                same[open_[first]] = k + bytes_
+                open_ = open_[differ == 0]
+        shared[b] = np.minimum(same, most)
     return shared
 
 
@@ -114,18 +147,35 @@ def smallest_holders(contexts: list[bytes], holders: np.ndarray) -> list[np.ndar
     data = np.frombuffer(b"".join(contexts), dtype=np.uint8)
     lengths = np.array([len(c) for c in contexts])
     starts = np.cumsum(lengths) - lengths
-    order = suffix_array(data)
-    shared = common_prefixes(data, order, starts)
     place = np.arange(len(data)) - np.repeat(starts, lengths)
     whole = place + MATCH <= np.repeat(lengths, lengths)
-    holder = np.where(whole, np.repeat(holders, lengths), _NEVER)
-    heads = np.flatnonzero(shared[order] < MATCH)
-    least = np.minimum.reduceat(holder[order], heads)
+    order = sparse_suffix_array(data, np.flatnonzero(whole))
+    heads = np.flatnonzero(common_prefixes(data, order)[order] < MATCH)
+    least = np.minimum.reduceat(np.repeat(holders, lengths)[order], heads)
     found = np.empty(len(data), dtype=np.int64)
-    found[order] = np.repeat(least, np.diff(heads, append=len(data)))
+    found[order] = np.repeat(least, np.diff(heads, append=len(order)))
     return [found[a : a + n - MATCH + 1] for a, n in zip(starts.tolist(), lengths.tolist(), strict=True)]
 
 
+def _least_hashes(data: np.ndarray) -> np.ndarray:
+    """The smallest hash of ``GRAM`` bytes in the ``MATCH`` bytes from each place on."""
+    n = len(data) - MATCH + 1
+    least = np.empty(n, dtype=np.uint64)
+    for at in range(0, n, _PLACES):
+        stop = min(n, at + _PLACES)
+        loads = _loads(data[at : stop + MATCH - 1])
+        hashes = loads[: len(loads) - GRAM + 1]
+        for k in range(8, GRAM, 8):
+            hashes = hashes * np.uint64(0x9E3779B97F4A7C15) + loads[k : k + len(hashes)]
+        best, width = mixed(hashes), 1
+        while width < _SPAN:  # the smallest of 1, 2, 4, ... hashes from each place on
+            shift = min(width, _SPAN - width)
+            best = np.minimum(best[shift:], best[:-shift])
+            width += shift
+        least[at:stop] = best
+    return least
+
+
 def anchors(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, first string, last string) of every anchor; the strings it stands for are side by side.
 
@@ -136,25 +186,20 @@ def anchors(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     strings = np.maximum(sizes - MATCH + 1, 0)
     if not strings.sum():
         return none.astype(np.uint64), none, none
-    loads = _loads(data)
-    hashes = loads[: len(data) - GRAM + 1]
-    for k in range(8, GRAM, 8):
-        hashes = hashes * np.uint64(0x9E3779B97F4A7C15) + loads[k : k + len(hashes)]
-    best, width = mixed(hashes), 1
-    while width < _SPAN:  # the smallest of 1, 2, 4, ... hashes from each place on
-        shift = min(width, _SPAN - width)
-        best = np.minimum(best[shift:], best[:-shift])
-        width += shift
-    of = np.repeat(np.arange(len(sizes)), strings)
-    place = np.arange(len(of)) + (np.cumsum(sizes) - sizes - np.cumsum(strings) + strings)[of]
-    best = best[place]
-    head = np.flatnonzero(np.concatenate([[True], (best[1:] != best[:-1]) | (of[1:] != of[:-1])]))
-    length = np.diff(head, append=len(place))
+    starts = (np.cumsum(sizes) - sizes)[strings > 0]
+    ends = starts + strings[strings > 0]
+    best = _least_hashes(data)
+    inside = np.zeros(len(best) + 1, dtype=np.int8)
+    inside[starts], inside[ends] = 1, -1
+    fresh = np.concatenate([[True], best[1:] != best[:-1]])
+    fresh[starts] = True
+    head = np.flatnonzero(fresh & (np.cumsum(inside[:-1], dtype=np.int8) > 0))
+    length = np.minimum(np.append(head[1:], len(best)), ends[np.searchsorted(starts, head, "right") - 1]) - head
     parts = -(-length // _ROW)
     step = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
     first = np.repeat(head, parts) + step * _ROW
     last = np.minimum(first + _ROW, np.repeat(head + length, parts)) - 1
-    return best[first], place[first], place[last]
+    return best[first], first, last
 
 
 class Block:
@@ -179,13 +224,26 @@ class Block:
         at = np.minimum(np.searchsorted(codes, self.code), len(codes) - 1)
         use = (codes[at] == self.code) & ~np.isin(self.doc, np.array(gone, dtype=np.int64))
         found: dict[int, dict[bytes, list[int]]] = {}
-        shard = (mixed(self.code) % np.uint64(n_shards)).astype(np.int64)
-        for i in np.flatnonzero(use).tolist():
-            text = self.bytes[self.first[i] : self.last[i] + MATCH]
-            found.setdefault(int(shard[i]), {}).setdefault(text, []).append(i)
+        used = np.flatnonzero(use)
+        shard = (mixed(self.code[used]) % np.uint64(n_shards)).astype(np.int64)
+        each = (x.tolist() for x in (used, shard, self.first[used], self.last[used] + MATCH))
+        for i, to, first, end in zip(*each, strict=True):
+            found.setdefault(to, {}).setdefault(self.bytes[first:end], []).append(i)
         return found
 
 
+def _listed(found: dict[bytes, list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The anchors of all contexts in a row, where those of each begin, and how many they are."""
+    times = np.array([len(i) for i in found.values()])
+    anchor = np.fromiter(chain.from_iterable(found.values()), dtype=np.int64, count=int(times.sum()))
+    return anchor, np.cumsum(times) - times, times
+
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``starts[0]``, ``starts[0] + 1``, ... to the length of each."""
+    return np.arange(lengths.sum()) + np.repeat(starts - np.cumsum(lengths) + lengths, lengths)
+
+
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for i in range(batch.num_rows):
@@ -265,7 +323,7 @@ def _shared_anchors(blocks: DataFrame, n_buckets: int) -> DataFrame:
         checksums = [np.frombuffer(t, dtype="<u8") for t in group["texts"].to_pylist()]
         places = [(e & np.uint64(0xFFFFFF)).astype(np.int64) for e in lists]
         texts = np.concatenate([t[at] for t, at in zip(checksums, places, strict=True)])
-        order = np.argsort(codes, kind="stable")
+        order = np.argsort(codes)
         codes, texts = codes[order], texts[order]
         # one code, two texts: some neighbours of equal code differ in text
         shared = np.unique(codes[1:][(codes[1:] == codes[:-1]) & (texts[1:] != texts[:-1])])
@@ -295,9 +353,10 @@ def _answers(known: DataFrame, n_buckets: int, n_shards: int) -> DataFrame:
             block = Block(row, n_buckets)
             out = []
             for shard, found in block.contexts(row["shared"], row["gone"], n_shards).items():
-                holders = np.array([block.ids[block.doc[i]].min() for i in found.values()], dtype="<i8")
+                anchor, head, _ = _listed(found)
+                holders = np.minimum.reduceat(block.ids[block.doc[anchor]], head).astype("<i8")
                 lengths = np.array([len(c) for c in found], dtype=np.uint8)
-                codes = np.array([block.code[i[0]] for i in found.values()], dtype=np.uint64).astype("<u4")
+                codes = block.code[anchor[head]].astype("<u4")
                 texts = _zip(b"".join(found))
                 out.append((shard, row["block"], lengths.tobytes(), holders.tobytes(), codes.tobytes(), texts))
             yield _batch(schema, out)
@@ -321,16 +380,15 @@ def _answers(known: DataFrame, n_buckets: int, n_shards: int) -> DataFrame:
         # equal strings have one anchor, so a context that is the only one of its anchor needs no search
         texts, least = list(places), np.array(holders, dtype=np.int64)
         rest = [p for found in same.values() if len(found) > 1 for p in found]
-        searched = smallest_holders([texts[p] for p in rest], least[rest]) if rest else []
-        found = dict(zip(rest, searched, strict=True))
         sizes = np.array([len(t) - MATCH + 1 for t in texts])
+        starts = np.cumsum(sizes) - sizes
+        every = np.repeat(least, sizes)
+        if rest:
+            searched = smallest_holders([texts[p] for p in rest], least[rest])
+            every[_ranges(starts[rest], sizes[rest])] = np.concatenate(searched)
         rows = []
         for block, own in zip(group["block"].to_pylist(), listed, strict=True):
-            n = sizes[own]
-            answers = np.repeat(least[own], n)
-            for p, at in zip(own, (np.cumsum(n) - n).tolist(), strict=True):
-                if p in found:
-                    answers[at : at + len(found[p])] = found[p]
+            answers = every[_ranges(starts[own], sizes[own])]
             rows.append((block, group["shard"][0].as_py(), _zip(answers.astype("<i8").tobytes())))
         return pa.Table.from_batches([_batch({"block": _LONG, "shard": _LONG, "least": _BINARY}, rows)])
 
@@ -378,12 +436,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             if least:
                 for shard, found in block.contexts(row["shared"], row["gone"], n_shards).items():
                     n = np.array([len(c) - MATCH + 1 for c in found])
-                    times = [len(i) for i in found.values()]
-                    anchor = np.concatenate([np.array(i) for i in found.values()])
+                    anchor, _, times = _listed(found)
                     offset, n = np.repeat(np.cumsum(n) - n, times), np.repeat(n, times)
-                    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    holder = least[shard][np.repeat(offset, n) + step]
-                    hit = np.repeat(block.first[anchor], n) + step
+                    holder = least[shard][_ranges(offset, n)]
+                    hit = _ranges(block.first[anchor], n)
                     hit = hit[holder < np.repeat(block.ids[block.doc[anchor]], n)]
                     steps[hit] += 1  # a string is in one context only, so no place comes twice
                     steps[hit + MATCH] -= 1
