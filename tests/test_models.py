@@ -14,7 +14,7 @@ from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import functions as F
 
 from executed_plans import plan_of
-from tidemark.operators import inner_products, metrics
+from tidemark.operators import inner_products, metrics, models
 from tidemark.operators.caching import reused, spread
 from tidemark.operators.clusterings import kmeans_sweep
 from tidemark.operators.features import (
@@ -405,6 +405,45 @@ def test_fit_takes_blocks_by_ids(spark, monkeypatch):
     assert asked == [{"rows": 24, "ids": 10}]
 
 
+def test_blocks_hold_what_an_executor_can():
+    """Exchanges ask for few blocks, but a block is built on the heap of one task."""
+    assert models.blocks_that_fit(3, 216_000_000) == 9  # three a task of four, on three executors
+    assert models.blocks_that_fit(3, 36_000_000) == 3
+    assert models.blocks_that_fit(10, 600_000) == 10
+    assert models.blocks_that_fit(25, 2_000_000_000) == 84
+
+
+def test_many_ratings_leave_the_heap_to_the_fit():
+    few, many = als("u", "i", "r", rows=2_000_000), als("u", "i", "r", rows=2_000_001)
+    assert (few.getIntermediateStorageLevel(), few.getFinalStorageLevel()) == ("MEMORY_AND_DISK",) * 2
+    assert (many.getIntermediateStorageLevel(), many.getFinalStorageLevel()) == ("DISK_ONLY",) * 2
+    assert few.getCheckpointInterval() == 10 and many.getCheckpointInterval() == models.CHECKPOINT_EVERY
+
+
+@pytest.mark.parametrize("user", ["int", "string"])
+def test_fit_of_many_ratings_is_the_same(spark, monkeypatch, user):
+    """Ratings are kept on disk, once if ids stand for themselves; factors are those of as many blocks with all in memory."""
+    draw = np.random.default_rng(3)
+    pairs = [(u, 100 + i, float(draw.integers(1, 50))) for u in range(40) for i in range(12) if (u + i) % 3]
+    rated = spark.createDataFrame(pairs, "u int, i int, r double").select(F.col("u").cast(user).alias("u"), "i", "r")
+
+    def factors(model):
+        return {r.id: r.features for f in (model.model.userFactors, model.model.itemFactors) for r in f.collect()}
+
+    asked, levels, kind = [], [], type(rated)
+    persist = kind.persist
+    monkeypatch.setattr(recommendations, "als", lambda *a, **given: asked.append(given) or als(*a, **given))
+    few = factors(fit_recommender(rated, "u", "i", "r", blocks=4))
+    monkeypatch.setattr(kind, "persist", lambda df, level: levels.append(level) or persist(df, level))
+    monkeypatch.setattr(models, "FEW_RATINGS", 100)
+    monkeypatch.setattr(models, "MOST_HELD_RATINGS", 80)
+    monkeypatch.setattr(recommendations, "als_blocks", lambda df, **given: 2)
+    many = factors(fit_recommender(rated, "u", "i", "r"))
+    assert asked == [{"blocks": 4, "rows": 320}] * 2
+    assert levels and all(x.useDisk and not x.useMemory for x in levels) and (user == "string" or len(levels) <= 2)
+    assert few.keys() == many.keys() and all(np.allclose(few[k], many[k], atol=1e-4) for k in few)
+
+
 def test_history_is_shuffled_as_lists(spark, rows, tmp_path):
     """Ratings of a customer lie together, so a task lists them before the shuffle, for those seen and those known."""
     folder = str(tmp_path)

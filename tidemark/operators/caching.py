@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame
 from pyspark.storagelevel import StorageLevel
@@ -25,9 +25,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def reused(df: DataFrame) -> Iterator[DataFrame]:
+def reused(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
     """Keep ``df`` in memory or on disk meanwhile; parts lost with an executor are computed again."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = df.persist(level)
     try:
         yield kept
     finally:
@@ -36,16 +36,21 @@ def reused(df: DataFrame) -> Iterator[DataFrame]:
 
 @contextmanager
 def spread(
-    df: DataFrame, rows_per_task: int = ROWS_PER_TASK, most_rows: int = MOST_ROWS_PER_TASK
+    df: DataFrame,
+    rows_per_task: int = ROWS_PER_TASK,
+    most_rows: int = MOST_ROWS_PER_TASK,
+    keep: bool = True,
+    level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
 ) -> Iterator[DataFrame]:
     """Keep ``df`` like :func:`reused`, in enough partitions to use the cores on it, and not in many more.
 
     A table in fewer partitions than cores is small, so one shuffle of it costs little beside the
     many passes of a fit; but tasks of a few rows would cost more than they gain. Every task of every pass sends
     the driver a result with its metrics, so a table in many more partitions is read by two tasks a core,
-    each of several kept partitions, or by one for ``most_rows`` if those are more.
+    each of several kept partitions, or by one for ``most_rows`` if those are more. Without ``keep`` what ``df`` reads
+    is kept already, and only what a shuffle makes of it is kept anew.
     """
-    with reused(df) as kept:
+    with reused(df, level) if keep else nullcontext(df) as kept:
         cores = kept.sparkSession.sparkContext.defaultParallelism
         rows = kept.count()
         tasks = min(cores, -(-rows // rows_per_task))
@@ -56,5 +61,5 @@ def spread(
         elif partitions >= tasks:
             yield kept
         else:
-            with reused(kept.repartition(tasks)) as even:
+            with reused(kept.repartition(tasks), level) as even:
                 yield even

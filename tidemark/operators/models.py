@@ -21,6 +21,10 @@ ID_BUCKETS = 4096
 FEW_RATINGS, LEAST_BLOCKS, BLOCK_RATINGS = 2_000_000, 4, 40_000_000
 # Where the number of ids is known: the fewest blocks, and the ratings that one holds at most.
 FEWEST_BLOCKS, MOST_BLOCK_RATINGS = 3, 80_000_000
+# Ratings of a block while it is built, when it takes about 48 bytes a rating beside those of its neighbours.
+MOST_HELD_RATINGS = 24_000_000
+# Iterations on many ratings after which the exchanged factors of those before are removed.
+CHECKPOINT_EVERY = 3
 # A rating as a block keeps it, and the factors of an id.
 RATING_BYTES, FACTOR_BYTES = 8, 40
 
@@ -117,15 +121,20 @@ def number_ids(df: DataFrame, column: str, name: str, buckets: int = ID_BUCKETS)
     return placed.select(column, (F.col("_start") + F.col("_place")).cast("int").alias(name))
 
 
-def als(user: str, item: str, rating: str, seed: int = SEED, blocks: int = 10) -> ALS:
+def als(user: str, item: str, rating: str, seed: int = SEED, blocks: int = 10, rows: int = 0) -> ALS:
     """Explicit-rating ALS; users and items unknown to the model are dropped when scoring.
 
-    ``blocks`` is the number of tasks that users, and items, are divided among.
+    ``blocks`` is the number of tasks that users, and items, are divided among. Of ``rows`` ratings that are many, blocks
+    and factors are kept on disk, since the heap is needed for those at work, and where there is a checkpoint folder
+    the exchanges of earlier iterations are removed every ``CHECKPOINT_EVERY``.
     """
-    return ALS(
+    fit = ALS(
         userCol=user, itemCol=item, ratingCol=rating, maxIter=10, regParam=0.1, seed=seed,
         coldStartStrategy="drop", numUserBlocks=blocks, numItemBlocks=blocks,
     )
+    if rows > FEW_RATINGS:
+        fit.setIntermediateStorageLevel("DISK_ONLY").setFinalStorageLevel("DISK_ONLY").setCheckpointInterval(CHECKPOINT_EVERY)
+    return fit
 
 
 def als_blocks(df: DataFrame, least: int = 10, most: int = 1000, rows: int = 0, ids: int = 0) -> int:
@@ -146,6 +155,11 @@ def als_blocks(df: DataFrame, least: int = 10, most: int = 1000, rows: int = 0,
     return max(FEWEST_BLOCKS, min(blocks, cheap), -(-rows // MOST_BLOCK_RATINGS))
 
 
+def blocks_that_fit(blocks: int, rows: int) -> int:
+    """``blocks``, or more where one of them would hold over ``MOST_HELD_RATINGS``."""
+    return max(blocks, -(-rows // MOST_HELD_RATINGS))
+
+
 def recommendation_rows(recommended: DataFrame, user: str, item: str) -> DataFrame:
     """``user, rank, item, rating`` from the array column of a recommendation."""
     flat = recommended.select(user, F.posexplode("recommendations").alias("_pos", "_rec"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql.types import IntegralType
 
 from tidemark.operators.caching import reused, spread, written
 from tidemark.operators.inner_products import top_inner_products
-from tidemark.operators.models import als, als_blocks, number_ids
+from tidemark.operators.models import als, als_blocks, blocks_that_fit, number_ids
 
 PERCENT = 100
 # Columns of the numbers that stand for ids within ALS.
@@ -69,10 +70,11 @@ def fit_recommender(
 
     Ids that are whole numbers within the range of an int stand for themselves, which one look at their least
     and largest tells. The numbers of others are written to the shared folder, for fitting and scoring read them.
-    ``blocks`` follows the cores, or the ids of many ratings, if it is not given; other blocks start from other random
-    factors.
+    ``blocks`` follows the cores, or the ids of many ratings, if it is not given, and what an executor can hold;
+    other blocks start from other random factors. Ratings are kept on disk, once if ids stand for themselves: they are
+    read a few times only, and the fit needs the memory.
     """
-    with reused(ratings) as rated:
+    with reused(ratings, StorageLevel.DISK_ONLY) as rated:
         ready = _ready_ids(rated, [user, item])
         names = {user: (USER, "als-users"), item: (ITEM, "als-items")}
         numbers = {c: None if c in ready else written(number_ids(rated, c, name), folder) for c, (name, folder) in names.items()}
@@ -82,12 +84,13 @@ def fit_recommender(
                 numbered = numbered.withColumn(name, F.col(c).cast("int"))
             else:
                 numbered = numbered.join(numbers[c], c)
-        with spread(numbered.select(USER, ITEM, rating)) as kept:
+        named = numbered.select(USER, ITEM, rating)
+        with spread(named, keep=len(ready) < len(names), level=StorageLevel.DISK_ONLY) as kept:
+            ids = [F.approx_count_distinct(c) for c in (USER, ITEM)] if blocks is None else []
+            n, *known = kept.agg(F.count("*"), *ids).first()
             if blocks is None:
-                ids = [F.approx_count_distinct(c) for c in (USER, ITEM)]
-                n, *known = kept.agg(F.count("*"), *ids).first()
-                blocks = als_blocks(ratings, rows=n, ids=sum(known))
-            model = als(USER, ITEM, rating, blocks=blocks).fit(kept)
+                blocks = blocks_that_fit(als_blocks(ratings, rows=n, ids=sum(known)), n)
+            model = als(USER, ITEM, rating, blocks=blocks, rows=n).fit(kept)
 
     def table(column: str, factors: DataFrame) -> DataFrame:
         if numbers[column] is not None:
